@@ -18,10 +18,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def default_window(cleaned: DataFrame) -> DataFrame:
-    """One row (cutoff, end): end = last invoice date, cutoff = end - 6 months."""
-    return cleaned.agg(F.max("invoice_date").alias("end")).select(
-        F.add_months("end", -6).alias("cutoff"), "end")
+def default_end(cleaned: DataFrame):
+    """Scalar subquery: the last invoice date (the default end of the window)."""
+    return cleaned.agg(F.max("invoice_date")).scalar()
 
 
 def clv_features(cleaned: DataFrame, cutoff: str | _dt.date | None = None,
@@ -34,19 +33,11 @@ def clv_features(cleaned: DataFrame, cutoff: str | _dt.date | None = None,
     ``cutoff <= date <= end`` (closed at both ends).
     """
     sales = cleaned.filter((F.col("is_anonymous") == 0) & (F.col("is_return") == 0))
-    if cutoff is None or end is None:
-        win = default_window(cleaned)
-        if cutoff is not None:
-            win = win.withColumn("cutoff", F.lit(cutoff).cast("date"))
-        if end is not None:
-            win = win.withColumn("end", F.lit(end).cast("date"))
-        sales = sales.crossJoin(F.broadcast(win))  # one row by construction
-        c_col, e_col = F.col("cutoff"), F.col("end")
-    else:
-        c_col, e_col = F.lit(cutoff).cast("date"), F.lit(end).cast("date")
-        # literal bounds: the date predicate reaches the scan
-        sales = sales.filter(F.col("invoice_date") <= e_col)
-        sales = sales.withColumn("cutoff", c_col)
+    last = default_end(cleaned) if (cutoff is None or end is None) else None
+    e_col = F.lit(end).cast("date") if end is not None else last
+    c_col = F.lit(cutoff).cast("date") if cutoff is not None else F.add_months(last, -6)
+    # lines after the window are never used; with literal bounds this reaches the scan
+    sales = sales.filter(F.col("invoice_date") <= e_col).withColumn("cutoff", c_col)
 
     hist = F.col("invoice_date") < c_col
     fut = (F.col("invoice_date") >= c_col) & (F.col("invoice_date") <= e_col)

@@ -25,29 +25,25 @@ SEGMENTS = ["Lost", "Needs Attention", "High Value", "Growth Potential"]
 def rfm_raw(cleaned: DataFrame) -> DataFrame:
     """customer_id, recency (days), frequency (distinct invoices), monetary (2 dp).
 
-    One aggregation by customer over all lines -- the anonymous lines form
-    one extra group, so the global maximum date falls out of the same
-    shuffle: the one-row reference date is an aggregate of the per-customer
-    result (reused exchange, no second scan of the lines), broadcast back.
-    The distinct count is planned as a two-level aggregate on
-    (customer, invoice), so one customer with a third of all lines is still
-    spread over many tasks before the final, per-customer step.
+    The reference date is a scalar subquery over one column of all lines
+    (its scan reads only ``invoice_date``); the per-customer aggregate reads
+    known customers only, the anonymous filter reaching the scan.  The
+    distinct count is planned as a two-level aggregate on (customer,
+    invoice), so a customer with a third of all lines is spread over many
+    tasks before the final, per-customer step.
     """
-    per_customer = cleaned.groupBy("customer_id").agg(
-        F.max("invoice_date").alias("last_purchase"),
-        F.countDistinct("invoice_number").alias("frequency"),
-        F.sum(F.when(F.col("is_return") == 0, F.col("revenue")).otherwise(F.lit(0)))
-         .alias("monetary"),
-        F.min("is_anonymous").alias("_anon"),
-    )
-    ref = per_customer.agg(F.date_add(F.max("last_purchase"), 1).alias("ref_date"))
-    return (per_customer.filter(F.col("_anon") == 0)
-            .crossJoin(F.broadcast(ref))  # one row by construction
-            .select(
-                "customer_id",
-                F.datediff("ref_date", "last_purchase").alias("recency"),
-                "frequency",
-                F.round("monetary", 2).cast("double").alias("monetary")))
+    ref_date = cleaned.agg(F.date_add(F.max("invoice_date"), 1)).scalar()
+    base = (cleaned.filter(F.col("is_anonymous") == 0)
+                   .groupBy("customer_id").agg(
+                       F.max("invoice_date").alias("last_purchase"),
+                       F.countDistinct("invoice_number").alias("frequency"),
+                       F.sum(F.when(F.col("is_return") == 0, F.col("revenue")).otherwise(F.lit(0)))
+                        .alias("monetary")))
+    return base.select(
+        "customer_id",
+        F.datediff(ref_date, F.col("last_purchase")).alias("recency"),
+        "frequency",
+        F.round("monetary", 2).cast("double").alias("monetary"))
 
 
 def rfm_score(raw: DataFrame, keep_metrics: bool = False,

@@ -10,12 +10,16 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..operators import clean as C
 from ..operators import cohort as H
+from ..operators import basket as B
 from ..operators import rfm as R
 from ..operators.clv_features import clv_features
+from ..oracles import BASKET_PARAMS
 from ..sources.raw import transactions_from_tpch
+from ..sources.sinks import RULE_COLUMNS
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -49,5 +53,58 @@ QUERIES: dict[str, Query] = {
 }
 
 
+def basket_lines(spark, d):
+    return B.preprocess(cleaned(spark, d))
+
+
+def _itemsets(spark, d, key):
+    s, _, ml = BASKET_PARAMS[key]
+    return B.frequent_itemsets(B.baskets(basket_lines(spark, d)), s, ml)
+
+
+def _rules(spark, d, key):
+    s, c, ml = BASKET_PARAMS[key]
+    return B.association_rules(_itemsets(spark, d, key), c)
+
+
+def _rule_codes(rules: DataFrame) -> DataFrame:
+    return rules.select(F.array_join("antecedents", ", ").alias("antecedent_codes"),
+                        F.array_join("consequents", ", ").alias("consequent_codes"),
+                        "support", "confidence", "lift", "leverage", "conviction",
+                        "antecedent_len", "consequent_len")
+
+
+def _described(spark, d, key="all"):
+    return B.attach_descriptions(_rules(spark, d, key), basket_lines(spark, d)).select(*RULE_COLUMNS)
+
+
+def _summary(spark, d, key="all"):
+    lines = basket_lines(spark, d)
+    b = B.baskets(lines)
+    s, c, ml = BASKET_PARAMS[key]
+    its = B.frequent_itemsets(b, s, ml)
+    return B.summarize(b, lines, its, B.association_rules(its, c))
+
+
+QUERIES.update({
+    "a18_clean_report": lambda s, d: B.clean_report(cleaned(s, d)),
+    "m1_basket_lines": basket_lines,
+    "a13_baskets": lambda s, d: B.baskets(basket_lines(s, d)).select(
+        "invoice_number", F.array_join("items", ",").alias("items"),
+        F.size("items").alias("n_items")),
+    "a12_item_mode": lambda s, d: B.item_mode(basket_lines(s, d)),
+    "m2_itemsets": lambda s, d: _itemsets(s, d, "all").select(
+        F.array_join("items", ", ").alias("items"), "freq", "support", "length"),
+    "m2_itemsets_low": lambda s, d: _itemsets(s, d, "low").select(
+        F.array_join("items", ", ").alias("items"), "freq", "support", "length"),
+    "m3_pair_rules": lambda s, d: _rule_codes(_rules(s, d, "pairs")),
+    "m3_rules_all": lambda s, d: _rule_codes(_rules(s, d, "low")),
+    "m8_rules_default": lambda s, d: _rule_codes(_rules(s, d, "default")),
+    "m5_rules_described": _described,
+    "o3_top_rules": lambda s, d: B.top_rules(_described(s, d)),
+    "m7_summary": _summary,
+})
+
+
 def queries() -> dict[str, Query]:
     return dict(QUERIES)

@@ -16,6 +16,7 @@ from ..operators import clean as C
 from ..operators import cohort as H
 from ..operators import basket as B
 from ..operators import rfm as R
+from ..operators import clv_model as M
 from ..operators.clv_features import clv_features
 from ..oracles import BASKET_PARAMS
 from ..sources.raw import transactions_from_tpch
@@ -106,5 +107,45 @@ QUERIES.update({
 })
 
 
+def _features(spark, d):
+    return clv_features(cleaned(spark, d))
+
+
+def formula_prediction(features: DataFrame) -> DataFrame:
+    """A fixed-formula forecast (half the history revenue, exact decimals):
+    lets the metric and quintile operators be checked by SQL."""
+    pred = (F.col("total_revenue").cast("decimal(20,2)") * F.lit(0.5)).cast("decimal(20,2)")
+    return features.select("customer_id", pred.alias("pred_dec"),
+                           F.col("future_6M_revenue").cast("decimal(20,2)").alias("label_dec"))
+
+
+# A small search for registered checks (the library default is the full
+# 20-draw search of PARAM_SPACE, too slow for a per-round check).
+QUICK_SPACE = {"n_estimators": [10, 20], "max_depth": [3, 5], "learning_rate": [0.1],
+               "min_samples_leaf": [1, 2, 4], "min_samples_split": [2, 5, 10],
+               "subsample": [0.8, 1.0]}
+
+
+def _clv_run(spark, d):
+    return M.clv_pipeline(_features(spark, d), n_iter=2, space=QUICK_SPACE)
+
+
+QUERIES.update({
+    "c2_prepared": lambda s, d: M.prepare(_features(s, d)),
+    "c3_split_sizes": lambda s, d: M.split_sizes(M.train_test_split(M.prepare(_features(s, d)))),
+    "c7_metrics_on_formula": lambda s, d: M.regression_metrics(
+        formula_prediction(_features(s, d)), "label_dec", "pred_dec"),
+    "c11_quintiles_on_formula": lambda s, d: M.clv_quintiles(
+        formula_prediction(_features(s, d)).select(
+            "customer_id", F.col("pred_dec").cast("double").alias("clv_prediction"))),
+    # fitted: rows-only checks
+    "c5_search": lambda s, d: M.random_search(
+        M.train_test_split(M.prepare(_features(s, d))).filter(~F.col("is_test")).drop("is_test"),
+        n_iter=2, space=QUICK_SPACE).table,
+    "c9_predictions": lambda s, d: _clv_run(s, d).predictions,
+    "t12_clv_segment": lambda s, d: _clv_run(s, d).segments,
+})
+
+
 def queries() -> dict[str, Query]:
     return dict(QUERIES)

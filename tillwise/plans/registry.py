@@ -17,6 +17,7 @@ from ..operators import cohort as H
 from ..operators import basket as B
 from ..operators import rfm as R
 from ..operators import clv_model as M
+from ..operators import measures as X
 from ..operators.clv_features import clv_features
 from ..oracles import BASKET_PARAMS
 from ..sources.raw import transactions_from_tpch
@@ -147,5 +148,32 @@ QUERIES.update({
 })
 
 
+def _segments(spark, d):
+    return R.rfm_segment(_rfm_raw(spark, d))
+
+
+def _formula_quintiles(spark, d):
+    return M.clv_quintiles(formula_prediction(_features(spark, d)).select(
+        "customer_id", F.col("pred_dec").cast("double").alias("clv_prediction")))
+
+
+QUERIES.update({
+    "r1_opportunity_gap": lambda s, d: X.opportunity_gap(_segments(s, d)),
+    "r2_revenue_at_risk": lambda s, d: X.revenue_at_risk(_segments(s, d)),
+    "r3_next_best_offer": lambda s, d: X.next_best_offer(cleaned(s, d), _rules(s, d, "all"), k=3),
+    "r4_retention_cliff": lambda s, d: X.retention_cliff(
+        H.cohort_retention(H.cohort_activity(cleaned(s, d)))),
+    "r5_reengagement_audience": lambda s, d: X.reengagement_audience(_rfm_raw(s, d)),
+    "r6_monthly_revenue": lambda s, d: X.monthly_revenue(cleaned(s, d)),
+    "r7_customer_dim_unique": lambda s, d: X.customer_dim_unique(cleaned(s, d)),
+    "r7_product_dim_unique": lambda s, d: X.product_dim_unique(cleaned(s, d)),
+    "r8_outlier_filtered": lambda s, d: X.drop_revenue_outliers(cleaned(s, d)),
+    "r9_dedupe": lambda s, d: X.dedupe(
+        cleaned(s, d), ["invoice_number", "item_code"],
+        ["invoice_timestamp", "item_description", "quantity", "price"]),
+    "r10_clv_funnel": lambda s, d: X.clv_funnel(_formula_quintiles(s, d), _segments(s, d)),
+})
+
+
 def queries() -> dict[str, Query]:
     return dict(QUERIES)

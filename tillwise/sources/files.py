@@ -1,15 +1,16 @@
 """CSV sources with the error contract of the batch jobs.
 
 A missing file, an empty file and a file that does not parse are three
-different errors.  Reading is lazy; the emptiness check is one ``isEmpty``
-(a single-row probe), and ``FAILFAST`` turns a malformed record into an
-error at the first action instead of a silent null row.
+different errors.  With ``FAILFAST`` a malformed record is an error, not
+a silent null row; an optional validation pass (one count per column)
+reports it when the file is opened.
 """
 
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
@@ -25,8 +26,16 @@ def validate_input_file(spark: SparkSession, path: str) -> None:
         raise FileNotFoundError(f"Input file not found: {path}")
 
 
-def load_csv(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
-    """Read a header CSV.  ``schema`` given: enforced, malformed rows raise."""
+def load_csv(spark: SparkSession, path: str, schema: T.StructType | None = None,
+             validate: bool = True) -> DataFrame:
+    """Read a header CSV.  ``schema`` given: enforced, malformed rows raise.
+
+    ``validate`` runs one distributed pass that parses every column (one
+    count per column), so a malformed record is reported here as
+    ``ValueError`` -- the single-machine reader parsed the whole file up
+    front.  Without it the error surfaces at the first action that reads
+    the bad record.
+    """
     validate_input_file(spark, path)
     reader = spark.read.option("header", True).option("mode", "FAILFAST")
     if schema is not None:
@@ -38,10 +47,13 @@ def load_csv(spark: SparkSession, path: str, schema: T.StructType | None = None)
         df = reader.csv(path)
     except AnalysisException as e:  # e.g. no header can be read
         raise ValueError(f"Input file is empty: {path}") from e
+    if not df.columns:
+        raise ValueError(f"Input file is empty: {path}")
     try:
-        empty = df.isEmpty()
+        if validate:
+            df.agg(*[F.count(F.col(f"`{c}`")) for c in df.columns]).collect()
+        else:
+            df.isEmpty()
     except Exception as e:  # FAILFAST parse error surfaces here
         raise ValueError(f"Failed to parse CSV file: {path}") from e
-    if empty and not df.columns:
-        raise ValueError(f"Input file is empty: {path}")
     return df

@@ -1,0 +1,8 @@
+"""Streaming: intentionally empty.
+
+The analytics being rebuilt are batch only -- no stream source, watermark,
+window over event time or keyed state occurs in them -- so there is no
+streaming operator to provide.  Every operator in ``tillwise.operators`` is
+a plain DataFrame transformation and therefore also runs inside
+``foreachBatch`` of a Structured Streaming query if a caller needs that.
+"""

@@ -91,23 +91,34 @@ def frequent_itemsets(basket_df: DataFrame, min_support: float,
         raise ValueError("min_support must be between 0 and 1")
     if max_len is not None and max_len < 1:
         raise ValueError("max_len must be a positive integer")
-    n = n_baskets if n_baskets is not None else basket_df.count()
-    if n == 0:
-        return basket_df.sparkSession.createDataFrame(
-            [], "items array<string>, freq bigint, support double, length int")
-    lowered = max(min_support - 1.0 / n, 0.0) if min_support * n > 1 else min_support
-    fp = FPGrowth(itemsCol="items", minSupport=max(lowered, 1e-12), minConfidence=1.0)
-    if num_partitions:
-        fp.setNumPartitions(num_partitions)
-    model = fp.fit(basket_df.select("items"))
-    out = (model.freqItemsets
-           .select(F.array_sort("items").alias("items"), F.col("freq").cast("bigint").alias("freq"))
-           .withColumn("support", F.col("freq").cast("double") / F.lit(float(n)))
-           .filter(F.col("support") >= F.lit(float(min_support)))
-           .withColumn("length", F.size("items")))
-    if max_len is not None:
-        out = out.filter(F.col("length") <= max_len)
-    return out
+    items = basket_df.select("items")
+    cached = items.storageLevel.useMemory or items.storageLevel.useDisk
+    if not cached:  # the count and the FP-Growth passes share one computation
+        items = items.persist()
+    try:
+        n = n_baskets if n_baskets is not None else items.count()
+        if n == 0:
+            return basket_df.sparkSession.createDataFrame(
+                [], "items array<string>, freq bigint, support double, length int")
+        lowered = max(min_support - 1.0 / n, 0.0) if min_support * n > 1 else min_support
+        fp = FPGrowth(itemsCol="items", minSupport=max(lowered, 1e-12), minConfidence=1.0)
+        if num_partitions:
+            fp.setNumPartitions(num_partitions)
+        model = fp.fit(items)
+        out = (model.freqItemsets
+               .select(F.array_sort("items").alias("items"), F.col("freq").cast("bigint").alias("freq"))
+               .withColumn("support", F.col("freq").cast("double") / F.lit(float(n)))
+               .filter(F.col("support") >= F.lit(float(min_support)))
+               .withColumn("length", F.size("items")))
+        if max_len is not None:
+            out = out.filter(F.col("length") <= max_len)
+        # FP-Growth's itemsets are a lazy RDD over its input; writing them
+        # once (they are few next to the baskets) keeps the rule joins, which
+        # read them three times, from mining again.
+        return out.checkpoint(eager=True)
+    finally:
+        if not cached:
+            items.unpersist()
 
 
 # ------------------------------------------------------------------ rules
@@ -180,27 +191,28 @@ def attach_descriptions(rules: DataFrame, clean_lines: DataFrame) -> DataFrame:
     modes = item_mode(clean_lines)
     keyed = rules.withColumn("antecedent_codes", F.array_join("antecedents", ", ")) \
                  .withColumn("consequent_codes", F.array_join("consequents", ", "))
+    rule_cols = keyed.columns
     tagged = F.concat(
         F.transform("antecedents", lambda x, i: F.struct(F.lit(0).alias("side"), i.alias("pos"),
                                                             x.alias("item_code"))),
         F.transform("consequents", lambda x, i: F.struct(F.lit(1).alias("side"), i.alias("pos"),
                                                             x.alias("item_code"))))
-    exploded = keyed.select("antecedent_codes", "consequent_codes", F.explode(tagged).alias("_t")) \
-                    .select("antecedent_codes", "consequent_codes", "_t.side", "_t.pos", "_t.item_code")
+    exploded = keyed.select(*rule_cols, F.explode(tagged).alias("_t")) \
+                    .select(*rule_cols, "_t.side", "_t.pos", "_t.item_code")
     described = exploded.join(modes, "item_code", "left").withColumn(
         "_d", F.coalesce(F.col("item_description"),
                          F.concat(F.lit("Unknown ("), F.col("item_code"), F.lit(")"))))
-    per_rule = described.groupBy("antecedent_codes", "consequent_codes").agg(
+    # a rule is unique by its columns, so grouping by all of them rebuilds
+    # each rule in one shuffle (no join back to the rules)
+    per_rule = described.groupBy(*rule_cols).agg(
         F.array_sort(F.collect_list(F.struct("side", "pos", "_d"))).alias("_parts"))
 
     def join_side(side: int) -> Column:
         part = F.filter("_parts", lambda p: p["side"] == side)
         return F.array_join(F.transform(part, lambda p: p["_d"]), ", ")
 
-    per_rule = per_rule.select("antecedent_codes", "consequent_codes",
-                               join_side(0).alias("antecedent_descriptions"),
-                               join_side(1).alias("consequent_descriptions"))
-    return keyed.join(per_rule, ["antecedent_codes", "consequent_codes"])
+    return per_rule.select(*rule_cols, join_side(0).alias("antecedent_descriptions"),
+                           join_side(1).alias("consequent_descriptions"))
 
 
 def sort_rules(rules: DataFrame) -> DataFrame:
@@ -246,7 +258,7 @@ def market_basket(df: DataFrame, min_support: float = 0.01, min_confidence: floa
     n = b.count()
     if strict and n == 0:
         raise ValueError("No data remaining after preprocessing.")
-    its = frequent_itemsets(b, min_support, max_len, n_baskets=n).persist()
+    its = frequent_itemsets(b, min_support, max_len, n_baskets=n)
     n_itemsets = its.count()
     if strict and n_itemsets == 0:
         raise ValueError(f"No frequent itemsets found with min_support={min_support}. "

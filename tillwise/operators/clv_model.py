@@ -83,15 +83,17 @@ def prepare(features: DataFrame, clip_quantile: float = 0.99) -> DataFrame:
         "CustomerID",
         *[F.col(c).try_cast("double").alias(c) for c in FEATURES],
         F.col(TARGET).try_cast("double").alias(TARGET),
-    ).dropna(subset=["CustomerID", TARGET])
+    ).dropna(subset=["CustomerID", TARGET]).checkpoint(eager=True)
+    # one row per customer, written once: the null counts, the quantile
+    # ranks and the output all read it instead of re-running the features
     nulls = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in FEATURES]).first()
     fills = {}
     for c in FEATURES:
         if nulls[c] > 0:
-            fills[c] = exact_quantiles(df, c, [0.5], ["m"]).scalar()
+            fills[c] = exact_quantiles(df, c, [0.5], ["m"], materialize_input=False).scalar()
     if fills:
         df = df.withColumns({c: F.coalesce(F.col(c), m) for c, m in fills.items()})
-    q = exact_quantiles(df, TARGET, [clip_quantile], ["q"]).scalar()
+    q = exact_quantiles(df, TARGET, [clip_quantile], ["q"], materialize_input=False).scalar()
     return df.select(
         "CustomerID", *FEATURES,
         F.when(F.col(TARGET) > q, q).otherwise(F.col(TARGET)).alias(TARGET),
@@ -101,13 +103,13 @@ def prepare(features: DataFrame, clip_quantile: float = 0.99) -> DataFrame:
 # ------------------------------------------------------------------ split
 
 def train_test_split(df: DataFrame, test_size: float = 0.2, seed: int = 42,
-                     id_col: str = "CustomerID") -> DataFrame:
+                     id_col: str = "CustomerID", materialize_input: bool = True) -> DataFrame:
     """Add ``is_test``: exactly ``ceil(test_size * n)`` rows, chosen by a seeded
     hash of the id -- the same rows whatever the partitioning."""
     if not 0.0 < test_size < 1.0:
         raise ValueError("test-size must be between 0.0 and 1.0")
     key = [F.xxhash64(F.lit(seed), F.col(id_col)).asc(), F.col(id_col).asc()]
-    r = global_rank(df, key, "_rank", "_n")
+    r = global_rank(df, key, "_rank", "_n", materialize_input=materialize_input)
     n_test = F.ceil(F.lit(float(test_size)) * F.col("_n"))
     return r.withColumn("is_test", F.col("_rank") < n_test).drop("_rank", "_n")
 
@@ -239,8 +241,8 @@ def clv_pipeline(features: DataFrame, test_size: float = 0.2, seed: int = 42,
     """Prepare -> split -> search on train -> test metrics -> refit on all -> score."""
     if not 0.0 < test_size < 1.0:
         raise ValueError("test-size must be between 0.0 and 1.0")
-    prepared = prepare(features)
-    split = train_test_split(prepared, test_size, seed)
+    prepared = prepare(features).checkpoint(eager=True)
+    split = train_test_split(prepared, test_size, seed, materialize_input=False)
     train = split.filter(~F.col("is_test")).drop("is_test")
     test = split.filter(F.col("is_test")).drop("is_test")
     search = random_search(train, n_iter, num_folds, seed, parallelism, space)

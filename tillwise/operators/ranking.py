@@ -29,11 +29,20 @@ _LOW_BITS = (1 << 33) - 1
 
 
 def global_rank(df: DataFrame, order: list[Column], rank_col: str = "_rank",
-                count_col: str = "_n", num_partitions: int | None = None) -> DataFrame:
-    """Add the 0-based position of each row in ``order`` and the total row count."""
+                count_col: str = "_n", num_partitions: int | None = None,
+                materialize_input: bool = True) -> DataFrame:
+    """Add the 0-based position of each row in ``order`` and the total row count.
+
+    Range partitioning reads its input twice (a sampling job for the
+    bounds, then the shuffle).  With ``materialize_input`` the input is
+    checkpointed first, so an expensive upstream (an aggregate over all
+    lines) runs once; pass False when the input is already cheap to read.
+    """
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
     k = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    if materialize_input:
+        df = df.checkpoint(eager=True)
     placed = (df.repartitionByRange(k, *order)
                 .sortWithinPartitions(*order)
                 .withColumn("_mid", F.monotonically_increasing_id())
@@ -62,21 +71,22 @@ def ntile_of_rank(rank: Column, n: Column, buckets: int) -> Column:
 
 
 def ntile(df: DataFrame, buckets: int, order: list[Column], out_col: str,
-          num_partitions: int | None = None) -> DataFrame:
+          num_partitions: int | None = None, materialize_input: bool = True) -> DataFrame:
     """``NTILE(buckets) OVER (ORDER BY order)`` as a new column, computed in parallel.
 
     ``order`` must end in a unique column for the result to be repeatable.
     """
     if buckets < 1:
         raise ValueError("buckets must be positive")
-    r = global_rank(df, order, "_rank", "_n", num_partitions)
+    r = global_rank(df, order, "_rank", "_n", num_partitions, materialize_input)
     return (r.withColumn(out_col, ntile_of_rank(F.col("_rank"), F.col("_n"), buckets))
              .drop("_rank", "_n"))
 
 
 def exact_quantiles(df: DataFrame, column: str, probs: list[float],
                     names: list[str] | None = None,
-                    num_partitions: int | None = None) -> DataFrame:
+                    num_partitions: int | None = None,
+                    materialize_input: bool = True) -> DataFrame:
     """One row: linear-interpolated quantiles of a column, nulls ignored.
 
     Same definition as ``percentile``/``median`` in Spark, ``quantile_cont``
@@ -87,7 +97,7 @@ def exact_quantiles(df: DataFrame, column: str, probs: list[float],
     """
     names = names or [f"q{i}" for i in range(len(probs))]
     vals = df.select(F.col(column).cast("double").alias("_v")).filter(F.col("_v").isNotNull())
-    r = global_rank(vals, [F.col("_v").asc()], "_rank", "_n", num_partitions)
+    r = global_rank(vals, [F.col("_v").asc()], "_rank", "_n", num_partitions, materialize_input)
     aggs, keep = [], None
     for p, name in zip(probs, names):
         h = (F.col("_n") - 1).cast("double") * F.lit(float(p))

@@ -50,9 +50,11 @@ def rfm_score(raw: DataFrame, keep_metrics: bool = False,
               num_partitions: int | None = None) -> DataFrame:
     """Quartile scores 1..4 per metric, all ordered DESC (tie-break customer_id)."""
     tie = F.col("customer_id").asc()
+    # the first ntile checkpoints the metrics once; the next two start from
+    # the previous checkpoint (plus a broadcast of at most k offsets)
     s = ntile(raw, 4, [F.col("recency").desc(), tie], "r_score", num_partitions)
-    s = ntile(s, 4, [F.col("frequency").desc(), tie], "f_score", num_partitions)
-    s = ntile(s, 4, [F.col("monetary").desc(), tie], "m_score", num_partitions)
+    s = ntile(s, 4, [F.col("frequency").desc(), tie], "f_score", num_partitions, False)
+    s = ntile(s, 4, [F.col("monetary").desc(), tie], "m_score", num_partitions, False)
     if keep_metrics:
         return s
     return s.select("customer_id", "r_score", "f_score", "m_score")

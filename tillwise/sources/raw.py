@@ -18,6 +18,18 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def ensure_parallelism(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Spread a scan that yields fewer partitions than the cluster has cores.
+
+    A parquet file written as one big row group is read by one task, which
+    would then run every narrow step after it alone.  Large inputs have
+    many row groups and pass through untouched (no shuffle); only an
+    under-split input pays one round-robin exchange.
+    """
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(target) if df.rdd.getNumPartitions() < target else df
+
+
 def _two_digits(c: Column) -> Column:
     return F.lpad(c.cast("string"), 2, "0")
 
@@ -33,6 +45,7 @@ def transactions_from_tpch(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = read_table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_linenumber", "l_quantity", "l_extendedprice",
         "l_tax", "l_returnflag", "l_linestatus")
+    li = ensure_parallelism(li)
     orders = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
     customer = read_table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     nation = read_table(spark, sf_dir, "nation").select("n_nationkey", "n_name")

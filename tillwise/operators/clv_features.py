@@ -34,13 +34,15 @@ def clv_features(cleaned: DataFrame, cutoff: str | _dt.date | None = None,
     """
     sales = cleaned.filter((F.col("is_anonymous") == 0) & (F.col("is_return") == 0))
     last = default_end(cleaned) if (cutoff is None or end is None) else None
-    e_col = F.lit(end).cast("date") if end is not None else last
-    c_col = F.lit(cutoff).cast("date") if cutoff is not None else F.add_months(last, -6)
-    # lines after the window are never used; with literal bounds this reaches the scan
-    sales = sales.filter(F.col("invoice_date") <= e_col).withColumn("cutoff", c_col)
+    e_val = F.lit(end).cast("date") if end is not None else last
+    c_val = F.lit(cutoff).cast("date") if cutoff is not None else F.add_months(last, -6)
+    # lines after the window are never used; the bound reaches the scan
+    # (a literal, or a runtime scalar-subquery filter)
+    sales = (sales.filter(F.col("invoice_date") <= e_val)
+                  .withColumns({"_cutoff": c_val, "_end": e_val}))
 
-    hist = F.col("invoice_date") < c_col
-    fut = (F.col("invoice_date") >= c_col) & (F.col("invoice_date") <= e_col)
+    hist = F.col("invoice_date") < F.col("_cutoff")
+    fut = (F.col("invoice_date") >= F.col("_cutoff")) & (F.col("invoice_date") <= F.col("_end"))
     hist_rev = F.when(hist, F.col("revenue"))
     agg = sales.groupBy("customer_id").agg(
         F.countDistinct(F.when(hist, F.col("invoice_number"))).alias("total_orders"),
@@ -50,7 +52,7 @@ def clv_features(cleaned: DataFrame, cutoff: str | _dt.date | None = None,
         F.min(F.when(hist, F.col("invoice_date"))).alias("first_order_date"),
         F.max(F.when(hist, F.col("invoice_date"))).alias("last_order_date"),
         F.sum(F.when(fut, F.col("revenue"))).alias("_future"),
-        F.first("cutoff").alias("_cutoff"),
+        F.max("_cutoff").alias("_cutoff"),
     )
     return (agg.filter(F.col("_hist_lines") > 0).select(
         "customer_id", "total_orders",

@@ -60,3 +60,19 @@ def test_profile_exact_and_approx(spark):
     assert (p.row_count, p.customers, p.items, p.countries) == (50, 5, 3, 2)
     a = C.profile(st, approximate=True).first()
     assert (a.customers, a.items, a.countries) == (5, 3, 2)
+
+
+def test_extra_date_formats(spark):
+    rows = [("1", "A", "x", 1, s, Decimal("1.00"), 1, "UK") for s in ["12/1/2010 8:26", " 01-12-2010 08:26"]]
+    out = C.stage(_raw(spark, rows), extra_date_formats=["M/d/yyyy H:mm"]).collect()
+    assert out[0].invoice_date == dt.date(2010, 12, 1)
+    assert out[0].invoice_timestamp == dt.datetime(2010, 12, 1, 8, 26)
+    assert out[1].invoice_date == dt.date(2010, 12, 1)
+
+
+def test_sanity_fixed_returns(spark):
+    rows = [(inv, "A", "x", q, " 01-12-2010 08:26", Decimal("1.00"), 1, "UK")
+            for inv, q in [("C1", 2), ("c2", 1), ("3", -1), ("4", 1)]]
+    st = C.stage(_raw(spark, rows))
+    assert C.sanity(st).first().returns == 1
+    assert C.sanity(st, fixed_returns=True).first().returns == 3

@@ -108,3 +108,15 @@ def test_small_pipeline_runs_and_beats_nothing_silly(spark):
     assert sorted(r["count"] for r in q) == [24] * 5
     assert res.test_metrics.first().r2 > 0.5
     assert res.search.table.count() == 1
+
+
+def test_preparation_report_and_describe(spark):
+    rep = M.preparation_report(_prep_input(spark)).first()
+    assert (rep.rows_read, rep.rows_dropped, rep.null_hist_orders, rep.null_hist_revenue) == (5, 1, 1, 1)
+    assert rep.clipped_targets == 1
+    assert rep.clip_bound == pytest.approx(pd.Series([100.0, 200.0, 5000.0, 50.0]).quantile(0.99))
+    y = pd.Series([1.0, 2.0, 3.0, 10.0])
+    df = spark.createDataFrame([(v,) for v in y], "y double")
+    d = M.describe(df, "y").first()
+    assert (d.mean, d.std, d.min, d.max) == (round(y.mean(), 2), round(y.std(), 2), 1.0, 10.0)
+    assert M.describe(df, "y", population=True).first().std == round(float(np.std(y.values)), 2)

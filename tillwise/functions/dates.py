@@ -17,16 +17,25 @@ def _parts(s: Column):
     return F.substring(t, 7, 4), F.substring(t, 4, 2), F.substring(t, 1, 2), F.substring(t, 12, 5)
 
 
-def repair_date(s: Column) -> Column:
+def repair_date(s: Column, formats: list[str] | None = None) -> Column:
+    """Date from the sliced string.  ``formats`` (Spark datetime patterns,
+    tried in order on the trimmed string) rescue values the positional
+    slicing cannot read, such as ``12/1/2010 8:26`` with ``M/d/yyyy H:mm``."""
     year, month, day, _ = _parts(s)
-    return F.try_to_date(F.concat(year, F.lit("-"), month, F.lit("-"), day))
+    out = F.try_to_date(F.concat(year, F.lit("-"), month, F.lit("-"), day))
+    for fmt in formats or []:
+        out = F.coalesce(out, F.to_date(F.try_to_timestamp(F.trim(s), F.lit(fmt))))
+    return out
 
 
-def repair_timestamp(s: Column) -> Column:
+def repair_timestamp(s: Column, formats: list[str] | None = None) -> Column:
     """Wall-clock timestamp (``timestamp_ntz``), independent of the session zone."""
     year, month, day, hhmm = _parts(s)
     iso = F.concat(year, F.lit("-"), month, F.lit("-"), day, F.lit(" "), hhmm, F.lit(":00"))
-    return F.try_to_timestamp(iso).cast("timestamp_ntz")
+    out = F.try_to_timestamp(iso)
+    for fmt in formats or []:
+        out = F.coalesce(out, F.try_to_timestamp(F.trim(s), F.lit(fmt)))
+    return out.cast("timestamp_ntz")
 
 
 def month_start(d: Column) -> Column:

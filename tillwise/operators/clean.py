@@ -20,15 +20,19 @@ CLEAN_COLUMNS = ["invoice_number", "item_code", "item_description", "quantity",
                  "is_anonymous", "is_return", "country"]
 
 
-def stage(raw: DataFrame) -> DataFrame:
-    """Rename to snake case and repair the date string into a date and a timestamp."""
+def stage(raw: DataFrame, extra_date_formats: list[str] | None = None) -> DataFrame:
+    """Rename to snake case and repair the date string into a date and a timestamp.
+
+    By default only the positional repair is applied (a value it cannot read
+    becomes null); ``extra_date_formats`` adds fallback patterns.
+    """
     return raw.select(
         F.col("InvoiceNo").alias("invoice_number"),
         F.col("StockCode").alias("item_code"),
         F.col("Description").alias("item_description"),
         F.col("Quantity").alias("quantity"),
-        repair_date(F.col("InvoiceDate")).alias("invoice_date"),
-        repair_timestamp(F.col("InvoiceDate")).alias("invoice_timestamp"),
+        repair_date(F.col("InvoiceDate"), extra_date_formats).alias("invoice_date"),
+        repair_timestamp(F.col("InvoiceDate"), extra_date_formats).alias("invoice_timestamp"),
         F.col("UnitPrice").alias("price"),
         F.col("CustomerID").alias("customer_id"),
         F.col("Country").alias("country"),
@@ -83,17 +87,19 @@ def profile(staged: DataFrame, approximate: bool = False, rsd: float = 0.01) ->
     )
 
 
-def sanity(staged: DataFrame) -> DataFrame:
+def sanity(staged: DataFrame, fixed_returns: bool = False) -> DataFrame:
     """Total revenue, returns and lines without customer -- one scan.
 
     ``returns`` keeps the source's predicate ``quantity < 0 OR
     lower(invoice_number) LIKE 'C%'``; the second arm can never be true (a
     lower-cased string has no upper-case ``C``), so only negative quantities
-    count.  The output column name keeps the source's spelling.
+    count.  ``fixed_returns=True`` gives the evident intent instead: negative
+    quantity or an invoice number starting with ``C`` in either case.  The
+    output column name keeps the source's spelling.
     """
+    prefix = F.upper("invoice_number") if fixed_returns else F.lower("invoice_number")
     return staged.agg(
         F.sum(F.col("quantity") * F.col("price")).cast("double").alias("revenue"),
-        F.count_if((F.col("quantity") < 0) | F.lower("invoice_number").like("C%"))
-         .alias("returns"),
+        F.count_if((F.col("quantity") < 0) | prefix.like("C%")).alias("returns"),
         F.count_if(F.col("customer_id").isNull()).alias("invaild_customers"),
     )

@@ -100,6 +100,37 @@ def prepare(features: DataFrame, clip_quantile: float = 0.99) -> DataFrame:
         F.col(TARGET).alias(TARGET + "_raw"))
 
 
+def preparation_report(features: DataFrame, clip_quantile: float = 0.99) -> DataFrame:
+    """One row of what preparation does: rows read, rows dropped for a missing
+    id or target, nulls per feature after coercion, the clip bound and how
+    many targets lie above it (the counts the batch job logged)."""
+    df = map_columns(features)
+    require_columns(df, REQUIRED)
+    typed = df.select("CustomerID", *[F.col(c).try_cast("double").alias(c) for c in FEATURES],
+                      F.col(TARGET).try_cast("double").alias(TARGET)).checkpoint(eager=True)
+    kept = typed.dropna(subset=["CustomerID", TARGET])
+    q = exact_quantiles(kept, TARGET, [clip_quantile], ["q"], materialize_input=False).scalar()
+    return typed.agg(
+        F.count(F.lit(1)).alias("rows_read"),
+        F.count_if(F.col("CustomerID").isNull() | F.col(TARGET).isNull()).alias("rows_dropped"),
+        *[F.count_if(F.col("CustomerID").isNotNull() & F.col(TARGET).isNotNull() & F.col(c).isNull())
+           .alias(f"null_{c}") for c in FEATURES],
+        F.count_if(F.col("CustomerID").isNotNull() & (F.col(TARGET) > q)).alias("clipped_targets"),
+    ).withColumn("clip_bound", q)
+
+
+def describe(df: DataFrame, column: str, population: bool = False) -> DataFrame:
+    """mean, std, min, max of a column, rounded to 2 decimals as reported.
+
+    ``population`` selects the population standard deviation (the
+    prediction summary) instead of the sample one (the target summary).
+    """
+    std = F.stddev_pop if population else F.stddev_samp
+    c = F.col(column).cast("double")
+    return df.agg(F.round(F.avg(c), 2).alias("mean"), F.round(std(c), 2).alias("std"),
+                  F.round(F.min(c), 2).alias("min"), F.round(F.max(c), 2).alias("max"))
+
+
 # ------------------------------------------------------------------ split
 
 def train_test_split(df: DataFrame, test_size: float = 0.2, seed: int = 42,

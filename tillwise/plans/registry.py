@@ -175,5 +175,14 @@ QUERIES.update({
 })
 
 
+QUERIES.update({
+    "a2_sanity_fixed": lambda s, d: C.sanity(staged(s, d), fixed_returns=True),
+    "c2_report": lambda s, d: M.preparation_report(_features(s, d)),
+    "a17_target_stats": lambda s, d: M.describe(M.prepare(_features(s, d)), M.TARGET),
+    "a17_prediction_stats_on_formula": lambda s, d: M.describe(
+        formula_prediction(_features(s, d)), "pred_dec", population=True),
+})
+
+
 def queries() -> dict[str, Query]:
     return dict(QUERIES)

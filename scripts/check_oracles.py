@@ -48,6 +48,14 @@ def norm(v):
     return str(v)
 
 
+def spark_type(t) -> str:
+    n = t.simpleString()
+    return {"int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR",
+            "date": "DATE", "timestamp_ntz": "TIMESTAMP", "timestamp": "TIMESTAMP WITH TIME ZONE",
+            "boolean": "BOOLEAN", "float": "FLOAT", "smallint": "SMALLINT"}.get(
+        n, n.upper().replace("ARRAY<STRING>", "VARCHAR[]"))
+
+
 def digest(cols, rows):
     order = sorted(range(len(cols)), key=lambda i: cols[i])
     lines = sorted("|".join(norm(r[i]) for i in order) for r in rows)
@@ -81,6 +89,11 @@ def main():
         ocols = [d[0] for d in cur.description]
         orows = cur.fetchall()
         to = time.time() - t0
+        stypes = {f.name: spark_type(f.dataType) for f in df.schema.fields}
+        otypes = {d[0]: str(d[1]).upper() for d in cur.description}
+        tdiff = {c: (stypes[c], otypes.get(c)) for c in stypes if stypes[c] != otypes.get(c)}
+        if tdiff:
+            print(f"   types differ {name}: {tdiff}")
         h1, l1 = digest(cols, rows)
         h2, l2 = digest(ocols, orows)
         ok = (len(rows) == len(orows) and sorted(cols) == sorted(ocols) and h1 == h2)

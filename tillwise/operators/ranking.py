@@ -15,11 +15,12 @@ position of each row is computed in parallel instead:
 4. global rank = offset of the partition + position inside it.
 
 NTILE and exact (interpolating) quantiles are then column arithmetic on the
-rank.  Cost: one range shuffle and one checkpoint write of the input.
+rank.  Cost: one range shuffle and one checkpoint write of the ranked rows.
 """
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -35,18 +36,25 @@ def global_rank(df: DataFrame, order: list[Column], rank_col: str = "_rank",
 
     Range partitioning reads its input twice (a sampling job for the
     bounds, then the shuffle).  With ``materialize_input`` the input is
-    checkpointed first, so an expensive upstream (an aggregate over all
-    lines) runs once; pass False when the input is already cheap to read.
+    persisted (memory and disk) for exactly those two reads, so an expensive
+    upstream -- an aggregate over all lines -- runs once; it is released as
+    soon as the ranked rows are checkpointed.  A lost cached block is simply
+    recomputed: the input is deterministic, only the ranked rows (sampled
+    bounds, ids) need the reliable checkpoint.  Pass False when the input is
+    already cheap to read.
     """
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
     k = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    if materialize_input:
-        df = df.checkpoint(eager=True)
-    placed = (df.repartitionByRange(k, *order)
-                .sortWithinPartitions(*order)
-                .withColumn("_mid", F.monotonically_increasing_id())
-                .checkpoint(eager=True))
+    src = df.persist(StorageLevel.MEMORY_AND_DISK) if materialize_input else df
+    try:
+        placed = (src.repartitionByRange(k, *order)
+                     .sortWithinPartitions(*order)
+                     .withColumn("_mid", F.monotonically_increasing_id())
+                     .checkpoint(eager=True))
+    finally:
+        if materialize_input:
+            src.unpersist()
     pid = F.shiftright("_mid", 33)
     counts = placed.groupBy(pid.alias("_pid")).agg(F.count(F.lit(1)).alias("_cnt"))
     # at most k rows: a single-partition window and a broadcast are bounded by k

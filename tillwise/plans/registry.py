@@ -176,6 +176,10 @@ QUERIES.update({
 
 
 QUERIES.update({
+    "o1_cohort_activity_sorted": lambda s, d: H.cohort_activity(cleaned(s, d)).orderBy(
+        "cohort_month", "index"),
+    "m2_itemsets_len1_2": lambda s, d: _itemsets(s, d, "pairs").select(
+        F.array_join("items", ", ").alias("items"), "freq", "support", "length"),
     "a2_sanity_fixed": lambda s, d: C.sanity(staged(s, d), fixed_returns=True),
     "c2_report": lambda s, d: M.preparation_report(_features(s, d)),
     "a17_target_stats": lambda s, d: M.describe(M.prepare(_features(s, d)), M.TARGET),

@@ -12,14 +12,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import clean as C
-from ..operators import cohort as H
 from ..operators import basket as B
-from ..operators import rfm as R
+from ..operators import clean as C
 from ..operators import clv_model as M
+from ..operators import cohort as H
 from ..operators import measures as X
+from ..operators import rfm as R
 from ..operators.clv_features import clv_features
-from ..oracles import BASKET_PARAMS
+from .params import BASKET_PARAMS, QUICK_SPACE
 from ..sources.raw import transactions_from_tpch
 from ..sources.sinks import RULE_COLUMNS
 
@@ -120,13 +120,6 @@ def formula_prediction(features: DataFrame) -> DataFrame:
                            F.col("future_6M_revenue").cast("decimal(20,2)").alias("label_dec"))
 
 
-# A small search for registered checks (the library default is the full
-# 20-draw search of PARAM_SPACE, too slow for a per-round check).
-QUICK_SPACE = {"n_estimators": [10, 20], "max_depth": [3, 5], "learning_rate": [0.1],
-               "min_samples_leaf": [1, 2, 4], "min_samples_split": [2, 5, 10],
-               "subsample": [0.8, 1.0]}
-
-
 def _clv_run(spark, d):
     return M.clv_pipeline(_features(spark, d), n_iter=2, space=QUICK_SPACE)
 

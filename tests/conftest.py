@@ -1,5 +1,6 @@
 import os
 import sys
+import tempfile
 
 import pytest
 
@@ -12,6 +13,7 @@ SF_SMALL = "/root/testdata/sf0.001"
 
 @pytest.fixture(scope="session")
 def spark():
-    s = local_session(4, shuffle_partitions=4, app_name="tillwise-tests")
+    s = local_session(4, shuffle_partitions=4, app_name="tillwise-tests",
+                      extra={"spark.sql.warehouse.dir": tempfile.mkdtemp(prefix="tillwise-wh-")})
     yield s
     s.stop()

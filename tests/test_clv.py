@@ -3,7 +3,6 @@ import math
 import numpy as np
 import pandas as pd
 import pytest
-from pyspark.sql import functions as F
 
 from helpers import clean_frame, line
 from tillwise.operators import clv_model as M
@@ -120,3 +119,13 @@ def test_preparation_report_and_describe(spark):
     d = M.describe(df, "y").first()
     assert (d.mean, d.std, d.min, d.max) == (round(y.mean(), 2), round(y.std(), 2), 1.0, 10.0)
     assert M.describe(df, "y", population=True).first().std == round(float(np.std(y.values)), 2)
+
+
+def test_prepare_approximate_quantiles(spark):
+    exact = M.prepare(_prep_input(spark)).orderBy("CustomerID").toPandas()
+    approx = M.prepare(_prep_input(spark), approx_accuracy=10000).orderBy("CustomerID").toPandas()
+    # a sketch returns an observed value, not an interpolation: the median of
+    # three values agrees; the 0.99 bound of four values is the largest one
+    assert approx.hist_orders.tolist() == exact.hist_orders.tolist()
+    assert approx.future_6m_revenue.tolist()[2] == 5000.0 > exact.future_6m_revenue.tolist()[2]
+    assert approx.future_6m_revenue_raw.tolist() == exact.future_6m_revenue_raw.tolist()

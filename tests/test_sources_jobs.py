@@ -75,3 +75,42 @@ def test_clv_job_from_csv(spark):
     assert pred.count() == out.result.prepared.count()
     assert os.path.isdir(os.path.join(d, "model", "stages"))
     assert set(out.test_metrics) == {"n", "rmse", "mae", "r2"}
+
+
+def test_rules_file_sorted_and_infinite_conviction(spark):
+    from tillwise.operators import basket as B
+    from tillwise.sources.sinks import RULE_COLUMNS, save_rules
+    rows = [(f"a{i}", x, f"d{x}", 1, 0, 0) for i in range(7) for x in "abc"]
+    rows += [(f"e{i}", x, f"d{x}", 1, 0, 0) for i in range(5) for x in "ab"]
+    rows += [(f"d{i}", "d", "dd", 1, 0, 0) for i in range(88)]
+    df = spark.createDataFrame(rows, "invoice_number string, item_code string, item_description string, "
+                                     "quantity int, is_return int, is_anonymous int")
+    res = B.market_basket(df, min_support=0.05, min_confidence=0.1)
+    out = os.path.join(_tmp(), "rules")
+    save_rules(res.rules, out)
+    back = spark.read.option("header", True).option("inferSchema", True).csv(out)
+    assert back.columns == RULE_COLUMNS
+    lifts = [r.lift for r in back.collect()]
+    assert lifts == sorted(lifts, reverse=True)
+    assert any(str(r.conviction) in ("inf", "Infinity") for r in back.collect())
+
+
+def test_table_store_catalog(spark):
+    from tillwise.operators import clean as C
+    spark.sql("CREATE DATABASE IF NOT EXISTS tillwise_test")
+    store = TableStore(spark, database="tillwise_test")
+    t = store.write(C.stage(transactions_from_tpch(spark, SF_SMALL)), "online_retail_stage")
+    assert spark.read.table("tillwise_test.online_retail_stage").count() == t.count() > 0
+    with pytest.raises(ValueError):
+        TableStore(spark)
+
+
+def test_read_basket_input_types(spark):
+    d = _tmp()
+    p = os.path.join(d, "lines.csv")
+    with open(p, "w") as f:
+        f.write("invoice_number,item_code,item_description,quantity,is_return,is_anonymous,extra\n"
+                "1,85123A,x,2,0,0,z\n2,71053,y,oops,0,0,z\n")
+    df = jobs.read_basket_input(spark, p)
+    assert dict(df.dtypes)["quantity"] == "int" and dict(df.dtypes)["item_code"] == "string"
+    assert [r.quantity for r in df.orderBy("invoice_number").collect()] == [2, None]

@@ -114,3 +114,15 @@ def test_read_basket_input_types(spark):
     df = jobs.read_basket_input(spark, p)
     assert dict(df.dtypes)["quantity"] == "int" and dict(df.dtypes)["item_code"] == "string"
     assert [r.quantity for r in df.orderBy("invoice_number").collect()] == [2, None]
+
+
+def test_read_raw_csv(spark):
+    from tillwise.operators import clean as C
+    from tillwise.sources.raw import read_raw_csv
+    p = os.path.join(_tmp(), "raw.csv")
+    with open(p, "w") as f:
+        f.write("InvoiceNo,StockCode,Description,Quantity,InvoiceDate,UnitPrice,CustomerID,Country\n"
+                "536365,85123A,WHITE HANGING HEART,6,01-12-2010 08:26,2.55,17850,United Kingdom\n"
+                "C536379,D,Discount,-1,01-12-2010 09:41,27.50,,United Kingdom\n")
+    c = C.clean(C.stage(read_raw_csv(spark, p))).orderBy("invoice_number").collect()
+    assert [(r.is_return, r.is_anonymous, str(r.revenue)) for r in c] == [(0, 0, "15.30"), (1, 1, "-27.50")]

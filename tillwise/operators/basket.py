@@ -237,6 +237,11 @@ class BasketResult:
     rules: DataFrame
     summary: DataFrame
 
+    def release(self) -> None:
+        """Drop the cached cleaned lines and baskets once the outputs are written."""
+        self.clean_lines.unpersist()
+        self.baskets.unpersist()
+
 
 def market_basket(df: DataFrame, min_support: float = 0.01, min_confidence: float = 0.2,
                   max_len: int | None = None, strict: bool = True) -> BasketResult:

@@ -39,7 +39,10 @@ def run_basket_job(spark: SparkSession, input_path: str, output_path: str,
     df = read_basket_input(spark, input_path)
     res = B.market_basket(df, min_support, min_confidence, max_len, strict=True)
     save_rules(res.rules, output_path)
-    return res, B.top_rules(res.rules, top_n)
+    # the top rules are read back from the written file: no second mining pass
+    written = spark.read.option("header", True).option("inferSchema", True).csv(output_path)
+    top = B.top_rules(written, top_n)
+    return res, top
 
 
 @dataclass

@@ -85,3 +85,9 @@ def read_raw_table(spark: SparkSession, name: str) -> DataFrame:
 
 def read_raw_parquet(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(RAW_TRANSACTIONS).parquet(path)
+
+
+def read_raw_csv(spark: SparkSession, path: str) -> DataFrame:
+    """The raw export as CSV (header, fixed schema, malformed records fail)."""
+    from .files import load_csv
+    return load_csv(spark, path, RAW_TRANSACTIONS)

@@ -16,7 +16,7 @@ from ..operators import basket as B
 from ..operators import clv_model as M
 from ..schemas import require_columns
 from ..sources.files import load_csv
-from ..sources.sinks import save_model, save_predictions, save_rules
+from ..sources.sinks import read_rules, save_model, save_predictions, save_rules
 
 BASKET_COLUMNS = ["invoice_number", "item_code", "item_description", "quantity",
                   "is_return", "is_anonymous"]
@@ -40,8 +40,7 @@ def run_basket_job(spark: SparkSession, input_path: str, output_path: str,
     res = B.market_basket(df, min_support, min_confidence, max_len, strict=True)
     save_rules(res.rules, output_path)
     # the top rules are read back from the written file: no second mining pass
-    written = spark.read.option("header", True).option("inferSchema", True).csv(output_path)
-    top = B.top_rules(written, top_n)
+    top = B.top_rules(read_rules(spark, output_path), top_n)
     return res, top
 
 

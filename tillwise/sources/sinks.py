@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 RULE_COLUMNS = [
     "antecedent_codes", "consequent_codes", "antecedent_descriptions",
@@ -12,6 +13,17 @@ RULE_COLUMNS = [
 ]
 
 
+RULE_SCHEMA = T.StructType(
+    [T.StructField(c, T.StringType()) for c in RULE_COLUMNS[:4]]
+    + [T.StructField(c, T.DoubleType()) for c in RULE_COLUMNS[4:9]]
+    + [T.StructField(c, T.IntegerType()) for c in RULE_COLUMNS[9:]])
+
+
+def read_rules(spark: SparkSession, path: str) -> DataFrame:
+    """Read a rules file written by ``save_rules`` with its fixed types."""
+    return spark.read.schema(RULE_SCHEMA).option("header", True).csv(path)
+
+
 def replace_table(df: DataFrame, name: str | None = None, path: str | None = None,
                   fmt: str = "parquet", partition_by: list[str] | None = None) -> None:
     """``CREATE OR REPLACE TABLE ... AS``: overwrite a catalog table or a path."""

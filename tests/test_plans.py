@@ -55,3 +55,12 @@ def test_hot_customer_results_whole(spark):
     assert raw[1] == 100 and len(raw) == 201
     act = H.cohort_activity(lines).agg(F.sum("active_customers")).first()[0]
     assert act == lines.select("customer_id", F.trunc("invoice_date", "month")).distinct().count()
+
+
+def test_cluster_conf_scales_with_input():
+    from tillwise.session import cluster_conf
+    small = cluster_conf(10 << 30, 64)
+    big = cluster_conf(100 << 40, 8000)
+    assert int(small["spark.sql.shuffle.partitions"]) == 128          # floor: 2 x cores
+    assert int(big["spark.sql.shuffle.partitions"]) == 100_000        # capped
+    assert "spark.checkpoint.dir" not in big

@@ -62,3 +62,37 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         conf_dir = tempfile.mkdtemp(prefix="tillwise-ckpt-")
     sc.setCheckpointDir(conf_dir)
     return sc.getCheckpointDir()
+
+
+def cluster_conf(input_bytes: int, total_cores: int,
+                 scan_split_bytes: int = 512 << 20,
+                 shuffle_bytes_per_partition: int = 1 << 30,
+                 max_shuffle_partitions: int = 100_000) -> dict[str, str]:
+    """Session settings for a cluster run, sized from the input instead of fixed.
+
+    * scans are split at ``scan_split_bytes`` (512 MB: ~200k tasks for 100 TB);
+    * shuffles start with one partition per GB of input (capped), which AQE
+      then coalesces -- after column pruning and map-side partial aggregation
+      the shuffled bytes are a fraction of the input, so partitions stay far
+      below executor memory -- and skewed partitions are split;
+    * the rank operators use ``spark.sql.shuffle.partitions`` range
+      partitions, so their offsets table (one row per partition) stays small;
+    * checkpoint files are deleted with their DataFrames.
+
+    ``spark.checkpoint.dir`` is not set here: it must name the cluster's
+    shared file system and comes from the deployment.
+    """
+    shuffle = max(2 * total_cores, min(max_shuffle_partitions,
+                                       -(-input_bytes // shuffle_bytes_per_partition)))
+    return {
+        "spark.sql.files.maxPartitionBytes": str(scan_split_bytes),
+        "spark.sql.shuffle.partitions": str(shuffle),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(256 << 20),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(1 << 30),
+        "spark.sql.autoBroadcastJoinThreshold": str(64 << 20),
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
+        "spark.sql.session.timeZone": "UTC",
+    }

@@ -29,15 +29,21 @@ def repair_date(s: Column, formats: list[str] | None = None) -> Column:
 
 
 def repair_timestamp(s: Column, formats: list[str] | None = None) -> Column:
-    """Wall-clock timestamp (``timestamp_ntz``), independent of the session zone."""
+    """Wall-clock timestamp (``timestamp_ntz``).
+
+    The ISO string is cast straight to ``timestamp_ntz`` -- no session time
+    zone is involved, so a wall-clock time inside a daylight-saving gap is
+    kept as written.  Fallback formats parse through the session zone.
+    """
     year, month, day, hhmm = _parts(s)
     iso = F.concat(year, F.lit("-"), month, F.lit("-"), day, F.lit(" "), hhmm, F.lit(":00"))
-    out = F.try_to_timestamp(iso)
+    out = iso.try_cast("timestamp_ntz")
     for fmt in formats or []:
-        out = F.coalesce(out, F.try_to_timestamp(F.trim(s), F.lit(fmt)))
-    return out.cast("timestamp_ntz")
+        out = F.coalesce(out, F.try_to_timestamp(F.trim(s), F.lit(fmt)).cast("timestamp_ntz"))
+    return out
 
 
 def month_start(d: Column) -> Column:
-    """``DATE_TRUNC('month', d)`` as a wall-clock timestamp."""
-    return F.date_trunc("month", d).cast("timestamp_ntz")
+    """``DATE_TRUNC('month', d)`` of a date, as a wall-clock timestamp (the
+    first of the month at midnight, whatever the session time zone)."""
+    return F.trunc(d, "month").cast("timestamp_ntz")

@@ -44,14 +44,17 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
     return spark
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
+def ensure_checkpoint_dir(spark: SparkSession) -> str | None:
     """Return the reliable checkpoint directory of this session.
 
     On a cluster the directory is named by ``spark.checkpoint.dir`` (a shared
     file system); we read it and use it as is.  Only when nothing is set --
     tests, a laptop -- do we pick a fresh local scratch directory.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # a Spark Connect client: the server's spark.checkpoint.dir applies
+        return spark.conf.get("spark.checkpoint.dir", None)
     current = sc.getCheckpointDir()
     if current:
         return current

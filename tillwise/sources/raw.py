@@ -26,8 +26,12 @@ def ensure_parallelism(df: DataFrame, min_partitions: int | None = None) -> Data
     many row groups and pass through untouched (no shuffle); only an
     under-split input pays one round-robin exchange.
     """
-    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(target) if df.rdd.getNumPartitions() < target else df
+    try:
+        target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+        current = df.rdd.getNumPartitions()
+    except Exception:  # no RDD API (a Spark Connect client): leave the plan as it is
+        return df
+    return df.repartition(target) if current < target else df
 
 
 def _two_digits(c: Column) -> Column:

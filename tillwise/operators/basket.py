@@ -91,8 +91,9 @@ def frequent_itemsets(basket_df: DataFrame, min_support: float,
         raise ValueError("min_support must be between 0 and 1")
     if max_len is not None and max_len < 1:
         raise ValueError("max_len must be a positive integer")
+    level = basket_df.storageLevel
+    cached = level.useMemory or level.useDisk   # the caller's cache already serves both passes
     items = basket_df.select("items")
-    cached = items.storageLevel.useMemory or items.storageLevel.useDisk
     if not cached:  # the count and the FP-Growth passes share one computation
         items = items.persist()
     try:

@@ -57,12 +57,12 @@ def main() -> None:
         times[name] = round(time.perf_counter() - t0, 3)
         print(f"# {name}: {times[name]}s", file=sys.stderr)
 
-    if not only or "notebook_pipeline" in only:
+    if not only or "notebook_tables" in only:
         out_dir = tempfile.mkdtemp(prefix="tillwise-bench-")
         t0 = time.perf_counter()
         run_notebook(transactions_from_tpch(spark, sf_dir), TableStore(spark, root=out_dir))
-        times["notebook_pipeline"] = round(time.perf_counter() - t0, 3)
-        print(f"# notebook_pipeline: {times['notebook_pipeline']}s", file=sys.stderr)
+        times["notebook_tables"] = round(time.perf_counter() - t0, 3)
+        print(f"# notebook_tables: {times['notebook_tables']}s", file=sys.stderr)
 
     sf = os.path.basename(sf_dir.rstrip("/")).replace("sf", "")
     print(json.dumps({

@@ -190,6 +190,7 @@ def attach_descriptions(rules: DataFrame, clean_lines: DataFrame) -> DataFrame:
     size is small) and collected back per rule in order.
     """
     modes = item_mode(clean_lines)
+    # Fixed value: the text for an item without a description is "Unknown (<code>)".
     keyed = rules.withColumn("antecedent_codes", F.array_join("antecedents", ", ")) \
                  .withColumn("consequent_codes", F.array_join("consequents", ", "))
     rule_cols = keyed.columns

@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from .ranking import ntile
 
+# The segment labels, in the order the CASE tests them.
 SEGMENTS = ["Lost", "Needs Attention", "High Value", "Growth Potential"]
 
 
@@ -62,10 +63,11 @@ def rfm_score(raw: DataFrame, keep_metrics: bool = False,
 
 def segment_label(r, f, m):
     """The ordered CASE that maps (r, f, m) scores to a segment."""
-    return (F.when((r == 1) & m.isin(3, 4), F.lit("Lost"))
-             .when(((r == 1) & m.isin(1, 2)) | ((r == 2) & m.isin(3, 4)), F.lit("Needs Attention"))
-             .when(r.isin(3, 4) & m.isin(1, 2) & f.isin(1, 2), F.lit("High Value"))
-             .otherwise(F.lit("Growth Potential")))
+    lost, attention, high, growth = SEGMENTS
+    return (F.when((r == 1) & m.isin(3, 4), F.lit(lost))
+             .when(((r == 1) & m.isin(1, 2)) | ((r == 2) & m.isin(3, 4)), F.lit(attention))
+             .when(r.isin(3, 4) & m.isin(1, 2) & f.isin(1, 2), F.lit(high))
+             .otherwise(F.lit(growth)))
 
 
 def rfm_segment(raw: DataFrame, num_partitions: int | None = None) -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+# The rules file's columns, in file order.
 RULE_COLUMNS = [
     "antecedent_codes", "consequent_codes", "antecedent_descriptions",
     "consequent_descriptions", "support", "confidence", "lift", "leverage",

@@ -35,7 +35,7 @@ def test_csv_errors(spark):
     assert good.count() == 2
 
 
-def test_notebook_pipeline_writes_every_table(spark):
+def test_notebook_writes_every_table(spark):
     store = TableStore(spark, root=_tmp())
     raw = transactions_from_tpch(spark, SF_SMALL)
     out = run_notebook(raw, store)

@@ -126,3 +126,18 @@ def test_read_raw_csv(spark):
                 "C536379,D,Discount,-1,01-12-2010 09:41,27.50,,United Kingdom\n")
     c = C.clean(C.stage(read_raw_csv(spark, p))).orderBy("invoice_number").collect()
     assert [(r.is_return, r.is_anonymous, str(r.revenue)) for r in c] == [(0, 0, "15.30"), (1, 1, "-27.50")]
+
+
+def test_cli_basket_and_errors(spark, capsys):
+    from tillwise import cli
+    d = _tmp()
+    src = os.path.join(d, "clean_csv")
+    jobs.export_csv(cleaned(spark, SF_SMALL), src)
+    assert cli.main(["basket", "--input-path", src, "--output-path", os.path.join(d, "rules"),
+                     "--min-confidence", "0.05"]) == 0
+    out = capsys.readouterr().out
+    assert "Association rules generated" in out and "Rule 1:" in out
+    assert cli.main(["basket", "--input-path", os.path.join(d, "missing"),
+                     "--output-path", os.path.join(d, "r2")]) == 1
+    with pytest.raises(SystemExit):
+        cli.main(["basket", "--min-support", "0"])

@@ -141,3 +141,14 @@ def test_cli_basket_and_errors(spark, capsys):
                      "--output-path", os.path.join(d, "r2")]) == 1
     with pytest.raises(SystemExit):
         cli.main(["basket", "--min-support", "0"])
+
+
+def test_cli_notebook(spark, capsys):
+    from tillwise import cli
+    d = _tmp()
+    raw = os.path.join(d, "raw")
+    transactions_from_tpch(spark, SF_SMALL).write.parquet(raw)
+    out = os.path.join(d, "tables")
+    assert cli.main(["notebook", "--raw-parquet", raw, "--out-dir", out]) == 0
+    assert "written:" in capsys.readouterr().out
+    assert spark.read.parquet(os.path.join(out, "rfm_segment")).count() > 0

@@ -61,3 +61,19 @@ def test_exact_quantiles_linear(spark, vals):
 def test_exact_quantiles_empty(spark):
     df = spark.createDataFrame([(None,)], "x double")
     assert exact_quantiles(df, "x", [0.5]).first()[0] is None
+
+
+@settings(max_examples=12, deadline=None)
+@given(st.lists(st.floats(-1e6, 1e6, allow_nan=False), min_size=1, max_size=80),
+       st.lists(st.floats(0, 1), min_size=1, max_size=4))
+def test_exact_quantiles_property(spark, vals, probs):
+    df = spark.createDataFrame([(v,) for v in vals], "x double")
+    row = exact_quantiles(df, "x", probs, num_partitions=5).first()
+    for i, p in enumerate(probs):
+        assert row[i] == pytest.approx(float(np.percentile(vals, p * 100)), rel=1e-9, abs=1e-6)
+
+
+def test_ntile_with_null_keys_matches_builtin(spark):
+    rows = [(i, None if i % 4 == 0 else i % 5) for i in range(37)]
+    df = spark.createDataFrame(rows, "id bigint, v int")
+    assert _ours(df, 4, 3) == _builtin(df, 4)

@@ -192,6 +192,31 @@ def _estimator(seed: int) -> tuple[Pipeline, GBTRegressor]:
     return Pipeline(stages=[assembler, gbt]), gbt
 
 
+# Rows per partition of a frame a tree learner scans: about 20 MB of
+# doubles.  Every tree level is one Spark job with a task per partition, so
+# a small feature table spread over many shuffle partitions spends its
+# time on task overhead; a large one keeps one partition per this many rows.
+FIT_ROWS_PER_PARTITION = 250_000
+
+
+def size_for_fitting(df: DataFrame, n_rows: int | None = None,
+                     rows_per_partition: int = FIT_ROWS_PER_PARTITION) -> DataFrame:
+    """Coalesce a training frame to ``ceil(n_rows / rows_per_partition)``
+    partitions (never more than it has, never fewer than one).
+
+    ``coalesce`` merges partitions without a shuffle, so this only removes
+    per-task overhead; at cluster scale a billion-customer table still
+    keeps thousands of partitions.
+    """
+    n = df.count() if n_rows is None else n_rows
+    try:
+        current = df.rdd.getNumPartitions()
+    except Exception:  # no RDD API (a Spark Connect client): leave the frame as it is
+        return df
+    k = max(1, min(current, -(-n // max(1, rows_per_partition))))
+    return df.coalesce(k) if k < current else df
+
+
 @dataclass
 class SearchResult:
     best_params: dict
@@ -205,13 +230,16 @@ def random_search(train: DataFrame, n_iter: int = 20, num_folds: int = 3, seed:
     """Random search with k-fold CV on mean squared error.
 
     Folds are ``pmod(xxhash64(seed, id), k)``: repeatable, no shuffle.  The
-    CV table (param maps x mean MSE) is tiny: ``n_iter`` rows.
+    training frame is coalesced to its row count (``size_for_fitting``)
+    and cached for the ``n_iter x num_folds`` fits.  The CV table (param
+    maps x mean MSE) is tiny: ``n_iter`` rows.
     """
     sets = sample_param_sets(n_iter, seed, space)
     pipe, gbt = _estimator(seed)
     maps = [{getattr(gbt, k): v for k, v in gbt_params(p).items()} for p in sets]
-    data = train.withColumn("_fold", F.pmod(F.xxhash64(F.lit(seed + 1), "CustomerID"),
-                                            F.lit(num_folds)).cast("int")).cache()
+    data = size_for_fitting(train).withColumn(
+        "_fold", F.pmod(F.xxhash64(F.lit(seed + 1), "CustomerID"), F.lit(num_folds)).cast("int")
+    ).cache()
     cv = CrossValidator(estimator=pipe, estimatorParamMaps=maps,
                         evaluator=RegressionEvaluator(labelCol=TARGET, metricName="mse"),
                         numFolds=num_folds, foldCol="_fold", parallelism=parallelism, seed=seed)
@@ -230,7 +258,8 @@ def random_search(train: DataFrame, n_iter: int = 20, num_folds: int = 3, seed:
 def fit(train: DataFrame, params: dict, seed: int = 42) -> PipelineModel:
     """Fit one parameter set (the refit on all rows uses this too)."""
     pipe, gbt = _estimator(seed)
-    return pipe.fit(train, {getattr(gbt, k): v for k, v in gbt_params(params).items()})
+    return pipe.fit(size_for_fitting(train),
+                    {getattr(gbt, k): v for k, v in gbt_params(params).items()})
 
 
 # ------------------------------------------------------------------ evaluation

@@ -77,3 +77,45 @@ def test_ntile_with_null_keys_matches_builtin(spark):
     rows = [(i, None if i % 4 == 0 else i % 5) for i in range(37)]
     df = spark.createDataFrame(rows, "id bigint, v int")
     assert _ours(df, 4, 3) == _builtin(df, 4)
+
+
+def test_band_quantiles_equal_full_sort_with_ties(spark):
+    # 20k values with heavy ties and a hot value holding a third of the rows
+    rows = [(float(i % 97) if i % 3 else 42.0,) for i in range(20_000)]
+    df = spark.createDataFrame(rows, "x double")
+    probs = [0.0, 0.001, 0.25, 0.5, 0.5, 0.99, 0.9999, 1.0]
+    band = exact_quantiles(df, "x", probs, num_partitions=4, accuracy=1000).first()
+    sort = exact_quantiles(df, "x", probs, num_partitions=4, method="sort").first()
+    vals = [r[0] for r in rows]
+    assert list(band) == list(sort)
+    for i, p in enumerate(probs):
+        assert band[i] == pytest.approx(float(np.percentile(vals, p * 100)), rel=1e-12)
+
+
+def test_band_quantiles_fall_back_when_the_sketch_misses(spark, monkeypatch):
+    import tillwise.operators.ranking as R
+    vals = [float((i * 7919) % 1013) for i in range(3000)]
+    df = spark.createDataFrame([(v,) for v in vals], "x double")
+    # a sketch that answers far below every value: no band holds its ranks
+    monkeypatch.setattr(R.F, "percentile_approx",
+                        lambda col, pct, acc: F.transform(pct, lambda x: F.lit(-1.0e9)))
+    sorted_calls = []
+    full = R._quantiles_by_sort
+    monkeypatch.setattr(R, "_quantiles_by_sort",
+                        lambda *a, **k: sorted_calls.append(1) or full(*a, **k))
+    row = R.exact_quantiles(df, "x", [0.5, 0.99], num_partitions=3).first()
+    assert sorted_calls == [1]
+    assert row[0] == pytest.approx(float(np.percentile(vals, 50)), rel=1e-12)
+    assert row[1] == pytest.approx(float(np.percentile(vals, 99)), rel=1e-12)
+
+
+def test_band_quantiles_rank_only_the_band(spark, monkeypatch):
+    import tillwise.operators.ranking as R
+    df = spark.createDataFrame([(float(i),) for i in range(50_000)], "x double")
+    seen = []
+    full = R.global_rank
+    monkeypatch.setattr(R, "global_rank",
+                        lambda d, *a, **k: seen.append(d.count()) or full(d, *a, **k))
+    row = R.exact_quantiles(df, "x", [0.5], num_partitions=4).first()
+    assert row[0] == 24_999.5
+    assert len(seen) == 1 and seen[0] < 50_000 * 0.01

@@ -14,12 +14,19 @@ position of each row is computed in parallel instead:
    at most ``num_partitions`` rows, which is what gets broadcast;
 4. global rank = offset of the partition + position inside it.
 
-NTILE and exact (interpolating) quantiles are then column arithmetic on the
-rank.  Cost: one range shuffle and one checkpoint write of the ranked rows.
+NTILE is then column arithmetic on the rank.  Cost: one range shuffle and
+one checkpoint write of the ranked rows.
+
+Exact (interpolating) quantiles need the values at two ranks only, so they
+do not rank the whole column: a mergeable sketch narrows each wanted rank
+to a value band, a counting pass proves the band holds it, and only the
+band rows are ranked (the whole column is ranked only if a proof fails).
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -94,26 +101,105 @@ def ntile(df: DataFrame, buckets: int, order: list[Column], out_col: str,
 def exact_quantiles(df: DataFrame, column: str, probs: list[float],
                     names: list[str] | None = None,
                     num_partitions: int | None = None,
-                    materialize_input: bool = True) -> DataFrame:
+                    materialize_input: bool = True,
+                    method: str = "band", accuracy: int = 10_000) -> DataFrame:
     """One row: linear-interpolated quantiles of a column, nulls ignored.
 
     Same definition as ``percentile``/``median`` in Spark, ``quantile_cont``
     in SQL engines and the pandas default: position h = (n-1)p, value
     x[floor h] + (h - floor h)(x[ceil h] - x[floor h]).  Unlike the built-in
-    exact percentile, no task ever holds all values: only the at most two
-    rows around each position are read after the distributed rank.
+    exact percentile, no task ever holds all values.
+
+    ``method="band"`` (default) is an exact selection that does not sort
+    the column: a one-pass mergeable sketch (``percentile_approx``) gives a
+    narrow value band around each wanted rank, one counting pass checks
+    that the ranks really fall inside it, and only the band rows (about
+    ``6 / accuracy`` of the column) are range-ranked.  If a check fails the
+    whole column is ranked instead, so the result is exact in every case.
+    ``method="sort"`` always ranks the whole column.
     """
     names = names or [f"q{i}" for i in range(len(probs))]
+    if method not in ("band", "sort"):
+        raise ValueError("method must be 'band' or 'sort'")
     vals = df.select(F.col(column).cast("double").alias("_v")).filter(F.col("_v").isNotNull())
-    r = global_rank(vals, [F.col("_v").asc()], "_rank", "_n", num_partitions, materialize_input)
+    if method == "sort":
+        return _quantiles_by_sort(vals, probs, names, num_partitions, materialize_input)
+    src = vals.persist(StorageLevel.MEMORY_AND_DISK) if materialize_input else vals
+    try:
+        out = _quantiles_by_band(src, probs, names, num_partitions, accuracy)
+        if out is None:
+            out = _quantiles_by_sort(src, probs, names, num_partitions, False)
+        return out
+    finally:
+        if materialize_input:
+            src.unpersist()
+
+
+def _pick(ranked: DataFrame, targets: list[tuple], names: list[str]) -> DataFrame:
+    """Interpolate between the values at two ranks, keeping only those rows.
+
+    ``targets`` holds (low rank, high rank, fraction) per output, each a
+    column or a literal.
+    """
     aggs, keep = [], None
-    for p, name in zip(probs, names):
-        h = (F.col("_n") - 1).cast("double") * F.lit(float(p))
-        lo, hi = F.floor(h), F.ceil(h)
+    for (lo, hi, frac), name in zip(targets, names):
         cond = (F.col("_rank") == lo) | (F.col("_rank") == hi)
         keep = cond if keep is None else (keep | cond)
         v_lo = F.max(F.when(F.col("_rank") == lo, F.col("_v")))
         v_hi = F.max(F.when(F.col("_rank") == hi, F.col("_v")))
-        frac = F.max(h - lo)
         aggs.append(F.when(v_lo == v_hi, v_lo).otherwise(v_lo + (v_hi - v_lo) * frac).alias(name))
-    return r.filter(keep).agg(*aggs)
+    return ranked.filter(keep).agg(*aggs)
+
+
+def _quantiles_by_sort(vals: DataFrame, probs: list[float], names: list[str],
+                       num_partitions: int | None, materialize_input: bool) -> DataFrame:
+    r = global_rank(vals, [F.col("_v").asc()], "_rank", "_n", num_partitions, materialize_input)
+    targets = []
+    for p in probs:
+        h = (F.col("_n") - 1).cast("double") * F.lit(float(p))
+        lo = F.floor(h)
+        targets.append((lo, F.ceil(h), F.max(h - lo)))
+    return _pick(r, targets, names)
+
+
+def _quantiles_by_band(vals: DataFrame, probs: list[float], names: list[str],
+                       num_partitions: int | None, accuracy: int) -> DataFrame | None:
+    """The band selection of ``exact_quantiles``; None when a band misses its ranks.
+
+    Only scalars reach the driver: the row count, two sketch values and
+    two counts per quantile.
+    """
+    eps = 3.0 / accuracy   # three times the sketch's rank error on each side
+    inf = float("inf")
+    asks = sorted({x for p in probs for x in (p - eps, p + eps) if 0.0 < x < 1.0})
+    first = [F.count(F.lit(1)).alias("n")]
+    if asks:
+        first.append(F.percentile_approx("_v", F.array(*[F.lit(x) for x in asks]), accuracy)
+                      .alias("e"))
+    stats = vals.agg(*first).first()
+    n = stats["n"]
+    if n == 0:
+        return vals.agg(*[F.max("_v").alias(name) for name in names])
+    sketch = dict(zip(asks, stats["e"])) if asks else {}
+    bands = [(sketch.get(p - eps, -inf), sketch.get(p + eps, inf)) for p in probs]
+    v = F.col("_v")
+    counts = vals.agg(*[c for i, (a, b) in enumerate(bands) for c in (
+        F.count_if(v < F.lit(a)).alias(f"below{i}"),
+        F.count_if((v >= F.lit(a)) & (v <= F.lit(b))).alias(f"inside{i}"))]).first()
+    targets, offset = [], 0
+    for i, p in enumerate(probs):
+        h = float(n - 1) * float(p)
+        lo, hi = math.floor(h), math.ceil(h)
+        below, inside = counts[f"below{i}"], counts[f"inside{i}"]
+        if not (below <= lo and below + inside >= hi + 1):
+            return None
+        # band i holds global ranks below .. below + inside - 1; in the ranked
+        # band rows it starts at ``offset``
+        targets.append((F.lit(offset + lo - below), F.lit(offset + hi - below), F.lit(h - lo)))
+        offset += inside
+    member = F.filter(F.array(*[F.when((v >= F.lit(a)) & (v <= F.lit(b)), F.lit(i))
+                                for i, (a, b) in enumerate(bands)]), lambda x: x.isNotNull())
+    rows = vals.select(F.explode(member).alias("_band"), "_v")
+    r = global_rank(rows, [F.col("_band").asc(), F.col("_v").asc()], "_rank", "_n",
+                    num_partitions, materialize_input=True)
+    return _pick(r, targets, names)

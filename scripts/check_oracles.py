@@ -65,7 +65,9 @@ def digest(cols, rows):
 def main():
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     names = sys.argv[2:]
-    spark = local_session(8)
+    # CHECK_TZ runs the Spark side under another session time zone (results must not change)
+    tz = os.environ.get("CHECK_TZ")
+    spark = local_session(8, extra={"spark.sql.session.timeZone": tz} if tz else None)
     con = duckdb.connect()
     for t in TABLES:
         p = f"{sf_dir}/{t}.parquet"

@@ -60,28 +60,47 @@ def next_best_offer(cleaned: DataFrame, rules: DataFrame, k: int = 3) -> DataFra
     fully bought and whose consequent is not yet fully bought (by confidence,
     then lift, then codes).
 
-    Candidates come from an equi-join on the rule's *first* antecedent item,
-    so each (customer, rule) pair is produced once; the full subset test
-    uses the customer's item set (at most the catalogue).  The top-k window
-    is per customer and holds at most one row per rule.
+    All relational, no per-customer item arrays:
+
+    * candidates come from an equi-join of owned (customer, item) pairs with
+      the rule's *first* antecedent item, so each (customer, rule) pair is
+      produced once;
+    * each candidate is expanded to the rule's items (an itemset, a handful
+      of rows) and left-joined to the owned pairs on (customer, item); a
+      count of matches per side is the subset test;
+    * the top-k is a ``row_number`` filter, which Spark plans with a partial
+      per-partition limit before the shuffle (``WindowGroupLimit``), so a
+      customer with many candidates never sends more than k rows per map
+      task to the final window.
     """
     owned = customer_items(cleaned)
-    sets = owned.groupBy("customer_id").agg(F.collect_set("item_code").alias("_s"))
+    rule_key = ["antecedent_codes", "consequent_codes"]
     keyed = rules.select(
         F.array_join("antecedents", ", ").alias("antecedent_codes"),
         F.array_join("consequents", ", ").alias("consequent_codes"),
-        "antecedents", "consequents", "confidence", "lift",
-        F.element_at("antecedents", 1).alias("_first"))
-    cand = owned.join(keyed, owned.item_code == keyed._first).drop("item_code", "_first")
-    cand = cand.join(sets, "customer_id").filter(
-        F.forall("antecedents", lambda x: F.array_contains(F.col("_s"), x))
-        & ~F.forall("consequents", lambda x: F.array_contains(F.col("_s"), x)))
+        "antecedents", "consequents", "confidence", "lift")
+    first = keyed.select(*rule_key, F.element_at("antecedents", 1).alias("item_code"))
+    cand = owned.join(first, "item_code").drop("item_code")
+    side = lambda arr, a: F.transform(arr, lambda x: F.struct(x.alias("item_code"),
+                                                             F.lit(a).alias("in_a")))
+    members = (keyed.select(*rule_key, "confidence", "lift",
+                            F.size("antecedents").alias("_na"), F.size("consequents").alias("_nc"),
+                            F.explode(F.concat(side("antecedents", True), side("consequents", False)))
+                             .alias("_m"))
+                    .select(*rule_key, "confidence", "lift", "_na", "_nc", "_m.item_code", "_m.in_a"))
+    hits = (cand.join(members, rule_key)
+                .join(owned.withColumn("_own", F.lit(True)), ["customer_id", "item_code"], "left"))
+    owned_a = F.count_if(F.col("in_a") & F.col("_own").isNotNull())
+    owned_c = F.count_if(~F.col("in_a") & F.col("_own").isNotNull())
+    tested = (hits.groupBy("customer_id", *rule_key, "confidence", "lift", "_na", "_nc")
+                  .agg(owned_a.alias("_ha"), owned_c.alias("_hc"))
+                  .filter((F.col("_ha") == F.col("_na")) & (F.col("_hc") < F.col("_nc"))))
     w = Window.partitionBy("customer_id").orderBy(
         F.col("confidence").desc(), F.col("lift").desc(), "antecedent_codes", "consequent_codes")
-    return (cand.withColumn("offer_rank", F.row_number().over(w))
-                .filter(F.col("offer_rank") <= k)
-                .select("customer_id", "offer_rank", "antecedent_codes", "consequent_codes",
-                        "confidence", "lift"))
+    return (tested.withColumn("offer_rank", F.row_number().over(w))
+                  .filter(F.col("offer_rank") <= k)
+                  .select("customer_id", "offer_rank", "antecedent_codes", "consequent_codes",
+                          "confidence", "lift"))
 
 
 def retention_cliff(retention: DataFrame) -> DataFrame:

@@ -64,3 +64,28 @@ def test_cluster_conf_scales_with_input():
     assert int(small["spark.sql.shuffle.partitions"]) == 128          # floor: 2 x cores
     assert int(big["spark.sql.shuffle.partitions"]) == 100_000        # capped
     assert "spark.checkpoint.dir" not in big
+
+
+def test_next_best_offer_has_no_item_arrays_and_a_partial_top_k(spark):
+    lines = _lines(spark)
+    rules = spark.createDataFrame(
+        [(["A"], ["B"], 0.9, 2.0), (["A", "B"], ["C"], 0.5, 1.5)],
+        "antecedents array<string>, consequents array<string>, confidence double, lift double")
+    p = _plan(X.next_best_offer(lines, rules, 3))
+    assert "collect_set" not in p and "array_contains" not in p
+    assert "WindowGroupLimit" in p
+
+
+def test_next_best_offer_hot_customer_gets_every_qualifying_rule(spark):
+    # customer 1 holds a third of the lines and owns items A and B
+    rows = [line(str(i), 1 if i % 3 == 0 else 1000 + i, "2011-01-01", 1,
+                 item="A" if i % 2 else "B") for i in range(300)]
+    rules = spark.createDataFrame(
+        [(["A"], ["C"], 0.9, 2.0), (["B"], ["C", "D"], 0.8, 1.5), (["A"], ["B"], 0.7, 1.2),
+         (["A", "B"], ["D"], 0.6, 1.1)],
+        "antecedents array<string>, consequents array<string>, confidence double, lift double")
+    got = [(r.offer_rank, r.antecedent_codes, r.consequent_codes)
+           for r in X.next_best_offer(clean_frame(spark, rows), rules, 10)
+           .filter("customer_id = 1").orderBy("offer_rank").collect()]
+    # A -> B is excluded: the consequent is already owned
+    assert got == [(1, "A", "C"), (2, "B", "C, D"), (3, "A, B", "D")]

@@ -5,7 +5,7 @@ from hypothesis import strategies as st
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from tillwise.operators.ranking import exact_quantiles, global_rank, ntile
+from tillwise.operators.ranking import exact_quantiles, global_rank, ntile, ntiles
 
 
 def _builtin(df, k):
@@ -119,3 +119,20 @@ def test_band_quantiles_rank_only_the_band(spark, monkeypatch):
     row = R.exact_quantiles(df, "x", [0.5], num_partitions=4).first()
     assert row[0] == 24_999.5
     assert len(seen) == 1 and seen[0] < 50_000 * 0.01
+
+
+@pytest.mark.parametrize("n", [0, 1, 5, 9, 1001])
+def test_ntiles_match_builtin_per_column(spark, n):
+    rows = [(i, i % 3, None if i % 7 == 0 else (i * 31) % 5, float((i * 17) % 11) / 4) for i in range(n)]
+    df = spark.createDataFrame(rows, "id bigint, a int, b bigint, c double")
+    for parts in (1, 4):
+        got = {r.id: (r.a, r.b, r.c, r.sa, r.sb, r.sc) for r in
+               ntiles(df, 4, "id", ["a", "b", "c"], ["sa", "sb", "sc"], num_partitions=parts).collect()}
+        want = {}
+        for i, a, b, c in rows:
+            want[i] = [a, b, c]
+        for col in ("a", "b", "c"):
+            w = Window.orderBy(F.col(col).desc(), F.col("id").asc())
+            for r in df.select("id", F.ntile(4).over(w).alias("s")).collect():
+                want[r.id].append(r.s)
+        assert got == {k: tuple(v) for k, v in want.items()}

@@ -98,6 +98,33 @@ def ntile(df: DataFrame, buckets: int, order: list[Column], out_col: str,
              .drop("_rank", "_n"))
 
 
+def ntiles(df: DataFrame, buckets: int, key: str, values: list[str], out_cols: list[str],
+           num_partitions: int | None = None, materialize_input: bool = True) -> DataFrame:
+    """``NTILE(buckets) OVER (ORDER BY v DESC, key ASC)`` for several columns v
+    at once: the input columns plus one score column per value.
+
+    ``key`` must be unique.  Each row is stacked once per value, tagged with
+    the value's index; one global rank orders the stacked rows by (index,
+    that value DESC in its own type, key), so every value's rows form one
+    contiguous run of ``n`` ranks.  One range shuffle and one checkpoint
+    serve all the scores (instead of one each), and a hash aggregate on the
+    unique key puts the row back together.
+    """
+    if buckets < 1:
+        raise ValueError("buckets must be positive")
+    cols = df.columns
+    m = F.col("_m")
+    stacked = df.select(*cols, F.explode(F.sequence(F.lit(0), F.lit(len(values) - 1))).alias("_m"))
+    order = [m.asc()] + [F.when(m == i, F.col(v)).desc() for i, v in enumerate(values)]
+    r = global_rank(stacked, order + [F.col(key).asc()], "_rank", "_n", num_partitions,
+                    materialize_input)
+    n = (F.col("_n") / F.lit(len(values))).cast("bigint")   # exact: _n is len(values) * n
+    score = ntile_of_rank(F.col("_rank") - m * n, n, buckets)
+    keep = [F.max(F.when(m == 0, F.col(c))).alias(c) for c in cols if c != key]
+    scores = [F.max(F.when(m == i, score)).alias(o) for i, o in enumerate(out_cols)]
+    return r.groupBy(key).agg(*keep, *scores).select(*cols, *out_cols)
+
+
 def exact_quantiles(df: DataFrame, column: str, probs: list[float],
                     names: list[str] | None = None,
                     num_partitions: int | None = None,

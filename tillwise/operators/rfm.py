@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .ranking import ntile
+from .ranking import ntiles
 
 # The segment labels, in the order the CASE tests them.
 SEGMENTS = ["Lost", "Needs Attention", "High Value", "Growth Potential"]
@@ -50,12 +50,12 @@ def rfm_raw(cleaned: DataFrame) -> DataFrame:
 def rfm_score(raw: DataFrame, keep_metrics: bool = False,
               num_partitions: int | None = None) -> DataFrame:
     """Quartile scores 1..4 per metric, all ordered DESC (tie-break customer_id)."""
-    tie = F.col("customer_id").asc()
-    # the first ntile checkpoints the metrics once; the next two start from
-    # the previous checkpoint (plus a broadcast of at most k offsets)
-    s = ntile(raw, 4, [F.col("recency").desc(), tie], "r_score", num_partitions)
-    s = ntile(s, 4, [F.col("frequency").desc(), tie], "f_score", num_partitions, False)
-    s = ntile(s, 4, [F.col("monetary").desc(), tie], "m_score", num_partitions, False)
+    # one global rank serves the three scores: the metrics are stacked once
+    # per metric, range-shuffled and checkpointed once, and put back together
+    # by a hash aggregate on the (unique) customer_id
+    s = ntiles(raw.select("customer_id", "recency", "frequency", "monetary"), 4, "customer_id",
+               ["recency", "frequency", "monetary"], ["r_score", "f_score", "m_score"],
+               num_partitions)
     if keep_metrics:
         return s
     return s.select("customer_id", "r_score", "f_score", "m_score")

@@ -54,8 +54,11 @@ def main() -> None:
         ("profile (A1)", C.profile(c)),
         ("sanity (A2)", C.sanity(c)),
         ("rfm_raw (T5)", R.rfm_raw(c)),
-        ("global rank, as used by NTILE (W1-W4)",
+        ("global rank, as used by NTILE (W4)",
          global_rank(R.rfm_raw(c), [F.col("recency").desc(), F.col("customer_id")])),
+        ("RFM scores: three NTILEs from one stacked rank (W1-W3, T6)", R.rfm_score(R.rfm_raw(c))),
+        ("outlier filter on an exact quantile found by band selection (A15, R8)",
+         X.drop_revenue_outliers(c)),
         ("cohort_activity (T9)", H.cohort_activity(c)),
         ("clv_features (T11)", clv_features(c)),
         ("basket lines and item mode (M1, A12)", B.item_mode(lines)),

@@ -74,16 +74,14 @@ def next_best_offer(cleaned: DataFrame, rules: DataFrame, k: int = 3) -> DataFra
       task to the final window.
     """
     owned = customer_items(cleaned)
-    rule_key = ["antecedent_codes", "consequent_codes"]
-    keyed = rules.select(
-        F.array_join("antecedents", ", ").alias("antecedent_codes"),
-        F.array_join("consequents", ", ").alias("consequent_codes"),
-        "antecedents", "consequents", "confidence", "lift")
-    first = keyed.select(*rule_key, F.element_at("antecedents", 1).alias("item_code"))
+    # a rule is identified by its two sorted item arrays (exact even if a
+    # code contained the ", " separator of the printed codes)
+    rule_key = ["antecedents", "consequents"]
+    first = rules.select(*rule_key, F.element_at("antecedents", 1).alias("item_code"))
     cand = owned.join(first, "item_code").drop("item_code")
     side = lambda arr, a: F.transform(arr, lambda x: F.struct(x.alias("item_code"),
                                                              F.lit(a).alias("in_a")))
-    members = (keyed.select(*rule_key, "confidence", "lift",
+    members = (rules.select(*rule_key, "confidence", "lift",
                             F.size("antecedents").alias("_na"), F.size("consequents").alias("_nc"),
                             F.explode(F.concat(side("antecedents", True), side("consequents", False)))
                              .alias("_m"))
@@ -94,7 +92,10 @@ def next_best_offer(cleaned: DataFrame, rules: DataFrame, k: int = 3) -> DataFra
     owned_c = F.count_if(~F.col("in_a") & F.col("_own").isNotNull())
     tested = (hits.groupBy("customer_id", *rule_key, "confidence", "lift", "_na", "_nc")
                   .agg(owned_a.alias("_ha"), owned_c.alias("_hc"))
-                  .filter((F.col("_ha") == F.col("_na")) & (F.col("_hc") < F.col("_nc"))))
+                  .filter((F.col("_ha") == F.col("_na")) & (F.col("_hc") < F.col("_nc")))
+                  .select("customer_id", "confidence", "lift",
+                          F.array_join("antecedents", ", ").alias("antecedent_codes"),
+                          F.array_join("consequents", ", ").alias("consequent_codes")))
     w = Window.partitionBy("customer_id").orderBy(
         F.col("confidence").desc(), F.col("lift").desc(), "antecedent_codes", "consequent_codes")
     return (tested.withColumn("offer_rank", F.row_number().over(w))

@@ -113,14 +113,34 @@ def test_band_quantiles_rank_only_the_band(spark, monkeypatch):
     import tillwise.operators.ranking as R
     df = spark.createDataFrame([(float(i),) for i in range(50_000)], "x double")
     seen = []
-    full = R.global_rank
-    monkeypatch.setattr(R, "global_rank",
+    full = R.weighted_positions
+    monkeypatch.setattr(R, "weighted_positions",
                         lambda d, *a, **k: seen.append(d.count()) or full(d, *a, **k))
     row = R.exact_quantiles(df, "x", [0.5], num_partitions=4).first()
     assert row[0] == 24_999.5
     assert len(seen) == 1 and seen[0] < 50_000 * 0.01
 
 
+def test_quantiles_rank_a_hot_value_as_one_row(spark, monkeypatch):
+    import tillwise.operators.ranking as R
+    # 7.0 holds a third of the rows and sits at the median: it is one
+    # (value, count) row in the ranked input, in both methods
+    vals = [7.0 if i % 3 == 0 else float(i % 40) for i in range(9_000)]
+    df = spark.createDataFrame([(v,) for v in vals], "x double")
+    seen = []
+    full = R.weighted_positions
+    monkeypatch.setattr(R, "weighted_positions",
+                        lambda d, *a, **k: seen.append(d.filter("_v = 7.0").collect()) or full(d, *a, **k))
+    for method in ("band", "sort"):
+        seen.clear()
+        row = R.exact_quantiles(df, "x", [0.25, 0.5, 0.75], num_partitions=4, method=method).first()
+        # one row per band holding it (at most one per quantile), never one per line
+        assert len(seen) == 1 and 1 <= len(seen[0]) <= 3
+        assert all(r._c == vals.count(7.0) for r in seen[0])
+        for i, p in enumerate([0.25, 0.5, 0.75]):
+            assert row[i] == pytest.approx(float(np.percentile(vals, p * 100)), rel=1e-12)
+
+
 @pytest.mark.parametrize("n", [0, 1, 5, 9, 1001])
 def test_ntiles_match_builtin_per_column(spark, n):
     rows = [(i, i % 3, None if i % 7 == 0 else (i * 31) % 5, float((i * 17) % 11) / 4) for i in range(n)]

@@ -125,6 +125,40 @@ def ntiles(df: DataFrame, buckets: int, key: str, values: list[str], out_cols: l
     return r.groupBy(key).agg(*keep, *scores).select(*cols, *out_cols)
 
 
+def weighted_positions(df: DataFrame, order: list[Column], weight: str,
+                       num_partitions: int | None = None) -> DataFrame:
+    """Add ``_start`` (the summed ``weight`` of all rows before each row in
+    ``order``) and ``_total`` (the summed weight of all rows).
+
+    Rows must be unique by ``order``.  Like ``global_rank``: range
+    partitions fixed by a reliable checkpoint, per-partition totals turned
+    into running offsets (a table of at most ``num_partitions`` rows, the
+    only thing broadcast), plus a running sum inside each range.  Run on
+    (value, count) rows it ranks a column whose values repeat: a value held
+    by a third of the rows is one row here, so no range holds it whole.
+    """
+    spark = df.sparkSession
+    ensure_checkpoint_dir(spark)
+    k = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    src = df.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        placed = (src.repartitionByRange(k, *order)
+                     .withColumn("_pid", F.spark_partition_id())
+                     .checkpoint(eager=True))
+    finally:
+        src.unpersist()
+    w = F.col(weight)
+    totals = placed.groupBy("_pid").agg(F.sum(w).alias("_tot"))
+    before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.select("_pid", F.coalesce(F.sum("_tot").over(before), F.lit(0)).alias("_off"),
+                            F.sum("_tot").over(Window.partitionBy()).alias("_total"))
+    inside = Window.partitionBy("_pid").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    return (placed.withColumn("_in", F.coalesce(F.sum(w).over(inside), F.lit(0)))
+                  .join(F.broadcast(offsets), "_pid")
+                  .withColumn("_start", F.col("_off") + F.col("_in"))
+                  .drop("_pid", "_off", "_in"))
+
+
 def exact_quantiles(df: DataFrame, column: str, probs: list[float],
                     names: list[str] | None = None,
                     num_partitions: int | None = None,
@@ -150,12 +184,12 @@ def exact_quantiles(df: DataFrame, column: str, probs: list[float],
         raise ValueError("method must be 'band' or 'sort'")
     vals = df.select(F.col(column).cast("double").alias("_v")).filter(F.col("_v").isNotNull())
     if method == "sort":
-        return _quantiles_by_sort(vals, probs, names, num_partitions, materialize_input)
+        return _quantiles_by_sort(vals, probs, names, num_partitions)
     src = vals.persist(StorageLevel.MEMORY_AND_DISK) if materialize_input else vals
     try:
         out = _quantiles_by_band(src, probs, names, num_partitions, accuracy)
         if out is None:
-            out = _quantiles_by_sort(src, probs, names, num_partitions, False)
+            out = _quantiles_by_sort(src, probs, names, num_partitions)
         return out
     finally:
         if materialize_input:
@@ -165,25 +199,32 @@ def exact_quantiles(df: DataFrame, column: str, probs: list[float],
 def _pick(ranked: DataFrame, targets: list[tuple], names: list[str]) -> DataFrame:
     """Interpolate between the values at two ranks, keeping only those rows.
 
-    ``targets`` holds (low rank, high rank, fraction) per output, each a
-    column or a literal.
+    Each row of ``ranked`` is a distinct value ``_v`` covering the ranks
+    ``_start`` .. ``_start + _c - 1``.  ``targets`` holds (low rank, high
+    rank, fraction) per output, each a column or a literal.
     """
+    def covers(r):
+        return (F.col("_start") <= r) & (r < F.col("_start") + F.col("_c"))
+
     aggs, keep = [], None
     for (lo, hi, frac), name in zip(targets, names):
-        cond = (F.col("_rank") == lo) | (F.col("_rank") == hi)
+        cond = covers(lo) | covers(hi)
         keep = cond if keep is None else (keep | cond)
-        v_lo = F.max(F.when(F.col("_rank") == lo, F.col("_v")))
-        v_hi = F.max(F.when(F.col("_rank") == hi, F.col("_v")))
+        v_lo = F.max(F.when(covers(lo), F.col("_v")))
+        v_hi = F.max(F.when(covers(hi), F.col("_v")))
         aggs.append(F.when(v_lo == v_hi, v_lo).otherwise(v_lo + (v_hi - v_lo) * frac).alias(name))
     return ranked.filter(keep).agg(*aggs)
 
 
 def _quantiles_by_sort(vals: DataFrame, probs: list[float], names: list[str],
-                       num_partitions: int | None, materialize_input: bool) -> DataFrame:
-    r = global_rank(vals, [F.col("_v").asc()], "_rank", "_n", num_partitions, materialize_input)
+                       num_partitions: int | None) -> DataFrame:
+    """Rank the whole column: distinct values with their counts (map-side
+    combined), weighted positions, then the two values around each rank."""
+    d = vals.groupBy("_v").agg(F.count(F.lit(1)).alias("_c"))
+    r = weighted_positions(d, [F.col("_v").asc()], "_c", num_partitions)
     targets = []
     for p in probs:
-        h = (F.col("_n") - 1).cast("double") * F.lit(float(p))
+        h = (F.col("_total") - 1).cast("double") * F.lit(float(p))
         lo = F.floor(h)
         targets.append((lo, F.ceil(h), F.max(h - lo)))
     return _pick(r, targets, names)
@@ -226,7 +267,7 @@ def _quantiles_by_band(vals: DataFrame, probs: list[float], names: list[str],
         offset += inside
     member = F.filter(F.array(*[F.when((v >= F.lit(a)) & (v <= F.lit(b)), F.lit(i))
                                 for i, (a, b) in enumerate(bands)]), lambda x: x.isNotNull())
-    rows = vals.select(F.explode(member).alias("_band"), "_v")
-    r = global_rank(rows, [F.col("_band").asc(), F.col("_v").asc()], "_rank", "_n",
-                    num_partitions, materialize_input=True)
+    rows = (vals.select(F.explode(member).alias("_band"), "_v")
+                .groupBy("_band", "_v").agg(F.count(F.lit(1)).alias("_c")))
+    r = weighted_positions(rows, [F.col("_band").asc(), F.col("_v").asc()], "_c", num_partitions)
     return _pick(r, targets, names)

@@ -156,3 +156,18 @@ def test_ntiles_match_builtin_per_column(spark, n):
             for r in df.select("id", F.ntile(4).over(w).alias("s")).collect():
                 want[r.id].append(r.s)
         assert got == {k: tuple(v) for k, v in want.items()}
+
+
+@pytest.mark.parametrize("n,parts", [(0, 4), (3, 8), (500, 1), (500, 6)])
+def test_weighted_positions_are_prefix_sums(spark, n, parts):
+    from tillwise.operators.ranking import weighted_positions
+    rows = [(float((i * 7919) % 1009), 1 + (i * 31) % 5) for i in range(n)]
+    rows = list({v: (v, c) for v, c in rows}.values())   # unique by value
+    df = spark.createDataFrame(rows, "v double, c bigint")
+    got = {r.v: (r._start, r._total) for r in
+           weighted_positions(df, [F.col("v").asc()], "c", num_partitions=parts).collect()}
+    total, start, want = sum(c for _, c in rows), 0, {}
+    for v, c in sorted(rows):
+        want[v] = (start, total)
+        start += c
+    assert got == want

@@ -171,3 +171,24 @@ def test_weighted_positions_are_prefix_sums(spark, n, parts):
         want[v] = (start, total)
         start += c
     assert got == want
+
+
+@pytest.mark.parametrize("force_fallback", [False, True])
+def test_exact_quantiles_many_match_numpy(spark, monkeypatch, force_fallback):
+    import tillwise.operators.ranking as R
+    if force_fallback:
+        monkeypatch.setattr(R.F, "percentile_approx",
+                            lambda col, pct, acc: F.transform(pct, lambda x: F.lit(-1.0e9)))
+    rows = [(None if i % 5 == 0 else float(i % 13), 4.0 if i % 3 == 0 else float(i), None)
+            for i in range(3_000)]
+    df = spark.createDataFrame(rows, "a double, b double, e double")
+    specs = [("a", 0.5, "a_med"), ("b", 0.5, "b_med"), ("b", 0.99, "b_q99"), ("a", 0.0, "a_min"),
+             ("e", 0.5, "e_med"), ("b", 1.0, "b_max")]
+    got = R.exact_quantiles_many(df, specs, num_partitions=4, accuracy=1000).first()
+    for col, p, name in specs:
+        vals = [r[["a", "b", "e"].index(col)] for r in rows]
+        vals = [x for x in vals if x is not None]
+        if not vals:
+            assert got[name] is None
+        else:
+            assert got[name] == pytest.approx(float(np.percentile(vals, p * 100)), rel=1e-12)

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..schemas import require_columns
-from .ranking import exact_quantiles, global_rank, ntile
+from .ranking import exact_quantiles, exact_quantiles_many, global_rank, ntile
 
 # Input names (matched without case) -> model names.
 COLUMN_MAPPING = {
@@ -90,7 +90,8 @@ def prepare(features: DataFrame, clip_quantile: float = 0.99,
     Null counts come from one aggregate; a median is only computed for a
     feature that has nulls (the imputation is a no-op otherwise).  Medians
     and the clip bound are exact and interpolated, like the single-machine
-    job; ``approx_accuracy`` switches both to one-pass sketches.
+    job, and all come from one set of passes (``exact_quantiles_many``);
+    ``approx_accuracy`` switches them to one-pass sketches.
     """
     df = map_columns(features)
     require_columns(df, REQUIRED)
@@ -102,13 +103,19 @@ def prepare(features: DataFrame, clip_quantile: float = 0.99,
     # one row per customer, written once: the null counts, the quantile
     # ranks and the output all read it instead of re-running the features
     nulls = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in FEATURES]).first()
-    fills = {}
-    for c in FEATURES:
-        if nulls[c] > 0:
-            fills[c] = _quantile(df, c, 0.5, approx_accuracy)
+    need = [c for c in FEATURES if nulls[c] > 0]
+    if approx_accuracy:
+        fills = {c: _quantile(df, c, 0.5, approx_accuracy) for c in need}
+        q = _quantile(df, TARGET, clip_quantile, approx_accuracy)
+    else:
+        # the medians and the clip bound (imputation does not touch the
+        # target) come from one set of passes over the stacked columns
+        qs = exact_quantiles_many(df, [(c, 0.5, c) for c in need] + [(TARGET, clip_quantile, "_clip")],
+                                  materialize_input=False)
+        fills = {c: qs.select(c).scalar() for c in need}
+        q = qs.select("_clip").scalar()
     if fills:
         df = df.withColumns({c: F.coalesce(F.col(c), m) for c, m in fills.items()})
-    q = _quantile(df, TARGET, clip_quantile, approx_accuracy)
     return df.select(
         "CustomerID", *FEATURES,
         F.when(F.col(TARGET) > q, q).otherwise(F.col(TARGET)).alias(TARGET),

@@ -271,3 +271,87 @@ def _quantiles_by_band(vals: DataFrame, probs: list[float], names: list[str],
                 .groupBy("_band", "_v").agg(F.count(F.lit(1)).alias("_c")))
     r = weighted_positions(rows, [F.col("_band").asc(), F.col("_v").asc()], "_c", num_partitions)
     return _pick(r, targets, names)
+
+
+def exact_quantiles_many(df: DataFrame, specs: list[tuple[str, float, str]],
+                         num_partitions: int | None = None, materialize_input: bool = True,
+                         accuracy: int = 10_000) -> DataFrame:
+    """One row: exact interpolated quantiles of several columns, from one
+    set of passes.
+
+    ``specs`` holds (column, probability, output name).  The columns are
+    stacked as (column index, value) rows; one pass takes every column's
+    count and sketch, one pass counts every band, and one weighted rank
+    covers every band (or, if a band misses its ranks, every column whole).
+    A column with no value gives null.  Same results as ``exact_quantiles``
+    per column, with three passes in all instead of three per column.
+    """
+    cols = list(dict.fromkeys(c for c, _, _ in specs))
+    idx = {c: i for i, c in enumerate(cols)}
+    ci, v = F.col("_ci"), F.col("_v")
+    stacked = (df.select(F.explode(F.array(*[
+                    F.struct(F.lit(i).alias("_ci"), F.col(c).cast("double").alias("_v"))
+                    for i, c in enumerate(cols)])).alias("_s"))
+                 .select("_s._ci", "_s._v").filter(v.isNotNull()))
+    src = stacked.persist(StorageLevel.MEMORY_AND_DISK) if materialize_input else stacked
+    try:
+        eps, inf = 3.0 / accuracy, float("inf")
+        asks = {i: sorted({x for c, p, _ in specs if idx[c] == i for x in (p - eps, p + eps)
+                           if 0.0 < x < 1.0}) for i in range(len(cols))}
+        first = []
+        for i in range(len(cols)):
+            first.append(F.count_if(ci == i).alias(f"n{i}"))
+            if asks[i]:
+                first.append(F.percentile_approx(F.when(ci == i, v), F.array(
+                    *[F.lit(x) for x in asks[i]]), accuracy).alias(f"e{i}"))
+        st = src.agg(*first).first()
+        ns = [st[f"n{i}"] for i in range(len(cols))]
+        bands = []
+        for c, p, _ in specs:
+            i = idx[c]
+            sk = dict(zip(asks[i], st[f"e{i}"])) if asks[i] and st[f"e{i}"] is not None else {}
+            bands.append((i, sk.get(p - eps, -inf), sk.get(p + eps, inf)))
+        counts = src.agg(*[x for j, (i, a, b) in enumerate(bands) for x in (
+            F.count_if((ci == i) & (v < F.lit(a))).alias(f"below{j}"),
+            F.count_if((ci == i) & (v >= F.lit(a)) & (v <= F.lit(b))).alias(f"inside{j}"))]).first()
+        targets, offset, proved = [], 0, True
+        for j, (c, p, _) in enumerate(specs):
+            n = ns[idx[c]]
+            if n == 0:
+                targets.append((F.lit(-1), F.lit(-1), F.lit(0.0)))   # no row covers -1: null
+                continue
+            h = float(n - 1) * float(p)
+            lo, hi = math.floor(h), math.ceil(h)
+            below, inside = counts[f"below{j}"], counts[f"inside{j}"]
+            if not (below <= lo and below + inside >= hi + 1):
+                proved = False
+                break
+            targets.append((F.lit(offset + lo - below), F.lit(offset + hi - below), F.lit(h - lo)))
+            offset += inside
+        names = [name for _, _, name in specs]
+        if proved:
+            member = F.filter(F.array(*[
+                F.when((ci == i) & (v >= F.lit(a)) & (v <= F.lit(b)), F.lit(j))
+                for j, (i, a, b) in enumerate(bands)]), lambda x: x.isNotNull())
+            rows = (src.select(F.explode(member).alias("_band"), "_v")
+                       .groupBy("_band", "_v").agg(F.count(F.lit(1)).alias("_c")))
+            r = weighted_positions(rows, [F.col("_band").asc(), F.col("_v").asc()], "_c",
+                                   num_partitions)
+            return _pick(r, targets, names)
+        # a band missed its ranks: rank every column whole, columns one after another
+        starts = [sum(ns[:i]) for i in range(len(cols))]
+        targets = []
+        for c, p, _ in specs:
+            n, base = ns[idx[c]], starts[idx[c]]
+            if n == 0:
+                targets.append((F.lit(-1), F.lit(-1), F.lit(0.0)))
+                continue
+            h = float(n - 1) * float(p)
+            lo, hi = math.floor(h), math.ceil(h)
+            targets.append((F.lit(base + lo), F.lit(base + hi), F.lit(h - lo)))
+        d = src.groupBy("_ci", "_v").agg(F.count(F.lit(1)).alias("_c"))
+        r = weighted_positions(d, [ci.asc(), v.asc()], "_c", num_partitions)
+        return _pick(r, targets, names)
+    finally:
+        if materialize_input:
+            src.unpersist()

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillwise.llm import bpe, chat, langid, quality, topk
+from tillwise.llm import bpe, chat, langid, quality, simhash, topk
 from tillwise.llm.common import id_crc, read_table
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
@@ -34,6 +34,10 @@ def op4_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.search(vectors, vectors.where(F.col("vec_id") % 50 == 0), k=5)
 
 
+def op6_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(read_table(spark, sf_dir, "documents"))
+
+
 def op7_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = read_table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text", F.lit(0).alias("part"))
     said = "<|im_end|><|im_start|>assistant ok"

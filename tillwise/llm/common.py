@@ -121,6 +121,34 @@ def mix64(x: np.ndarray) -> np.ndarray:
     return x
 
 
+_BASE = np.uint64(0x9E3779B97F4A7C15)
+_INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
+_tables: dict[np.uint64, np.ndarray] = {}
+
+
+def powers(base: np.uint64, n: int) -> np.ndarray:
+    """base ** 0 ... base ** (n - 1) modulo 2 ** 64, from a table that grows as needed."""
+    table = _tables.get(base)
+    if table is None or len(table) < n:
+        table = np.full(max(n, 1 << 16), base, dtype=np.uint64)
+        table[0] = 1
+        _tables[base] = table = np.cumprod(table, dtype=np.uint64)
+    return table[:n]
+
+
+class PrefixHash:
+    """Polynomial hashes modulo 2 ** 64 of any run of bytes, from sums over prefixes."""
+
+    def __init__(self, data: np.ndarray):
+        self.sums = np.zeros(len(data) + 1, dtype=np.uint64)
+        np.cumsum((data + np.uint64(1)) * powers(_BASE, len(data)), dtype=np.uint64, out=self.sums[1:])
+        self.inverse = powers(_INVERSE, len(data) + 1)
+
+    def of(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """Equal for equal bytes, wherever they stand."""
+        return (self.sums[ends] - self.sums[starts]) * self.inverse[starts]
+
+
 def segment_sums(values: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     """Sum consecutive runs of the first axis; an empty run sums to zero."""
     out = np.zeros((len(sizes), *values.shape[1:]), dtype=np.float64)

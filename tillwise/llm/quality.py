@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tillwise.llm.common import as_bytes, map_arrow, mix64, segment_sums, slices
+from tillwise.llm.common import PrefixHash, as_bytes, map_arrow, mix64, segment_sums, slices
 
 BITS, TRAIN_ROWS, EPOCHS = 18, 8192, 5
 #: Step size, its smoothing, and the two penalties of the regularised leader.
@@ -36,14 +36,7 @@ _KIND[33:128] = 2
 for _a, _b in ((48, 58), (65, 91), (97, 123), (128, 256)):
     _KIND[_a:_b] = 1
 _TWICE = np.uint64(0xA5A5A5A5A5A5A5A5)
-_BASE = np.uint64(0x9E3779B97F4A7C15)
-_INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
-
-
-def _powers(base: np.uint64, n: int) -> np.ndarray:
-    out = np.full(n, base, dtype=np.uint64)
-    out[:1] = 1
-    return np.cumprod(out, dtype=np.uint64)
+_PAIR = np.uint64(0xC2B2AE3D27D4EB4F)
 
 
 def features(texts: list[bytes], bits: int = BITS) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -55,12 +48,10 @@ def features(texts: list[bytes], bits: int = BITS) -> tuple[np.ndarray, np.ndarr
     ends = np.append(edge[1:], len(joined))
     word = kind[edge] > 0
     starts, ends = edge[word], ends[word]
-    # hash of each token: a polynomial over its bytes by prefix sums modulo 2**64
-    total = np.concatenate((np.zeros(1, np.uint64), np.cumsum((joined + np.uint64(1)) * _powers(_BASE, len(joined)), dtype=np.uint64)))
-    token = mix64((total[ends] - total[starts]) * _powers(_INVERSE, len(joined))[starts] + (ends - starts).astype(np.uint64))
+    token = mix64(PrefixHash(joined).of(starts, ends) + (ends - starts).astype(np.uint64))
     owner = np.repeat(np.arange(len(texts)), lengths)[starts]
     near = owner[:-1] == owner[1:]
-    pair = mix64(token[:-1] * _BASE + token[1:])
+    pair = mix64(token[:-1] * _PAIR + token[1:])
     pair[token[:-1] == token[1:]] = _TWICE  # any token followed by itself is the same pair
     keys = np.concatenate((token, pair[near])) >> np.uint64(64 - bits)
     keys |= np.concatenate((owner, owner[:-1][near])).astype(np.uint64) << np.uint64(bits)

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillwise.llm import bpe, chat, langid, quality, simhash, topk
+from tillwise.llm import bpe, chat, langid, quality, simhash, suffix, topk
 from tillwise.llm.common import id_crc, read_table
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
@@ -52,6 +52,12 @@ def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.predict(docs.select("doc_id", "text"), model).select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
 
 
+def op10_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = suffix.remove_repeats(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    removed = F.aggregate("removed", F.lit(0).cast("bigint"), lambda total, s: total + s["end"] - s["begin"])
+    return cut.select("doc_id", "n_bytes", removed.alias("n_removed"), F.size("removed").cast("bigint").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: fn for name, fn in sorted(globals().items()) if name.startswith("op") and callable(fn)}
 

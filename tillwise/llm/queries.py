@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillwise.llm import bpe, chat, langid, quality, simhash, suffix, topk
-from tillwise.llm.common import id_crc, read_table
+from tillwise.llm import bpe, chat, langid, lm, quality, simhash, suffix, topk
+from tillwise.llm.common import id_crc, read_table, stored
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
 
@@ -52,6 +52,17 @@ def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.predict(docs.select("doc_id", "text"), model).select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
 
 
+def op9_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = id_crc() % 7 == 2
+    training = docs.where(~held_out)
+    words = stored(lm.count_words(training))
+    known = lm.unigrams(words, ends=training.count())
+    model = lm.train(training, known)
+    scored = lm.score(docs, words, known, model)
+    return scored.select("doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 def op10_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     cut = suffix.remove_repeats(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
     removed = F.aggregate("removed", F.lit(0).cast("bigint"), lambda total, s: total + s["end"] - s["begin"])

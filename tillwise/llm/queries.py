@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillwise.llm import bpe, chat, langid, lm, quality, simhash, suffix, topk
+from tillwise.llm import bpe, chat, decontaminate, langid, lm, quality, secret_scan, simhash, suffix, topk
 from tillwise.llm.common import id_crc, read_table, stored
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
@@ -22,6 +22,10 @@ def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", held_out.alias("held_out"), "score", F.when(F.col("score") >= 0.3, 1).otherwise(0).alias("predicted"))
 
 
+def op2_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.find_leaks(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
 def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     where = public_tokenizers.path(RANKS)
@@ -34,6 +38,12 @@ def op4_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.search(vectors, vectors.where(F.col("vec_id") % 50 == 0), k=5)
 
 
+def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = secret_scan.scan(docs, secret_scan.default_scanner(docs))
+    return found.select("doc_id", "begin", "end", "kind", F.sha2("candidate", 256).alias("candidate_sha256"), "score", "is_secret")
+
+
 def op6_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(read_table(spark, sf_dir, "documents"))
 
@@ -69,8 +79,15 @@ def op10_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cut.select("doc_id", "n_bytes", removed.alias("n_removed"), F.size("removed").cast("bigint").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline  # it calls the operators, and so stands above this module
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {name: fn for name, fn in sorted(globals().items()) if name.startswith("op") and callable(fn)}
+    own = {name: fn for name, fn in sorted(globals().items()) if name.startswith("op") and callable(fn)}
+    return {**own, "pipeline": pipeline}
 
 
 def oracle_sql() -> dict[str, str]:

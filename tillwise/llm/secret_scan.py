@@ -21,6 +21,8 @@ labelled findings every candidate scores 0.5 and is kept as a secret; empty tabl
 
 from __future__ import annotations
 
+import base64
+import hashlib
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -261,36 +263,42 @@ class Scanner:
 FINDING_SCHEMA = "candidate string, before string, after string, kind string, label int"
 
 
+def _made(seed: str, said: list[str]) -> tuple[str, str, str, str, int]:
+    """One finding (candidate, before, after, kind, label) from a seed and the words of a document."""
+    hex_ = hashlib.sha256(seed.encode()).hexdigest()
+    other = hashlib.sha256(hex_.encode()).hexdigest()
+    base = re.sub("[^A-Za-z0-9]", "x", base64.b64encode(bytes.fromhex(other)).decode().rstrip("="))
+    at = int(hex_[:8], 16)
+    word = lambda k: said[(at + k) % len(said)] if said else ""
+    plain = "_".join(w for w in (re.sub("[^A-Za-z]", "", word(k)).lower() for k in (3, 5, 7, 9)) if w) or "plain_words"
+    dashed = "-".join((hex_[:8], hex_[8:12], hex_[12:16], hex_[16:20], hex_[20:32]))
+    number = str(at % 9973)
+    made = [
+        (hex_[:40], 'token = "', '"', "assigned", 1), (hex_[:32], "api_key: ", "", "assigned", 1), (base[:24], "password=", "", "assigned", 1), (base, 'client_secret = "', '"', "assigned", 1),
+        ("AKIA" + base[:16].upper(), "", "", "cloud_key", 1), ("ghp_" + base[:36], "", "", "forge_token", 1), (base[:40], "Authorization: Bearer ", "", "mixed", 1), (other[:40], 'TOKEN = "', '"', "assigned", 1),
+        (plain[:8] + number + "!", "password: ", "", "assigned", 1), (plain[:6].title() + "#" + base[:6], 'passwd = "', '"', "assigned", 1), (base[:28], "auth_token=", "", "mixed", 1),
+        (hex_[:40], "commit ", "", "mixed", 0), (hex_, "sha256: ", "", "mixed", 0), (dashed, "uuid ", "", "mixed", 0), (f"https://example.com/{plain}/{hex_[:12]}", "", "", "mixed", 0),
+        (f"{plain}.v2.tar.gz", "file /usr/share/", "", "mixed", 0), (plain, "password: ", "", "assigned", 0), ("your_api_key_here", "api_key = ", "", "assigned", 0), (f"EXAMPLE-{plain.upper()}-1", "token = ", "", "assigned", 0),
+        (f"2024-01-31T12:00:00.{number}", "", "", "mixed", 0), (hex_[:32], "md5 checksum ", "", "mixed", 0), (f"{plain}_{number}", "id ", "", "mixed", 0), ("xxxxxxxxxxxxxxxx", "secret: ", "", "assigned", 0),
+    ]
+    candidate, before, after, kind, label = made[int(hex_[8:16], 16) % len(made)]
+    return candidate, f"{word(0)} {word(1)} {before}", f"{after} {word(2)}", kind, label
+
+
 def labelled_findings(docs: DataFrame, text: str = "text", id_column: str = "doc_id", rows: int = TRAIN_ROWS) -> DataFrame:
     """At most ``rows`` findings between words of the documents with the smallest id hashes."""
     chosen = docs.select(F.xxhash64(id_column).alias("h"), id_column).where(F.col(id_column).isNotNull()).orderBy("h", id_column).limit(rows).select(id_column, "h")
     ids = docs.sparkSession.createDataFrame(chosen.collect(), chosen.schema)  # ids only, a bounded number
-    some = docs.select(id_column, F.col(text).cast("string").alias("_text")).join(F.broadcast(ids), id_column)
-    words = F.split(F.substring(F.coalesce("_text", F.lit("")), 1, 400), r"\s+")  # context words only; nothing is scanned here
-    word = lambda k: F.coalesce(F.get(words, F.pmod(F.lit(k), F.greatest(F.size(words), F.lit(1)))), F.lit(""))
-    salt = lambda k: F.concat_ws(":", F.col("h").cast("string"), F.lit(k))
-    hex_ = lambda k, n: F.substring(F.sha2(salt(k), 256), 1, n)
-    base = F.regexp_replace(F.base64(F.unhex(F.sha2(salt("b"), 256))), "[+/=]", "x")
-    upper = F.upper(F.regexp_replace(base, "[^A-Za-z0-9]", "Q"))
-    dashed = F.concat_ws("-", hex_("u", 8), F.substring(F.sha2(salt("u"), 256), 9, 4), F.substring(F.sha2(salt("u"), 256), 13, 4), F.substring(F.sha2(salt("u"), 256), 17, 12))
-    said = F.lower(F.regexp_replace(F.concat_ws("_", word(3), word(5), word(7), word(9)), "[^A-Za-z_]", ""))
-    lit = F.lit
-    made = [  # (candidate, before it, after it, kind, label)
-        (hex_("a", 40), 'token = "', '"', "assigned", 1), (hex_("c", 32), "api_key: ", "", "assigned", 1), (F.substring(base, 1, 24), "password=", "", "assigned", 1), (base, 'client_secret = "', '"', "assigned", 1),
-        (F.concat(lit("AKIA"), F.substring(upper, 1, 16)), " ", " ", "cloud_key", 1), (F.concat(lit("ghp_"), F.substring(F.concat(base, base), 1, 36)), " ", " ", "forge_token", 1), (F.substring(base, 1, 40), "Authorization: Bearer ", " ", "mixed", 1), (hex_("d", 40), 'TOKEN = "', '"', "assigned", 1),
-        (F.concat(F.substring(said, 1, 8), F.pmod("h", lit(9973)).cast("string"), lit("!")), "password: ", " ", "assigned", 1), (F.concat(F.initcap(F.substring(said, 1, 6)), lit("#"), F.substring(base, 1, 6)), 'passwd = "', '"', "assigned", 1), (F.substring(base, 1, 28), "auth_token=", " ", "mixed", 1),
-        (hex_("e", 40), "commit ", " ", "mixed", 0), (hex_("f", 64), "sha256: ", " ", "mixed", 0), (dashed, "uuid ", " ", "mixed", 0), (F.concat(lit("https://example.com/"), said, lit("/"), hex_("g", 12)), "", " ", "mixed", 0),
-        (F.concat(said, lit(".v2.tar.gz")), "file /usr/share/", " ", "mixed", 0), (said, "password: ", " ", "assigned", 0), (lit("your_api_key_here"), "api_key = ", "", "assigned", 0), (F.concat(lit("EXAMPLE-"), F.upper(said), lit("-1")), "token = ", " ", "assigned", 0),
-        (F.concat(lit("2024-01-31T12:00:00."), F.pmod("h", lit(1000000)).cast("string")), "", " ", "mixed", 0), (hex_("i", 32), "md5 checksum ", " ", "mixed", 0), (F.concat(said, lit("_"), F.pmod("h", lit(97)).cast("string")), "id ", " ", "mixed", 0), (lit("xxxxxxxxxxxxxxxx"), "secret: ", "", "assigned", 0),
-    ]
-    all_ = F.array(
-        *(
-            F.struct(candidate.alias("candidate"), F.concat(word(0), lit(" "), word(1), lit(" " + b)).alias("before"), F.concat(lit(a + " "), word(2)).alias("after"), lit(kind).alias("kind"), lit(label).alias("label"))
-            for candidate, b, a, kind, label in made
-        )
-    )
-    one = F.get(all_, F.pmod(F.xxhash64("h"), lit(len(made))).cast("int"))
-    return some.select(one.alias("one")).select("one.*").where(F.length("candidate") >= 8).limit(rows)
+
+    def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            made = [_made(str(h), t.split()) for h, t in zip(batch.column("h").to_pylist(), as_texts(batch.column("text")), strict=True)]
+            columns = zip(*made, strict=True) if made else [[]] * 5
+            kinds = [pa.string(), pa.string(), pa.string(), pa.string(), pa.int32()]
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], [c.split()[0] for c in FINDING_SCHEMA.split(", ")])
+
+    some = docs.select(id_column, F.col(text).cast("string").alias("text")).join(F.broadcast(ids), id_column)
+    return map_arrow(some.select("h", "text"), apply, FINDING_SCHEMA).limit(rows)
 
 
 def fit(findings: DataFrame, language: Language, rows: int = TRAIN_ROWS, trees: int = TREES, threshold: float = THRESHOLD) -> Scanner:
@@ -344,7 +352,7 @@ def masked(text: str, found: list[tuple[int, int, str, float]], threshold: float
 def mask_secrets(docs: DataFrame, scanner: Scanner, text: str = "text", length: str = "n_chars", mask: str = MASK) -> DataFrame:
     """All documents, with each secret replaced by ``mask``; a column ``length`` follows changed texts (null stays null)."""
     shared = docs.sparkSession.sparkContext.broadcast(scanner)
-    place = docs.columns.index(text)
+    names, place = docs.columns, docs.columns.index(text)
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -353,11 +361,11 @@ def mask_secrets(docs: DataFrame, scanner: Scanner, text: str = "text", length:
                 now = [t and masked(t, shared.value.scan(t), shared.value.threshold, mask) for t in told]
                 columns = list(part.columns)
                 columns[place] = pa.array(now, part.schema.field(text).type)
-                if length in docs.columns:
-                    at = docs.columns.index(length)
+                if length in names:
+                    at = names.index(length)
                     kept = columns[at].to_pylist()
                     columns[at] = pa.array([k if k is None or new == old else len(new) for k, new, old in zip(kept, now, told, strict=True)], columns[at].type)
-                yield pa.RecordBatch.from_arrays(columns, docs.columns)
+                yield pa.RecordBatch.from_arrays(columns, names)
 
     return map_arrow(docs, apply, docs.schema)
 

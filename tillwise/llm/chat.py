@@ -35,8 +35,8 @@ START, END, ESCAPE = "<|im_start|>", "<|im_end|>", "\\"
 
 
 def escape(text: str) -> str:
-    """Make control strings in a text harmless: a backslash goes before each ``<`` and each backslash."""
-    return text.replace(ESCAPE, ESCAPE * 2).replace("<", ESCAPE + "<")
+    """Make control strings in a text harmless: a backslash goes into each ``<|`` and before each backslash."""
+    return text.replace(ESCAPE, ESCAPE * 2).replace("<|", f"<{ESCAPE}|")
 
 
 def unescape(text: str) -> str:

@@ -116,7 +116,8 @@ class _Block:
         out.__dict__ |= self.__dict__
         # a query with fewer than k entries so far has no cutoff yet: everything passes
         out.cutoff_int = np.array([cutoff.get(int(i), -_LONG - 1) for i in self.ids], dtype=np.int64)
-        out.cutoff = out.cutoff_int.astype(np.float64)
+        # the least long also stands for all scores below it
+        out.cutoff = np.where(out.cutoff_int == -_LONG - 1, -np.inf, out.cutoff_int.astype(np.float64))
         return out
 
 

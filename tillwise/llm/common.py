@@ -35,7 +35,7 @@ def shared_dir(spark: SparkSession) -> str:
     sc = spark.sparkContext
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        if not sc.master.startswith("local"):
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         root = tempfile.mkdtemp(prefix="llm-checkpoint-")
         spark.conf.set("spark.checkpoint.dir", root)

@@ -228,7 +228,8 @@ def _keys(radius: int, parts: int) -> F.Column:
 def links(distinct: DataFrame, radius: int = RADIUS, parts: int = PARTS, lane: int = LANE) -> DataFrame:
     """Edges (u, v) that connect all distinct fingerprints ``fp`` within the radius."""
     keyed = distinct.select("fp", F.explode(_keys(radius, parts)).alias("key"))
-    held = keyed.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
+    # written first: a join with an aggregate of the same stage could not split a hot key
+    held = stored(keyed.groupBy("key").agg(F.count("*").alias("n")).where("n > 1"))
     members = keyed.join(held, "key").select("key", "fp", F.ceil(F.col("n") / lane).alias("lanes"))
     own = F.pmod(F.xxhash64("fp", F.lit("lane")), F.col("lanes"))
     spread = members.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("lanes") - 1)))

@@ -336,13 +336,14 @@ def repeated_spans(texts: DataFrame, match: int = MATCH, gram: int = GRAM, lane:
     if not 0 < gram <= match or match - gram > 32_000:
         raise ValueError("the anchor must fit into the match")
     anchors = stored(_anchor_rows(texts, match, gram))
-    often = anchors.groupBy("gram").agg(F.count("*").alias("often")).where("often > 1").select("gram")
+    # written first: a join with an aggregate of the same stage could not split a hot anchor
+    often = stored(anchors.groupBy("gram").agg(F.count("*").alias("often")).where("often > 1").select("gram"))
     shared = stored(anchors.join(often, "gram"))
     own = F.struct("row", "at", "size", "offset")
     contexts = stored(shared.groupBy("gram", "context").agg(F.count("*").alias("n"), F.min(own).alias("own")))
     copied = contexts.where("n > 1").select("gram", "context")
     whole = shared.join(copied, ["gram", "context"]).select("row", F.col("at").alias("begin"), (F.col("at") + F.col("size")).alias("end"))
-    several = contexts.groupBy("gram").agg(F.count("*").alias("distinct")).where("distinct > 1")
+    several = stored(contexts.groupBy("gram").agg(F.count("*").alias("distinct")).where("distinct > 1"))
     lanes = F.ceil(F.col("distinct") / lane)
     wanted = contexts.join(several, "gram").select("gram", "n", "own.*", lanes.alias("lanes"), F.pmod(F.xxhash64("context"), lanes).alias("lane"))
     found = stored(_sorted_groups(_contexts(wanted, texts), match))

@@ -9,7 +9,8 @@ from conftest import SF_SMALL
 from tillwise.operators import clv_model as M
 from tillwise.operators import rfm as R
 from tillwise.plans import registry as Rg
-from tillwise.plans.params import QUICK_SPACE
+QUICK_SPACE = {"n_estimators": [10, 20], "max_depth": [3, 5], "learning_rate": [0.1],
+               "min_samples_leaf": [1, 2, 4], "min_samples_split": [2, 5, 10], "subsample": [0.8, 1.0]}
 
 
 def test_support_never_grows_with_the_itemset(spark):

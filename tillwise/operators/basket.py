@@ -4,24 +4,27 @@ Spark-first replacements for the single-machine steps:
 
 * the dense invoices x items boolean matrix becomes one array of item codes
   per invoice (``collect_set``), so memory is O(lines), not O(invoices x items);
-* Apriori becomes Spark ML's parallel FP-Growth, with the support test
-  re-applied exactly as ``count / n >= min_support`` in double precision
-  (FP-Growth itself rounds the count threshold up, which would lose
-  itemsets sitting exactly on the threshold);
-* rule generation -- every split of every frequent itemset into a non-empty
-  antecedent and consequent, multi-item consequents included -- is an
-  ``explode`` of bit masks plus two equi-joins back to the itemset supports;
+* Apriori becomes Spark ML's parallel FP-Growth, given a threshold between the
+  smallest count that passes and the one below it, so it mines the frequent
+  itemsets and no others; lengths 1 and 2 are plain counts;
+* rules -- every split of a frequent itemset into a non-empty antecedent and
+  consequent -- grow their consequents item by item; since confidence only
+  falls as a consequent grows, a split below the minimum is not grown;
 * descriptions come from a distributed mode per item (two-level aggregate).
 """
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import ensure_checkpoint_dir
+
 # ------------------------------------------------------------------ cleaning
 
 def clean_steps(df: DataFrame) -> list[tuple[str, Column]]:
@@ -82,46 +85,79 @@ def frequent_itemsets(basket_df: DataFrame, min_support: float,
                       num_partitions: int | None = None) -> DataFrame:
     """items (sorted array), freq, support, length -- every frequent itemset.
 
-    ``support = freq / n`` and the test ``support >= min_support`` are done
-    in double precision like the single-machine miner.  FP-Growth gets a
-    threshold lowered by one basket so no itemset on the boundary is lost,
-    then the exact test filters.  ``max_len`` is applied after mining.
+    The test is ``freq / n >= min_support`` in double precision.  It is turned
+    into the smallest passing count first, so the miner neither loses an
+    itemset on the boundary nor grows one below it.  ``max_len`` 1 or 2
+    needs no mining: items, and pairs of frequent items within a basket, are
+    counted; a larger one filters what was mined.
+
+    Runs jobs (the basket count, the mining) when called.
     """
     if not 0 < min_support <= 1:
-        raise ValueError("min_support must be between 0 and 1")
+        raise ValueError(f"the minimum support is a share above 0 and up to 1, not {min_support}")
     if max_len is not None and max_len < 1:
-        raise ValueError("max_len must be a positive integer")
+        raise ValueError(f"the longest itemset needs at least one item, not {max_len}")
     level = basket_df.storageLevel
     cached = level.useMemory or level.useDisk   # the caller's cache already serves both passes
     items = basket_df.select("items")
-    if not cached:  # the count and the FP-Growth passes share one computation
+    if not cached:  # the count and the mining passes share one computation
         items = items.persist()
+    ensure_checkpoint_dir(basket_df.sparkSession)
     try:
         n = n_baskets if n_baskets is not None else items.count()
         if n == 0:
             return basket_df.sparkSession.createDataFrame(
                 [], "items array<string>, freq bigint, support double, length int")
-        lowered = max(min_support - 1.0 / n, 0.0) if min_support * n > 1 else min_support
-        fp = FPGrowth(itemsCol="items", minSupport=max(lowered, 1e-12), minConfidence=1.0)
-        if num_partitions:
-            fp.setNumPartitions(num_partitions)
-        model = fp.fit(items)
-        out = (model.freqItemsets
-               .select(F.array_sort("items").alias("items"), F.col("freq").cast("bigint").alias("freq"))
-               .withColumn("support", F.col("freq").cast("double") / F.lit(float(n)))
-               .filter(F.col("support") >= F.lit(float(min_support)))
-               .withColumn("length", F.size("items")))
+        least = smallest_passing_count(min_support, n)
+        if max_len is not None and max_len <= 2:
+            found = _counted_itemsets(items, least, max_len)
+        else:
+            # half a count below the smallest passing one: no other count lies between
+            fp = FPGrowth(itemsCol="items", minSupport=(least - 0.5) / n, minConfidence=1.0)
+            if num_partitions:
+                fp.setNumPartitions(num_partitions)
+            found = fp.fit(items).freqItemsets.select(
+                F.array_sort("items").alias("items"), F.col("freq").cast("bigint").alias("freq"))
+        out = (found.withColumn("support", F.col("freq").cast("double") / F.lit(float(n)))
+                    .withColumn("length", F.size("items")))
         if max_len is not None:
             out = out.filter(F.col("length") <= max_len)
         # FP-Growth's itemsets are a lazy RDD over its input; writing them
         # once (they are few next to the baskets) keeps the rule joins, which
-        # read them three times, from mining again.
+        # read them repeatedly, from mining again.
         return out.checkpoint(eager=True)
     finally:
         if not cached:
             items.unpersist()
 
 
+def smallest_passing_count(min_support: float, n: int) -> int:
+    """The least count c >= 1 with c / n >= min_support in double precision."""
+    c = max(1, math.floor(min_support * n) - 1)
+    while c / n < min_support:
+        c += 1
+    return c
+
+
+def _counted_itemsets(items: DataFrame, least: int, max_len: int) -> DataFrame:
+    """Frequent items and, for ``max_len`` 2, frequent pairs of frequent items."""
+    single = items.select(F.explode("items").alias("item"))
+    ones = single.groupBy("item").agg(F.count(F.lit(1)).alias("freq")).filter(F.col("freq") >= least)
+    out = ones.select(F.array("item").alias("items"), "freq")
+    if max_len == 2:
+        # baskets reduced to their frequent items; pairs combined on the map side before the shuffle
+        exploded = items.select(F.monotonically_increasing_id().alias("_b"), "items") \
+                        .select("_b", F.explode("items").alias("item"))
+        kept = (exploded.join(ones.select("item"), "item")
+                        .groupBy("_b").agg(F.array_sort(F.collect_set("item")).alias("items")))
+        second = F.col("items")
+        pairs = kept.select(F.explode(F.flatten(F.transform(second, lambda x, i: F.transform(
+            F.slice(second, i + 2, F.size(second)), lambda y: F.array(x, y))))).alias("items"))
+        out = out.union(pairs.groupBy("items").agg(F.count(F.lit(1)).alias("freq"))
+                             .filter(F.col("freq") >= least))
+    return out
+
+
 # ------------------------------------------------------------------ rules
 
 def association_rules(itemsets: DataFrame, min_confidence: float | None = None,
@@ -129,24 +165,40 @@ def association_rules(itemsets: DataFrame, min_confidence: float | None = None,
     """All rules A -> C with A, C non-empty, A u C frequent, lift >= min_lift,
     then confidence >= min_confidence.
 
-    For an itemset of k items the masks 1 .. 2^k - 2 pick the antecedent
-    (bit i set: item i is in A); ``filter`` keeps the sorted order, so A and
-    C join back to the itemset table on sorted arrays.  Metrics:
-    support s(AC), confidence s(AC)/s(A), lift conf/s(C), leverage
+    Level by level: the first consequents hold one item; a split that passes
+    the minimum confidence is grown by items behind its consequent's last one,
+    the others are not, since moving an item from A to C can only raise s(A)
+    and so lower the confidence.  With no minimum every split is grown.  Each
+    level is one join with the itemset supports; there are at most as many
+    levels as the longest itemset has items minus one.  Metrics: support
+    s(AC), confidence s(AC)/s(A), lift conf/s(C), leverage
     s(AC) - s(A)s(C), conviction (1 - s(C))/(1 - conf), infinite at conf 1.
+
+    Runs a job per level when called.
     """
+    ensure_checkpoint_dir(itemsets.sparkSession)
     sup = itemsets.select("items", "support")
-    big = itemsets.filter(F.col("length") >= 2)
-    mask = F.explode(F.sequence(F.lit(1).cast("bigint"),
-                                F.expr("shiftleft(CAST(1 AS BIGINT), length) - 2")))
-    split = big.select("items", F.col("support").alias("support"), mask.alias("_m"))
-    split = split.select(
-        F.expr("filter(items, (x, i) -> ((_m >> i) & 1) = 1)").alias("antecedents"),
-        F.expr("filter(items, (x, i) -> ((_m >> i) & 1) = 0)").alias("consequents"),
-        "support")
     a = sup.select(F.col("items").alias("antecedents"), F.col("support").alias("antecedent_support"))
     c = sup.select(F.col("items").alias("consequents"), F.col("support").alias("consequent_support"))
-    r = split.join(a, "antecedents").join(c, "consequents")
+    longest = itemsets.agg(F.max("length")).first()[0] or 0
+    empty = F.array().cast("array<string>")
+    level = (itemsets.filter(F.col("length") >= 2)
+                     .select("items", "support", empty.alias("consequents")))
+    found = []
+    for size in range(1, max(longest, 2)):
+        last = F.col("consequents")
+        behind = F.col("items") if size == 1 else F.filter("items", lambda x: x > F.element_at(last, -1))
+        grown = (level.filter(F.size("items") > size)
+                      .select("items", "support", "consequents", F.explode(behind).alias("_x"))
+                      .select("items", "support", F.concat("consequents", F.array("_x")).alias("consequents")))
+        split = grown.withColumn("antecedents", F.array_except("items", "consequents")).join(a, "antecedents")
+        if min_confidence is not None:
+            split = split.filter(F.col("support") / F.col("antecedent_support") >= F.lit(float(min_confidence)))
+        level = split.checkpoint(eager=True)
+        found.append(level)
+        if size + 1 < longest and level.isEmpty():
+            break
+    r = reduce(DataFrame.unionByName, found).join(c, "consequents")
     conf = F.col("support") / F.col("antecedent_support")
     r = r.withColumn("confidence", conf)
     r = r.withColumn("lift", F.col("confidence") / F.col("consequent_support"))
@@ -155,8 +207,6 @@ def association_rules(itemsets: DataFrame, min_confidence: float | None = None,
                      F.when(F.col("confidence") >= 1.0, F.lit(float("inf")))
                       .otherwise((1.0 - F.col("consequent_support")) / (1.0 - F.col("confidence"))))
     r = r.filter(F.col("lift") >= F.lit(float(min_lift)))
-    if min_confidence is not None:
-        r = r.filter(F.col("confidence") >= F.lit(float(min_confidence)))
     return r.select("antecedents", "consequents", "antecedent_support", "consequent_support",
                     "support", "confidence", "lift", "leverage", "conviction",
                     F.size("antecedents").alias("antecedent_len"),
@@ -172,13 +222,15 @@ def item_mode(clean_lines: DataFrame) -> DataFrame:
     Two-level aggregate: count per (item, description) with map-side
     combine, then the best pair per item -- no group ever holds raw lines.
     """
-    counts = (clean_lines.filter(F.col("item_description").isNotNull())
-                         .groupBy("item_code", "item_description").agg(F.count(F.lit(1)).alias("_n")))
-    best = counts.groupBy("item_code").agg(
-        F.min(F.struct((-F.col("_n")).alias("neg_n"), F.col("item_description").alias("d"))).alias("_b"))
-    items = clean_lines.select("item_code").distinct()
-    return (items.join(best, "item_code", "left")
-                 .select("item_code", F.col("_b.d").alias("item_description")))
+    return mode_by(clean_lines, "item_code", "item_description")
+
+
+def mode_by(df: DataFrame, key: str, value: str) -> DataFrame:
+    """key, value: the most frequent non-null value of each key (ties: the
+    smallest); a key whose values are all null keeps its row, with null."""
+    counts = df.groupBy(key, value).agg(F.count(F.lit(1)).alias("_n"))
+    best = F.min(F.struct(F.col(value).isNull().alias("none"), (-F.col("_n")).alias("n"), F.col(value).alias("v")))
+    return counts.groupBy(key).agg(best.alias("_b")).select(key, F.col("_b.v").alias(value))
 
 
 def attach_descriptions(rules: DataFrame, clean_lines: DataFrame) -> DataFrame:
@@ -194,6 +246,7 @@ def attach_descriptions(rules: DataFrame, clean_lines: DataFrame) -> DataFrame:
     keyed = rules.withColumn("antecedent_codes", F.array_join("antecedents", ", ")) \
                  .withColumn("consequent_codes", F.array_join("consequents", ", "))
     rule_cols = keyed.columns
+    key = ["antecedents", "consequents"]   # what identifies a rule
     tagged = F.concat(
         F.transform("antecedents", lambda x, i: F.struct(F.lit(0).alias("side"), i.alias("pos"),
                                                             x.alias("item_code"))),
@@ -204,9 +257,9 @@ def attach_descriptions(rules: DataFrame, clean_lines: DataFrame) -> DataFrame:
     described = exploded.join(modes, "item_code", "left").withColumn(
         "_d", F.coalesce(F.col("item_description"),
                          F.concat(F.lit("Unknown ("), F.col("item_code"), F.lit(")"))))
-    # a rule is unique by its columns, so grouping by all of them rebuilds
-    # each rule in one shuffle (no join back to the rules)
-    per_rule = described.groupBy(*rule_cols).agg(
+    rest = [c for c in rule_cols if c not in key]
+    per_rule = described.groupBy(*key).agg(
+        *[F.first(c).alias(c) for c in rest],   # the same in every row of a rule
         F.array_sort(F.collect_list(F.struct("side", "pos", "_d"))).alias("_parts"))
 
     def join_side(side: int) -> Column:
@@ -223,6 +276,14 @@ def sort_rules(rules: DataFrame) -> DataFrame:
                          "antecedent_codes", "consequent_codes")
 
 
+def top_described(rules: DataFrame, clean_lines: DataFrame, n: int = 5) -> DataFrame:
+    """The n best rules with their descriptions: the limit comes first, so only n rules are described."""
+    keyed = rules.withColumn("antecedent_codes", F.array_join("antecedents", ", ")) \
+                 .withColumn("consequent_codes", F.array_join("consequents", ", "))
+    best = sort_rules(keyed).limit(n).drop("antecedent_codes", "consequent_codes")
+    return sort_rules(attach_descriptions(best, clean_lines))
+
+
 def top_rules(rules: DataFrame, n: int = 5) -> DataFrame:
     """The n best rules by lift then confidence (TakeOrderedAndProject: a top-n
     per partition, then one merge of at most n x partitions rows)."""
@@ -238,6 +299,7 @@ class BasketResult:
     itemsets: DataFrame
     rules: DataFrame
     summary: DataFrame
+    cleaning: DataFrame
 
     def release(self) -> None:
         """Drop the cached cleaned lines and baskets once the outputs are written."""
@@ -249,37 +311,42 @@ def market_basket(df: DataFrame, min_support: float = 0.01, min_confidence: floa
                   max_len: int | None = None, strict: bool = True) -> BasketResult:
     """The whole basket job on the cleaned transaction table.
 
-    Parameter checks raise ``ValueError`` as the command line did.  With
-    ``strict`` the four empty outcomes raise too (nothing left after
-    cleaning, no frequent itemset, no rule, no rule above the confidence);
-    otherwise they come back as empty frames.
+    Parameter checks raise ``ValueError``.  With ``strict`` the four empty
+    outcomes raise too (nothing left after cleaning, no frequent itemset, no
+    rule, no rule above the confidence); otherwise they come back as empty
+    frames.  The lines and baskets are cached until ``release`` (or until an
+    error); itemsets and rules are checkpointed, so each is computed once.
     """
-    if not 0 < min_support <= 1:
-        raise ValueError("--min-support must be between 0 and 1")
-    if not 0 < min_confidence <= 1:
-        raise ValueError("--min-confidence must be between 0 and 1")
-    if max_len is not None and max_len < 1:
-        raise ValueError("--max-len must be a positive integer")
+    check_basket_parameters(min_support, min_confidence, max_len)
     lines = preprocess(df).persist()
     b = baskets(lines).persist()
-    n = b.count()
-    if strict and n == 0:
-        raise ValueError("No data remaining after preprocessing.")
-    its = frequent_itemsets(b, min_support, max_len, n_baskets=n)
-    n_itemsets = its.count()
-    if strict and n_itemsets == 0:
-        raise ValueError(f"No frequent itemsets found with min_support={min_support}. "
-                         "Try lowering the support threshold.")
-    lifted = association_rules(its, None)
-    if strict and lifted.isEmpty():
-        raise ValueError("No association rules could be generated from the itemsets.")
-    rules = lifted.filter(F.col("confidence") >= F.lit(float(min_confidence)))
-    if strict and rules.isEmpty():
-        raise ValueError(f"No rules meet min_confidence={min_confidence}. "
-                         "Try lowering the confidence threshold.")
-    described = attach_descriptions(rules, lines)
-    summary = summarize(b, lines, its, described)
-    return BasketResult(lines, b, its, described, summary)
+    try:
+        n = b.count()
+        if strict and n == 0:
+            raise ValueError("cleaning left no line to mine")
+        its = frequent_itemsets(b, min_support, max_len, n_baskets=n)
+        if strict and its.isEmpty():
+            raise ValueError(f"no itemset reaches the support {min_support}; a lower support may find some")
+        plain = association_rules(its, min_confidence).checkpoint(eager=True)
+        if strict and plain.isEmpty():
+            if association_rules(its, None).isEmpty():
+                raise ValueError("the frequent itemsets give no rule of positive association")
+            raise ValueError(f"no rule reaches the confidence {min_confidence}; a lower confidence may find some")
+        # the counts read the plain rules: descriptions change no count
+        return BasketResult(lines, b, its, attach_descriptions(plain, lines),
+                            summarize(b, lines, its, plain), clean_report(df))
+    except BaseException:
+        b.unpersist()
+        lines.unpersist()
+        raise
+
+
+def check_basket_parameters(min_support: float, min_confidence: float, max_len: int | None) -> None:
+    for name, value in (("support", min_support), ("confidence", min_confidence)):
+        if not 0 < value <= 1:
+            raise ValueError(f"the minimum {name} is a share above 0 and up to 1, not {value}")
+    if max_len is not None and max_len < 1:
+        raise ValueError(f"the longest itemset needs at least one item, not {max_len}")
 
 
 def summarize(basket_df: DataFrame, clean_lines: DataFrame, itemsets: DataFrame,

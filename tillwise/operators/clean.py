@@ -101,5 +101,6 @@ def sanity(staged: DataFrame, fixed_returns: bool = False) -> DataFrame:
     return staged.agg(
         F.sum(F.col("quantity") * F.col("price")).cast("double").alias("revenue"),
         F.count_if((F.col("quantity") < 0) | prefix.like("C%")).alias("returns"),
+        # Fixed value: this spelling is the column's name.
         F.count_if(F.col("customer_id").isNull()).alias("invaild_customers"),
     )

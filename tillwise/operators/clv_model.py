@@ -28,6 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..schemas import require_columns
+from ..session import ensure_checkpoint_dir
 from .ranking import exact_quantiles, exact_quantiles_many, global_rank, ntile
 
 # Input names (matched without case) -> model names.
@@ -91,8 +92,10 @@ def prepare(features: DataFrame, clip_quantile: float = 0.99,
     feature that has nulls (the imputation is a no-op otherwise).  Medians
     and the clip bound are exact and interpolated, like the single-machine
     job, and all come from one set of passes (``exact_quantiles_many``);
-    ``approx_accuracy`` switches them to one-pass sketches.
+    ``approx_accuracy`` switches them to one-pass sketches.  Runs these passes
+    when called.
     """
+    ensure_checkpoint_dir(features.sparkSession)
     df = map_columns(features)
     require_columns(df, REQUIRED)
     df = df.select(
@@ -126,6 +129,7 @@ def preparation_report(features: DataFrame, clip_quantile: float = 0.99) -> Data
     """One row of what preparation does: rows read, rows dropped for a missing
     id or target, nulls per feature after coercion, the clip bound and how
     many targets lie above it (the counts the batch job logged)."""
+    ensure_checkpoint_dir(features.sparkSession)
     df = map_columns(features)
     require_columns(df, REQUIRED)
     typed = df.select("CustomerID", *[F.col(c).try_cast("double").alias(c) for c in FEATURES],
@@ -160,7 +164,7 @@ def train_test_split(df: DataFrame, test_size: float = 0.2, seed: int = 42,
     """Add ``is_test``: exactly ``ceil(test_size * n)`` rows, chosen by a seeded
     hash of the id -- the same rows whatever the partitioning."""
     if not 0.0 < test_size < 1.0:
-        raise ValueError("test-size must be between 0.0 and 1.0")
+        raise ValueError(f"the test share lies between 0 and 1, both excluded, not {test_size}")
     key = [F.xxhash64(F.lit(seed), F.col(id_col)).asc(), F.col(id_col).asc()]
     r = global_rank(df, key, "_rank", "_n", materialize_input=materialize_input)
     n_test = F.ceil(F.lit(float(test_size)) * F.col("_n"))
@@ -199,29 +203,17 @@ def _estimator(seed: int) -> tuple[Pipeline, GBTRegressor]:
     return Pipeline(stages=[assembler, gbt]), gbt
 
 
-# Rows per partition of a frame a tree learner scans: about 20 MB of
-# doubles.  Every tree level is one Spark job with a task per partition, so
-# a small feature table spread over many shuffle partitions spends its
-# time on task overhead; a large one keeps one partition per this many rows.
-FIT_ROWS_PER_PARTITION = 250_000
+# Partitions of a frame a tree learner scans.  The learner draws its subsamples
+# partition by partition, so the fitted model depends on which rows share one:
+# the number is a parameter of the model (raise it with the cluster), never
+# taken from the data or the session.
+FIT_PARTITIONS = 8
 
 
-def size_for_fitting(df: DataFrame, n_rows: int | None = None,
-                     rows_per_partition: int = FIT_ROWS_PER_PARTITION) -> DataFrame:
-    """Coalesce a training frame to ``ceil(n_rows / rows_per_partition)``
-    partitions (never more than it has, never fewer than one).
-
-    ``coalesce`` merges partitions without a shuffle, so this only removes
-    per-task overhead; at cluster scale a billion-customer table still
-    keeps thousands of partitions.
-    """
-    n = df.count() if n_rows is None else n_rows
-    try:
-        current = df.rdd.getNumPartitions()
-    except Exception:  # no RDD API (a Spark Connect client): leave the frame as it is
-        return df
-    k = max(1, min(current, -(-n // max(1, rows_per_partition))))
-    return df.coalesce(k) if k < current else df
+def placed_for_fitting(df: DataFrame, partitions: int = FIT_PARTITIONS) -> DataFrame:
+    """Rows hashed by id into a fixed number of partitions and sorted inside, so
+    equal rows give an equal model whatever frame they come from."""
+    return df.repartition(partitions, "CustomerID").sortWithinPartitions("CustomerID", *FEATURES)
 
 
 @dataclass
@@ -233,18 +225,19 @@ class SearchResult:
 
 
 def random_search(train: DataFrame, n_iter: int = 20, num_folds: int = 3, seed: int = 42,
-                  parallelism: int = 4, space: dict | None = None) -> SearchResult:
+                  parallelism: int = 4, space: dict | None = None,
+                  partitions: int = FIT_PARTITIONS) -> SearchResult:
     """Random search with k-fold CV on mean squared error.
 
-    Folds are ``pmod(xxhash64(seed, id), k)``: repeatable, no shuffle.  The
-    training frame is coalesced to its row count (``size_for_fitting``)
-    and cached for the ``n_iter x num_folds`` fits.  The CV table (param
-    maps x mean MSE) is tiny: ``n_iter`` rows.
+    Folds are ``pmod(xxhash64(seed, id), k)``: repeatable.  The training frame
+    is placed once (``placed_for_fitting``) and cached for the ``n_iter x
+    num_folds`` fits.  The CV table (param maps x mean MSE) is tiny: ``n_iter``
+    rows.  Runs its jobs when called.
     """
     sets = sample_param_sets(n_iter, seed, space)
     pipe, gbt = _estimator(seed)
     maps = [{getattr(gbt, k): v for k, v in gbt_params(p).items()} for p in sets]
-    data = size_for_fitting(train).withColumn(
+    data = placed_for_fitting(train, partitions).withColumn(
         "_fold", F.pmod(F.xxhash64(F.lit(seed + 1), "CustomerID"), F.lit(num_folds)).cast("int")
     ).cache()
     cv = CrossValidator(estimator=pipe, estimatorParamMaps=maps,
@@ -262,31 +255,30 @@ def random_search(train: DataFrame, n_iter: int = 20, num_folds: int = 3, seed:
     return SearchResult(sets[best], math.sqrt(mse[best]), table, model)
 
 
-def fit(train: DataFrame, params: dict, seed: int = 42) -> PipelineModel:
+def fit(train: DataFrame, params: dict, seed: int = 42,
+        partitions: int = FIT_PARTITIONS) -> PipelineModel:
     """Fit one parameter set (the refit on all rows uses this too)."""
     pipe, gbt = _estimator(seed)
-    return pipe.fit(size_for_fitting(train),
+    return pipe.fit(placed_for_fitting(train, partitions),
                     {getattr(gbt, k): v for k, v in gbt_params(params).items()})
 
 
 # ------------------------------------------------------------------ evaluation
 
 def regression_metrics(df: DataFrame, label: str, prediction: str) -> DataFrame:
-    """One row: n, rmse, mae, r2 from one aggregate of sums (no second scan).
+    """One row: n, rmse, mae, r2 from one aggregate (no second scan).
 
-    R^2 = 1 - SS_res / SS_tot with SS_tot = sum(y^2) - (sum y)^2 / n.  Exact
-    decimal inputs give exact sums, so results do not depend on row order.
+    R^2 = 1 - SS_res / SS_tot, with SS_tot as n times the population variance,
+    which Spark updates from centred sums: labels far from zero lose nothing.
+    Exact decimal inputs give exact sums for the errors.
     """
     e = F.col(label) - F.col(prediction)
     s = df.agg(F.count(F.lit(1)).alias("n"), F.sum(e * e).alias("sse"),
-               F.sum(F.abs(e)).alias("sae"), F.sum(F.col(label)).alias("sy"),
-               F.sum(F.col(label) * F.col(label)).alias("syy"))
+               F.sum(F.abs(e)).alias("sae"), F.var_pop(F.col(label).cast("double")).alias("var"))
     n = F.col("n").cast("double")
     sse, sae = F.col("sse").cast("double"), F.col("sae").cast("double")
-    sy, syy = F.col("sy").cast("double"), F.col("syy").cast("double")
-    ss_tot = syy - sy * sy / n
     return s.select("n", F.sqrt(sse / n).alias("rmse"), (sae / n).alias("mae"),
-                    (F.lit(1.0) - F.try_divide(sse, ss_tot)).alias("r2"))
+                    (F.lit(1.0) - F.try_divide(sse, F.col("var") * n)).alias("r2"))
 
 
 def predict(model: PipelineModel, prepared: DataFrame) -> DataFrame:
@@ -322,8 +314,8 @@ def clv_pipeline(features: DataFrame, test_size: float = 0.2, seed: int = 42,
                  space: dict | None = None) -> ClvResult:
     """Prepare -> split -> search on train -> test metrics -> refit on all -> score."""
     if not 0.0 < test_size < 1.0:
-        raise ValueError("test-size must be between 0.0 and 1.0")
-    prepared = prepare(features).checkpoint(eager=True)
+        raise ValueError(f"the test share lies between 0 and 1, both excluded, not {test_size}")
+    prepared = prepare(features)   # reads one checkpointed copy of the features
     split = train_test_split(prepared, test_size, seed, materialize_input=False)
     train = split.filter(~F.col("is_test")).drop("is_test")
     test = split.filter(F.col("is_test")).drop("is_test")

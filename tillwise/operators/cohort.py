@@ -1,11 +1,8 @@
 """Acquisition cohorts, monthly activity and retention.
 
-The source joins every sales line to a per-customer cohort table.  Here
-the lines are first reduced to one row per (customer, month) -- a map-side
-combined aggregate, so a customer holding a third of all lines shrinks to
-a few hundred rows before any shuffle -- and the cohort month is the
-minimum month of each customer over that small frame (a window partitioned
-by customer).  No line-level join, same result:
+No line is joined to a cohort table.  One aggregate by customer, combined
+on the map side, gives the first month and the set of sales months (bounded
+by the number of calendar months), which is then exploded:
 
 * the cohort month is the first month of *any* line (returns included);
 * activity counts known customers' sales months only;
@@ -27,20 +24,17 @@ def cohort(cleaned: DataFrame) -> DataFrame:
                    .agg(month_start(F.min("invoice_date")).alias("cohort_month")))
 
 
-def _customer_months(cleaned: DataFrame) -> DataFrame:
-    known = cleaned.filter(F.col("customer_id").isNotNull())
-    cm = known.groupBy("customer_id", month_start(F.col("invoice_date")).alias("order_month")).agg(
-        F.max(F.when(F.col("is_return") == 0, 1).otherwise(0)).alias("_has_sale"))
-    by_customer = Window.partitionBy("customer_id")
-    return cm.withColumn("cohort_month", F.min("order_month").over(by_customer))
-
-
 def cohort_activity(cleaned: DataFrame) -> DataFrame:
     """cohort_month, index (months since the cohort month, double), active_customers."""
-    cm = _customer_months(cleaned).filter(F.col("_has_sale") == 1)
+    month = month_start(F.col("invoice_date"))
+    sale = F.col("is_return") == 0
+    # a sale without a date counts in the month null, as its own element of the set
+    per_customer = cleaned.filter(F.col("customer_id").isNotNull()).groupBy("customer_id").agg(
+        F.min(month).alias("cohort_month"),
+        F.collect_set(F.when(sale, F.struct(month.alias("m")))).alias("_months"))
+    cm = per_customer.select("cohort_month", F.explode("_months").alias("_s"))
     # (customer, month) is unique here, so counting rows counts distinct customers
-    return (cm.groupBy("cohort_month",
-                       F.months_between("order_month", "cohort_month").alias("index"))
+    return (cm.groupBy("cohort_month", F.months_between("_s.m", "cohort_month").alias("index"))
               .agg(F.count(F.lit(1)).alias("active_customers")))
 
 

@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import ensure_checkpoint_dir
+from .basket import mode_by
 from .ranking import exact_quantiles
 
 _MONEY = "decimal(20,2)"
@@ -62,37 +64,41 @@ def next_best_offer(cleaned: DataFrame, rules: DataFrame, k: int = 3) -> DataFra
 
     All relational, no per-customer item arrays:
 
-    * candidates come from an equi-join of owned (customer, item) pairs with
-      the rule's *first* antecedent item, so each (customer, rule) pair is
-      produced once;
-    * each candidate is expanded to the rule's items (an itemset, a handful
-      of rows) and left-joined to the owned pairs on (customer, item); a
-      count of matches per side is the subset test;
+    * candidates come from an equi-join of owned (customer, item) pairs with the antecedent
+      item that the fewest customers own, so each (customer, rule) pair is
+      produced once and a popular item does not draw all its owners;
+    * a candidate carries its rule, so its items are exploded in place and
+      left-joined to the owned pairs on (customer, item); a count of matches
+      per side is the subset test;
     * the top-k is a ``row_number`` filter, which Spark plans with a partial
       per-partition limit before the shuffle (``WindowGroupLimit``), so a
       customer with many candidates never sends more than k rows per map
       task to the final window.
+
+    The owned pairs are written once (a checkpoint) and read by every join.
     """
-    owned = customer_items(cleaned)
+    ensure_checkpoint_dir(cleaned.sparkSession)
+    owned = customer_items(cleaned).checkpoint(eager=True)
+    owners = owned.groupBy("item_code").agg(F.count(F.lit(1)).alias("_owners"))
     # a rule is identified by its two sorted item arrays (exact even if a
     # code contained the ", " separator of the printed codes)
     rule_key = ["antecedents", "consequents"]
-    first = rules.select(*rule_key, F.element_at("antecedents", 1).alias("item_code"))
-    cand = owned.join(first, "item_code").drop("item_code")
+    rarest = (rules.select(*rule_key, "confidence", "lift", F.explode("antecedents").alias("item_code"))
+                   .join(owners, "item_code")
+                   .groupBy(*rule_key, "confidence", "lift")
+                   .agg(F.min(F.struct("_owners", "item_code"))["item_code"].alias("item_code")))
+    cand = owned.join(rarest, "item_code").drop("item_code")
     side = lambda arr, a: F.transform(arr, lambda x: F.struct(x.alias("item_code"),
                                                              F.lit(a).alias("in_a")))
-    members = (rules.select(*rule_key, "confidence", "lift",
-                            F.size("antecedents").alias("_na"), F.size("consequents").alias("_nc"),
-                            F.explode(F.concat(side("antecedents", True), side("consequents", False)))
-                             .alias("_m"))
-                    .select(*rule_key, "confidence", "lift", "_na", "_nc", "_m.item_code", "_m.in_a"))
-    hits = (cand.join(members, rule_key)
-                .join(owned.withColumn("_own", F.lit(True)), ["customer_id", "item_code"], "left"))
+    members = cand.select("customer_id", *rule_key, "confidence", "lift",
+                          F.explode(F.concat(side("antecedents", True), side("consequents", False))).alias("_m"))
+    hits = (members.select("customer_id", *rule_key, "confidence", "lift", "_m.item_code", "_m.in_a")
+                   .join(owned.withColumn("_own", F.lit(True)), ["customer_id", "item_code"], "left"))
     owned_a = F.count_if(F.col("in_a") & F.col("_own").isNotNull())
     owned_c = F.count_if(~F.col("in_a") & F.col("_own").isNotNull())
-    tested = (hits.groupBy("customer_id", *rule_key, "confidence", "lift", "_na", "_nc")
+    tested = (hits.groupBy("customer_id", *rule_key, "confidence", "lift")
                   .agg(owned_a.alias("_ha"), owned_c.alias("_hc"))
-                  .filter((F.col("_ha") == F.col("_na")) & (F.col("_hc") < F.col("_nc")))
+                  .filter((F.col("_ha") == F.size("antecedents")) & (F.col("_hc") < F.size("consequents")))
                   .select("customer_id", "confidence", "lift",
                           F.array_join("antecedents", ", ").alias("antecedent_codes"),
                           F.array_join("consequents", ", ").alias("consequent_codes")))
@@ -105,12 +111,26 @@ def next_best_offer(cleaned: DataFrame, rules: DataFrame, k: int = 3) -> DataFra
 
 
 def retention_cliff(retention: DataFrame) -> DataFrame:
-    """R4. Per cohort: the step between successive indexes with the largest
-    drop in retention rate (ties: the earliest)."""
+    """R4. Per cohort: the step between successive months with the largest
+    drop in retention rate (ties: the earliest).
+
+    A month without activity inside the span of all months is a rate of zero, so
+    a fall to zero is a step like any other; months after the last one any
+    cohort reaches have not happened and are no step.  A cohort without a
+    size (no member bought in its first month) has no rates and no cliff.
+    """
+    sized = retention.filter(F.col("cohort_size").isNotNull() & F.col("index").isNotNull())
+    last = sized.agg(F.max(F.expr("add_months(cohort_month, CAST(index AS INT))"))).scalar()
+    spine = sized.groupBy("cohort_month").agg(F.first("cohort_size").alias("cohort_size")).select(
+        "cohort_month", F.explode(F.sequence(
+            F.lit(0), F.round(F.months_between(last, F.col("cohort_month"))).cast("int"))).alias("index")).withColumn(
+        "index", F.col("index").cast("double"))
+    filled = spine.join(sized.select("cohort_month", "index", "retention_rate"), ["cohort_month", "index"], "left") \
+                  .withColumn("retention_rate", F.coalesce("retention_rate", F.lit(0.0)))
     by_cohort = Window.partitionBy("cohort_month").orderBy("index")
-    steps = (retention.withColumn("prev_rate", F.lag("retention_rate").over(by_cohort))
-                      .withColumn("drop", F.col("prev_rate") - F.col("retention_rate"))
-                      .filter(F.col("drop").isNotNull()))
+    steps = (filled.withColumn("prev_rate", F.lag("retention_rate").over(by_cohort))
+                   .withColumn("drop", F.col("prev_rate") - F.col("retention_rate"))
+                   .filter(F.col("drop").isNotNull()))
     best = Window.partitionBy("cohort_month").orderBy(F.col("drop").desc(), F.col("index").asc())
     return (steps.withColumn("_r", F.row_number().over(best)).filter(F.col("_r") == 1)
                  .select("cohort_month", F.col("index").alias("cliff_index"),
@@ -126,12 +146,16 @@ def reengagement_audience(raw_rfm: DataFrame, min_days: int = 30) -> DataFrame:
 def monthly_revenue(cleaned: DataFrame) -> DataFrame:
     """R6. Net revenue by month, change on the previous month, year-to-date.
 
-    The month table has one row per calendar month; the two windows run
-    over that small table only (the lag window spans all months).
+    Every calendar month between the first and the last is there; one without
+    lines has revenue zero, so the previous month is always the month before.
+    The two windows run over that small table only.
     """
     m = (cleaned.filter(F.col("invoice_date").isNotNull())
                 .groupBy(F.trunc("invoice_date", "month").alias("month"))
                 .agg(F.sum("revenue").cast(_MONEY).alias("_rev")))
+    spine = m.agg(F.min("month").alias("a"), F.max("month").alias("b")).filter("a IS NOT NULL").select(
+        F.explode(F.sequence("a", "b", F.expr("INTERVAL 1 MONTH"))).alias("month"))
+    m = spine.join(m, "month", "left").select("month", F.coalesce("_rev", F.lit(0).cast(_MONEY)).alias("_rev"))
     prev = F.lag("_rev").over(Window.orderBy("month"))
     ytd = F.sum("_rev").over(Window.partitionBy(F.year("month")).orderBy("month")
                              .rowsBetween(Window.unboundedPreceding, Window.currentRow))
@@ -142,29 +166,37 @@ def monthly_revenue(cleaned: DataFrame) -> DataFrame:
         ytd.cast("double").alias("ytd_revenue"))
 
 
-def _mode_by(df: DataFrame, key: str, value: str) -> DataFrame:
-    counts = (df.filter(F.col(value).isNotNull())
-                .groupBy(key, value).agg(F.count(F.lit(1)).alias("_n")))
-    return counts.groupBy(key).agg(
-        F.min(F.struct((-F.col("_n")).alias("n"), F.col(value).alias("v"))).alias("_b")
-    ).select(key, F.col("_b.v").alias(value))
-
-
 def customer_dim_unique(cleaned: DataFrame) -> DataFrame:
-    """R7. One row per known customer: the most frequent country (ties: smallest)."""
-    return _mode_by(cleaned.filter(F.col("is_anonymous") == 0), "customer_id", "country")
+    """R7. One row per known customer: the most frequent country (ties: smallest; null if there is none)."""
+    return mode_by(cleaned.filter(F.col("is_anonymous") == 0), "customer_id", "country")
 
 
 def product_dim_unique(cleaned: DataFrame) -> DataFrame:
     """R7. One row per item over plausible lines: the most frequent description."""
     plausible = cleaned.filter((F.col("quantity") > 0) & (F.col("price") >= F.lit(0.1)))
-    return _mode_by(plausible, "item_code", "item_description")
+    return mode_by(plausible, "item_code", "item_description")
+
+
+def sales_fact(cleaned: DataFrame) -> DataFrame:
+    """R7. The star schema's fact table: every line with the one country of its
+    customer and the one description of its item.
+
+    Lines without a known customer or a plausible item keep null there.  Left
+    joins, so no line is lost; a customer or an item that holds a large share
+    of the lines is left to AQE's skew join (the dimension side is unique).
+    """
+    customers = customer_dim_unique(cleaned).withColumnRenamed("country", "customer_country")
+    products = product_dim_unique(cleaned).withColumnRenamed("item_description", "product_description")
+    return (cleaned.select("invoice_number", "invoice_date", "item_code", "customer_id", "quantity",
+                           "price", "revenue", "is_return")
+                   .join(customers, "customer_id", "left").join(products, "item_code", "left"))
 
 
 def drop_revenue_outliers(cleaned: DataFrame, q: float = 0.99) -> DataFrame:
     """R8. Sales lines with revenue at most the exact q-quantile of sales-line revenue."""
     sales = cleaned.filter(F.col("quantity") > 0)
-    bound = exact_quantiles(sales, "revenue", [q], ["b"]).scalar()
+    # the three passes read one pruned column of the input; a copy on executor disks would cost more
+    bound = exact_quantiles(sales, "revenue", [q], ["b"], materialize_input=False).scalar()
     return sales.filter(F.col("revenue").cast("double") <= bound)
 
 

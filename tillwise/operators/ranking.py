@@ -35,15 +35,22 @@ from ..session import ensure_checkpoint_dir
 
 _LOW_BITS = (1 << 33) - 1
 
+#: Rows of one range partition; the number of ranges follows the ranked rows, not the session.
+ROWS_PER_RANGE = 1_000_000
+
+
+def ranges_for(rows: int, num_partitions: int | None = None, rows_per_range: int = ROWS_PER_RANGE) -> int:
+    return num_partitions or max(1, -(-rows // rows_per_range))
+
 
 def global_rank(df: DataFrame, order: list[Column], rank_col: str = "_rank",
                 count_col: str = "_n", num_partitions: int | None = None,
                 materialize_input: bool = True) -> DataFrame:
     """Add the 0-based position of each row in ``order`` and the total row count.
 
-    Range partitioning reads its input twice (a sampling job for the
-    bounds, then the shuffle).  With ``materialize_input`` the input is
-    persisted (memory and disk) for exactly those two reads, so an expensive
+    Runs jobs when called: a count (which sizes the ranges: one per
+    ``ROWS_PER_RANGE`` rows), a sampling job for the bounds, the shuffle.  With ``materialize_input`` the input is
+    persisted (memory and disk) for exactly those reads, so an expensive
     upstream -- an aggregate over all lines -- runs once; it is released as
     soon as the ranked rows are checkpointed.  A lost cached block is simply
     recomputed: the input is deterministic, only the ranked rows (sampled
@@ -52,9 +59,9 @@ def global_rank(df: DataFrame, order: list[Column], rank_col: str = "_rank",
     """
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
-    k = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     src = df.persist(StorageLevel.MEMORY_AND_DISK) if materialize_input else df
     try:
+        k = num_partitions or ranges_for(src.count())
         placed = (src.repartitionByRange(k, *order)
                      .sortWithinPartitions(*order)
                      .withColumn("_mid", F.monotonically_increasing_id())
@@ -136,12 +143,17 @@ def weighted_positions(df: DataFrame, order: list[Column], weight: str,
     only thing broadcast), plus a running sum inside each range.  Run on
     (value, count) rows it ranks a column whose values repeat: a value held
     by a third of the rows is one row here, so no range holds it whole.
+
+    Runs jobs when called.  The running sums partition by range number, one
+    more exchange after the checkpoint, where two ranges may share a task:
+    small for the band it is meant for, dear when a whole column falls back
+    to it.
     """
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
-    k = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     src = df.persist(StorageLevel.MEMORY_AND_DISK)
     try:
+        k = num_partitions or ranges_for(src.count())
         placed = (src.repartitionByRange(k, *order)
                      .withColumn("_pid", F.spark_partition_id())
                      .checkpoint(eager=True))

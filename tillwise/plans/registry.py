@@ -7,9 +7,10 @@ the keys of ``tillwise.oracles.oracle_sql``.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..operators import basket as B
@@ -19,9 +20,11 @@ from ..operators import cohort as H
 from ..operators import measures as X
 from ..operators import rfm as R
 from ..operators.clv_features import clv_features
-from .params import BASKET_PARAMS, QUICK_SPACE
+from .params import BASKET_PARAMS, FIT_POINT
 from ..sources.raw import transactions_from_tpch
-from ..sources.sinks import RULE_COLUMNS
+from ..session import ensure_checkpoint_dir
+from ..sources.sinks import RULE_COLUMNS, read_rules, save_rules
+from .jobs import export_csv, read_basket_input
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -76,18 +79,68 @@ def _rule_codes(rules: DataFrame) -> DataFrame:
                         "antecedent_len", "consequent_len")
 
 
+def _stored_lines(spark, d):
+    """The basket lines, written once for the several steps that read them."""
+    ensure_checkpoint_dir(spark)
+    return basket_lines(spark, d).checkpoint(eager=True)
+
+
+def _lines_and_rules(spark, d, key="all"):
+    lines = _stored_lines(spark, d)
+    s, c, ml = BASKET_PARAMS[key]
+    return lines, B.association_rules(B.frequent_itemsets(B.baskets(lines), s, ml), c)
+
+
 def _described(spark, d, key="all"):
-    return B.attach_descriptions(_rules(spark, d, key), basket_lines(spark, d)).select(*RULE_COLUMNS)
+    lines, rules = _lines_and_rules(spark, d, key)
+    return B.attach_descriptions(rules, lines).select(*RULE_COLUMNS)
+
+
+def _top_rules(spark, d, key="all"):
+    lines, rules = _lines_and_rules(spark, d, key)
+    return B.top_described(rules, lines).select(*RULE_COLUMNS)
 
 
 def _summary(spark, d, key="all"):
-    lines = basket_lines(spark, d)
-    b = B.baskets(lines)
+    lines = _stored_lines(spark, d)
+    b = B.baskets(lines).checkpoint(eager=True)
     s, c, ml = BASKET_PARAMS[key]
     its = B.frequent_itemsets(b, s, ml)
     return B.summarize(b, lines, its, B.association_rules(its, c))
 
 
+def _market_basket(spark, d, key="all"):
+    s, c, ml = BASKET_PARAMS[key]
+    return B.market_basket(cleaned(spark, d), s, c, ml).rules.select(*RULE_COLUMNS)
+
+
+def _wide_catalogue(spark, d):
+    s, c, ml = BASKET_PARAMS["wide"]
+    lines = C.clean(C.stage(transactions_from_tpch(spark, d, item_column="p_partkey")))
+    return _rule_codes(B.association_rules(B.frequent_itemsets(B.baskets(B.preprocess(lines)), s, ml), c))
+
+
+def _shared_path(spark, name):
+    return f"{ensure_checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def _rules_file(spark, d):
+    """The rules file, written and read back, with the place of each rule in it."""
+    path = _shared_path(spark, "rules")
+    save_rules(_described(spark, d), path)
+    read = read_rules(spark, path).select("*", F.input_file_name().alias("_f"), F.monotonically_increasing_id().alias("_i"))
+    # as many rows as rules: a small table
+    return read.withColumn("position", F.row_number().over(Window.orderBy("_f", "_i")).cast("bigint")).drop("_f", "_i")
+
+
+def _csv_round_trip(spark, d):
+    """The cleaned lines with quotes, commas, line breaks and backslashes in the descriptions, through a CSV export."""
+    path = _shared_path(spark, "lines")
+    text = F.concat(F.lit('"'), "item_description", F.lit('", \n'), F.lit("said '"), "item_code", F.lit("' \\"))
+    export_csv(cleaned(spark, d).withColumn("item_description", text), path)
+    return read_basket_input(spark, path)
+
+
 QUERIES.update({
     "a18_clean_report": lambda s, d: B.clean_report(cleaned(s, d)),
     "m1_basket_lines": basket_lines,
@@ -103,8 +156,12 @@ QUERIES.update({
     "m3_rules_all": lambda s, d: _rule_codes(_rules(s, d, "low")),
     "m8_rules_default": lambda s, d: _rule_codes(_rules(s, d, "default")),
     "m5_rules_described": _described,
-    "o3_top_rules": lambda s, d: B.top_rules(_described(s, d)),
+    "o3_top_rules": _top_rules,
     "m7_summary": _summary,
+    "m8_market_basket": _market_basket,
+    "m8_wide_catalogue": _wide_catalogue,
+    "o2_rules_file": _rules_file,
+    "s5_csv_round_trip": _csv_round_trip,
 })
 
 
@@ -120,8 +177,58 @@ def formula_prediction(features: DataFrame) -> DataFrame:
                            F.col("future_6M_revenue").cast("decimal(20,2)").alias("label_dec"))
 
 
-def _clv_run(spark, d):
-    return M.clv_pipeline(_features(spark, d), n_iter=2, space=QUICK_SPACE)
+def _faulty_features(spark, d):
+    """The features with nulls, unparsable texts and missing ids put in by a fixed rule."""
+    f = _features(spark, d)
+    cid = F.col("customer_id")
+    hit = lambda m, k: F.pmod(cid, F.lit(m)) == k
+    text = lambda c, bad, word: F.when(bad, F.lit(word)).otherwise(F.col(c).cast("string"))
+    return f.select(
+        F.when(hit(17, 3), None).otherwise(cid).alias("customer_id"), text("total_orders", hit(7, 1), "n/a").alias("TOTAL_ORDERS"),
+        F.when(hit(5, 2), None).otherwise(F.col("total_revenue")).alias("total_revenue"), "avg_order_value", "days_since_first",
+        text("days_since_last", hit(3, 0), "").alias("days_since_last"), text("future_6M_revenue", hit(13, 4), "?").alias("future_6M_revenue"))
+
+
+def _lines_with_gaps(spark, d):
+    gap = lambda c, m, k: F.when(F.col("quantity") % m == k, None).otherwise(F.col(c)).alias(c)
+    lines = cleaned(spark, d)
+    holes = {"invoice_number": (11, 3), "item_code": (13, 5), "item_description": (2, 0)}
+    return B.preprocess(lines.select(*[gap(c, *holes[c]) if c in holes else F.col(c) for c in lines.columns]))
+
+
+def _metrics_on_doubles(spark, d):
+    p = formula_prediction(_features(spark, d))
+    far = p.select((F.col("label_dec").cast("double") + 1e6).alias("y"), (F.col("pred_dec").cast("double") + 1e6).alias("p"))
+    return M.regression_metrics(far, "y", "p").select("n", *[F.round(c, 6).alias(c) for c in ("rmse", "mae", "r2")])
+
+
+def _fitted(spark, d):
+    """A model of one grid point fitted on all prepared rows, and its predictions."""
+    prepared = M.prepare(_features(spark, d))
+    return M.predict(M.fit(prepared, FIT_POINT), prepared)
+
+
+def _holdout_metrics(spark, d):
+    """Fitted on the training part only: size of the test part, and whether its
+    metrics are finite and its predictions lie within the range of the training targets
+    (plus half of it, since boosted trees may overshoot)."""
+    split = M.train_test_split(M.prepare(_features(spark, d))).checkpoint(eager=True)
+    train, test = split.filter(~F.col("is_test")), split.filter(F.col("is_test"))
+    pred = M.fit(train.drop("is_test"), FIT_POINT).transform(test)
+    low, high = train.agg(F.min(M.TARGET), F.max(M.TARGET)).first()
+    room = ((high or 0.0) - (low or 0.0)) / 2
+    inside = F.bool_and(F.col("prediction").between((low or 0.0) - room, (high or 0.0) + room))
+    m = M.regression_metrics(pred, M.TARGET, "prediction")
+    return m.select("n", (F.col("rmse").isNotNull() & ~F.isnan("rmse") & (F.col("mae") <= F.col("rmse"))).alias("finite"),
+                    pred.agg(inside).scalar().alias("in_range"))
+
+
+def _fitted_quintiles(spark, d):
+    """Quintile sizes of the fitted predictions, and whether each quintile lies at or above the next."""
+    q = M.clv_quintiles(_fitted(spark, d)).groupBy("clv_quintile").agg(
+        F.count(F.lit(1)).alias("customers"), F.min("clv_prediction").alias("lo"), F.max("clv_prediction").alias("hi"))
+    below = F.lead("hi").over(Window.orderBy("clv_quintile"))   # five rows
+    return q.withColumn("_b", below).select("clv_quintile", "customers", F.coalesce(F.col("lo") >= F.col("_b"), F.lit(True)).alias("ordered"))
 
 
 QUERIES.update({
@@ -132,12 +239,15 @@ QUERIES.update({
     "c11_quintiles_on_formula": lambda s, d: M.clv_quintiles(
         formula_prediction(_features(s, d)).select(
             "customer_id", F.col("pred_dec").cast("double").alias("clv_prediction"))),
-    # fitted: rows-only checks
-    "c5_search": lambda s, d: M.random_search(
-        M.train_test_split(M.prepare(_features(s, d))).filter(~F.col("is_test")).drop("is_test"),
-        n_iter=2, space=QUICK_SPACE).table,
-    "c9_predictions": lambda s, d: _clv_run(s, d).predictions,
-    "t12_clv_segment": lambda s, d: _clv_run(s, d).segments,
+    "c7_metrics_on_doubles": _metrics_on_doubles,
+    "a14_prepared_with_faults": lambda s, d: M.prepare(_faulty_features(s, d)),
+    "a14_report_with_faults": lambda s, d: M.preparation_report(_faulty_features(s, d)),
+    "p16_literal_window": lambda s, d: clv_features(cleaned(s, d), "1997-03-01", "1997-09-30"),
+    "f8_lines_with_null_keys": _lines_with_gaps,
+    # fitted: what is fixed about any fitted model
+    "c4_holdout_metrics": _holdout_metrics,
+    "c8_refit_actuals": lambda s, d: _fitted(s, d).drop("clv_prediction"),
+    "c11_fitted_quintiles": _fitted_quintiles,
 })
 
 
@@ -160,6 +270,7 @@ QUERIES.update({
     "r6_monthly_revenue": lambda s, d: X.monthly_revenue(cleaned(s, d)),
     "r7_customer_dim_unique": lambda s, d: X.customer_dim_unique(cleaned(s, d)),
     "r7_product_dim_unique": lambda s, d: X.product_dim_unique(cleaned(s, d)),
+    "r7_sales_fact": lambda s, d: X.sales_fact(cleaned(s, d)),
     "r8_outlier_filtered": lambda s, d: X.drop_revenue_outliers(cleaned(s, d)),
     "r9_dedupe": lambda s, d: X.dedupe(
         cleaned(s, d), ["invoice_number", "item_code"],
@@ -169,8 +280,9 @@ QUERIES.update({
 
 
 QUERIES.update({
-    "o1_cohort_activity_sorted": lambda s, d: H.cohort_activity(cleaned(s, d)).orderBy(
-        "cohort_month", "index"),
+    # a table of months squared: one window over it makes the order part of the rows
+    "o1_cohort_activity_sorted": lambda s, d: H.cohort_activity(cleaned(s, d)).withColumn(
+        "position", F.row_number().over(Window.orderBy("cohort_month", "index")).cast("bigint")).orderBy("position"),
     "m2_itemsets_len1_2": lambda s, d: _itemsets(s, d, "pairs").select(
         F.array_join("items", ", ").alias("items"), "freq", "support", "length"),
     "a2_sanity_fixed": lambda s, d: C.sanity(staged(s, d), fixed_returns=True),

@@ -42,5 +42,4 @@ def require_columns(df: DataFrame, required: list[str]) -> None:
     """Raise ``ValueError`` naming the missing and the available columns."""
     missing = [c for c in required if c not in df.columns]
     if missing:
-        raise ValueError(
-            f"Missing required columns: {missing}. Available columns: {list(df.columns)}")
+        raise ValueError(f"the input lacks the columns {missing}; it has {list(df.columns)}")

@@ -48,8 +48,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str | None:
     """Return the reliable checkpoint directory of this session.
 
     On a cluster the directory is named by ``spark.checkpoint.dir`` (a shared
-    file system); we read it and use it as is.  Only when nothing is set --
-    tests, a laptop -- do we pick a fresh local scratch directory.
+    file system); we read it and use it as is.  Only a local master may go
+    without: it gets a fresh scratch directory.  On a cluster executors could
+    not share that, so a missing setting is an error there.
     """
     try:
         sc = spark.sparkContext
@@ -62,6 +63,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str | None:
     if not conf_dir:
         conf_dir = spark.conf.get("spark.checkpoint.dir", None)
     if not conf_dir:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
         conf_dir = tempfile.mkdtemp(prefix="tillwise-ckpt-")
     sc.setCheckpointDir(conf_dir)
     return sc.getCheckpointDir()
@@ -69,24 +72,21 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str | None:
 
 def cluster_conf(input_bytes: int, total_cores: int,
                  scan_split_bytes: int = 512 << 20,
-                 shuffle_bytes_per_partition: int = 1 << 30,
-                 max_shuffle_partitions: int = 100_000) -> dict[str, str]:
+                 shuffle_bytes_per_partition: int = 1 << 30) -> dict[str, str]:
     """Session settings for a cluster run, sized from the input instead of fixed.
 
     * scans are split at ``scan_split_bytes`` (512 MB: ~200k tasks for 100 TB);
-    * shuffles start with one partition per GB of input (capped), which AQE
+    * shuffles start with one partition per GB of input, which AQE
       then coalesces -- after column pruning and map-side partial aggregation
       the shuffled bytes are a fraction of the input, so partitions stay far
       below executor memory -- and skewed partitions are split;
-    * the rank operators use ``spark.sql.shuffle.partitions`` range
-      partitions, so their offsets table (one row per partition) stays small;
+    * the rank operators size their range partitions from the rows they rank;
     * checkpoint files are deleted with their DataFrames.
 
     ``spark.checkpoint.dir`` is not set here: it must name the cluster's
     shared file system and comes from the deployment.
     """
-    shuffle = max(2 * total_cores, min(max_shuffle_partitions,
-                                       -(-input_bytes // shuffle_bytes_per_partition)))
+    shuffle = max(2 * total_cores, -(-input_bytes // shuffle_bytes_per_partition))
     return {
         "spark.sql.files.maxPartitionBytes": str(scan_split_bytes),
         "spark.sql.shuffle.partitions": str(shuffle),

@@ -1,18 +1,26 @@
-"""CSV sources with the error contract of the batch jobs.
+"""CSV sources and the options that readers and writers share.
 
-A missing file, an empty file and a file that does not parse are three
-different errors.  With ``FAILFAST`` a malformed record is an error, not
-a silent null row; an optional validation pass (one count per column)
-reports it when the file is opened.
+Quotes inside a quoted field are doubled, as other tools write and read them;
+a field may hold commas, backslashes and, with ``multiline`` (the default), line
+breaks.  A multi-line file is read by one task, so a large export should be
+many files, or free of line breaks and read with ``multiline=False``, which
+splits files.
+
+A missing file, an empty file and a malformed record are three different
+errors.  With ``FAILFAST`` a malformed record is an error, not a silent null
+row: it surfaces at the first action that reads it, or, with ``validate``, in one
+pass of its own when the file is opened.
 """
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException, PySparkException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+CSV_OPTIONS = {"header": "true", "quote": '"', "escape": '"'}
+
 
 def _exists(spark: SparkSession, path: str) -> bool:
     jvm = spark.sparkContext._jvm
@@ -23,37 +31,40 @@ def _exists(spark: SparkSession, path: str) -> bool:
 
 def validate_input_file(spark: SparkSession, path: str) -> None:
     if not _exists(spark, path):
-        raise FileNotFoundError(f"Input file not found: {path}")
+        raise FileNotFoundError(f"nothing to read at {path}")
 
 
 def load_csv(spark: SparkSession, path: str, schema: T.StructType | None = None,
-             validate: bool = True) -> DataFrame:
-    """Read a header CSV.  ``schema`` given: enforced, malformed rows raise.
-
-    ``validate`` runs one distributed pass that parses every column (one
-    count per column), so a malformed record is reported here as
-    ``ValueError`` -- the single-machine reader parsed the whole file up
-    front.  Without it the error surfaces at the first action that reads
-    the bad record.
+             validate: bool = False, multiline: bool = True) -> DataFrame:
+    """Read a header CSV; without ``schema`` every column is a string.
+
+    ``validate`` parses every column once (one count per column) to report a
+    malformed record here, at the price of a second read.
     """
     validate_input_file(spark, path)
-    reader = spark.read.option("header", True).option("mode", "FAILFAST")
-    if schema is not None:
-        reader = reader.schema(schema)
-    else:
-        # no declared types: read every column as a string, coerce later
-        reader = reader.option("inferSchema", False)
+    reader = spark.read.options(**CSV_OPTIONS).option("mode", "FAILFAST").option("multiLine", multiline)
+    reader = reader.option("inferSchema", False) if schema is None else reader.schema(schema)
     try:
         df = reader.csv(path)
-    except AnalysisException as e:  # e.g. no header can be read
-        raise ValueError(f"Input file is empty: {path}") from e
+    except AnalysisException as e:  # no header to take names from
+        raise ValueError(f"{path} holds no header line") from e
     if not df.columns:
-        raise ValueError(f"Input file is empty: {path}")
-    try:
-        if validate:
+        raise ValueError(f"{path} holds no header line")
+    if validate:
+        try:
             df.agg(*[F.count(F.col(f"`{c}`")) for c in df.columns]).collect()
-        else:
-            df.isEmpty()
-    except Exception as e:  # FAILFAST parse error surfaces here
-        raise ValueError(f"Failed to parse CSV file: {path}") from e
+        except PySparkException as e:
+            if "MALFORMED" in str(e) or "FAILFAST" in str(e):
+                raise ValueError(f"{path} holds a malformed record") from e
+            raise  # a lost executor or a refused read is no parse error
     return df
+
+
+def whole_number(column: str) -> Column:
+    """A text as int: ``6`` and ``6.0`` are numbers, other texts an error, null and blank are null."""
+    text = F.trim(F.col(column).cast("string"))
+    value = text.try_cast("double")
+    bad = F.raise_error(F.concat(F.lit(f"column {column} holds no whole number: "), text))
+    return (F.when(text.isNull() | (text == ""), F.lit(None).cast("int"))
+             .when(value.isNull() | (value != F.floor(value)) | (F.abs(value) > 2**31 - 1), bad.cast("int"))
+             .otherwise(value.cast("int")))

@@ -18,38 +18,21 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def ensure_parallelism(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Spread a scan that yields fewer partitions than the cluster has cores.
-
-    A parquet file written as one big row group is read by one task, which
-    would then run every narrow step after it alone.  Large inputs have
-    many row groups and pass through untouched (no shuffle); only an
-    under-split input pays one round-robin exchange.
-    """
-    try:
-        target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-        current = df.rdd.getNumPartitions()
-    except Exception:  # no RDD API (a Spark Connect client): leave the plan as it is
-        return df
-    return df.repartition(target) if current < target else df
-
-
 def _two_digits(c: Column) -> Column:
     return F.lpad(c.cast("string"), 2, "0")
 
 
-def transactions_from_tpch(spark: SparkSession, sf_dir: str) -> DataFrame:
+def transactions_from_tpch(spark: SparkSession, sf_dir: str, item_column: str = "p_brand") -> DataFrame:
     """Raw transaction lines (schema ``RAW_TRANSACTIONS``) from the test tables.
 
     Mapping: returned-and-final lines become cancellations (``C`` invoice,
-    negative quantity); the brand is the item code and the part name its
-    description; the date string is padded ``' dd-MM-yyyy HH:mm'``; every
+    negative quantity); the brand (25 values; or ``item_column``, such as the
+    part key) is the item code and the part name its description; the date string is padded ``' dd-MM-yyyy HH:mm'``; every
     tenth order is anonymous.
     """
     li = read_table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_linenumber", "l_quantity", "l_extendedprice",
         "l_tax", "l_returnflag", "l_linestatus")
-    li = ensure_parallelism(li)
     orders = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
     customer = read_table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     nation = read_table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
@@ -67,7 +50,7 @@ def transactions_from_tpch(spark: SparkSession, sf_dir: str) -> DataFrame:
     key = F.col("l_orderkey").cast("string")
     return j.select(
         F.when(cancelled, F.concat(F.lit("C"), key)).otherwise(key).alias("InvoiceNo"),
-        F.col("p_brand").alias("StockCode"),
+        F.col(item_column).cast("string").alias("StockCode"),
         F.col("p_name").alias("Description"),
         F.when(cancelled, -F.col("l_quantity")).otherwise(F.col("l_quantity"))
          .cast("int").alias("Quantity"),

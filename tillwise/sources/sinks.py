@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .files import CSV_OPTIONS
+
 # The rules file's columns, in file order.
 RULE_COLUMNS = [
     "antecedent_codes", "consequent_codes", "antecedent_descriptions",
@@ -22,7 +24,7 @@ RULE_SCHEMA = T.StructType(
 
 def read_rules(spark: SparkSession, path: str) -> DataFrame:
     """Read a rules file written by ``save_rules`` with its fixed types."""
-    return spark.read.schema(RULE_SCHEMA).option("header", True).csv(path)
+    return spark.read.options(**CSV_OPTIONS).option("multiLine", True).schema(RULE_SCHEMA).csv(path)
 
 
 def replace_table(df: DataFrame, name: str | None = None, path: str | None = None,
@@ -48,13 +50,13 @@ def save_rules(rules: DataFrame, path: str, header: bool = True) -> None:
     (rules.select(*RULE_COLUMNS)
           .orderBy(F.col("lift").desc(), F.col("confidence").desc(),
                    "antecedent_codes", "consequent_codes")
-          .write.mode("overwrite").option("header", header).csv(path))
+          .write.mode("overwrite").options(**CSV_OPTIONS).option("header", header).csv(path))
 
 
 def save_predictions(pred: DataFrame, path: str, fmt: str = "csv") -> None:
     w = pred.write.mode("overwrite")
     if fmt == "csv":
-        w.option("header", True).csv(path)
+        w.options(**CSV_OPTIONS).csv(path)
     else:
         w.format(fmt).save(path)
 

@@ -36,14 +36,15 @@ from pyspark.sql import types as T
 from tillwise.llm.common import as_bytes, map_arrow, segment_sums, shuffle_partitions, slices, stored
 
 #: Symbols of the model (words, end and other), symbols a class, units of the state.
-VOCABULARY, CLASS, UNITS = 2048, 32, 32
+VOCABULARY, CLASS, UNITS = 1024, 32, 16
 #: Words whose counts are broadcast, and their greatest length.
 FREQUENT, WORD_BYTES = 1 << 16, 64
 #: Tokens between cuts of the gradient; lanes trained and scored side by side.
 WINDOW, TRAIN_LANES, SCORE_LANES = 32, 64, 256
 #: One in so many training documents each round; rounds; step size; clip of a gradient entry.
-STRIDE, ROUNDS, RATE, CLIP = 8, 2, 0.3, 1.0
+STRIDE, ROUNDS, RATE, CLIP = 16, 2, 0.3, 1.0
 _END, _OTHER = 0, 1
+_ROWS = 4096  # states whose output is worked out at once
 _BLOCK = 1 << 14  # weights a row when copies are averaged
 _HELD_WORDS = 400_000  # distinct words a counting task holds before it passes them on
 
@@ -76,6 +77,16 @@ def count_words(docs: DataFrame, text: str = "text") -> DataFrame:
     return map_arrow(docs.select(F.col(text).cast("string").alias("text")), apply, "word binary, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
 
 
+class Places(dict):
+    """word -> place in the frequency table; -1 for any other word."""
+
+    def __missing__(self, word: bytes) -> int:
+        return -1
+
+    def of(self, words: list[bytes]) -> np.ndarray:
+        return np.fromiter(map(self.__getitem__, words), dtype=np.int64, count=len(words))
+
+
 @dataclass(frozen=True)
 class Unigrams:
     """Totals of the training tokens, and the counts of the frequent words."""
@@ -83,7 +94,7 @@ class Unigrams:
     tokens: int
     distinct: int
     ends: int
-    frequent: dict[bytes, int]  # word -> place in ``counts``, most frequent first
+    frequent: Places  # word -> place in ``counts``, most frequent first
     counts: np.ndarray
     model_words: int  # of these, how many the model predicts
 
@@ -105,16 +116,24 @@ def unigrams(words: DataFrame, ends: int, frequent: int = FREQUENT, vocabulary:
     total = words.agg(F.sum("n").alias("n"), F.count("*").alias("v")).first()
     top = words.where(F.length("word") <= WORD_BYTES).orderBy(F.desc("n"), "word").limit(frequent).toArrow()
     counts = top.column("n").to_numpy()
-    places = {bytes(w): k for k, w in enumerate(top.column("word").to_pylist())}
+    places = Places((bytes(w), k) for k, w in enumerate(top.column("word").to_pylist()))
     return Unigrams((total["n"] or 0) + ends, total["v"] + (ends > 0), ends, places, counts, min(vocabulary - 2, len(counts)))
 
 
 # the recurrent model ------------------------------------------------------------------------
 
 
-def _sigmoid(x: np.ndarray) -> np.ndarray:
-    with np.errstate(over="ignore"):
-        return 1.0 / (1.0 + np.exp(-x))
+def _softmax(logits: np.ndarray, picked: np.ndarray, gradient: bool) -> tuple[np.ndarray, np.ndarray | None]:
+    """(log-probability of the picked column, its gradient with the sign turned) of each row; works in place."""
+    np.minimum(logits, 80, out=logits)  # keeps the exponential finite
+    at = np.arange(len(picked))
+    own = logits[at, picked]
+    np.exp(logits, out=logits)
+    total = logits @ np.ones(logits.shape[1], dtype=logits.dtype)
+    if gradient:
+        logits /= total[:, None]
+        logits[at, picked] -= 1.0
+    return own - np.log(total), logits if gradient else None
 
 
 class Gru:
@@ -149,52 +168,55 @@ class Gru:
         """States (steps, lanes, units) after each input; ``keep`` is 0 where a document starts."""
         units = self.units
         out = np.empty((*inputs.shape, units), dtype=np.float32)
-        for t in range(len(inputs)):
-            h = h * keep[t][:, None]
-            a, g = self.x[inputs[t]], h @ self.u
-            zr = _sigmoid(a[:, : 2 * units] + g[:, : 2 * units])
-            z, r = zr[:, :units], zr[:, units:]
-            n = np.tanh(a[:, 2 * units :] + r * g[:, 2 * units :])
-            out[t] = n + z * (h - n)
-            if cache is not None:
-                cache.append((h, z, r, n, g[:, 2 * units :]))
-            h = out[t]
+        with np.errstate(over="ignore"):
+            for t in range(len(inputs)):
+                h = h * keep[t][:, None]
+                a, g = self.x[inputs[t]], h @ self.u
+                zr = a[:, : 2 * units] + g[:, : 2 * units]
+                np.negative(zr, out=zr)
+                np.exp(zr, out=zr)
+                zr += 1.0
+                np.reciprocal(zr, out=zr)
+                z, r = zr[:, :units], zr[:, units:]
+                n = np.tanh(a[:, 2 * units :] + r * g[:, 2 * units :])
+                np.add(n, z * (h - n), out=out[t])
+                if cache is not None:
+                    cache.append((h, z, r, n, g[:, 2 * units :]))
+                h = out[t]
         return out, h
 
     def log_prob(self, states: np.ndarray, targets: np.ndarray, grads: Gru | None = None) -> tuple[np.ndarray, np.ndarray | None]:
         """Natural log-probability of each target; with ``grads`` also the gradient by the states, output gradients being added."""
-        logits = states @ self.c + self.cb
-        logits -= logits.max(axis=1, keepdims=True)
-        share = np.exp(logits)
-        total = share.sum(axis=1, keepdims=True)
+        out = np.empty(len(targets))
+        back = None if grads is None else np.empty_like(states)
+        for at in range(0, len(targets), _ROWS):  # blocks whose logits stay in the processor's cache
+            span = slice(at, at + _ROWS)
+            found, flow = self._log_prob(states[span], targets[span], grads)
+            out[span] = found
+            if back is not None:
+                back[span] = flow
+        return out, back
+
+    def _log_prob(self, states: np.ndarray, targets: np.ndarray, grads: Gru | None) -> tuple[np.ndarray, np.ndarray | None]:
         own = targets // self.per_class
-        at = np.arange(len(targets))
-        out = logits[at, own] - np.log(total[:, 0])
+        out, share = _softmax(states @ self.c + self.cb, own, grads is not None)
         back = None
         if grads is not None:
-            d = share / total
-            d[at, own] -= 1.0
-            grads.c += states.T @ d
-            grads.cb += d.sum(axis=0)
-            back = d @ self.c.T
+            grads.c += states.T @ share
+            grads.cb += share.sum(axis=0)
+            back = share @ self.c.T
         order = np.argsort(own, kind="stable")
         edges = np.searchsorted(own[order], np.arange(self.classes + 1))
-        for k in np.flatnonzero(np.diff(edges)):
+        for k in np.flatnonzero(np.diff(edges)).tolist():
             rows = order[edges[k] : edges[k + 1]]
             span = slice(k * self.per_class, (k + 1) * self.per_class)
-            mine, inside = states[rows], targets[rows] - k * self.per_class
-            logits = mine @ self.o[span].T + self.ob[span]
-            logits -= logits.max(axis=1, keepdims=True)
-            share = np.exp(logits)
-            total = share.sum(axis=1, keepdims=True)
-            here = np.arange(len(rows))
-            out[rows] += logits[here, inside] - np.log(total[:, 0])
+            mine = states[rows]
+            found, share = _softmax(mine @ self.o[span].T + self.ob[span], targets[rows] - span.start, grads is not None)
+            out[rows] += found
             if grads is not None:
-                d = share / total
-                d[here, inside] -= 1.0
-                grads.o[span] += d.T @ mine
-                grads.ob[span] += d.sum(axis=0)
-                back[rows] += d @ self.o[span]
+                grads.o[span] += share.T @ mine
+                grads.ob[span] += share.sum(axis=0)
+                back[rows] += share @ self.o[span]
         return out, back
 
     def gradients(self, inputs: np.ndarray, keep: np.ndarray, targets: np.ndarray, h: np.ndarray) -> tuple[Gru, np.ndarray, float, int]:
@@ -343,7 +365,7 @@ def train(docs: DataFrame, known: Unigrams, text: str = "text", id_column: str =
                 for part in slices(batch, "text", 1 << 20):
                     lane = part.column("lane")[0].as_py()
                     texts = [words_of(t) for t in as_bytes(part.column("text"))]
-                    trainer.learn([_symbols(np.fromiter((places.get(w, -1) for w in t), dtype=np.int64, count=len(t)), words) for t in texts])
+                    trainer.learn([_symbols(places.of(t), words) for t in texts])
             if trainer.tokens:
                 weighed = trainer.model.vector.astype(np.float64) * trainer.tokens
                 for at in range(0, len(weighed), _BLOCK):
@@ -384,7 +406,7 @@ def score(docs: DataFrame, words: DataFrame, known: Unigrams, model: Gru, text:
                 rare_words, rare_counts, offsets = [], [], [0]
                 for one in as_bytes(part.column("text")):
                     said = words_of(one)
-                    places = np.fromiter((told.frequent.get(w, -1) for w in said), dtype=np.int64, count=len(said))
+                    places = told.frequent.of(said)
                     sequences.append(_symbols(places, told.model_words))
                     base.append(log_count[places].sum())
                     spelt.append(log_count[places[places >= told.model_words]].sum())

@@ -85,11 +85,43 @@ def test_pipeline_validation_and_strict_errors(spark):
         B.market_basket(df, min_confidence=1.5)
     with pytest.raises(ValueError):
         B.market_basket(df, max_len=0)
-    with pytest.raises(ValueError, match="No frequent itemsets"):
+    with pytest.raises(ValueError, match="no itemset reaches the support"):
         B.market_basket(df, min_support=0.99)
-    with pytest.raises(ValueError, match="No data remaining"):
+    with pytest.raises(ValueError, match="cleaning left no line"):
         B.market_basket(df.filter(F.lit(False)))
     res = B.market_basket(df, min_support=0.07, min_confidence=0.5)
     s = res.summary.first()
     assert (s.n_transactions, s.n_products, s.n_itemsets, s.n_rules) == (100, 4, 8, 12)
     assert B.top_rules(res.rules, 5).count() == 5
+
+
+def test_only_frequent_itemsets_are_mined(spark):
+    """1,000 baskets at support 0.0015: an itemset needs two baskets, so one of 17 items gives nothing."""
+    assert B.smallest_passing_count(0.0015, 1000) == 2
+    assert [B.smallest_passing_count(s, n) for s, n in ((0.01, 100), (1.0, 7), (0.07, 100), (1e-9, 10))] == [1, 7, 7, 1]
+    rows = [(str(k), ["a"]) for k in range(999)] + [("big", [f"i{k:02d}" for k in range(17)])]
+    df = spark.createDataFrame(rows, "invoice_number string, items array<string>")
+    assert [(r["items"], r["freq"]) for r in B.frequent_itemsets(df, 0.0015).collect()] == [(["a"], 999)]
+
+
+def test_short_itemsets_are_counted_as_mined(spark):
+    b = B.baskets(B.preprocess(_fixture(spark)))
+    mined = {(tuple(r["items"]), r["freq"]) for r in B.frequent_itemsets(b, 0.05).collect()}
+    for n in (1, 2):
+        counted = {(tuple(r["items"]), r["freq"]) for r in B.frequent_itemsets(b, 0.05, max_len=n).collect()}
+        assert counted == {x for x in mined if len(x[0]) <= n} and counted
+
+
+def test_pruned_rules_equal_filtered_rules(spark):
+    its = B.frequent_itemsets(B.baskets(B.preprocess(_fixture(spark))), 0.05)
+    for least in (0.1, 0.5, 0.9):
+        pruned = {tuple(map(str, r)) for r in B.association_rules(its, least).collect()}
+        whole = {tuple(map(str, r)) for r in B.association_rules(its).filter(F.col("confidence") >= least).collect()}
+        assert pruned == whole
+
+
+def test_errors_leave_nothing_cached(spark):
+    before = spark.sparkContext._jsc.getPersistentRDDs().size()
+    with pytest.raises(ValueError):
+        B.market_basket(_fixture(spark), min_support=0.99)
+    assert spark.sparkContext._jsc.getPersistentRDDs().size() == before

@@ -55,7 +55,7 @@ def test_prepare_mapping_impute_clip(spark):
 
 
 def test_prepare_missing_columns(spark):
-    with pytest.raises(ValueError, match="Missing required columns"):
+    with pytest.raises(ValueError, match="lacks the columns"):
         M.prepare(spark.createDataFrame([(1,)], "customer_id int"))
 
 
@@ -129,3 +129,22 @@ def test_prepare_approximate_quantiles(spark):
     assert approx.hist_orders.tolist() == exact.hist_orders.tolist()
     assert approx.future_6m_revenue.tolist()[2] == 5000.0 > exact.future_6m_revenue.tolist()[2]
     assert approx.future_6m_revenue_raw.tolist() == exact.future_6m_revenue_raw.tolist()
+
+
+def test_r2_far_from_zero(spark):
+    import numpy as np
+    rng = np.random.default_rng(0)
+    y = 1e9 + rng.normal(size=1000) * 1e3
+    p = y + rng.normal(size=1000)
+    df = spark.createDataFrame([(float(a), float(b)) for a, b in zip(y, p)], "y double, p double")
+    want = 1 - ((y - p) ** 2).sum() / ((y - y.mean()) ** 2).sum()
+    assert abs(M.regression_metrics(df, "y", "p").first()["r2"] - want) < 1e-9
+
+
+def test_model_does_not_follow_the_partitions(spark):
+    rows = [(i, float(i % 7), float(i * 3 % 101), float(i % 13), float(i % 29), float(i % 31), float(i * 7 % 97)) for i in range(300)]
+    df = spark.createDataFrame(rows, ["CustomerID", *M.FEATURES, M.TARGET])
+    point = {"n_estimators": 5, "max_depth": 3, "learning_rate": 0.1, "min_samples_leaf": 1, "min_samples_split": 2, "subsample": 0.8}
+    got = [sorted((r["CustomerID"], r["prediction"]) for r in M.fit(frame, point).transform(df).collect())
+           for frame in (df.repartition(1), df.repartition(13))]
+    assert got[0] == got[1]

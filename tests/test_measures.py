@@ -37,3 +37,29 @@ def test_monthly_revenue_windows(spark):
     assert got == [(dt.date(2010, 12, 1), 10.0, None, None, 10.0),
                    (dt.date(2011, 1, 1), 4.0, -6.0, -0.6, 4.0),
                    (dt.date(2011, 2, 1), 10.0, 6.0, 1.5, 14.0)]
+
+
+def test_months_without_lines_are_zero(spark):
+    lines = [line("1", 1, "2011-01-05", 1, "4.00"), line("2", 1, "2011-03-05", 2, "5.00")]
+    got = [tuple(r) for r in X.monthly_revenue(clean_frame(spark, lines)).orderBy("month").collect()]
+    assert got == [(dt.date(2011, 1, 1), 4.0, None, None, 4.0), (dt.date(2011, 2, 1), 0.0, -4.0, -1.0, 4.0),
+                   (dt.date(2011, 3, 1), 10.0, 10.0, None, 14.0)]
+
+
+def test_retention_falls_to_zero(spark):
+    rows = [("2011-01-01", 0.0, 10, 10, 1.0), ("2011-01-01", 1.0, 9, 10, 0.9), ("2011-01-01", 3.0, 4, 10, 0.4),
+            ("2011-04-01", 0.0, 5, 5, 1.0), ("2011-02-01", 1.0, 2, None, None)]
+    df = spark.createDataFrame(rows, "m string, index double, active_customers bigint, cohort_size bigint, retention_rate double") \
+              .select(F.to_timestamp_ntz("m").alias("cohort_month"), "index", "active_customers", "cohort_size", "retention_rate")
+    got = [(str(r["cohort_month"])[:7], r["cliff_index"], r["prev_rate"], r["retention_rate"]) for r in X.retention_cliff(df).collect()]
+    assert got == [("2011-01", 2.0, 0.9, 0.0)]   # the April cohort has no second month yet
+
+
+def test_dimensions_and_fact_keep_null_members(spark):
+    lines = [line("1", 1, "2011-01-01", item="A", country=None), line("2", 1, "2011-01-01", item="B", desc=None),
+             line("3", 2, "2011-01-01", item="A", country=None), line("4", None, "2011-01-01", item="C", price="0.01")]
+    df = clean_frame(spark, lines)
+    assert {(r[0], r[1]) for r in X.customer_dim_unique(df).collect()} == {(1, "UK"), (2, None)}
+    assert {(r[0], r[1]) for r in X.product_dim_unique(df).collect()} == {("A", "a"), ("B", None)}
+    fact = {r["invoice_number"]: (r["customer_country"], r["product_description"]) for r in X.sales_fact(df).collect()}
+    assert fact == {"1": ("UK", "a"), "2": ("UK", None), "3": (None, "a"), "4": (None, None)}

@@ -62,7 +62,7 @@ def test_cluster_conf_scales_with_input():
     small = cluster_conf(10 << 30, 64)
     big = cluster_conf(100 << 40, 8000)
     assert int(small["spark.sql.shuffle.partitions"]) == 128          # floor: 2 x cores
-    assert int(big["spark.sql.shuffle.partitions"]) == 100_000        # capped
+    assert int(big["spark.sql.shuffle.partitions"]) == 102_400        # one a GB
     assert "spark.checkpoint.dir" not in big
 
 

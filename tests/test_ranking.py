@@ -192,3 +192,28 @@ def test_exact_quantiles_many_match_numpy(spark, monkeypatch, force_fallback):
             assert got[name] is None
         else:
             assert got[name] == pytest.approx(float(np.percentile(vals, p * 100)), rel=1e-12)
+
+
+def test_ranges_follow_the_rows(spark):
+    """A small column makes few ranges, however many shuffle partitions the session has."""
+    from tillwise.operators.ranking import global_rank, ranges_for
+    assert [ranges_for(n) for n in (0, 1, 10**6, 10**6 + 1)] == [1, 1, 1, 2] and ranges_for(5, 7) == 7
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", 500)
+    try:
+        ranked = global_rank(spark.range(3000), [F.col("id").desc()])
+        assert ranked.groupBy().agg(F.sum(F.col("_rank") + F.col("id"))).first()[0] == 3000 * 2999
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+
+
+def test_checkpoints_need_a_shared_folder_on_a_cluster():
+    from unittest.mock import MagicMock
+    from tillwise.session import ensure_checkpoint_dir
+    spark = MagicMock()
+    sc = spark.sparkContext
+    sc.getCheckpointDir.return_value, sc.master = None, "yarn"
+    sc.getConf.return_value.get.return_value = None
+    spark.conf.get.return_value = None
+    with pytest.raises(RuntimeError):
+        ensure_checkpoint_dir(spark)

@@ -14,6 +14,7 @@ pass of its own when the file is opened.
 
 from __future__ import annotations
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -53,7 +54,7 @@ def load_csv(spark: SparkSession, path: str, schema: T.StructType | None = None,
     if validate:
         try:
             df.agg(*[F.count(F.col(f"`{c}`")) for c in df.columns]).collect()
-        except PySparkException as e:
+        except (PySparkException, Py4JJavaError) as e:
             if "MALFORMED" in str(e) or "FAILFAST" in str(e):
                 raise ValueError(f"{path} holds a malformed record") from e
             raise  # a lost executor or a refused read is no parse error

@@ -101,9 +101,8 @@ class FollowTheRegularisedLeader:
 def fit(docs: DataFrame, labels: DataFrame, train: Column | None = None, label: str = "quality", text: str = "text", key: str = "doc_id", bits: int = BITS, rows: int = TRAIN_ROWS, epochs: int = EPOCHS, seed: int = 42) -> QualityModel:
     """Learn from at most ``rows`` labelled documents; ``train`` is a condition on ``key``."""
     spark = docs.sparkSession
-    known = labels.select(F.col(key).alias("key"), F.col(label).cast("int").alias("label")).where("key IS NOT NULL AND label IN (0, 1)")
-    if train is not None:
-        known = labels.where(train).select(F.col(key).alias("key"), F.col(label).cast("int").alias("label")).where("key IS NOT NULL AND label IN (0, 1)")
+    allowed = labels if train is None else labels.where(train)
+    known = allowed.select(F.col(key).alias("key"), F.col(label).cast("int").alias("label")).where("key IS NOT NULL AND label IN (0, 1)")
     # two numbers a row, bounded by ``rows``: small enough for the driver and for a broadcast
     chosen = known.orderBy(F.xxhash64("key"), "key", "label").limit(rows).collect()
     sample = spark.createDataFrame(chosen, known.schema)

@@ -37,8 +37,7 @@ def shared_dir(spark: SparkSession) -> str:
     if not root:
         if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-        root = tempfile.mkdtemp(prefix="llm-checkpoint-")
-        spark.conf.set("spark.checkpoint.dir", root)
+        root = sc.getCheckpointDir() or tempfile.mkdtemp(prefix="llm-checkpoint-")
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(root)
     return root

@@ -57,6 +57,39 @@ def stored(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def hash_sample(rows: DataFrame, columns: list[str], limit: int) -> DataFrame:
+    """All rows if there are at most ``limit``, else about 95 % of ``limit`` of them, by a hash of the columns.
+
+    A condition on each row: nothing is sorted, and no more than the sample moves.  Equal
+    rows share their fate, so ``limit`` itself guards the bound.
+    """
+    n = rows.count()
+    if n <= limit:
+        return rows
+    share = int(0.95 * limit / n * (1 << 31))
+    return rows.where(F.pmod(F.xxhash64(F.lit("sample"), *columns), F.lit(1 << 31)) < share).limit(limit)
+
+
+def most_frequent(words: DataFrame, limit: int) -> list[tuple]:
+    """At most ``limit`` rows (word, n), most frequent first, ties by word.
+
+    A histogram of counts in steps of a sixteenth of an octave (at most a thousand rows)
+    gives the least count whose words all fit; only those rows reach the driver, without a sort
+    whose partial results would grow with the partitions.
+    """
+    step = F.floor(F.log2("n") * 16).cast("int")
+    kept, least = 0, None
+    for r in sorted(words.groupBy(step.alias("step")).agg(F.count("*").alias("many")).collect(), reverse=True):
+        kept += r["many"]
+        if kept > limit:
+            break
+        least = r["step"]
+    if least is None:
+        return []
+    table = words.where(step >= least).select("word", "n").toArrow()
+    return sorted(zip(table.column("word").to_pylist(), table.column("n").to_pylist(), strict=True), key=lambda r: (-r[1], r[0]))
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

@@ -2,7 +2,7 @@
 
 Tokens are the words of the ASCII lower-cased text and one end.  Counts cover every training
 document: tasks count their rows, Spark adds the counts, and the table of all words stays
-distributed.  Only the ``FREQUENT`` most frequent words of at most ``WORD_BYTES`` bytes are
+distributed.  Only the most frequent words, up to ``FREQUENT`` of at most ``WORD_BYTES`` bytes, are
 broadcast (a bound on the broadcast, not on the counts); the counts of all other words reach
 the documents by a join.
 
@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tillwise.llm.common import as_bytes, map_arrow, segment_sums, shuffle_partitions, slices, stored
+from tillwise.llm.common import as_bytes, map_arrow, most_frequent, segment_sums, shuffle_partitions, slices, stored
 
 #: Symbols of the model (words, end and other), symbols a class, units of the state.
 VOCABULARY, CLASS, UNITS = 1024, 32, 16
@@ -114,9 +114,9 @@ class Unigrams:
 
 def unigrams(words: DataFrame, ends: int, frequent: int = FREQUENT, vocabulary: int = VOCABULARY) -> Unigrams:
     total = words.agg(F.sum("n").alias("n"), F.count("*").alias("v")).first()
-    top = words.where(F.length("word") <= WORD_BYTES).orderBy(F.desc("n"), "word").limit(frequent).toArrow()
-    counts = top.column("n").to_numpy()
-    places = Places((bytes(w), k) for k, w in enumerate(top.column("word").to_pylist()))
+    top = most_frequent(words.where(F.length("word") <= WORD_BYTES), frequent)
+    counts = np.array([n for _, n in top], dtype=np.int64)
+    places = Places((bytes(w), k) for k, (w, _) in enumerate(top))
     return Unigrams((total["n"] or 0) + ends, total["v"] + (ends > 0), ends, places, counts, min(vocabulary - 2, len(counts)))
 
 

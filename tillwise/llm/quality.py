@@ -5,8 +5,8 @@ pairs (a token said twice is one pair for all tokens) are hashed into ``2 ** BIT
 logarithms of its counts; scoring is one sparse dot product a text with the broadcast
 weight vector of fixed size.
 
-The fit uses at most ``TRAIN_ROWS`` labelled rows (those of smallest id hash, so the choice
-does not depend on the order of rows); their sparse features, not their texts, reach the
+The fit uses at most ``TRAIN_ROWS`` labelled rows (chosen by id hash, so the choice does not
+depend on the order of rows); their sparse features, not their texts, reach the
 driver.  Scoring covers every row.
 
 Defined cases: a null or empty text has only the bias, and so still a score; labels other
@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tillwise.llm.common import PrefixHash, as_bytes, map_arrow, mix64, segment_sums, slices
+from tillwise.llm.common import PrefixHash, as_bytes, hash_sample, map_arrow, mix64, segment_sums, slices
 
 BITS, TRAIN_ROWS, EPOCHS = 18, 8192, 5
 #: Step size, its smoothing, and the two penalties of the regularised leader.
@@ -104,7 +104,7 @@ def fit(docs: DataFrame, labels: DataFrame, train: Column | None = None, label:
     allowed = labels if train is None else labels.where(train)
     known = allowed.select(F.col(key).alias("key"), F.col(label).cast("int").alias("label")).where("key IS NOT NULL AND label IN (0, 1)")
     # two numbers a row, bounded by ``rows``: small enough for the driver and for a broadcast
-    chosen = known.orderBy(F.xxhash64("key"), "key", "label").limit(rows).collect()
+    chosen = hash_sample(known, ["key"], rows).collect()
     sample = spark.createDataFrame(chosen, known.schema)
 
     def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

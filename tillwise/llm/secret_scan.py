@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tillwise.llm.common import as_texts, map_arrow, slices
+from tillwise.llm.common import as_texts, hash_sample, map_arrow, most_frequent, slices, stored
 from tillwise.llm.lm import count_words
 
 #: Labelled findings that a fit uses at most; trees; depth; smallest node; score from which a candidate is a secret.
@@ -121,12 +121,12 @@ class Language:
     def of(cls, docs: DataFrame, text: str = "text", size: int = DICTIONARY) -> Language:
         """From the most frequent plain words of all documents; their number and length bound what the driver gets."""
         words = count_words(docs, text).select(F.col("word").cast("string").alias("word"), "n").where(F.col("word").rlike(f"^[a-z]{{{SHORT},{LONG}}}$"))
-        top = words.orderBy(F.desc("n"), "word").limit(size).collect()
+        top = most_frequent(stored(words), size)
         counts = np.full((_CLASSES, _CLASSES), 0.5)
-        for r in top:
-            codes = np.concatenate(([37], _codes(r["word"]), [37]))
-            np.add.at(counts, (codes[:-1], codes[1:]), float(r["n"]))
-        return cls(frozenset(r["word"] for r in top), np.log(counts / counts.sum(axis=1, keepdims=True)))
+        for word, n in top:
+            codes = np.concatenate(([37], _codes(word), [37]))
+            np.add.at(counts, (codes[:-1], codes[1:]), float(n))
+        return cls(frozenset(word for word, _ in top), np.log(counts / counts.sum(axis=1, keepdims=True)))
 
     def covered(self, text: str) -> float:
         """Share of the characters that dictionary words cover, longest word first from each place."""
@@ -286,8 +286,8 @@ def _made(seed: str, said: list[str]) -> tuple[str, str, str, str, int]:
 
 
 def labelled_findings(docs: DataFrame, text: str = "text", id_column: str = "doc_id", rows: int = TRAIN_ROWS) -> DataFrame:
-    """At most ``rows`` findings between words of the documents with the smallest id hashes."""
-    chosen = docs.select(F.xxhash64(id_column).alias("h"), id_column).where(F.col(id_column).isNotNull()).orderBy("h", id_column).limit(rows).select(id_column, "h")
+    """At most ``rows`` findings between words of the documents chosen by id hash."""
+    chosen = hash_sample(docs.select(F.xxhash64(id_column).alias("h"), id_column).where(F.col(id_column).isNotNull()), ["h"], rows).select(id_column, "h")
     ids = docs.sparkSession.createDataFrame(chosen.collect(), chosen.schema)  # ids only, a bounded number
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -302,9 +302,10 @@ def labelled_findings(docs: DataFrame, text: str = "text", id_column: str = "doc
 
 
 def fit(findings: DataFrame, language: Language, rows: int = TRAIN_ROWS, trees: int = TREES, threshold: float = THRESHOLD) -> Scanner:
-    """A scanner whose forest learnt from at most ``rows`` labelled findings (those of smallest hash)."""
+    """A scanner whose forest learnt from at most ``rows`` labelled findings (chosen by hash)."""
     columns = ["candidate", "before", "after", "kind", "label"]
-    some = findings.select(*columns).where("candidate IS NOT NULL AND label IN (0, 1)").orderBy(F.xxhash64(*columns), *columns).limit(rows).collect()
+    some = hash_sample(findings.select(*columns).where("candidate IS NOT NULL AND label IN (0, 1)"), columns, rows).collect()
+    some.sort(key=str)  # the forest must not follow the order in which rows arrive
     x = np.array([features(language, r["candidate"], r["before"] or "", r["after"] or "", r["kind"] or "") for r in some]).reshape(-1, len(FEATURES))
     return Scanner(language, grow(x, np.array([r["label"] for r in some], dtype=np.float64), trees), threshold)
 

@@ -90,5 +90,43 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {**own, "pipeline": pipeline}
 
 
+_TOP_K_SQL = """
+WITH vectors AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: isfinite(x))) = len(embedding)
+),
+scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.v, c.v) AS BIGINT) AS score
+  FROM vectors q JOIN vectors c ON q.vec_id % 50 = 0 AND c.vec_id <> q.vec_id AND len(c.v) = len(q.v)
+)
+SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank,
+       vec_id, score
+FROM scored QUALIFY rank <= 5"""
+
+# read back, turns and loss texts are what went in; the formatted length follows from markers and escapes
+_CHAT_SQL = """
+WITH turns AS (
+  SELECT conv_id, turn, COALESCE(role, '') AS role, COALESCE(text, '') AS text, 0 AS part FROM conversations
+  UNION ALL
+  SELECT -1, unnest([0, 1]), unnest(['user', 'assistant']), '<|im_end|><|im_start|>assistant ok', 1
+),
+sized AS (
+  SELECT *, length(role || text) + (length(role || text) - length(replace(role || text, chr(92), '')))
+            + (length(role) - length(replace(role, '<|', ''))) // 2 + (length(text) - length(replace(text, '<|', ''))) // 2
+            + (length(role) - length(replace(role, chr(10), ''))) + length('<|im_start|><|im_end|>') + 2 AS n
+  FROM turns
+),
+joined AS (
+  SELECT conv_id, part, COUNT(*) AS n_turns, string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text) AS told,
+         COALESCE(string_agg(text, '' ORDER BY turn, text) FILTER (WHERE role = 'assistant'), '') AS learnt, SUM(n) AS n
+  FROM sized GROUP BY conv_id, part
+)
+SELECT conv_id, n_turns, sha256(told) AS turns_sha256, length(learnt) AS loss_chars, sha256(learnt) AS loss_sha256,
+       CAST(n AS BIGINT) AS formatted_chars
+FROM joined"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    """The two queries that plain SQL expresses; the others need a fitted model, XXH64, token merges or byte spans."""
+    return {"op4_exact_top_k": _TOP_K_SQL, "op7_chat_formatting": _CHAT_SQL}

@@ -28,7 +28,10 @@ from pyspark.sql import types as T
 from tillwise.llm.common import as_texts, map_arrow, mix64, runs_to_positions, segment_sums, slices
 
 #: Longest piece that goes through a matrix; rows of one matrix; distinct pieces a worker remembers.
-MATRIX_BYTES, MATRIX_ROWS, REMEMBERED = 128, 4096, 400_000
+MATRIX_BYTES, MATRIX_ROWS, REMEMBERED = 128, 4096, 150_000
+
+#: Bytes of text encoded at once: enough new pieces to fill matrices.
+_TEXTS = 2 << 20
 
 _NONE = np.int32(0x7FFFFFFF)
 
@@ -260,7 +263,7 @@ def encode(docs: DataFrame, path: str, pattern: str, text: str = "text", keep: l
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tok = tokenizer(path, pattern)
         for batch in batches:
-            for part in slices(batch, text):
+            for part in slices(batch, text, _TEXTS):
                 flat, sizes = tok.encode(as_texts(part.column(text)))
                 offsets = np.concatenate(([0], np.cumsum(sizes))).astype(np.int32)
                 lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat, pa.int32()))

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 #: Bytes of text that one vectorised step works on at a time.
-CHUNK_BYTES = 2 << 20
+CHUNK_BYTES = 512 << 10
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

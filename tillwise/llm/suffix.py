@@ -44,7 +44,7 @@ from tillwise.llm.common import PrefixHash, as_bytes, map_arrow, mix64, runs_to_
 
 #: Bytes of a match; bytes of an anchor; contexts of one lane.
 MATCH, GRAM, LANE = 200, 48, 8192
-_CHUNK, _SUFFIXES = 2 << 20, 200_000
+_CHUNK, _SUFFIXES = 1 << 20, 200_000
 _POSITION = np.uint64((1 << 24) - 1)
 _ORDER = ~_POSITION
 

@@ -23,6 +23,7 @@ repeat as often as they come in; an empty table gives no rows.
 
 from __future__ import annotations
 
+import heapq
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -35,7 +36,7 @@ from pyspark.sql import types as T
 
 from tillwise.llm.common import as_bytes, map_arrow, most_frequent, segment_sums, shuffle_partitions, slices, stored
 
-#: Symbols of the model (words, end and other), symbols a class, units of the state.
+#: Symbols of the model (words, end and other; below 32,768), symbols a class, units of the state.
 VOCABULARY, CLASS, UNITS = 1024, 32, 16
 #: Words whose counts are broadcast, and their greatest length.
 FREQUENT, WORD_BYTES = 1 << 16, 64
@@ -44,6 +45,7 @@ WINDOW, TRAIN_LANES, SCORE_LANES = 32, 64, 256
 #: One in so many training documents each round; rounds; step size; clip of a gradient entry.
 STRIDE, ROUNDS, RATE, CLIP = 16, 2, 0.3, 1.0
 _END, _OTHER = 0, 1
+_SCORED, _TRAINED = 16 << 20, 2 << 20  # bytes of text dealt to lanes at once: enough for long texts to share their steps
 _ROWS = 4096  # states whose output is worked out at once
 _BLOCK = 1 << 14  # weights a row when copies are averaged
 _HELD_WORDS = 400_000  # distinct words a counting task holds before it passes them on
@@ -250,32 +252,38 @@ class Gru:
 
 
 def lanes(sequences: list[np.ndarray], count: int) -> list[list[int]]:
-    """Deal sequences to lanes of about equal length, longest first."""
+    """Deal sequences to lanes of about equal length, longest first; the lanes come longest first, too."""
     count = max(1, min(count, len(sequences)))
+    heap = [(0, k) for k in range(count)]
     out: list[list[int]] = [[] for _ in range(count)]
-    filled = np.zeros(count, dtype=np.int64)
     for k in sorted(range(len(sequences)), key=lambda k: -len(sequences[k])):
-        at = int(filled.argmin())
+        filled, at = heapq.heappop(heap)
         out[at].append(k)
-        filled[at] += len(sequences[k])
-    return out
-
-
-def _streams(sequences: list[np.ndarray], dealt: list[list[int]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(targets, inputs, keep), each (steps, lanes); documents follow one another in a lane."""
-    length = max(sum(len(sequences[k]) for k in lane) for lane in dealt)
-    targets = np.full((len(dealt), length), -1, dtype=np.int64)
-    inputs = np.zeros((len(dealt), length), dtype=np.int64)
-    keep = np.ones((len(dealt), length), dtype=np.float32)
-    for lane, row in enumerate(dealt):
-        at = 0
-        for k in row:
-            own = sequences[k]
-            targets[lane, at : at + len(own)] = own
-            inputs[lane, at + 1 : at + len(own)] = own[:-1]  # a document starts from the end symbol
-            keep[lane, at] = 0.0
-            at += len(own)
-    return targets.T, inputs.T, keep.T
+        heapq.heappush(heap, (filled + len(sequences[k]), at))
+    return sorted(out, key=lambda own: -sum(len(sequences[k]) for k in own))
+
+
+def _windows(sequences: list[np.ndarray], dealt: list[list[int]]) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
+    """(step, targets, inputs, keep) of each window, (steps, lanes); lanes that have ended are left out.
+
+    Documents follow one another in a lane and start from the end symbol; padding targets are -1.
+    """
+    lengths = np.array([sum(len(sequences[k]) for k in own) for own in dealt])
+    targets = np.full((len(dealt), lengths.max()), -1, dtype=np.int16)
+    starts = np.zeros(targets.shape, dtype=bool)
+    for lane, own in enumerate(dealt):
+        targets[lane, : lengths[lane]] = np.concatenate([sequences[k] for k in own])
+        starts[lane, np.cumsum([0, *(len(sequences[k]) for k in own[:-1])])] = True
+    for t in range(0, targets.shape[1], WINDOW):
+        open_ = int(np.searchsorted(-lengths, -t, side="left"))
+        now = targets[:open_, t : t + WINDOW].astype(np.int64)
+        first = starts[:open_, t : t + WINDOW]
+        inputs = np.zeros_like(now)
+        inputs[:, 1:] = now[:, :-1]
+        if t:
+            inputs[:, 0] = targets[:open_, t - 1]
+        inputs[first | (inputs < 0)] = _END
+        yield t, now.T, inputs.T, 1.0 - first.T.astype(np.float32)
 
 
 def score_sequences(model: Gru, sequences: list[np.ndarray], count: int = SCORE_LANES) -> np.ndarray:
@@ -283,18 +291,19 @@ def score_sequences(model: Gru, sequences: list[np.ndarray], count: int = SCORE_
     if not sequences:
         return np.zeros(0)
     dealt = lanes(sequences, count)
-    targets, inputs, keep = _streams(sequences, dealt)
-    found = np.zeros(targets.shape)
+    found = np.zeros((len(dealt), sum(len(sequences[k]) for k in dealt[0])), dtype=np.float32)
     h = np.zeros((len(dealt), model.units), dtype=np.float32)
-    for t in range(0, len(targets), WINDOW):
-        window = slice(t, t + WINDOW)
-        states, h = model.states(inputs[window], keep[window], h)
-        real = targets[window] >= 0
-        found[window][real] = model.log_prob(states[real], targets[window][real])[0]
+    for t, targets, inputs, keep in _windows(sequences, dealt):
+        open_ = targets.shape[1]
+        states, h = model.states(inputs, keep, h[:open_])
+        real = targets >= 0
+        values = np.zeros(targets.shape, dtype=np.float32)
+        values[real] = model.log_prob(states[real], targets[real])[0]
+        found[:open_, t : t + WINDOW] = values.T
     out = np.zeros(len(sequences))
-    for lane, row in enumerate(dealt):
-        sizes = np.array([len(sequences[k]) for k in row])
-        out[row] = segment_sums(found[: sizes.sum(), lane], sizes)
+    for lane, own in enumerate(dealt):
+        sizes = np.array([len(sequences[k]) for k in own])
+        out[own] = segment_sums(found[lane, : sizes.sum()], sizes)
     return out / np.log(10)
 
 
@@ -308,11 +317,10 @@ class Trainer:
     def learn(self, sequences: list[np.ndarray], count: int = TRAIN_LANES) -> None:
         if not sequences:
             return
-        targets, inputs, keep = _streams(sequences, lanes(sequences, count))
-        h = np.zeros((targets.shape[1], self.model.units), dtype=np.float32)
-        for t in range(0, len(targets), WINDOW):
-            window = slice(t, t + WINDOW)
-            grads, h, _, n = self.model.gradients(inputs[window], keep[window], targets[window], h)
+        dealt = lanes(sequences, count)
+        h = np.zeros((len(dealt), self.model.units), dtype=np.float32)
+        for _, targets, inputs, keep in _windows(sequences, dealt):
+            grads, h, _, n = self.model.gradients(inputs, keep, targets, h[: targets.shape[1]])
             step = np.clip(grads.vector * (WINDOW / max(1, n)), -CLIP, CLIP)
             touched = np.flatnonzero(step)
             step = step[touched]
@@ -326,7 +334,7 @@ class Trainer:
 
 def _symbols(places: np.ndarray, model_words: int) -> np.ndarray:
     """Symbols of the model for places in the frequency table (-1: not in it), with the end."""
-    return np.append(np.where((places >= 0) & (places < model_words), places + 2, _OTHER), _END)
+    return np.append(np.where((places >= 0) & (places < model_words), places + 2, _OTHER), _END).astype(np.int16)
 
 
 def _averaged(copies: DataFrame) -> DataFrame:
@@ -362,7 +370,7 @@ def train(docs: DataFrame, known: Unigrams, text: str = "text", id_column: str =
             places = told.value
             trainer, lane = Trainer(Gru(len(counts), units, per_class, shared.value), rate), 0
             for batch in batches:
-                for part in slices(batch, "text", 1 << 20):
+                for part in slices(batch, "text", _TRAINED):
                     lane = part.column("lane")[0].as_py()
                     texts = [words_of(t) for t in as_bytes(part.column("text"))]
                     trainer.learn([_symbols(places.of(t), words) for t in texts])
@@ -401,7 +409,7 @@ def score(docs: DataFrame, words: DataFrame, known: Unigrams, model: Gru, text:
         own = Gru(symbols, units, per_class, vector)
         log_count = np.append(np.log10(told.counts + 1.0), 0.0)
         for batch in batches:
-            for part in slices(batch, "text", 4 << 20):
+            for part in slices(batch, "text", _SCORED):
                 sequences, base, spelt, hits, others, sizes = [], [], [], [], [], []
                 rare_words, rare_counts, offsets = [], [], [0]
                 for one in as_bytes(part.column("text")):

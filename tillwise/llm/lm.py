@@ -13,8 +13,8 @@ score is the probability of the exact text.  Output biases start at the counts o
 corpus.  Recurrent weights learn by truncated backpropagation in numpy: in each of ``ROUNDS``
 rounds every task trains a copy on its share of one in ``STRIDE`` training documents (picked by id
 hash, so the amount grows with the corpus), and Spark averages the copies, weighted by
-tokens.  State runs on across windows of ``WINDOW`` tokens to the end of a document, in
-training and in scoring.
+tokens.  State runs on across windows of ``WINDOW`` tokens: to the end of a document in scoring,
+for ``SEGMENT`` tokens in training.
 
 Defined cases: null counts as the empty text (one token, the end); without training documents
 every count is zero, so the unigram score of any text is 0 and the model keeps its start; rows
@@ -42,10 +42,12 @@ VOCABULARY, CLASS, UNITS = 1024, 32, 16
 FREQUENT, WORD_BYTES = 1 << 16, 64
 #: Tokens between cuts of the gradient; lanes trained and scored side by side.
 WINDOW, TRAIN_LANES, SCORE_LANES = 32, 64, 256
+#: Tokens of a document learnt from one start state (scoring never starts afresh within a document).
+SEGMENT = 1024
 #: One in so many training documents each round; rounds; step size; clip of a gradient entry.
 STRIDE, ROUNDS, RATE, CLIP = 16, 2, 0.3, 1.0
 _END, _OTHER = 0, 1
-_SCORED, _TRAINED = 16 << 20, 2 << 20  # bytes of text dealt to lanes at once: enough for long texts to share their steps
+_SCORED, _TRAINED = 16 << 20, 4 << 20  # bytes of text dealt to lanes at once: enough for long texts to share their steps
 _ROWS = 4096  # states whose output is worked out at once
 _BLOCK = 1 << 14  # weights a row when copies are averaged
 _HELD_WORDS = 400_000  # distinct words a counting task holds before it passes them on
@@ -317,6 +319,8 @@ class Trainer:
     def learn(self, sequences: list[np.ndarray], count: int = TRAIN_LANES) -> None:
         if not sequences:
             return
+        # a long text would leave the other lanes idle, so its parts learn side by side, each from a fresh state
+        sequences = [own[at : at + SEGMENT] for own in sequences for at in range(0, len(own), SEGMENT)]
         dealt = lanes(sequences, count)
         h = np.zeros((len(dealt), self.model.units), dtype=np.float32)
         for _, targets, inputs, keep in _windows(sequences, dealt):

@@ -14,8 +14,8 @@ document by digests, into credential contexts (label 1), and digests, identifier
 numbers and placeholders into harmless ones (label 0), between words of that document.
 Labelled findings of one's own go to :func:`fit` in the same form.
 
-Defined cases: null and empty texts have no findings; overlapping candidates count once (the
-first to start, the longest of these); equal findings in one text are findings of their own; without
+Defined cases: null and empty texts have no findings; overlapping candidates count once (known
+formats before assigned values before mixed strings, of which the parts outside them remain); equal findings in one text are findings of their own; without
 labelled findings every candidate scores 0.5 and is kept as a secret; empty tables give no rows.
 """
 
@@ -24,6 +24,7 @@ from __future__ import annotations
 import base64
 import hashlib
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -38,8 +39,8 @@ from tillwise.llm.lm import count_words
 
 #: Labelled findings that a fit uses at most; trees; depth; smallest node; score from which a candidate is a secret.
 TRAIN_ROWS, TREES, DEPTH, LEAF, THRESHOLD = 6000, 30, 10, 2, 0.5
-#: Words of the dictionary and their lengths; characters of context on either side; longest candidate.
-DICTIONARY, SHORT, LONG, CONTEXT, LONGEST = 20_000, 3, 24, 48, 4096
+#: Words of the dictionary and their lengths; characters of context on either side; shortest value; longest candidate.
+DICTIONARY, SHORT, LONG, CONTEXT, SHORTEST, LONGEST = 20_000, 3, 24, 48, 8, 4096
 MASK = "[secret]"
 
 # Words that name credentials, words that name harmless strings, and key formats.
@@ -59,7 +60,9 @@ KEY_FORMATS = {
 }
 
 _FORMATS = re.compile("|".join(f"(?P<{name}>{pattern})" for name, pattern in KEY_FORMATS.items()))
-_ASSIGNED = re.compile(r"[=:][ \t]{0,3}[\"'`]?([^\s\"'`<>(),;]{8,})")
+_ASSIGNED = re.compile(r"[=:][ \t]{0,3}[\"'`]?(?=[^\s\"'`<>(),;]{8})")
+_VALUE = re.compile(r"[^\s\"'`<>(),;]+")
+_NAMED = re.compile(r"[A-Za-z_][A-Za-z0-9_.-]*=(?=[^=])")
 _MIXED = re.compile(r"[A-Za-z0-9+/_=.~-]{20,}")
 _BEFORE = re.compile(r"([A-Za-z][A-Za-z_-]*)[\"'`]?\s{0,3}$")
 _WORDS = re.compile(r"[A-Za-z0-9_-]+")
@@ -69,21 +72,54 @@ _CREDENTIAL, _HARMLESS = frozenset(CREDENTIAL_WORDS), frozenset(HARMLESS_WORDS)
 
 def candidates(text: str) -> list[tuple[int, int, str]]:
     """(begin, end, kind) of the candidates of a text, in order and without overlap."""
-    found = [(m.start(), -m.end(), m.lastgroup) for m in _FORMATS.finditer(text)] if _may_hold_key(text) else []
+    found = [(m.start(), m.end(), m.lastgroup) for m in _FORMATS.finditer(text)] if _may_hold_key(text) else []
+    found = sorted(found + [(begin, end, "assigned") for a, b in _assigned(text) for begin, end in _outside(found, a, b) if end - begin >= SHORTEST])
+    mixed = []
+    for a, b in _outside(found, 0, len(text)):
+        for m in _MIXED.finditer(text, a, b):
+            begin = _value_of(text, m.start(), m.end())
+            if any(c.isdigit() for c in text[begin : m.end()]) and any(c.isalpha() for c in text[begin : m.end()]):
+                mixed.append((begin, m.end(), "mixed"))
+    return sorted(found + mixed)
+
+
+def _assigned(text: str) -> list[tuple[int, int]]:
+    """(begin, end) of the values that stand behind a credential word, in order and without overlap."""
+    out: list[tuple[int, int]] = []
+    run = 0  # end of the last value, sentence marks included
     for m in _ASSIGNED.finditer(text):
         before = _BEFORE.search(text, max(0, m.start() - CONTEXT), m.start())
         if before and any(w in _CREDENTIAL for w in _parts(before[1])):
-            found.append((m.start(1), -_trim(text, m.start(1), m.end(1)), "assigned"))
-    for m in _MIXED.finditer(text):
-        if any(c.isdigit() for c in m[0]) and any(c.isalpha() for c in m[0]):
-            found.append((m.start(), -m.end(), "mixed"))
-    out: list[tuple[int, int, str]] = []
-    for begin, end, kind in sorted(found):
-        if not out or begin >= out[-1][1]:
-            out.append((begin, -end, kind))
+            if m.end() >= run:
+                run = _VALUE.match(text, m.end()).end()
+            elif before.start(1) > out[-1][0]:
+                continue  # inside a value that does not open with this name
+            else:
+                out.pop()
+            out.append((m.end(), _trim(text, m.end(), run)))
     return out
 
 
+def _outside(taken: list[tuple[int, int, str]], begin: int, end: int) -> Iterator[tuple[int, int]]:
+    """The parts of a span that no candidate (in order, without overlap) takes."""
+    for k in range(bisect_left(taken, begin, key=lambda t: t[1]), len(taken)):
+        a, b, _ = taken[k]
+        if a >= end:
+            break
+        if begin < a:
+            yield begin, a
+        begin = max(begin, b)
+    if begin < end:
+        yield begin, end
+
+
+def _value_of(text: str, begin: int, end: int) -> int:
+    """Where the value of NAME=value begins; a name is no part of it unless the value is too short to be one."""
+    while (m := _NAMED.match(text, begin, end)) and end - m.end() >= SHORTEST:
+        begin = m.end()
+    return begin
+
+
 def _may_hold_key(text: str) -> bool:
     return any(mark in text for mark in ("PRIVATE KEY", "AKIA", "ASIA", "gh", "xox", "k_live_", "k_test_", "AIza", "eyJ"))
 

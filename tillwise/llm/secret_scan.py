@@ -27,6 +27,7 @@ import re
 from bisect import bisect_left
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -39,8 +40,8 @@ from tillwise.llm.lm import count_words
 
 #: Labelled findings that a fit uses at most; trees; depth; smallest node; score from which a candidate is a secret.
 TRAIN_ROWS, TREES, DEPTH, LEAF, THRESHOLD = 6000, 30, 10, 2, 0.5
-#: Words of the dictionary and their lengths; characters of context on either side; shortest value; longest candidate.
-DICTIONARY, SHORT, LONG, CONTEXT, SHORTEST, LONGEST = 20_000, 3, 24, 48, 8, 4096
+#: Words of the dictionary and their lengths; characters of context on either side; shortest value.
+DICTIONARY, SHORT, LONG, CONTEXT, SHORTEST = 20_000, 3, 24, 48, 8
 MASK = "[secret]"
 
 # Words that name credentials, words that name harmless strings, and key formats.
@@ -50,7 +51,6 @@ CREDENTIAL_WORDS = (
 ).split()
 HARMLESS_WORDS = "commit sha sha1 sha256 md5 checksum digest hash etag uuid guid id revision build version example sample placeholder image src href path file url isbn order invoice".split()
 KEY_FORMATS = {
-    "private_key": r"-----BEGIN [A-Z ]{0,20}PRIVATE KEY-----[A-Za-z0-9+/=\s]{0,4000}(?:-----END [A-Z ]{0,20}PRIVATE KEY-----)?",
     "cloud_key": r"\b(?:AKIA|ASIA)[0-9A-Z]{16}\b",
     "forge_token": r"\bgh[opsur]_[A-Za-z0-9]{36,}",
     "chat_token": r"\bxox[abprs]-[A-Za-z0-9-]{10,}",
@@ -60,19 +60,23 @@ KEY_FORMATS = {
 }
 
 _FORMATS = re.compile("|".join(f"(?P<{name}>{pattern})" for name, pattern in KEY_FORMATS.items()))
+_KEY_LINE = re.compile(r"-----(BEGIN|END) [A-Z0-9 ]{0,40}PRIVATE KEY(?: BLOCK)?-----")
+_KEY_BODY = re.compile(r"(?:[ \t]*+(?:[\r\n]|\\[nr])++[A-Za-z][A-Za-z-]{0,30}+:(?:(?!\\[nr])[^\r\n])*+)*+(?:[A-Za-z0-9+/=\s]++|\\[nrt])*+")
 _ASSIGNED = re.compile(r"[=:][ \t]{0,3}[\"'`]?(?=[^\s\"'`<>(),;]{8})")
 _VALUE = re.compile(r"[^\s\"'`<>(),;]+")
 _NAMED = re.compile(r"[A-Za-z_][A-Za-z0-9_.-]*=(?=[^=])")
 _MIXED = re.compile(r"[A-Za-z0-9+/_=.~-]{20,}")
 _BEFORE = re.compile(r"([A-Za-z][A-Za-z_-]*)[\"'`]?\s{0,3}$")
 _WORDS = re.compile(r"[A-Za-z0-9_-]+")
-_KINDS = ["assigned", "mixed", *KEY_FORMATS]
+_KNOWN = frozenset(("private_key", *KEY_FORMATS))
 _CREDENTIAL, _HARMLESS = frozenset(CREDENTIAL_WORDS), frozenset(HARMLESS_WORDS)
 
 
 def candidates(text: str) -> list[tuple[int, int, str]]:
     """(begin, end, kind) of the candidates of a text, in order and without overlap."""
-    found = [(m.start(), m.end(), m.lastgroup) for m in _FORMATS.finditer(text)] if _may_hold_key(text) else []
+    found = _private_keys(text) if "PRIVATE KEY" in text else []
+    if _may_hold_key(text):
+        found = sorted(found + [(m.start(), m.end(), m.lastgroup) for a, b in _outside(found, 0, len(text)) for m in _FORMATS.finditer(text, a, b)])
     found = sorted(found + [(begin, end, "assigned") for a, b in _assigned(text) for begin, end in _outside(found, a, b) if end - begin >= SHORTEST])
     mixed = []
     for a, b in _outside(found, 0, len(text)):
@@ -83,6 +87,24 @@ def candidates(text: str) -> list[tuple[int, int, str]]:
     return sorted(found + mixed)
 
 
+def _private_keys(text: str) -> list[tuple[int, int, str]]:
+    """Each BEGIN line to its END line; without one, as far as header lines, key characters and line breaks go."""
+    out: list[tuple[int, int, str]] = []
+    open_ = None
+    for m in _KEY_LINE.finditer(text):
+        if m[1] == "END":
+            if open_:
+                out.append((open_.start(), m.end(), "private_key"))
+            open_ = None
+        else:
+            if open_:
+                out.append((open_.start(), min(m.start(), _KEY_BODY.match(text, open_.end()).end()), "private_key"))
+            open_ = m
+    if open_:
+        out.append((open_.start(), _KEY_BODY.match(text, open_.end()).end(), "private_key"))
+    return out
+
+
 def _assigned(text: str) -> list[tuple[int, int]]:
     """(begin, end) of the values that stand behind a credential word, in order and without overlap."""
     out: list[tuple[int, int]] = []
@@ -121,7 +143,7 @@ def _value_of(text: str, begin: int, end: int) -> int:
 
 
 def _may_hold_key(text: str) -> bool:
-    return any(mark in text for mark in ("PRIVATE KEY", "AKIA", "ASIA", "gh", "xox", "k_live_", "k_test_", "AIza", "eyJ"))
+    return any(mark in text for mark in ("AKIA", "ASIA", "gh", "xox", "k_live_", "k_test_", "AIza", "eyJ"))
 
 
 def _trim(text: str, begin: int, end: int) -> int:
@@ -164,11 +186,19 @@ class Language:
             np.add.at(counts, (codes[:-1], codes[1:]), float(n))
         return cls(frozenset(word for word, _ in top), np.log(counts / counts.sum(axis=1, keepdims=True)))
 
+    @cached_property
+    def longest(self) -> dict[str, int]:
+        """Length of the longest word behind each beginning of ``SHORT`` letters."""
+        out: dict[str, int] = {}
+        for word in self.words:
+            out[word[:SHORT]] = max(out.get(word[:SHORT], 0), len(word))
+        return out
+
     def covered(self, text: str) -> float:
         """Share of the characters that dictionary words cover, longest word first from each place."""
-        low, at, inside = text.lower()[:256], 0, 0
+        low, at, inside = text.lower(), 0, 0
         while at < len(low):
-            for size in range(min(LONG, len(low) - at), SHORT - 1, -1):
+            for size in range(min(self.longest.get(low[at : at + SHORT], 0), len(low) - at), SHORT - 1, -1):
                 if low[at : at + size] in self.words:
                     inside += size
                     at += size
@@ -186,7 +216,7 @@ FEATURES = (
 
 def features(language: Language, candidate: str, before: str, after: str, kind: str) -> np.ndarray:
     """The features of one candidate between the text before and after it."""
-    own = candidate[:LONGEST]
+    own = candidate
     n = max(1, len(own))
     chars = np.frombuffer(own.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
     _, counts = np.unique(chars, return_counts=True)
@@ -205,7 +235,7 @@ def features(language: Language, candidate: str, before: str, after: str, kind:
             float(-(share * np.log2(share)).sum()), float(re.fullmatch(r"[0-9a-fA-F]+", own) is not None), float(steps.mean()), float(np.sort(steps)[: max(1, n // 4)].mean()),
             (klass[1:] != klass[:-1]).sum() / n, language.covered(own), float("/" in own or before.endswith(("/", "\\", "@")) or "://" in before[-24:]), own.count(".") / n, counts.max() / n,
             float(any(w in _CREDENTIAL for w in directly)), float(any(w in _HARMLESS for w in directly)), float(any(w in _CREDENTIAL for w in near_before)), float(any(w in _HARMLESS for w in near_before + near_after)),
-            float(before[-1:] in "\"'`" and before != ""), float(kind == "assigned"), float(kind in KEY_FORMATS),
+            float(before[-1:] in "\"'`" and before != ""), float(kind == "assigned"), float(kind in _KNOWN),
         ],
         dtype=np.float64,
     )
@@ -309,10 +339,13 @@ def _made(seed: str, said: list[str]) -> tuple[str, str, str, str, int]:
     plain = "_".join(w for w in (re.sub("[^A-Za-z]", "", word(k)).lower() for k in (3, 5, 7, 9)) if w) or "plain_words"
     dashed = "-".join((hex_[:8], hex_[8:12], hex_[12:16], hex_[16:20], hex_[20:32]))
     number = str(at % 9973)
+    wrap = ("\n", "\\n")[at % 2]
+    pem = lambda kind, *lines: wrap.join((f"-----BEGIN {kind}PRIVATE KEY-----", *lines, f"-----END {kind}PRIVATE KEY-----"))
     made = [
         (hex_[:40], 'token = "', '"', "assigned", 1), (hex_[:32], "api_key: ", "", "assigned", 1), (base[:24], "password=", "", "assigned", 1), (base, 'client_secret = "', '"', "assigned", 1),
         ("AKIA" + base[:16].upper(), "", "", "cloud_key", 1), ("ghp_" + base[:36], "", "", "forge_token", 1), (base[:40], "Authorization: Bearer ", "", "mixed", 1), (other[:40], 'TOKEN = "', '"', "assigned", 1),
         (plain[:8] + number + "!", "password: ", "", "assigned", 1), (plain[:6].title() + "#" + base[:6], 'passwd = "', '"', "assigned", 1), (base[:28], "auth_token=", "", "mixed", 1),
+        (pem("", base, base[:20]), "", "", "private_key", 1), (pem("RSA ", *(base[k:] + base[:k] for k in range(at % 40 + 2))), 'key = "', '"', "private_key", 1),
         (hex_[:40], "commit ", "", "mixed", 0), (hex_, "sha256: ", "", "mixed", 0), (dashed, "uuid ", "", "mixed", 0), (f"https://example.com/{plain}/{hex_[:12]}", "", "", "mixed", 0),
         (f"{plain}.v2.tar.gz", "file /usr/share/", "", "mixed", 0), (plain, "password: ", "", "assigned", 0), ("your_api_key_here", "api_key = ", "", "assigned", 0), (f"EXAMPLE-{plain.upper()}-1", "token = ", "", "assigned", 0),
         (f"2024-01-31T12:00:00.{number}", "", "", "mixed", 0), (hex_[:32], "md5 checksum ", "", "mixed", 0), (f"{plain}_{number}", "id ", "", "mixed", 0), ("xxxxxxxxxxxxxxxx", "secret: ", "", "assigned", 0),

@@ -2,6 +2,7 @@
 
 import re
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -84,3 +85,41 @@ def test_tokens_of_both_views():
     assert [tokens.said(k, 1)[0] for k in range(len(tokens.kind))] == ["anna", "met", "1,000.5", "people", "in", "rome", "two", "km", "on", "km", "3", "km"]
     assert tokens.kind.tolist() == [0, 0, 1, 0, 0, 3, 1, 2, 0, 0, 1, 2]
     assert tokens.counts.tolist() == [9, 0, 3]
+
+
+OPENING = [
+    (1, "Alice has 3 apples and buys 4 more today"),
+    (2, "Carol slowly walked 5 miles home again. Carol then cooked 7 fine meals there."),
+    (3, "The old farmer keeps 12 brown goats behind the barn"),
+    (4, "Will packs 9 green boxes"),
+]
+
+
+def test_names_that_open_sentences(spark, frame):
+    benchmark = spark.createDataFrame(OPENING, "item_id bigint, text string")
+    texts = [
+        "Bob has 5 apples and buys 7 more today",
+        "Question: Bob has 5 apples and buys 7 more today",
+        "Q - Erin slowly walked 8 miles home again. Erin then cooked 2 fine meals there.",
+        "Erin slowly walked 8 miles home again. Gina then cooked 2 fine meals there.",  # one name became two
+        "Question: The old farmer keeps 30 brown goats behind the barn",
+        "we know that the old farmer keeps 30 brown goats behind the barn",
+        "Question: Nora packs 2 green boxes",
+        "Bob has some apples and buys a few more today",
+        "Yes\nNo\nWell\nStop\nHere\nNow\nThen\nThere\nGo\nOn\n" * 50,
+    ]
+    assert found(frame, benchmark, texts) == [(k, i, "reparameterised") for k, i in ((0, 1), (1, 1), (2, 2), (4, 3), (5, 3), (6, 4))]
+
+
+def test_variants_of_a_window(monkeypatch):
+    text = "Ann sees Bob. Then Cora runs. Dan is at home now"
+    whole = [np.concatenate(p) for p in zip(*dec.Tokens([text]).windows(4, dec.TEMPLATE), strict=True)]
+    monkeypatch.setattr(dec, "_VARIANTS", 1)
+    tokens = dec.Tokens([text])
+    parts = [np.concatenate(p) for p in zip(*tokens.windows(4, dec.TEMPLATE), strict=True)]
+    told = lambda own: sorted((int(a), int(n), int(h)) for a, h, n in zip(*own, strict=True))
+    assert told(whole) == told(parts)
+    said = {tokens.canonical(a, 4, dec.TEMPLATE, n): h for a, n, h in told(parts)}
+    assert len(said) == len(set(said.values())) == len(parts[0])
+    plain = "ann sees <name> then|<name> sees <name> then|ann sees <name> <name>"
+    assert {s for s in said if "sees" in s and "runs" not in s and not s.startswith("sees")} == set(plain.split("|"))

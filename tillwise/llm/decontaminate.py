@@ -3,8 +3,9 @@
 Text becomes tokens (runs of letters, numbers).  Two views of them are compared:
 
 * literal: the lower-cased tokens;
-* template: numbers and number words, units behind a number, and names (capitalised words
-  inside a sentence) become typed placeholders, whose values are kept as slots.
+* template: numbers and number words, units behind a number, and names (capitalised words)
+  become typed placeholders, whose values are kept as slots.  A capitalised word that opens a
+  sentence may be a name or not: its windows are hashed with it as a word and as a name.
 
 Windows of ``WINDOW`` tokens of both views are hashed.  Hashes of the benchmark are broadcast
 in parts of at most ``BROADCAST`` values, one pass over the documents a part, so that
@@ -64,6 +65,8 @@ UNITS = (
 _SPACE, _LETTER, _DIGIT, _STOP = 0, 1, 2, 3
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 _BACK = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
+_TYPED = np.array([0, 101, 102, 103], dtype=np.uint64)
+_VARIANTS = 1 << 19  # made at a time
 
 
 @cache
@@ -117,38 +120,64 @@ class Tokens:
         after = np.zeros(n, dtype=bool)
         after[1:] = number[:-1] & (self.owner[1:] == self.owner[:-1])
         unit = ~number & after & np.isin(self.literal, _hashes("unit")) if n else np.zeros(0, bool)
-        name = ~number & ~unit & ~opens & upper_of[points[self.starts]] & (uppers[self.ends] - uppers[self.starts] == 1) & (self.ends - self.starts > 1)
-        self.kind = np.select([number, unit, name], [_NUMBER, _UNIT, _NAME], _WORD).astype(np.uint8)
-        self.template = np.where(self.kind == _WORD, self.literal, np.array([0, 101, 102, 103], dtype=np.uint64)[self.kind])
+        capital = ~number & ~unit & upper_of[points[self.starts]] & (uppers[self.ends] - uppers[self.starts] == 1) & (self.ends - self.starts > 1)
+        self.either = capital & opens  # a word here, a name in variants
+        self.kind = np.select([number, unit, capital & ~opens], [_NUMBER, _UNIT, _NAME], _WORD).astype(np.uint8)
+        self.template = np.where(self.kind == _WORD, self.literal, _TYPED[self.kind])
         self.counts = np.bincount(self.owner, minlength=len(texts))
         self.first = np.cumsum(self.counts) - self.counts
 
-    def windows(self, width: int, view: int) -> tuple[np.ndarray, np.ndarray]:
-        """(first token, hash) of every window of ``width`` tokens within a text."""
+    def windows(self, width: int, view: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """(first token, hash, bits of the opening tokens that are names) of every window of ``width`` tokens within a text, part by part."""
         own = self.literal if view != TEMPLATE else self.template
         n = len(own) - width + 1
         if n <= 0:
-            return np.zeros(0, np.int64), np.zeros(0, np.uint64)
+            return
+        step = powers(_STEP, len(own))
         sums = np.zeros(len(own) + 1, dtype=np.uint64)
-        np.cumsum(own * powers(_STEP, len(own)), dtype=np.uint64, out=sums[1:])
+        np.cumsum(own * step, dtype=np.uint64, out=sums[1:])
         at = np.arange(n)
         at = at[self.owner[:n] == self.owner[width - 1 :]]
         if view == WHOLE:
             at = at[(self.counts[self.owner[at]] == width)]
-        if view == TEMPLATE:
-            plain = np.concatenate(([0], np.cumsum(self.kind == _WORD)))
-            at = at[2 * (plain[at + width] - plain[at]) >= width]
-        return at, mix64((sums[at + width] - sums[at]) * powers(_BACK, len(own))[at] + np.uint64(width * 4 + view))
+        if view != TEMPLATE:
+            yield at, self._hashed(at, sums[at + width] - sums[at], width, view), np.zeros(len(at), np.uint64)
+            return
+        plain = np.concatenate(([0], np.cumsum(self.kind == _WORD)))
+        at = at[2 * (plain[at + width] - plain[at]) >= width]
+        opening = np.concatenate(([0], np.cumsum(self.either)))
+        made = np.cumsum(1 << (opening[at + width] - opening[at]))
+        done = 0
+        while done < len(at):
+            to = max(done + 1, int(np.searchsorted(made, (made[done - 1] if done else 0) + _VARIANTS, side="right")))
+            some, done = at[done:to], to
+            total, words, names = sums[some + width] - sums[some], plain[some + width] - plain[some], np.zeros(len(some), np.uint64)
+            for k in range(width):
+                # another name must leave half of the tokens to words
+                more = np.flatnonzero(self.either[some + k] & (2 * (words - 1) >= width))
+                if len(more):
+                    token = some[more] + k
+                    total = np.concatenate((total, total[more] + (_TYPED[_NAME] - self.template[token]) * step[token]))
+                    words = np.concatenate((words, words[more] - 1))
+                    names = np.concatenate((names, names[more] | np.uint64(1 << k)))
+                    some = np.concatenate((some, some[more]))
+            yield some, self._hashed(some, total, width, view), names
+
+    def _hashed(self, at: np.ndarray, sums: np.ndarray, width: int, view: int) -> np.ndarray:
+        return mix64(sums * powers(_BACK, len(self.literal))[at] + np.uint64(width * 4 + view))
+
+    def kinds(self, first: int, width: int, names: int) -> list[int]:
+        return [_NAME if names >> k & 1 else kind for k, kind in enumerate(self.kind[first : first + width].tolist())]
 
     def said(self, first: int, width: int) -> list[str]:
         """The lower-cased tokens of a window."""
         text, base = self.texts[self.owner[first]], self.base[self.owner[first]]
         return [text[a - base : b - base].lower() for a, b in zip(self.starts[first : first + width].tolist(), self.ends[first : first + width].tolist(), strict=True)]
 
-    def canonical(self, first: int, width: int, view: int) -> str:
+    def canonical(self, first: int, width: int, view: int, names: int) -> str:
         said = self.said(first, width)
         if view == TEMPLATE:
-            said = [PLACEHOLDERS[k] or w for k, w in zip(self.kind[first : first + width].tolist(), said, strict=True)]
+            said = [PLACEHOLDERS[k] or w for k, w in zip(self.kinds(first, width, names), said, strict=True)]
         return " ".join(said)
 
 
@@ -165,16 +194,16 @@ def _hashes(what: str) -> np.ndarray:
 WINDOW_SCHEMA = "view int, width int, hash bigint, canonical string, at int, said array<string>, kinds array<int>"
 
 
-def _rows(tokens: Tokens, view: int, width: int, at: np.ndarray, hashes: np.ndarray) -> list[pa.Array]:
+def _rows(tokens: Tokens, view: int, width: int, at: np.ndarray, hashes: np.ndarray, names: np.ndarray) -> list[pa.Array]:
     said = [tokens.said(k, width) for k in at.tolist()]
     return [
         pa.array([view] * len(at), pa.int32()),
         pa.array([width] * len(at), pa.int32()),
         pa.array(hashes.view(np.int64)),
-        pa.array([tokens.canonical(k, width, view) for k in at.tolist()], pa.string()),
+        pa.array([tokens.canonical(k, width, view, bits) for k, bits in zip(at.tolist(), names.tolist(), strict=True)], pa.string()),
         pa.array((at - tokens.first[tokens.owner[at]]).astype(np.int32)),
         pa.array(said, pa.list_(pa.string())),
-        pa.array([tokens.kind[k : k + width].tolist() for k in at.tolist()], pa.list_(pa.int32())),
+        pa.array([tokens.kinds(k, width, bits) for k, bits in zip(at.tolist(), names.tolist(), strict=True)], pa.list_(pa.int32())),
     ]
 
 
@@ -190,16 +219,16 @@ def benchmark_windows(benchmark: DataFrame, text: str = "text", item: str = "ite
                 tokens = Tokens(as_texts(part.column("text")))
                 for view, widths in ((LITERAL, range(shortest, window + 1)), (TEMPLATE, range(shortest, window + 1)), (WHOLE, range(1, shortest))):
                     for width in widths:
-                        at, hashes = tokens.windows(width, view)
                         # the width of an item is the window, or its own length where that is smaller
-                        fits = np.minimum(tokens.counts, window)[tokens.owner[at]] == width
-                        at, hashes = at[fits], hashes[fits]
-                        own = tokens.owner[at]
-                        per_item = np.bincount(own, minlength=len(tokens.counts))
-                        yield pa.RecordBatch.from_arrays(
-                            [part.column("item_row").take(pa.array(own)), part.column("item").take(pa.array(own)), pa.array(tokens.counts[own].astype(np.int32)), pa.array(per_item[own].astype(np.int32)), *_rows(tokens, view, width, at, hashes)],
-                            ["item_row", "item", "tokens", "windows", *_NAMES],
-                        )
+                        fits = np.minimum(tokens.counts, window) == width
+                        parts = [(at[k], hashes[k], names[k]) for at, hashes, names in tokens.windows(width, view) for k in [np.flatnonzero(fits[tokens.owner[at]])]]
+                        per_item = sum((np.bincount(tokens.owner[at[names == 0]], minlength=len(tokens.counts)) for at, _, names in parts), np.zeros(len(tokens.counts), np.int64))
+                        for at, hashes, names in parts:
+                            own = tokens.owner[at]
+                            yield pa.RecordBatch.from_arrays(
+                                [part.column("item_row").take(pa.array(own)), part.column("item").take(pa.array(own)), pa.array(tokens.counts[own].astype(np.int32)), pa.array(per_item[own].astype(np.int32)), *_rows(tokens, view, width, at, hashes, names)],
+                                ["item_row", "item", "tokens", "windows", *_NAMES],
+                            )
 
     source = benchmark.select(F.monotonically_increasing_id().alias("item_row"), F.col(item).alias("item"), F.col(text).cast("string").alias("text"))
     schema = T.StructType([T.StructField("item_row", T.LongType()), T.StructField("item", benchmark.schema[item].dataType), *T._parse_datatype_string("tokens int, windows int, " + WINDOW_SCHEMA).fields])
@@ -222,13 +251,12 @@ def _hits(docs: DataFrame, row: str, text: str, wanted: list[tuple[int, int, np.
             for part in slices(batch, "text"):
                 tokens = Tokens(as_texts(part.column("text")))
                 for view, width, hashes, marks in marked:
-                    at, own = tokens.windows(width, view)
-                    some = marks[(own & np.uint64((1 << 22) - 1)).astype(np.int64)]
-                    at, own = at[some], own[some]
-                    place = np.minimum(np.searchsorted(hashes, own), len(hashes) - 1)
-                    at, own = at[hashes[place] == own], own[hashes[place] == own]
-                    if len(at):
-                        yield pa.RecordBatch.from_arrays([part.column("row").take(pa.array(tokens.owner[at])), *_rows(tokens, view, width, at, own)], ["row", *_NAMES])
+                    for at, own, names in tokens.windows(width, view):
+                        some = np.flatnonzero(marks[(own & np.uint64((1 << 22) - 1)).astype(np.int64)])
+                        some = some[hashes[np.minimum(np.searchsorted(hashes, own[some]), len(hashes) - 1)] == own[some]]
+                        if len(some):
+                            at, own, names = at[some], own[some], names[some]
+                            yield pa.RecordBatch.from_arrays([part.column("row").take(pa.array(tokens.owner[at])), *_rows(tokens, view, width, at, own, names)], ["row", *_NAMES])
 
     return map_arrow(docs.select(F.col(row).alias("row"), F.col(text).cast("string").alias("text")), apply, "row bigint, " + WINDOW_SCHEMA)
 
@@ -261,10 +289,13 @@ def _judge(tokens: int, windows: int, width: int, view: int, pairs: list[dict],
     for pair in pairs:
         by_shift[pair["at"] - pair["item_at"]].append(pair)
     covered = len({p["item_at"] for p in pairs}) / windows
-    longest = max(_longest_run(sorted(p["item_at"] for p in own)) for own in by_shift.values()) + width - 1
+    longest = max(_longest_run(sorted({p["item_at"] for p in own})) for own in by_shift.values()) + width - 1
     if view != TEMPLATE:
         return ("exact", covered, longest, 0) if covered >= cover or longest >= min(run, tokens) else None
-    for own in by_shift.values():
+    for told in by_shift.values():
+        # of the variants of a window that match, the one of fewest names: an opening word that stays the same is a word
+        fewest = {p["item_at"]: p for p in sorted(told, key=lambda p: -p["kinds"].count(_NAME))}
+        own = list(fewest.values())
         part = len(own) / windows
         consistent, changed = slots_of(own)
         if part >= cover and consistent and changed:

@@ -85,3 +85,22 @@ def test_extra_columns_and_empty_tables(frame):
     assert suffix.remove_repeats(docs.where(F.lit(False))).count() == 0
     with pytest.raises(ValueError):
         suffix.remove_repeats(docs.withColumn("kept", F.lit(1)))
+
+
+def test_long_repetitive_text_beside_short_ones(spark):
+    rng = np.random.default_rng(3)
+    texts = ["".join(rng.choice(list("abcdefgh"), 400)) for _ in range(4)]
+    texts = [*texts, texts[1] + "tail", "x" + texts[2][:250]]
+    parts = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "1")  # all texts in one slice
+    try:
+        rows = spark.createDataFrame([(k, t) for k, t in enumerate(texts)], "doc_id bigint, text string").coalesce(1)
+        long_ = spark.range(1).select(F.lit(99).cast("bigint").alias("doc_id"), F.expr("repeat('one line that says the same again and again, to the end\n', 310000)").alias("text"))
+        got = suffix.remove_repeats(long_.union(rows).coalesce(1)).select("doc_id", "n_bytes", F.col("removed").cast("string").alias("removed")).collect()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", parts)
+    size = 310000 * 56
+    assert size > 1 << 24
+    assert {r["doc_id"]: (r["n_bytes"], r["removed"]) for r in got} == {
+        99: (size, f"[{{0, {size}}}]"), 0: (400, "[]"), 1: (400, "[{0, 400}]"), 2: (400, "[{0, 250}]"), 3: (400, "[]"), 4: (404, "[{0, 400}]"), 5: (251, "[{1, 251}]"),
+    }

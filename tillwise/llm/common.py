@@ -114,7 +114,7 @@ def map_arrow(df: DataFrame, apply: Callable[[Iterator[pa.RecordBatch]], Iterato
 
 
 def slices(batch: pa.RecordBatch, column: str, max_bytes: int = CHUNK_BYTES) -> Iterator[pa.RecordBatch]:
-    """Cut a batch into runs of rows holding about ``max_bytes`` of text; a longer text stands alone."""
+    """Cut a batch into runs of rows holding about ``max_bytes`` of text (or of bytes that a whole-number column states); a longer text stands alone."""
     if not batch.num_rows:
         return
     sizes = np.asarray(_lengths(batch.column(column)), dtype=np.int64)
@@ -130,7 +130,7 @@ def slices(batch: pa.RecordBatch, column: str, max_bytes: int = CHUNK_BYTES) ->
 def _lengths(column: pa.Array) -> np.ndarray:
     import pyarrow.compute as pc
 
-    return pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False)
+    return pc.fill_null(column if pa.types.is_integer(column.type) else pc.binary_length(column), 0).to_numpy(zero_copy_only=False)
 
 
 def as_bytes(column: pa.Array) -> list[bytes]:

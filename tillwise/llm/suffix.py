@@ -101,7 +101,7 @@ def _anchor_rows(texts: DataFrame, match: int, gram: int) -> DataFrame:
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for one in batches:
-            for part in slices(one, "packed", _CHUNK // 3):
+            for part in slices(one, "n_bytes", _CHUNK):
                 rows = part.column("row").to_numpy()
                 data = [unpack(p, n) for p, n in zip(part.column("packed").to_pylist(), part.column("n_bytes").to_pylist(), strict=True)]
                 if len(data) == 1 and len(data[0]) > 2 * _CHUNK:
@@ -315,7 +315,7 @@ def _contexts(wanted: DataFrame, texts: DataFrame) -> DataFrame:
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ["row", *fields, "bytes"]
         for batch in batches:
-            for part in slices(batch, "packed", _CHUNK):
+            for part in slices(batch, "n_bytes", 3 * _CHUNK):
                 wanted = part.column("wanted")
                 rows = np.repeat(part.column("row").to_numpy(), np.asarray(wanted.value_lengths()))
                 flat = wanted.flatten()
@@ -376,7 +376,7 @@ def remove_repeats(docs: DataFrame, text: str = "text", keep: list[str] | None =
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kind = pa.list_(pa.struct([("begin", pa.int64()), ("end", pa.int64())]))
         for batch in batches:
-            for part in slices(batch, "packed", _CHUNK):
+            for part in slices(batch, "n_bytes", 3 * _CHUNK):
                 removed, kept = [], []
                 for packed, n, found in zip(part.column("packed").to_pylist(), part.column("n_bytes").to_pylist(), part.column("spans").to_pylist(), strict=True):
                     gone = _merged(found, n)

@@ -122,3 +122,9 @@ def test_empty_training_and_tables(spark, frame):
     found = lm.score(docs, table, known, model, keep=["doc_id"]).collect()
     assert [(r["n_known"], r["train_tokens"], r["base_score"]) for r in found] == [(0, 0, 0.0)] * 2
     assert lm.score(none, table, known, model, keep=["doc_id"]).count() == 0
+
+
+def test_rounds_cover_every_training_document(spark, data):
+    docs = data("documents").select("doc_id").union(spark.createDataFrame([(None,)], "doc_id bigint"))
+    seen = Counter(r["doc_id"] for turn in range(lm.ROUNDS) for r in lm.turn_of(docs, turn).collect())
+    assert seen == Counter(r["doc_id"] for r in docs.collect())

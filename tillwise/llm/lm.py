@@ -11,9 +11,9 @@ gated recurrent unit with a class-factored softmax: the class, then the word wit
 Another word is spelt out by its smoothed unigram probability among the other words, so the
 score is the probability of the exact text.  Output biases start at the counts of the whole
 corpus.  Recurrent weights learn by truncated backpropagation in numpy: in each of ``ROUNDS``
-rounds every task trains a copy on its share of one in ``STRIDE`` training documents (picked by id
-hash, so the amount grows with the corpus), and Spark averages the copies, weighted by
-tokens.  State runs on across windows of ``WINDOW`` tokens: to the end of a document in scoring,
+rounds every task trains a copy on its share of one in ``STRIDE`` training documents (dealt by id
+hash, so that the rounds together cover every document), and Spark averages the copies, weighted
+by tokens.  State runs on across windows of ``WINDOW`` tokens: to the end of a document in scoring,
 for ``SEGMENT`` tokens in training.
 
 Defined cases: null counts as the empty text (one token, the end); without training documents
@@ -45,7 +45,7 @@ WINDOW, TRAIN_LANES, SCORE_LANES = 32, 64, 256
 #: Tokens of a document learnt from one start state (scoring never starts afresh within a document).
 SEGMENT = 1024
 #: One in so many training documents each round; rounds; step size; clip of a gradient entry.
-STRIDE, ROUNDS, RATE, CLIP = 16, 2, 0.3, 1.0
+STRIDE, ROUNDS, RATE, CLIP = 4, 4, 0.3, 1.0
 _END, _OTHER = 0, 1
 _SCORED, _TRAINED = 16 << 20, 4 << 20  # bytes of text dealt to lanes at once: enough for long texts to share their steps
 _ROWS = 4096  # states whose output is worked out at once
@@ -360,6 +360,11 @@ def _averaged(copies: DataFrame) -> DataFrame:
     return map_arrow(some.withColumn("lane", F.lit(0)).repartition(parts, "block"), apply, schema)
 
 
+def turn_of(docs: DataFrame, turn: int, stride: int = STRIDE, id_column: str = "doc_id") -> DataFrame:
+    """The documents of one round; ``stride`` rounds have each document once."""
+    return docs.where(F.pmod(F.xxhash64(id_column), F.lit(stride)) == turn % stride)
+
+
 def train(docs: DataFrame, known: Unigrams, text: str = "text", id_column: str = "doc_id", rounds: int = ROUNDS, stride: int = STRIDE, rate: float = RATE, units: int = UNITS, per_class: int = CLASS, seed: int = 42) -> Gru:
     """Train on ``docs``: each round on other documents, copies averaged by Spark."""
     counts = known.symbols()
@@ -368,7 +373,7 @@ def train(docs: DataFrame, known: Unigrams, text: str = "text", id_column: str =
     told = spark.sparkContext.broadcast(known.frequent)
     for turn in range(rounds):
         shared = spark.sparkContext.broadcast(model.vector)
-        words, start = known.model_words, turn
+        words = known.model_words
 
         def learn(batches: Iterator[pa.RecordBatch], shared=shared, words=words) -> Iterator[pa.RecordBatch]:
             places = told.value
@@ -386,8 +391,7 @@ def train(docs: DataFrame, known: Unigrams, text: str = "text", id_column: str =
                         ["lane", "block", "weight", "values"],
                     )
 
-        picked = docs.where(F.pmod(F.xxhash64(id_column), F.lit(stride)) == start % stride)
-        rows = picked.select(F.pmod(F.spark_partition_id(), F.lit(64)).cast("int").alias("lane"), F.col(text).cast("string").alias("text"))
+        rows = turn_of(docs, turn, stride, id_column).select(F.pmod(F.spark_partition_id(), F.lit(64)).cast("int").alias("lane"), F.col(text).cast("string").alias("text"))
         blocks = _averaged(map_arrow(rows, learn, "lane int, block int, weight double, values binary")).collect()
         if blocks:  # as many rows as the model has blocks
             parts = {b["block"]: np.frombuffer(b["values"], dtype=np.float64) / b["weight"] for b in blocks}

@@ -10,6 +10,7 @@ from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -128,8 +129,6 @@ def slices(batch: pa.RecordBatch, column: str, max_bytes: int = CHUNK_BYTES) ->
 
 
 def _lengths(column: pa.Array) -> np.ndarray:
-    import pyarrow.compute as pc
-
     return pc.fill_null(column if pa.types.is_integer(column.type) else pc.binary_length(column), 0).to_numpy(zero_copy_only=False)
 
 
@@ -139,6 +138,11 @@ def as_bytes(column: pa.Array) -> list[bytes]:
     return [b or b"" for b in column.cast(kind).to_pylist()]
 
 
+def as_strings(values: list[bytes]) -> pa.Array:
+    """A string column of bytes that came from strings."""
+    return pc.cast(pa.array(values, pa.binary()), options=pc.CastOptions(target_type=pa.string(), allow_invalid_utf8=True))
+
+
 def as_texts(column: pa.Array) -> list[str]:
     return [t or "" for t in column.to_pylist()]
 

@@ -8,10 +8,11 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillwise.llm import bpe, chat, decontaminate, langid, lm, quality, secret_scan, simhash, suffix, topk
+from tillwise.llm import bpe, chat, decontaminate, langid, lm, packing, periodic, quality, secret_scan, simhash, suffix, topk, vector_codes
 from tillwise.llm.common import id_crc, read_table, stored
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
+PACKED_VOCABULARY = "word_bpe_49k.json"
 
 
 def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -79,6 +80,51 @@ def op10_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cut.select("doc_id", "n_bytes", removed.alias("n_removed"), F.size("removed").cast("bigint").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded, books = vector_codes.compress(read_table(spark, sf_dir, "embeddings"))
+    return coded.select("vec_id", "code", "error", "label_error", F.lit(vector_codes.digest(books)).alias("codebooks_sha256"))
+
+
+def with_planted_periods(docs: DataFrame) -> DataFrame:
+    """Let h be the crc32 of doc_id as text and g = floor(h / 10).  Where h % 10 = 0, the n words from a = g % n on repeat the p
+    words there, p = 1 + floor((n - a) / (3 + g % 8)); other texts stay as they are."""
+    h = id_crc()
+    g, n = F.col("_g"), F.col("_n")
+    words = F.filter(F.split(F.coalesce("text", F.lit("")), r"[\x20\x09-\x0D]+"), lambda w: w != "")
+    sized = docs.withColumn("_g", F.floor(h / 10)).withColumn("_words", F.when(h % 10 == 0, words)).withColumn("_n", F.size("_words"))
+    placed = sized.withColumn("_a", F.when(n > 0, F.pmod(g, n)).cast("int")).withColumn("_p", (1 + F.floor((n - F.col("_a")) / (3 + g % 8))).cast("int"))
+    a, p = F.col("_a"), F.col("_p")
+    period = F.slice("_words", a + 1, p)
+    tail = F.slice(F.flatten(F.array_repeat(period, F.ceil((n - a) / p).cast("int"))), F.lit(1), n - a)
+    planted = F.array_join(F.concat(F.slice("_words", F.lit(1), a), tail), " ")
+    return placed.withColumn("text", F.when(n > 0, planted).otherwise(F.col("text"))).drop("_g", "_words", "_n", "_a", "_p")
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = with_planted_periods(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    found = periodic.find_runs(docs)
+    # longer for its period: compared as whole numbers; the runs come by start, then period
+    more = lambda r, best: best["period"].isNull() | (r["length"] * best["period"] > best["length"] * r["period"])
+    none = F.lit(None).cast("struct<start:bigint,length:bigint,period:bigint>")
+    best = F.aggregate("runs", none, lambda best, r: F.when(more(r, best), r).otherwise(best))
+    lines = F.transform("runs", lambda r: F.concat_ws(",", r["start"].cast("string"), r["length"].cast("string"), r["period"].cast("string")))
+    told = F.when(F.size("runs") > 0, F.concat(F.array_join(lines, "\n"), F.lit("\n"))).otherwise("")
+    return found.withColumn("best", best).select(
+        "doc_id",
+        F.size("runs").cast("bigint").alias("n_runs"),
+        *("best.start", "best.length", "best.period"),
+        F.floor(F.lit(1000) * F.col("best.length") / F.col("best.period")).alias("exponent_milli"),
+        F.sha2(told, 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+def op13_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    packed = packing.pack(docs, public_tokenizers.path(PACKED_VOCABULARY))
+    return packed.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"), "sequence_id", "offset")
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline  # it calls the operators, and so stands above this module
 
@@ -127,6 +173,103 @@ SELECT conv_id, n_turns, sha256(told) AS turns_sha256, length(learnt) AS loss_ch
 FROM joined"""
 
 
+_PARTS = f"{vector_codes.PARTS}"
+
+
+def _codes_sql(rounds: int = vector_codes.ROUNDS) -> str:
+    """Every round as a table of all distances, one after the other; parts of vectors of the table's one length."""
+    nearest = """
+near{k} AS MATERIALIZED (
+  SELECT id, part, arg_min(entry, (d, entry)) AS entry, min(d) AS d FROM (
+    SELECT p.id, p.part, b.entry, list_sum(list_transform(list_zip(p.v, b.v), lambda z: (z[1] - z[2]) * (z[1] - z[2]))) AS d
+    FROM parts p JOIN book{k} b USING (part)) GROUP BY id, part
+)"""
+    learnt = """
+book{n} AS MATERIALIZED (
+  SELECT b.part, b.entry, COALESCE(s.v, b.v) AS v FROM book{k} b LEFT JOIN (
+    SELECT part, entry, list(CAST(floor_div AS BIGINT) ORDER BY place) AS v FROM (
+      SELECT n.part, n.entry, u.place, (SUM(u.x) - ((SUM(u.x) % COUNT(*)) + COUNT(*)) % COUNT(*)) // COUNT(*) AS floor_div
+      FROM near{k} n JOIN units u ON u.id = n.id AND u.part = n.part GROUP BY n.part, n.entry, u.place)
+    GROUP BY part, entry) s ON s.part = b.part AND s.entry = b.entry
+)"""
+    steps = "".join("," + nearest.format(k=k) + "," + learnt.format(k=k, n=k + 1) for k in range(rounds))
+    return f"""
+WITH kept AS (
+  SELECT row_number() OVER (ORDER BY vec_id, embedding) AS id, vec_id, label,
+         list_transform(embedding, lambda x: CAST(floor({vector_codes.SCALE} * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: isfinite(x))) = len(embedding)
+),
+parts AS MATERIALIZED (
+  SELECT id, part, v[part * len(v) // {_PARTS} + 1 : (part + 1) * len(v) // {_PARTS}] AS v
+  FROM kept, (SELECT unnest(range({_PARTS})) AS part)
+),
+units AS MATERIALIZED (SELECT id, part, unnest(v) AS x, unnest(range(len(v))) AS place FROM parts),
+book0 AS MATERIALIZED (SELECT part, id - 1 AS entry, v FROM parts WHERE id <= {vector_codes.ENTRIES}){steps},{nearest.format(k=rounds)},
+coded AS (
+  SELECT id, string_agg(printf('%02x', entry), '' ORDER BY part) AS code, CAST(SUM(d) AS BIGINT) AS error FROM near{rounds} GROUP BY id
+),
+told AS (
+  SELECT sha256(string_agg(x, ',' ORDER BY part, entry, place)) AS codebooks_sha256 FROM (
+    SELECT part, entry, CAST(unnest(v) AS VARCHAR) AS x, unnest(range(len(v))) AS place FROM book{rounds})
+)
+SELECT vec_id, code, error, CAST(SUM(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, codebooks_sha256
+FROM kept JOIN coded USING (id), told"""
+
+
+# crc32 bit by bit; a period of a run is a distance of equal strings of eight words; runs are islands of words equal to the one a
+# period on, unless a run of a smaller period holds them
+_RUNS_SQL = """
+WITH hashed AS (
+  SELECT doc_id, list_filter(string_split_regex(COALESCE(text, ''), '[ \t\n\v\f\r]+'), lambda w: w <> '') AS w,
+         xor(4294967295, list_reduce(list_prepend(4294967295, list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda c: CAST(ascii(c) AS BIGINT))),
+           lambda crc, b: list_reduce(list_prepend(xor(crc, b), [0, 0, 0, 0, 0, 0, 0, 0]), lambda x, y: xor(x >> 1, 3988292384 * (x & 1)) + 0 * y))) AS h,
+         row_number() OVER () AS id
+  FROM documents
+),
+placed AS (SELECT *, len(w) AS n, h // 10 AS g, CASE WHEN h % 10 = 0 AND len(w) > 0 THEN (h // 10) % len(w) END AS a FROM hashed),
+docs AS MATERIALIZED (SELECT id, doc_id, n FROM placed),
+said AS (SELECT id, n, a, g, unnest(w) AS word, unnest(range(n)) AS i FROM placed),
+words AS MATERIALIZED (
+  SELECT id, n, word, i FROM said WHERE a IS NULL OR i < a
+  UNION ALL
+  SELECT s.id, s.n, s.word, unnest(range(s.i, s.n, 1 + (s.n - s.a) // (3 + s.g % 8))) AS i
+  FROM said s WHERE s.i >= s.a AND s.i < s.a + 1 + (s.n - s.a) // (3 + s.g % 8)
+),
+grams AS MATERIALIZED (
+  SELECT id, n, i, hash(list(word) OVER (PARTITION BY id ORDER BY i ROWS BETWEEN CURRENT ROW AND 7 FOLLOWING)) AS gram
+  FROM words WHERE n >= 24 QUALIFY i <= n - 8
+),
+periods AS MATERIALIZED (
+  SELECT DISTINCT x.id, y.i - x.i AS q FROM grams x JOIN grams y ON x.id = y.id AND x.gram = y.gram AND y.i > x.i AND 3 * (y.i - x.i) <= x.n
+),
+shifted AS MATERIALIZED (SELECT id, q, i, i + q AS later, word FROM periods JOIN words USING (id)),
+matched AS (
+  SELECT x.id, q, x.i, x.i - row_number() OVER (PARTITION BY x.id, q ORDER BY x.i) AS island
+  FROM shifted x JOIN words y ON y.id = x.id AND y.i = x.later AND y.word = x.word
+),
+stretches AS MATERIALIZED (
+  SELECT id, q AS period, MIN(i) AS start, COUNT(*) + q AS length FROM matched GROUP BY id, q, island
+  HAVING COUNT(*) + q >= GREATEST(24, 3 * q)
+),
+runs AS MATERIALIZED (
+  SELECT * FROM stretches r WHERE NOT EXISTS (FROM stretches s WHERE s.id = r.id AND s.period < r.period
+    AND s.start <= r.start AND s.start + s.length >= r.start + r.length)
+),
+best AS (
+  SELECT * FROM runs QUALIFY row_number() OVER (PARTITION BY id ORDER BY CAST(length AS DECIMAL(38, 20)) / period DESC, start, period) = 1
+),
+told AS (
+  SELECT id, COUNT(*) AS n_runs, string_agg(concat(start, ',', length, ',', period, chr(10)), '' ORDER BY start, period) AS lines FROM runs GROUP BY id
+),
+kept AS (
+  SELECT id, string_agg(word, ' ' ORDER BY i) AS text FROM words x
+  WHERE NOT EXISTS (FROM runs r WHERE r.id = x.id AND x.i >= r.start + r.period AND x.i < r.start + r.length) GROUP BY id
+)
+SELECT doc_id, COALESCE(n_runs, 0) AS n_runs, CAST(start AS BIGINT) AS start, CAST(length AS BIGINT) AS length, CAST(period AS BIGINT) AS period,
+       CAST(1000 * length // period AS BIGINT) AS exponent_milli, sha256(COALESCE(lines, '')) AS runs_sha256, sha256(COALESCE(text, '')) AS collapsed_sha256
+FROM docs LEFT JOIN best USING (id) LEFT JOIN told USING (id) LEFT JOIN kept USING (id)"""
+
+
 def oracle_sql() -> dict[str, str]:
-    """The two queries that plain SQL expresses; the others need a fitted model, XXH64, token merges or byte spans."""
-    return {"op4_exact_top_k": _TOP_K_SQL, "op7_chat_formatting": _CHAT_SQL}
+    """The queries that plain SQL expresses; the others need a fitted model, XXH64, token merges or byte spans."""
+    return {"op4_exact_top_k": _TOP_K_SQL, "op7_chat_formatting": _CHAT_SQL, "op11_vector_codes": _codes_sql(), "op12_periodic_runs": _RUNS_SQL}

@@ -5,6 +5,8 @@ from decimal import Decimal
 
 from pyspark.sql import functions as F
 
+SF_SMALL = "/root/testdata/sf0.001"
+
 CLEAN_SCHEMA = ("invoice_number string, item_code string, item_description string, quantity int, "
                 "invoice_date date, invoice_timestamp timestamp_ntz, price decimal(12,2), "
                 "revenue decimal(23,2), customer_id bigint, is_anonymous int, is_return int, "
@@ -29,4 +31,4 @@ def rows(df, *cols, order=None):
     return [tuple(r) for r in sel.orderBy(*(order or sel.columns)).collect()]
 
 
-__all__ = ["line", "clean_frame", "rows", "F"]
+__all__ = ["SF_SMALL", "line", "clean_frame", "rows", "F"]

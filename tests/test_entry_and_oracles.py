@@ -14,7 +14,7 @@ entry_mod = importlib.util.module_from_spec(spec)
 spec.loader.exec_module(entry_mod)
 
 from check_oracles import TABLES, digest  # noqa: E402
-from conftest import SF_SMALL  # noqa: E402
+from helpers import SF_SMALL  # noqa: E402
 
 from tillwise.oracles import oracle_sql  # noqa: E402
 from tillwise.plans.registry import queries  # noqa: E402

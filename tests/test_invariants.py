@@ -5,7 +5,7 @@ import itertools
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import SF_SMALL
+from helpers import SF_SMALL
 from tillwise.operators import clv_model as M
 from tillwise.operators import rfm as R
 from tillwise.plans import registry as Rg

@@ -12,7 +12,7 @@ from tillwise.plans.registry import cleaned
 from tillwise.sources.files import load_csv
 from tillwise.sources.raw import transactions_from_tpch
 
-from conftest import SF_SMALL
+from helpers import SF_SMALL
 
 
 def _tmp():

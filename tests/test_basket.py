@@ -1,4 +1,6 @@
+import itertools
 import math
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -125,3 +127,28 @@ def test_errors_leave_nothing_cached(spark):
     with pytest.raises(ValueError):
         B.market_basket(_fixture(spark), min_support=0.99)
     assert spark.sparkContext._jsc.getPersistentRDDs().size() == before
+
+
+@pytest.mark.parametrize("max_len", [1, 2, 3, 4, 5])
+def test_itemsets_by_level_equal_every_subset(spark, max_len):
+    rnd = random.Random(max_len)
+    held = [sorted(rnd.sample("abcdefghij", rnd.randint(1, 8))) for _ in range(200)] + [list("abcdefghij")] * 3
+    want = {}
+    for basket in held:
+        for n in range(1, max_len + 1):
+            for s in itertools.combinations(basket, n):
+                want[s] = want.get(s, 0) + 1
+    want = {s: n for s, n in want.items() if n >= 6}
+    df = spark.createDataFrame([(i, b) for i, b in enumerate(held)], "invoice_number int, items array<string>").repartition(7)
+    got = B.frequent_itemsets(df, 6 / len(held), max_len).collect()
+    assert {tuple(r["items"]): r["freq"] for r in got} == want and len(got) == len(want)
+    if max_len == 5:
+        every = B.frequent_itemsets(df, 6 / len(held)).filter("length <= 5").collect()
+        assert {tuple(r["items"]): r["freq"] for r in every} == want
+
+
+def test_a_basket_of_many_items_is_rows_and_no_array_of_pairs(spark):
+    many = [f"{i:04d}" for i in range(700)]
+    df = spark.createDataFrame([(0, many), (1, many[:3]), (2, many[1:3])], "invoice_number int, items array<string>")
+    got = {tuple(r["items"]): r["freq"] for r in B.frequent_itemsets(df, 2 / 3, 3).collect()}
+    assert got == {("0000",): 2, ("0001",): 3, ("0002",): 3, ("0000", "0001"): 2, ("0000", "0002"): 2, ("0001", "0002"): 3, ("0000", "0001", "0002"): 2}

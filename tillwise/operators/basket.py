@@ -6,7 +6,8 @@ Spark-first replacements for the single-machine steps:
   per invoice (``collect_set``), so memory is O(lines), not O(invoices x items);
 * Apriori becomes Spark ML's parallel FP-Growth, given a threshold between the
   smallest count that passes and the one below it, so it mines the frequent
-  itemsets and no others; lengths 1 and 2 are plain counts;
+  itemsets and no others; with a longest itemset, a level-wise miner over
+  vertical bitmaps takes its place, which never counts a longer one;
 * rules -- every split of a frequent itemset into a non-empty antecedent and
   consequent -- grow their consequents item by item; since confidence only
   falls as a consequent grows, a split below the minimum is not grown;
@@ -87,9 +88,8 @@ def frequent_itemsets(basket_df: DataFrame, min_support: float,
 
     The test is ``freq / n >= min_support`` in double precision.  It is turned
     into the smallest passing count first, so the miner neither loses an
-    itemset on the boundary nor grows one below it.  ``max_len`` 1 or 2
-    needs no mining: items, and pairs of frequent items within a basket, are
-    counted; a larger one filters what was mined.
+    itemset on the boundary nor grows one below it.  With ``max_len``
+    the itemsets are mined level by level (``itemsets_by_level``).
 
     Runs jobs (the basket count, the mining) when called.
     """
@@ -109,8 +109,8 @@ def frequent_itemsets(basket_df: DataFrame, min_support: float,
             return basket_df.sparkSession.createDataFrame(
                 [], "items array<string>, freq bigint, support double, length int")
         least = smallest_passing_count(min_support, n)
-        if max_len is not None and max_len <= 2:
-            found = _counted_itemsets(items, least, max_len)
+        if max_len is not None:
+            found = itemsets_by_level(items, least, max_len)
         else:
             # half a count below the smallest passing one: no other count lies between
             fp = FPGrowth(itemsCol="items", minSupport=(least - 0.5) / n, minConfidence=1.0)
@@ -120,8 +120,6 @@ def frequent_itemsets(basket_df: DataFrame, min_support: float,
                 F.array_sort("items").alias("items"), F.col("freq").cast("bigint").alias("freq"))
         out = (found.withColumn("support", F.col("freq").cast("double") / F.lit(float(n)))
                     .withColumn("length", F.size("items")))
-        if max_len is not None:
-            out = out.filter(F.col("length") <= max_len)
         # FP-Growth's itemsets are a lazy RDD over its input; writing them
         # once (they are few next to the baskets) keeps the rule joins, which
         # read them repeatedly, from mining again.
@@ -139,23 +137,47 @@ def smallest_passing_count(min_support: float, n: int) -> int:
     return c
 
 
-def _counted_itemsets(items: DataFrame, least: int, max_len: int) -> DataFrame:
-    """Frequent items and, for ``max_len`` 2, frequent pairs of frequent items."""
-    single = items.select(F.explode("items").alias("item"))
-    ones = single.groupBy("item").agg(F.count(F.lit(1)).alias("freq")).filter(F.col("freq") >= least)
-    out = ones.select(F.array("item").alias("items"), "freq")
-    if max_len == 2:
-        # baskets reduced to their frequent items; pairs combined on the map side before the shuffle
-        exploded = items.select(F.monotonically_increasing_id().alias("_b"), "items") \
-                        .select("_b", F.explode("items").alias("item"))
-        kept = (exploded.join(ones.select("item"), "item")
-                        .groupBy("_b").agg(F.array_sort(F.collect_set("item")).alias("items")))
-        second = F.col("items")
-        pairs = kept.select(F.explode(F.flatten(F.transform(second, lambda x, i: F.transform(
-            F.slice(second, i + 2, F.size(second)), lambda y: F.array(x, y))))).alias("items"))
-        out = out.union(pairs.groupBy("items").agg(F.count(F.lit(1)).alias("freq"))
-                             .filter(F.col("freq") >= least))
-    return out
+def itemsets_by_level(items: DataFrame, least: int, max_len: int) -> DataFrame:
+    """items (sorted), freq: itemsets of at most ``max_len`` items in at least ``least`` baskets.
+
+    Vertical sets: baskets are numbered, and the baskets of an itemset are the bits of 64-basket
+    words, one row (itemset, block, word) for each word that is not zero.  Items are
+    counted first; pairs of frequent items are counted by a join of the lines on
+    their basket, so an invoice of many items is many rows and never one array of
+    pairs.  From then on two itemsets of equal prefix and block give a longer one by
+    the AND of their words, and its count is the sum of the bits.  Only words of frequent
+    itemsets reach the next level, and the last level keeps none.
+
+    Runs a few jobs a level when called.
+    """
+    ids = items.select(F.monotonically_increasing_id().alias("_b"), "items")
+    # written once: the numbers must not change when a task runs again
+    lines = ids.select("_b", F.explode("items").alias("item")).checkpoint(eager=True)
+    ones = lines.groupBy("item").agg(F.count(F.lit(1)).alias("freq")).filter(F.col("freq") >= least)
+    ones = ones.select(F.array("item").alias("items"), "freq").checkpoint(eager=True)
+    found = [ones]
+    if max_len > 1:
+        kept = lines.join(ones.select(F.col("items")[0].alias("item")), "item", "left_semi").select("_b", "item")
+        pairs = kept.alias("a").join(kept.alias("b"), "_b").filter(F.col("a.item") < F.col("b.item")) \
+                    .select("_b", F.col("a.item").alias("x"), F.col("b.item").alias("y"))
+        twos = pairs.groupBy("x", "y").agg(F.count(F.lit(1)).alias("freq")).filter(F.col("freq") >= least).checkpoint(eager=True)
+        found.append(twos.select(F.array("x", "y").alias("items"), "freq"))
+    if max_len > 2:
+        bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), F.pmod("_b", F.lit(64)).cast("int"))
+        words = (pairs.join(twos, ["x", "y"], "left_semi")
+                      .groupBy(F.array("x").alias("prefix"), F.col("y").alias("last"), F.shiftrightunsigned("_b", 6).alias("block"))
+                      .agg(F.bit_or(bit).alias("word")).checkpoint(eager=True))
+    for length in range(3, max_len + 1):
+        a, b = words.alias("a"), words.alias("b")
+        both = a.join(b, ["prefix", "block"]).filter(F.col("a.last") < F.col("b.last"))
+        longer = both.select(F.concat("prefix", F.array("a.last")).alias("prefix"), F.col("b.last").alias("last"), "block",
+                             F.col("a.word").bitwiseAND(F.col("b.word")).alias("word")).filter(F.col("word") != 0)
+        counts = longer.groupBy("prefix", "last").agg(F.sum(F.bit_count("word")).alias("freq")).filter(F.col("freq") >= least).checkpoint(eager=True)
+        found.append(counts.select(F.concat("prefix", F.array("last")).alias("items"), "freq"))
+        if length == max_len or counts.isEmpty():
+            break
+        words = longer.join(counts, ["prefix", "last"], "left_semi").checkpoint(eager=True)
+    return reduce(DataFrame.unionByName, found)
 
 
 # ------------------------------------------------------------------ rules

@@ -10,6 +10,8 @@ BASKET_PARAMS = {
     "default": (0.01, 0.2, None),
     # the part key as item code: thousands of items, thinly spread
     "wide": (0.00015, 0.05, 3),
+    "len3": (0.001, 0.05, 3),
+    "wide4": (0.00015, 0.05, 4),
 }
 
 # One point of the search space: the fitted-model queries check what is fixed

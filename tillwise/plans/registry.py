@@ -72,6 +72,10 @@ def _rules(spark, d, key):
     return B.association_rules(_itemsets(spark, d, key), c)
 
 
+def _itemset_rows(itemsets: DataFrame) -> DataFrame:
+    return itemsets.select(F.array_join("items", ", ").alias("items"), "freq", "support", "length")
+
+
 def _rule_codes(rules: DataFrame) -> DataFrame:
     return rules.select(F.array_join("antecedents", ", ").alias("antecedent_codes"),
                         F.array_join("consequents", ", ").alias("consequent_codes"),
@@ -114,10 +118,14 @@ def _market_basket(spark, d, key="all"):
     return B.market_basket(cleaned(spark, d), s, c, ml).rules.select(*RULE_COLUMNS)
 
 
-def _wide_catalogue(spark, d):
-    s, c, ml = BASKET_PARAMS["wide"]
+def _wide_itemsets(spark, d, key):
+    s, _, ml = BASKET_PARAMS[key]
     lines = C.clean(C.stage(transactions_from_tpch(spark, d, item_column="p_partkey")))
-    return _rule_codes(B.association_rules(B.frequent_itemsets(B.baskets(B.preprocess(lines)), s, ml), c))
+    return B.frequent_itemsets(B.baskets(B.preprocess(lines)), s, ml)
+
+
+def _wide_catalogue(spark, d):
+    return _rule_codes(B.association_rules(_wide_itemsets(spark, d, "wide"), BASKET_PARAMS["wide"][1]))
 
 
 def _shared_path(spark, name):
@@ -160,6 +168,9 @@ QUERIES.update({
     "m7_summary": _summary,
     "m8_market_basket": _market_basket,
     "m8_wide_catalogue": _wide_catalogue,
+    "m2_itemsets_len3": lambda s, d: _itemset_rows(_itemsets(s, d, "len3")),
+    "m2_itemsets_wide_len3": lambda s, d: _itemset_rows(_wide_itemsets(s, d, "wide")),
+    "m2_itemsets_wide_len4": lambda s, d: _itemset_rows(_wide_itemsets(s, d, "wide4")),
     "o2_rules_file": _rules_file,
     "s5_csv_round_trip": _csv_round_trip,
 })

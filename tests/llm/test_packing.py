@@ -23,7 +23,7 @@ def library():
     return lambda text: own.encode(text or "", add_special_tokens=False).ids
 
 
-ODD = ["\x0b", "\x1c", "\x85", " ", " ", "　", " ", "\n", "a", "A", "Σ", "ς", "İ", "é", "́", "ﬁ", "1", "½", "'s", "'LL", "!", "。", "한", "하", "<|endoftext|>", "\U0001f600", "​", "\x00"]
+ODD = ["\x0b", "\x1c", "\x85", " ", " ", "　", " ", "\n", "a", "A", "I", "̇", "ab.", "B2,", "Σ", "ς", "İ", "é", "́", "ﬁ", "1", "½", "'s", "'LL", "!", "。", "한", "하", "<|endoftext|>", "\U0001f600", "​", "\x00"]
 
 
 @settings(max_examples=300, deadline=None)
@@ -78,7 +78,7 @@ def test_levels_and_bounds(spark, library, parts, open_bins, buffer, fan_in):
     rows = packing.pack(df, WHERE, size=32, open_bins=open_bins, buffer=buffer, fan_in=fan_in).collect()
     used = check(rows, documents, 32, library)
     least = -(-sum(r["length"] for r in rows) // 32)
-    assert used <= 1.12 * least + 1
+    assert used <= 1.15 * least + 1
 
 
 def test_best_fit_and_closing():

@@ -5,14 +5,17 @@ documents online: a piece goes to the open bin whose free space fits it best.  A
 ``OPEN_BINS`` bins are open.  A bitset has one bit for each free space that some open bin has, so
 the best fit is the lowest bit at or above the piece's length, and the bin to close when a new one
 is needed, the fullest, is the lowest bit of all.  Pieces wait in a buffer of ``BUFFER`` tokens and
-enter longest first; the rows keep their order.
+enter longest first.
 
-Bins that are open when a task ends are packed again, as they are, with those of ``FAN_IN`` tasks,
-then with those of as many groups, until one group is left; each task of these levels reads at most
-``FAN_IN * OPEN_BINS`` rows.  Only rows of bins that moved into another are changed by a join.
+A piece is told when its bin closes, so a task holds the pieces of its open bins.  Bins that are
+open when it ends are packed again, as they are, with those of ``FAN_IN`` tasks, then with those of as
+many groups, until one group is left; each task of these levels reads at most ``FAN_IN * OPEN_BINS``
+rows, and only the pieces of those bins are shuffled.
 
 Tokens come from the ``tokenizers`` library, word by word: normaliser and splitter of the
 vocabulary never look across white space, so a text has the ids of its words, one after the other.
+For the same reason case does not matter, a stop or comma behind an ASCII letter or digit is a token
+of its own, and a word of lower-case ASCII letters goes to the library's merges as it is.
 
 Defined cases: a null text counts as empty and is the end token alone; rows that repeat are packed as
 often as they come in; rows of a null id keep it; an empty table gives no rows; columns that have the name
@@ -33,11 +36,11 @@ from pyspark.sql import types as T
 from tillwise.llm.common import as_bytes, map_arrow, shuffle_partitions, slices, stored
 
 #: Tokens of a sequence; bins open at once; tokens that wait to be packed longest first; open lists packed again together.
-LENGTH, OPEN_BINS, BUFFER, FAN_IN = 4096, 1024, 1 << 21, 8
+LENGTH, OPEN_BINS, BUFFER, FAN_IN = 4096, 256, 1 << 20, 8
 #: Token that ends a document.
 END = 1
 #: Longest word whose ids are remembered, and words remembered in each of two generations.
-WORD_BYTES, HELD_WORDS = 64, 1 << 18
+WORD_BYTES, HELD_WORDS = 64, 1 << 19
 
 PLACED = ["piece", "start", "length", "ids", "sequence_id", "offset"]
 
@@ -56,8 +59,7 @@ class WordIds(dict):
     def __missing__(self, word: bytes) -> bytes:
         ids = self.older.get(word)
         if ids is None:
-            found = self.tokenizer.encode(word.decode("utf-8", "replace"), add_special_tokens=False).ids
-            ids = struct.pack(f"<{len(found)}I", *found)
+            ids = self._encode(word)
         if len(word) <= WORD_BYTES:
             if len(self) >= HELD_WORDS:
                 self.older = dict(self)
@@ -65,8 +67,17 @@ class WordIds(dict):
             self[word] = ids
         return ids
 
+    def _encode(self, word: bytes) -> bytes:
+        if word.isalpha():  # ASCII letters, in lower case
+            found = [t.id for t in self.tokenizer.model.tokenize(word.decode())]
+        elif word[-1] in b".,;:!?" and word[:-1].isalnum():
+            return self[word[:-1]] + self[word[-1:]]
+        else:
+            found = self.tokenizer.encode(word.decode("utf-8", "replace"), add_special_tokens=False).ids
+        return struct.pack(f"<{len(found)}I", *found)
+
     def of(self, text: bytes) -> bytes:
-        return b"".join(map(self.__getitem__, text.split()))
+        return b"".join(map(self.__getitem__, text.lower().split()))
 
 
 _known: dict[str, WordIds] = {}
@@ -88,6 +99,7 @@ class OpenBins:
         self.spaces = 0  # bit f: some open bin has f free
         self.by_space: dict[int, list[int]] = {}
         self.open = 0
+        self.closed: list[int] = []  # since the caller last cleared it
 
     def _take(self, space: int) -> int:
         own = self.by_space[space]
@@ -108,12 +120,14 @@ class OpenBins:
             space, bin_ = self.size, self.next_id
             self.next_id += 1
             if self.open >= self.most and length < space:
-                self._take((self.spaces & -self.spaces).bit_length() - 1)  # the fullest closes
+                self.closed.append(self._take((self.spaces & -self.spaces).bit_length() - 1))  # the fullest closes
         left = space - length
         if left:
             self.by_space.setdefault(left, []).append(bin_)
             self.spaces |= 1 << left
             self.open += 1
+        else:
+            self.closed.append(bin_)
         return bin_, self.size - space
 
     def rest(self) -> Iterator[tuple[int, int]]:
@@ -123,15 +137,6 @@ class OpenBins:
                 yield bin_, self.size - space
 
 
-def _placed(bins: OpenBins, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Bin and offset of each piece; longer pieces enter first."""
-    order = np.argsort(-lengths, kind="stable")
-    found = np.array([bins.put(n) for n in lengths[order].tolist()], dtype=np.int64).reshape(-1, 2)
-    out = np.empty_like(found)
-    out[order] = found
-    return out[:, 0], out[:, 1]
-
-
 def _pieces(ids: list[bytes], size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(document, number in it, length) of each piece."""
     tokens = np.array([len(b) // 4 for b in ids], dtype=np.int64)
@@ -141,49 +146,64 @@ def _pieces(ids: list[bytes], size: int) -> tuple[np.ndarray, np.ndarray, np.nda
     return of, number, np.minimum(size, tokens[of] - number * size)
 
 
-def _packer(tokens_of: Callable[[], WordIds], end: int, size: int, open_bins: int, buffer: int, kept: list[str]) -> Callable:
+class Packer:
+    """Packs the pieces of one task; hands on the pieces of every bin that has closed."""
+
+    def __init__(self, bins: OpenBins, kept: list[str]):
+        self.bins, self.kept, self.task = bins, kept, bins.next_id
+        self.held: dict[int, list[tuple]] = {}  # bin -> (rows, row, piece, length, ids, offset)
+        self.waiting: list[tuple] = []  # (rows, row, piece, length, ids)
+        self.tokens = 0
+
+    def add(self, rows: pa.RecordBatch, ids: list[bytes]) -> None:
+        size = self.bins.size
+        for of, number, n in zip(*(a.tolist() for a in _pieces(ids, size)), strict=True):
+            self.waiting.append((rows, of, number, n, ids[of][4 * size * number : 4 * size * (number + 1)]))
+            self.tokens += n
+
+    def pack(self) -> Iterator[pa.RecordBatch]:
+        """Place what waits, longer pieces first."""
+        self.waiting.sort(key=lambda w: -w[3])
+        for one in self.waiting:
+            bin_, offset = self.bins.put(one[3])
+            self.held.setdefault(bin_, []).append((*one, offset))
+        self.waiting, self.tokens = [], 0
+        yield from self._told([(bin_, *one) for bin_ in self.bins.closed for one in self.held.pop(bin_)], None)
+        self.bins.closed.clear()
+
+    def end(self) -> Iterator[pa.RecordBatch]:
+        """The pieces of the bins still open, with the tokens of their bin."""
+        fill = dict(self.bins.rest())
+        yield from self._told([(bin_, *one) for bin_, own in self.held.items() for one in own], fill)
+
+    def _told(self, pieces: list[tuple], fill: dict[int, int] | None) -> Iterator[pa.RecordBatch]:
+        by_rows: dict[int, list[tuple]] = {}
+        for one in pieces:
+            by_rows.setdefault(id(one[1]), []).append(one)
+        for own in by_rows.values():
+            bins, rows, of, number, lengths, ids, offsets = zip(*own, strict=True)
+            kept = rows[0].take(pa.array(of, pa.int64()))
+            start = [k * self.bins.size for k in number]
+            columns = [pa.array(number, pa.int32()), pa.array(start, pa.int64()), pa.array(lengths, pa.int64()), pa.array(ids, pa.binary()), pa.array(bins, pa.int64()), pa.array(offsets, pa.int64())]
+            filled = pa.nulls(len(own), pa.int64()) if fill is None else pa.array([fill[b] for b in bins], pa.int64())
+            yield pa.RecordBatch.from_arrays([*(kept.column(c) for c in self.kept), *columns, filled], [*self.kept, *PLACED, "fill"])
+
+
+def _packer(path: str, end: int, size: int, open_bins: int, buffer: int, kept: list[str]) -> Callable:
     last = struct.pack("<I", end)
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, bins = tokens_of(), None
-        task = 0
-        waiting: list[tuple[pa.RecordBatch, list[bytes]]] = []
-        tokens = 0
-
-        def told() -> Iterator[pa.RecordBatch]:
-            cut = [_pieces(ids, size) for _, ids in waiting]
-            bin_, offset = _placed(bins, np.concatenate([c[2] for c in cut]))
-            at = 0
-            for (part, ids), (of, number, lengths) in zip(waiting, cut, strict=True):
-                to = at + len(of)
-                own = pa.array([ids[d][4 * size * k : 4 * size * (k + 1)] for d, k in zip(of.tolist(), number.tolist(), strict=True)], pa.large_binary())
-                rows = pa.array(of)
-                yield pa.RecordBatch.from_arrays(
-                    [*(part.column(c).take(rows) for c in kept), pa.array(number, pa.int32()), pa.array(number * size), pa.array(lengths), own, pa.array(bin_[at:to]), pa.array(offset[at:to])],
-                    [*kept, *PLACED],
-                )
-                at = to
-
+        known, packer = word_ids(path), None
         for batch in batches:
             for part in slices(batch, "text"):
-                if bins is None:
-                    task = part.column("task")[0].as_py()
-                    bins = OpenBins(size, open_bins, task << 32)
-                ids = [known.of(t) + last for t in as_bytes(part.column("text"))]
-                waiting.append((part, ids))
-                tokens += sum(map(len, ids)) // 4
-                if tokens >= buffer:
-                    yield from told()
-                    waiting.clear()
-                    tokens = 0
-        if waiting:
-            yield from told()
-        if bins is not None:  # rows without a piece: what is still open
-            rest = sorted(bins.rest())
-            nothing = [pa.nulls(len(rest), part.schema.field(c).type) for c in kept]
-            number = pa.nulls(len(rest), pa.int32())
-            open_ = [pa.array([x[k] for x in rest], pa.int64()) for k in (0, 1)]
-            yield pa.RecordBatch.from_arrays([*nothing, number, pa.nulls(len(rest), pa.int64()), open_[1], pa.nulls(len(rest), pa.large_binary()), open_[0], pa.nulls(len(rest), pa.int64())], [*kept, *PLACED])
+                if packer is None:
+                    packer = Packer(OpenBins(size, open_bins, part.column("task")[0].as_py() << 32), kept)
+                packer.add(part.select([*kept, "task"]), [known.of(t) + last for t in as_bytes(part.column("text"))])
+                if packer.tokens >= buffer:
+                    yield from packer.pack()
+        if packer is not None:
+            yield from packer.pack()
+            yield from packer.end()
 
     return apply
 
@@ -252,17 +272,15 @@ def pack(docs: DataFrame, path: str, text: str = "text", end: int = END, size: i
     schema = T.StructType(
         [
             *(T.StructField(h, docs.schema[c].dataType) for c, h in zip(keep, hidden, strict=True)),
-            *T._parse_datatype_string("piece int, start bigint, length bigint, ids binary, sequence_id bigint, offset bigint").fields,
+            *T._parse_datatype_string("piece int, start bigint, length bigint, ids binary, sequence_id bigint, offset bigint, fill bigint").fields,
         ]
     )
-    packed = stored(map_arrow(rows, _packer(lambda: word_ids(path), end, size, open_bins, buffer, hidden), schema))
-    open_ = packed.where("piece IS NULL").select(F.col("sequence_id").alias("bin"), F.col("length").alias("fill"), F.shiftright("sequence_id", 32).alias("group"))
-    pieces = packed.where("piece IS NOT NULL")
-    moved = _moved(open_, size, open_bins, fan_in)
-    placed = pieces.join(moved.withColumnRenamed("bin", "sequence_id"), "sequence_id", "left")
-    return placed.select(
-        *(F.col(h).alias(c) for c, h in zip(keep, hidden, strict=True)),
-        *("piece", "start", "length", "ids"),
-        F.coalesce("into", "sequence_id").alias("sequence_id"),
-        (F.col("offset") + F.coalesce("shift", F.lit(0))).alias("offset"),
+    packed = stored(map_arrow(rows, _packer(path, end, size, open_bins, buffer, hidden), schema))
+    left_open = packed.where("fill IS NOT NULL")
+    open_ = left_open.groupBy(F.col("sequence_id").alias("bin")).agg(F.max("fill").alias("fill")).withColumn("group", F.shiftright("bin", 32))
+    moved = _moved(open_, size, open_bins, fan_in).withColumnRenamed("bin", "sequence_id")
+    placed = left_open.join(moved, "sequence_id", "left").withColumns(
+        {"sequence_id": F.coalesce("into", "sequence_id"), "offset": F.col("offset") + F.coalesce("shift", F.lit(0))}
     )
+    columns = [*hidden, *PLACED]
+    return packed.where("fill IS NULL").select(*columns).union(placed.select(*columns)).toDF(*keep, *PLACED)

@@ -2,9 +2,8 @@
 
 Quotes inside a quoted field are doubled, as other tools write and read them;
 a field may hold commas, backslashes and, with ``multiline`` (the default), line
-breaks.  A multi-line file is read by one task, so a large export should be
-many files, or free of line breaks and read with ``multiline=False``, which
-splits files.
+breaks.  Such a file is still read by many tasks (``splitcsv``); one without
+line breaks in its fields is read a little faster with ``multiline=False``.
 
 A missing file, an empty file and a malformed record are three different
 errors.  With ``FAILFAST`` a malformed record is an error, not a silent null
@@ -20,6 +19,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .splitcsv import read_csv
+
 CSV_OPTIONS = {"header": "true", "quote": '"', "escape": '"'}
 
 
@@ -51,6 +52,10 @@ def load_csv(spark: SparkSession, path: str, schema: T.StructType | None = None,
         raise ValueError(f"{path} holds no header line") from e
     if not df.columns:
         raise ValueError(f"{path} holds no header line")
+    if multiline:
+        # a line break in a name can hide from Spark that lines end in a carriage return and a line feed
+        fields = [T.StructField(f.name.rstrip("\r"), f.dataType) for f in df.schema.fields]
+        df = read_csv(spark, path, T.StructType(fields), {**CSV_OPTIONS, "mode": "FAILFAST"})
     if validate:
         try:
             df.agg(*[F.count(F.col(f"`{c}`")) for c in df.columns]).collect()

@@ -3,6 +3,7 @@ import math
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
 from helpers import clean_frame, line
 from tillwise.operators import clv_model as M
@@ -148,3 +149,55 @@ def test_model_does_not_follow_the_partitions(spark):
     got = [sorted((r["CustomerID"], r["prediction"]) for r in M.fit(frame, point).transform(df).collect())
            for frame in (df.repartition(1), df.repartition(13))]
     assert got[0] == got[1]
+
+
+def _search_rows(spark, n=240):
+    rows = [(i, float(i % 7), float(i * 3 % 101), float(i % 13), float(i % 29), float(i % 31), float((i * 7 % 97) + 50 * (i % 7 > 3))) for i in range(n)]
+    return spark.createDataFrame(rows, ["CustomerID", *M.FEATURES, M.TARGET])
+
+
+LEDGER_SPACE = {"n_estimators": [1, 2], "max_depth": [1, 2], "learning_rate": [0.1], "min_samples_leaf": [1],
+                "min_samples_split": [2], "subsample": [1.0]}
+
+
+def test_a_search_that_was_broken_off_goes_on(spark, tmp_path, monkeypatch):
+    df, ledger = _search_rows(spark), str(tmp_path / "ledger")
+    whole = M.random_search(df, 4, 3, space=LEDGER_SPACE, ledger=str(tmp_path / "other"), parallelism=1)
+    assert whole.trials == 12
+    plain, calls = M.fit, []
+
+    def dies(*args, **kwargs):
+        calls.append(1)
+        if len(calls) == 6:
+            raise RuntimeError("lost")
+        return plain(*args, **kwargs)
+
+    monkeypatch.setattr(M, "fit", dies)
+    with pytest.raises(RuntimeError):
+        M.random_search(df, 4, 3, space=LEDGER_SPACE, ledger=ledger, parallelism=1)
+    monkeypatch.setattr(M, "fit", plain)
+    again = M.random_search(df.repartition(5), 4, 3, space=LEDGER_SPACE, ledger=ledger, parallelism=2)
+    finished = 12 - again.trials
+    assert 5 <= finished < 12   # trials before the loss (and any that ran on while it was noticed)
+    assert sorted(again.table.collect()) == sorted(whole.table.collect())
+    assert (again.best_params, again.best_cv_rmse) == (whole.best_params, whole.best_cv_rmse)
+    assert M.random_search(df, 4, 3, space=LEDGER_SPACE, ledger=ledger).trials == 0
+    # a wider search shares the trials; other rows or seeds do not
+    assert M.random_search(df, 2, 3, space={**LEDGER_SPACE, "n_estimators": [1]}, ledger=ledger).trials == 0
+    assert M.random_search(df.filter("CustomerID > 5"), 1, 3, space=LEDGER_SPACE, ledger=ledger).trials == 3
+    assert M.random_search(df, 1, 3, seed=7, space=LEDGER_SPACE, ledger=ledger).trials == 3
+
+
+def test_search_equals_cross_validation_by_hand(spark, tmp_path):
+    df = _search_rows(spark)
+    found = M.random_search(df, 2, 3, space=LEDGER_SPACE, ledger=str(tmp_path / "l"))
+    folds = df.withColumn("_fold", F.pmod(F.xxhash64(F.lit(43), "CustomerID"), F.lit(3)))
+    for r in found.table.collect():
+        params = {k: r[k] for k in M.PARAM_SPACE}
+        errors = []
+        for k in range(3):
+            model = M.fit(folds.filter(F.col("_fold") != k), params)
+            own = model.transform(folds.filter(F.col("_fold") == k)).toPandas()
+            errors.append(((own.prediction - own[M.TARGET]) ** 2).mean())
+        assert r["cv_mse"] == pytest.approx(np.mean(errors)) and r["cv_rmse"] == pytest.approx(math.sqrt(np.mean(errors)))
+    assert found.best_cv_rmse == min(r["cv_rmse"] for r in found.table.collect())

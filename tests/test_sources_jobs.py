@@ -11,6 +11,7 @@ from tillwise.plans.notebook import TableStore, profile_queries, run_notebook
 from tillwise.plans.registry import cleaned
 from tillwise.sources.files import load_csv
 from tillwise.sources.raw import transactions_from_tpch
+from tillwise.sources.sinks import read_table, replace_table
 
 from helpers import SF_SMALL
 
@@ -176,4 +177,41 @@ def test_cli_notebook(spark, capsys):
     out = os.path.join(d, "tables")
     assert cli.main(["notebook", "--raw-parquet", raw, "--out-dir", out]) == 0
     assert "written:" in capsys.readouterr().out
-    assert spark.read.parquet(os.path.join(out, "rfm_segment")).count() > 0
+    assert read_table(spark, os.path.join(out, "rfm_segment")).count() > 0
+
+
+@pytest.mark.parametrize("catalog", [False, True])
+def test_a_table_stays_readable_while_it_is_replaced(spark, catalog):
+    import threading
+    spark.sql("CREATE DATABASE IF NOT EXISTS tillwise_swap")
+    where = {"name": f"tillwise_swap.t{os.getpid()}"} if catalog else {"path": os.path.join(_tmp(), "t")}
+    read = lambda: spark.read.table(where["name"]) if catalog else read_table(spark, where["path"])
+    if not catalog:
+        with pytest.raises(FileNotFoundError):
+            read()
+    replace_table(spark.range(10).toDF("n"), **where)
+    early = read()   # a reader that has begun
+    seen, done = [], threading.Event()
+
+    def look():
+        while not done.is_set():
+            seen.append(sorted({r["n"] < 100 for r in read().collect()}))
+
+    reader = threading.Thread(target=look)
+    reader.start()
+    try:
+        # slow rows, so that the reader looks while they are written
+        slow = spark.range(100, 108, 1, 8).selectExpr("id AS n", "java_method('java.lang.Thread', 'activeCount') AS threads").repartition(8)
+        replace_table(slow.select("n"), **where)
+        with pytest.raises(Exception, match="lost"):
+            replace_table(spark.range(5).selectExpr("CAST(raise_error('lost') AS BIGINT) AS n"), **where)
+    finally:
+        done.set()
+        reader.join()
+    assert sorted(r["n"] for r in read().collect()) == list(range(100, 108))   # the failed write changed nothing
+    assert seen and all(s in ([True], [False]) for s in seen)   # always the old rows or the new, whole
+    assert sorted(r["n"] for r in early.collect()) == list(range(10))
+    replace_table(read().selectExpr("n + 1 AS n", "'x' AS more"), partition_by=["more"], **where)   # reads what it replaces; other columns
+    assert sorted(r["n"] for r in read().collect()) == list(range(101, 109)) and read().columns == ["n", "more"]
+    with pytest.raises(ValueError):
+        replace_table(spark.range(1))

@@ -7,24 +7,27 @@
 * the train/test split is repeatable and exact in size: rows are ordered
   by a seeded hash of the id and the first ``ceil(test_size * n)`` are test;
 * the random search samples parameter maps from the grid with a seeded
-  RNG and evaluates them with ``CrossValidator`` on hashed folds; every fit
-  is a distributed Spark job, ``parallelism`` of them at a time;
+  RNG and evaluates each on hashed folds; every trial (draw, fold) is a
+  distributed fit whose result is written to a ledger in the shared folder, so
+  a search that was broken off goes on where it stopped;
 * the best parameters are refit on all rows, then every customer is scored.
 """
 
 from __future__ import annotations
 
 import itertools
+import json
 import math
 import random
+import uuid
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import GBTRegressor
-from pyspark.ml.tuning import CrossValidator
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..schemas import require_columns
@@ -159,13 +162,14 @@ def describe(df: DataFrame, column: str, population: bool = False) -> DataFrame:
 
 # ------------------------------------------------------------------ split
 
-def train_test_split(df: DataFrame, test_size: float = 0.2, seed: int = 42,
-                     id_col: str = "CustomerID", materialize_input: bool = True) -> DataFrame:
-    """Add ``is_test``: exactly ``ceil(test_size * n)`` rows, chosen by a seeded
-    hash of the id -- the same rows whatever the partitioning."""
+def train_test_split(df: DataFrame, test_size: float = 0.2, seed: int = 42, id_col: str = "CustomerID",
+                     materialize_input: bool = True, draw: Column | None = None) -> DataFrame:
+    """Add ``is_test``: exactly ``ceil(test_size * n)`` rows, those of least ``draw``
+    (a seeded hash of the id unless given) -- the same rows whatever the partitioning."""
     if not 0.0 < test_size < 1.0:
         raise ValueError(f"the test share lies between 0 and 1, both excluded, not {test_size}")
-    key = [F.xxhash64(F.lit(seed), F.col(id_col)).asc(), F.col(id_col).asc()]
+    draw = F.xxhash64(F.lit(seed), F.col(id_col)) if draw is None else draw
+    key = [draw.asc(), F.col(id_col).asc()]
     r = global_rank(df, key, "_rank", "_n", materialize_input=materialize_input)
     n_test = F.ceil(F.lit(float(test_size)) * F.col("_n"))
     return r.withColumn("is_test", F.col("_rank") < n_test).drop("_rank", "_n")
@@ -197,8 +201,8 @@ def gbt_params(p: dict) -> dict:
             "subsamplingRate": float(p["subsample"])}
 
 
-def _estimator(seed: int) -> tuple[Pipeline, GBTRegressor]:
-    assembler = VectorAssembler(inputCols=FEATURES, outputCol="features", handleInvalid="keep")
+def _estimator(seed: int, features: list[str]) -> tuple[Pipeline, GBTRegressor]:
+    assembler = VectorAssembler(inputCols=features, outputCol="features", handleInvalid="keep")
     gbt = GBTRegressor(featuresCol="features", labelCol=TARGET, lossType="squared", seed=seed)
     return Pipeline(stages=[assembler, gbt]), gbt
 
@@ -210,10 +214,10 @@ def _estimator(seed: int) -> tuple[Pipeline, GBTRegressor]:
 FIT_PARTITIONS = 8
 
 
-def placed_for_fitting(df: DataFrame, partitions: int = FIT_PARTITIONS) -> DataFrame:
+def placed_for_fitting(df: DataFrame, partitions: int = FIT_PARTITIONS, features: list[str] | None = None) -> DataFrame:
     """Rows hashed by id into a fixed number of partitions and sorted inside, so
     equal rows give an equal model whatever frame they come from."""
-    return df.repartition(partitions, "CustomerID").sortWithinPartitions("CustomerID", *FEATURES)
+    return df.repartition(partitions, "CustomerID").sortWithinPartitions("CustomerID", *(features or FEATURES))
 
 
 @dataclass
@@ -221,46 +225,96 @@ class SearchResult:
     best_params: dict
     best_cv_rmse: float
     table: DataFrame              # one row per sampled parameter set
-    cv_model: object = field(repr=False, default=None)
+    trials: int = field(default=0, repr=False)   # fits this call ran; the ledger had the others
+
+
+class TrialLedger:
+    """What finished trials of a search found: one small file for each, in a folder all drivers reach.
+
+    A trial's file is written whole or not at all, under the trial's name, so a trial that
+    ran twice counts once.  Trials of other parameters, folds, seeds or rows have other names.
+    """
+
+    def __init__(self, spark: SparkSession, path: str, mark: str):
+        self.spark, self.path, self.mark = spark, path, mark
+
+    def name(self, params: dict, fold: int) -> str:
+        return json.dumps({**{k: params[k] for k in sorted(params)}, "fold": fold, "mark": self.mark}, sort_keys=True)
+
+    def finished(self) -> dict[str, float]:
+        files = self.spark._jvm.org.apache.hadoop.fs.Path(self.path)
+        if not files.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(files):
+            return {}
+        rows = self.spark.read.schema("trial string, mse double").option("recursiveFileLookup", "true").parquet(self.path)
+        return {r["trial"]: r["mse"] for r in rows.collect()}   # as many rows as trials
+
+    def write(self, trial: str, mse: float) -> None:
+        own = uuid.uuid5(uuid.NAMESPACE_OID, trial).hex
+        row = self.spark.createDataFrame([(trial, mse)], "trial string, mse double")
+        row.coalesce(1).write.mode("overwrite").parquet(f"{self.path}/{own}")
 
 
 def random_search(train: DataFrame, n_iter: int = 20, num_folds: int = 3, seed: int = 42,
                   parallelism: int = 4, space: dict | None = None,
-                  partitions: int = FIT_PARTITIONS) -> SearchResult:
+                  partitions: int = FIT_PARTITIONS, ledger: str | None = None,
+                  features: list[str] | None = None, fold: Column | None = None) -> SearchResult:
     """Random search with k-fold CV on mean squared error.
 
-    Folds are ``pmod(xxhash64(seed, id), k)``: repeatable.  The training frame
-    is placed once (``placed_for_fitting``) and cached for the ``n_iter x
-    num_folds`` fits.  The CV table (param maps x mean MSE) is tiny: ``n_iter``
-    rows.  Runs its jobs when called.
+    Folds are ``pmod(xxhash64(seed, id), k)`` unless ``fold`` is given: repeatable.  The
+    training frame is placed (``placed_for_fitting``) and written once for the ``n_iter x
+    num_folds`` trials.  ``parallelism`` trials run at a time, each in a
+    scheduler pool of its own (which shares a cluster fairly under
+    ``spark.scheduler.mode=FAIR``).  Every finished trial leaves a row in
+    ``ledger``, a folder of the shared file system (by default one below the
+    checkpoint folder, named after the training rows and the seed); a search that
+    is called again with the same rows, seed and folds runs only the trials that
+    are missing there.  Runs its jobs when called.
     """
+    spark, features = train.sparkSession, features or FEATURES
+    root = ensure_checkpoint_dir(spark)
     sets = sample_param_sets(n_iter, seed, space)
-    pipe, gbt = _estimator(seed)
-    maps = [{getattr(gbt, k): v for k, v in gbt_params(p).items()} for p in sets]
-    data = placed_for_fitting(train, partitions).withColumn(
-        "_fold", F.pmod(F.xxhash64(F.lit(seed + 1), "CustomerID"), F.lit(num_folds)).cast("int")
-    ).cache()
-    cv = CrossValidator(estimator=pipe, estimatorParamMaps=maps,
-                        evaluator=RegressionEvaluator(labelCol=TARGET, metricName="mse"),
-                        numFolds=num_folds, foldCol="_fold", parallelism=parallelism, seed=seed)
-    model = cv.fit(data)
-    data.unpersist()
-    mse = list(model.avgMetrics)
+    fold = F.pmod(F.xxhash64(F.lit(seed + 1), "CustomerID"), F.lit(num_folds)) if fold is None else fold
+    data = placed_for_fitting(train, partitions, features).withColumn("_fold", fold.cast("int")).checkpoint(eager=True)
+    # the rows the trials learn from: another table, fold or seed is another search
+    rows = data.agg(F.count(F.lit(1)).alias("n"),
+                    F.sum(F.xxhash64("CustomerID", *features, TARGET, "_fold").cast("decimal(38,0)")).alias("h")).first()
+    mark = f"{rows['n']}/{rows['h']}/{num_folds}/{seed}/{partitions}"
+    book = TrialLedger(spark, ledger or f"{root}/search-{uuid.uuid5(uuid.NAMESPACE_OID, mark).hex}", mark)
+    known = book.finished()
+    missing = [(p, f) for p in sets for f in range(num_folds) if book.name(p, f) not in known]
+
+    def trial(params: dict, held: int) -> tuple[str, float]:
+        name = book.name(params, held)
+        spark.sparkContext.setLocalProperty("spark.scheduler.pool", f"trial-{held}")
+        model = fit(data.filter(F.col("_fold") != held), params, seed, None, features)
+        gap = F.col("prediction") - F.col(TARGET)
+        mse = model.transform(data.filter(F.col("_fold") == held)).agg(F.avg(gap * gap)).first()[0]
+        book.write(name, mse)
+        return name, mse
+
+    with ThreadPoolExecutor(max(1, parallelism)) as pool:
+        running = [pool.submit(inheritable_thread_target(spark)(trial), p, f) for p, f in missing]
+        try:
+            known.update(t.result() for t in running)
+        finally:
+            for t in running:
+                t.cancel()
+    # a fold without a row, as in a very small table, has no error to count
+    folds = [[known[book.name(p, f)] for f in range(num_folds)] for p in sets]
+    mse = [sum(e for e in own if e is not None) / max(1, sum(e is not None for e in own)) for own in folds]
     best = min(range(len(mse)), key=lambda i: mse[i])
-    spark = train.sparkSession
-    rows = [(i, *[float(sets[i][k]) for k in PARAM_SPACE], float(mse[i]), float(math.sqrt(mse[i])))
-            for i in range(len(sets))]
     table = spark.createDataFrame(
-        rows, ["draw", *PARAM_SPACE.keys(), "cv_mse", "cv_rmse"])
-    return SearchResult(sets[best], math.sqrt(mse[best]), table, model)
+        [(i, *[float(sets[i][k]) for k in PARAM_SPACE], float(mse[i]), float(math.sqrt(mse[i]))) for i in range(len(sets))],
+        "draw int, " + ", ".join(f"{k} double" for k in PARAM_SPACE) + ", cv_mse double, cv_rmse double")
+    return SearchResult(sets[best], math.sqrt(mse[best]), table, len(missing))
 
 
-def fit(train: DataFrame, params: dict, seed: int = 42,
-        partitions: int = FIT_PARTITIONS) -> PipelineModel:
-    """Fit one parameter set (the refit on all rows uses this too)."""
-    pipe, gbt = _estimator(seed)
-    return pipe.fit(placed_for_fitting(train, partitions),
-                    {getattr(gbt, k): v for k, v in gbt_params(params).items()})
+def fit(train: DataFrame, params: dict, seed: int = 42, partitions: int | None = FIT_PARTITIONS,
+        features: list[str] | None = None) -> PipelineModel:
+    """Fit one parameter set (the refit on all rows uses this too); without ``partitions`` the rows stay where they are."""
+    pipe, gbt = _estimator(seed, features or FEATURES)
+    placed = train if partitions is None else placed_for_fitting(train, partitions, features)
+    return pipe.fit(placed, {getattr(gbt, k): v for k, v in gbt_params(params).items()})
 
 
 # ------------------------------------------------------------------ evaluation
@@ -311,7 +365,7 @@ class ClvResult:
 
 def clv_pipeline(features: DataFrame, test_size: float = 0.2, seed: int = 42,
                  n_iter: int = 20, num_folds: int = 3, parallelism: int = 4,
-                 space: dict | None = None) -> ClvResult:
+                 space: dict | None = None, ledger: str | None = None) -> ClvResult:
     """Prepare -> split -> search on train -> test metrics -> refit on all -> score."""
     if not 0.0 < test_size < 1.0:
         raise ValueError(f"the test share lies between 0 and 1, both excluded, not {test_size}")
@@ -319,8 +373,8 @@ def clv_pipeline(features: DataFrame, test_size: float = 0.2, seed: int = 42,
     split = train_test_split(prepared, test_size, seed, materialize_input=False)
     train = split.filter(~F.col("is_test")).drop("is_test")
     test = split.filter(F.col("is_test")).drop("is_test")
-    search = random_search(train, n_iter, num_folds, seed, parallelism, space)
-    best = search.cv_model.bestModel
+    search = random_search(train, n_iter, num_folds, seed, parallelism, space, ledger=ledger)
+    best = fit(train, search.best_params, seed)
     metrics = regression_metrics(best.transform(test), TARGET, "prediction")
     final = fit(prepared, search.best_params, seed)
     pred = predict(final, prepared)

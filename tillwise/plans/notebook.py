@@ -1,7 +1,7 @@
 """The SQL notebook's table pipeline, as replace-table writes.
 
-Each stage is written once (``mode("overwrite")``) and the next stages
-read the written table back, as the notebook's ``CREATE OR REPLACE TABLE``
+Each stage is written once (``replace_table``: a new version, then one
+pointer) and the next stages read the written table back, as the notebook's ``CREATE OR REPLACE TABLE``
 chain does.  Writing ``clean`` cuts the lineage of the source joins: every
 later table is a scan of one parquet table, and a lost executor only costs
 the stage that was running.
@@ -18,7 +18,7 @@ from ..operators import cohort as H
 from ..operators import rfm as R
 from ..operators.clv_features import clv_features
 from ..operators.clv_model import clv_quintiles
-from ..sources.sinks import replace_table
+from ..sources.sinks import read_table, replace_table
 
 TABLES = ["online_retail_stage", "online_retail_clean", "customer_dim", "product_dim",
           "rfm_raw", "rfm_score", "rfm_segment", "cohort", "cohort_activity",
@@ -33,14 +33,18 @@ class TableStore:
             raise ValueError("give exactly one of root or database")
         self.spark, self.root, self.database = spark, root, database
 
-    def write(self, df: DataFrame, name: str) -> DataFrame:
+    def write(self, df: DataFrame, name: str, partition_by: list[str] | None = None) -> DataFrame:
         if self.database:
-            full = f"{self.database}.{name}"
-            replace_table(df, name=full)
-            return self.spark.read.table(full)
-        path = f"{self.root.rstrip('/')}/{name}"
-        replace_table(df, path=path)
-        return self.spark.read.parquet(path)
+            replace_table(df, name=f"{self.database}.{name}", partition_by=partition_by)
+        else:
+            replace_table(df, path=f"{self.root.rstrip('/')}/{name}", partition_by=partition_by)
+        return self.read(name)
+
+    def read(self, name: str) -> DataFrame:
+        """The newest rows of a table; it stays readable while it is replaced."""
+        if self.database:
+            return self.spark.read.table(f"{self.database}.{name}")
+        return read_table(self.spark, f"{self.root.rstrip('/')}/{name}")
 
 
 def run_notebook(raw: DataFrame, store: TableStore, predictions: DataFrame | None = None,

@@ -14,8 +14,14 @@ BASKET_PARAMS = {
     "wide4": (0.00015, 0.05, 4),
 }
 
-# One point of the search space: the fitted-model queries check what is fixed
-# about any fitted model.  The full search (20 draws x 3 folds of up to 300
-# trees of depth 10) is the library's default and takes too long for a check.
-FIT_POINT = {"n_estimators": 100, "max_depth": 3, "learning_rate": 0.1, "min_samples_leaf": 2,
-             "min_samples_split": 5, "subsample": 0.8}
+# The fit that SQL can state: one tree of one split on two features of few
+# distinct values is the cut of least squared error, and every cut can be tried.
+# The full search (20 draws x 3 folds of up to 300 trees of depth 10) is the
+# library's default and takes too long for a check.
+STUMP = {"n_estimators": 1, "max_depth": 1, "learning_rate": 0.1, "min_samples_leaf": 5,
+         "min_samples_split": 2, "subsample": 1.0}
+STUMP_FEATURES = ["orders_band", "recency_band"]
+# Draws of a search over such trees that differ in the rows a leaf needs.
+STUMP_SPACE = {"n_estimators": [1], "max_depth": [1], "learning_rate": [0.1],
+               "min_samples_leaf": [1, 60, 300, 450], "min_samples_split": [2], "subsample": [1.0]}
+STUMP_FOLDS = 3

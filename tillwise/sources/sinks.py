@@ -1,7 +1,10 @@
-"""Sinks: replace-table writes, the rules file, predictions and model."""
+"""Sinks: atomic replace-table writes, the rules file, predictions and model."""
 
 from __future__ import annotations
 
+import time
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -28,17 +31,72 @@ def read_rules(spark: SparkSession, path: str) -> DataFrame:
 
 
 def replace_table(df: DataFrame, name: str | None = None, path: str | None = None,
-                  fmt: str = "parquet", partition_by: list[str] | None = None) -> None:
-    """``CREATE OR REPLACE TABLE ... AS``: overwrite a catalog table or a path."""
-    w = df.write.mode("overwrite").format(fmt)
+                  fmt: str = "parquet", partition_by: list[str] | None = None, keep: int = 2) -> None:
+    """``CREATE OR REPLACE TABLE ... AS``: the rows replace a catalog table or the table at a path.
+
+    The rows are written as a new version beside the old ones, and then one pointer is swapped:
+    for a path the file ``_current`` in it, which is renamed into place; for a catalog name a view of the
+    newest version.  Who reads meanwhile, or after a write that failed, sees the
+    old rows; the frame to be written may itself read the table.  The last ``keep``
+    versions stay for readers that have begun.  Read a path with ``read_table``.
+    """
+    spark = df.sparkSession
+    if (name is None) == (path is None):
+        raise ValueError("give a table name or a path")
+    home = path.rstrip("/") if path else _home_of(spark, name)
+    version = f"v{time.time_ns():020d}-{uuid.uuid4().hex[:8]}"
+    w = df.write.mode("errorifexists").format(fmt)
     if partition_by:
         w = w.partitionBy(*partition_by)
+    w.save(f"{home}/{version}")
     if name is not None:
-        w.saveAsTable(name)
-    elif path is not None:
-        w.save(path)
+        spark.sql(f"CREATE OR REPLACE VIEW {name} AS SELECT * FROM {fmt}.`{home}/{version}`")
     else:
-        raise ValueError("give a table name or a path")
+        _point(spark, home, f"{fmt}/{version}")
+    fs, root = _file_system(spark, home)
+    old = sorted(s.getPath().getName() for s in fs.listStatus(root) if s.getPath().getName().startswith("v"))
+    for gone in old[: max(0, old.index(version) + 1 - max(1, keep))]:
+        fs.delete(spark._jvm.org.apache.hadoop.fs.Path(f"{home}/{gone}"), True)
+
+
+def read_table(spark: SparkSession, path: str) -> DataFrame:
+    """The newest version of the table at a path that ``replace_table`` has written."""
+    fs, root = _file_system(spark, path.rstrip("/"))
+    pointer = spark._jvm.org.apache.hadoop.fs.Path(root, "_current")
+    if not fs.exists(pointer):
+        raise FileNotFoundError(f"no table has been written at {path}")
+    stream = fs.open(pointer)
+    try:
+        fmt, version = spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8").split("/")
+    finally:
+        stream.close()
+    return spark.read.format(fmt).load(f"{path.rstrip('/')}/{version}")
+
+
+def _file_system(spark: SparkSession, path: str):
+    root = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return root.getFileSystem(spark._jsc.hadoopConfiguration()), root
+
+
+def _home_of(spark: SparkSession, name: str) -> str:
+    """The folder of a catalog name's versions, in its database's location."""
+    database, _, table = name.rpartition(".")
+    row = spark.sql(f"DESCRIBE DATABASE {database or spark.catalog.currentDatabase()}").filter("lower(info_name) = 'location'").first()
+    return f"{row['info_value'].rstrip('/')}/{table}.versions"
+
+
+def _point(spark: SparkSession, home: str, target: str) -> None:
+    """Write the pointer beside its place and rename it into place, which replaces the old one in one step."""
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    fs, root = _file_system(spark, home)
+    fresh = hadoop.Path(root, f"_next-{uuid.uuid4().hex}")
+    out = fs.create(fresh, True)
+    out.write(bytearray(target.encode()))
+    out.close()
+    context = hadoop.FileContext.getFileContext(fs.getUri(), spark._jsc.hadoopConfiguration())
+    options = spark.sparkContext._gateway.new_array(hadoop.Options.Rename, 1)
+    options[0] = getattr(spark._jvm, "org.apache.hadoop.fs.Options$Rename").OVERWRITE
+    context.rename(fresh, hadoop.Path(root, "_current"), options)
 
 
 def save_rules(rules: DataFrame, path: str, header: bool = True) -> None:

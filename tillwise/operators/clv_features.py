@@ -30,7 +30,8 @@ def clv_features(cleaned: DataFrame, cutoff: str | _dt.date | None = None,
 
     ``cutoff``/``end`` default to (last date - 6 months, last date); the
     history window is ``date < cutoff``, the future window
-    ``cutoff <= date <= end`` (closed at both ends).
+    ``cutoff <= date <= end`` (closed at both ends).  On a table partitioned
+    by ``invoice_month`` (``clean.with_month``) the end also prunes partitions.
     """
     sales = cleaned.filter((F.col("is_anonymous") == 0) & (F.col("is_return") == 0))
     last = default_end(cleaned) if (cutoff is None or end is None) else None
@@ -41,6 +42,9 @@ def clv_features(cleaned: DataFrame, cutoff: str | _dt.date | None = None,
     sales = (sales.filter(F.col("invoice_date") <= e_val)
                   .withColumns({"_cutoff": c_val, "_end": e_val}))
 
+    if "invoice_month" in cleaned.columns:   # a table partitioned by month: later months are not read
+        sales = sales.filter(F.col("invoice_month") <= F.trunc(e_val, "month"))
+
     hist = F.col("invoice_date") < F.col("_cutoff")
     fut = (F.col("invoice_date") >= F.col("_cutoff")) & (F.col("invoice_date") <= F.col("_end"))
     hist_rev = F.when(hist, F.col("revenue"))

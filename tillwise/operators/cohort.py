@@ -12,6 +12,8 @@ by the number of calendar months), which is then exploded:
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -51,3 +53,45 @@ def cohort_retention(activity: DataFrame) -> DataFrame:
                     .withColumn("cohort_size", size)
                     .withColumn("retention_rate",
                                 F.col("active_customers").cast("double") / F.col("cohort_size")))
+
+
+# ------------------------------------------------------------------ growing tables
+
+MONTHS_A_WORD = 60
+
+
+def month_bits(cleaned: DataFrame) -> DataFrame:
+    """The months of every known customer as bits, which later lines are merged into.
+
+    One row for each customer and stretch of 60 months (``era``; null holds lines without a date):
+    ``first_month`` (12 x year + month) of any line there, and ``sale_bits`` with a bit
+    for each month with a sale.  Both are mergeable, so a new month of lines
+    needs the old bits only, never the old lines (``merge_month_bits``).
+    """
+    number = F.year("invoice_date") * 12 + F.month("invoice_date") - 1
+    sale = F.col("is_return") == 0
+    at = F.coalesce(F.col("_m") % MONTHS_A_WORD, F.lit(0)).cast("int")
+    lines = cleaned.filter(F.col("customer_id").isNotNull()).select("customer_id", number.alias("_m"), sale.alias("_sale"))
+    bit = F.when(F.col("_sale"), F.call_function("shiftleft", F.lit(1).cast("bigint"), at)).otherwise(F.lit(0).cast("bigint"))
+    return lines.groupBy("customer_id", F.floor(F.col("_m") / MONTHS_A_WORD).cast("int").alias("era")).agg(
+        F.min("_m").alias("first_month"), F.bit_or(bit).alias("sale_bits"))
+
+
+def merge_month_bits(*tables: DataFrame) -> DataFrame:
+    """The bits of all lines that any of the tables was made from."""
+    both = reduce(DataFrame.unionByName, tables)
+    return both.groupBy("customer_id", "era").agg(F.min("first_month").alias("first_month"), F.bit_or("sale_bits").alias("sale_bits"))
+
+
+def activity_from_bits(bits: DataFrame) -> DataFrame:
+    """The table of ``cohort_activity``, from bits instead of lines."""
+    eras = bits.groupBy("customer_id").agg(
+        F.min("first_month").alias("_joined"), F.collect_list(F.struct("era", "sale_bits")).alias("_eras"))   # a few stretches a customer
+    each = eras.select("_joined", F.explode("_eras").alias("_e")).select("_joined", "_e.era", "_e.sale_bits")
+    months = F.filter(F.sequence(F.lit(0), F.lit(MONTHS_A_WORD - 1)), lambda k: F.col("sale_bits").bitwiseAND(
+        F.call_function("shiftleft", F.lit(1).cast("bigint"), k)) != 0)
+    active = each.select("_joined", "era", F.explode(months).alias("_k"))
+    month = F.col("era") * MONTHS_A_WORD + F.col("_k")
+    joined = F.make_date(F.floor(F.col("_joined") / 12).cast("int"), (F.col("_joined") % 12 + 1).cast("int"), F.lit(1))
+    return active.groupBy(month_start(joined).alias("cohort_month"), (month - F.col("_joined")).cast("double").alias("index")).agg(
+        F.count(F.lit(1)).alias("active_customers"))

@@ -50,6 +50,33 @@ def revenue_at_risk(segments: DataFrame, segment: str = "Needs Attention") -> Da
                   .cast("double").alias("revenue_at_risk")))
 
 
+def return_survival(cleaned: DataFrame, segments: DataFrame, days_a_month: int = 30) -> DataFrame:
+    """R2. Churn risk: by segment and month since a purchase, the product-limit estimate of not having come back.
+
+    Each purchase day of a customer starts a gap.  It ends at the next purchase day, or is
+    censored at the last day of all lines.  ``at_risk`` gaps have lasted that many months
+    of 30 days, ``returned`` of them end in it; ``hazard`` is their share and
+    ``not_returned`` the product of (1 - hazard) up to and including the month.
+    The window by customer holds purchase days, so a customer with a third of
+    the lines has as many rows as days; the other windows run over months.
+    """
+    last = cleaned.agg(F.max("invoice_date")).scalar()
+    days = (cleaned.filter((F.col("is_anonymous") == 0) & (F.col("is_return") == 0) & F.col("invoice_date").isNotNull())
+                   .select("customer_id", "invoice_date").distinct())
+    following = F.lead("invoice_date").over(Window.partitionBy("customer_id").orderBy("invoice_date"))
+    gaps = days.withColumn("_next", following).withColumn("_last", last)
+    month = F.floor(F.datediff(F.coalesce("_next", "_last"), "invoice_date") / days_a_month).cast("int")
+    per_month = (gaps.join(segments.select("customer_id", "segment"), "customer_id")
+                     .groupBy("segment", month.alias("month"))
+                     .agg(F.count(F.lit(1)).alias("_ended"), F.count("_next").alias("returned")))
+    later = Window.partitionBy("segment").orderBy(F.col("month").desc()).rowsBetween(Window.unboundedPreceding, 0)
+    risk = per_month.withColumn("at_risk", F.sum("_ended").over(later)).withColumn("hazard", F.col("returned") / F.col("at_risk"))
+    up = Window.partitionBy("segment").orderBy("month").rowsBetween(Window.unboundedPreceding, 0)
+    kept = F.collect_list(1 - F.col("hazard")).over(up)   # as many as months
+    return risk.select("segment", "month", "at_risk", "returned", "hazard",
+                       F.aggregate(kept, F.lit(1.0), lambda p, x: p * x).alias("not_returned"))
+
+
 def customer_items(cleaned: DataFrame) -> DataFrame:
     """Distinct (customer_id, item_code) a known customer has bought."""
     return (cleaned.filter((F.col("is_anonymous") == 0) & (F.col("is_return") == 0)
@@ -143,6 +170,56 @@ def reengagement_audience(raw_rfm: DataFrame, min_days: int = 30) -> DataFrame:
                    .select("customer_id", "recency", "monetary"))
 
 
+def campaign_audience(cleaned: DataFrame, rules: DataFrame, days: int = 30) -> DataFrame:
+    """R5 with R3. The day-30 campaign of every calendar day: customer_id, campaign_day, and the best offer.
+
+    A customer is written to ``days`` days after the first purchase, unless a second purchase day came
+    before; campaign days after the last day of the lines have not come yet.  The
+    offer is the best rule for what the customer had bought by that day (null if no rule fits):
+    lines and audience are joined on the customer with the day as a range, so no
+    calendar is crossed with customers.
+    """
+    ensure_checkpoint_dir(cleaned.sparkSession)
+    bought = cleaned.filter((F.col("is_anonymous") == 0) & (F.col("is_return") == 0) & F.col("invoice_date").isNotNull())
+    first_two = bought.groupBy("customer_id").agg(F.slice(F.array_sort(F.collect_set("invoice_date")), 1, 2).alias("_days"))
+    day = F.date_add(F.element_at("_days", 1), days)
+    audience = (first_two.select("customer_id", day.alias("campaign_day"), F.get("_days", F.lit(1)).alias("_second"))
+                         .filter(F.col("_second").isNull() | (F.col("_second") > F.col("campaign_day")))
+                         .filter(F.col("campaign_day") <= cleaned.agg(F.max("invoice_date")).scalar())
+                         .select("customer_id", "campaign_day").checkpoint(eager=True))
+    held = cleaned.join(audience, "customer_id").filter(F.col("invoice_date") <= F.col("campaign_day")).drop("campaign_day")
+    best = next_best_offer(held, rules, k=1).drop("offer_rank")
+    return audience.join(best, "customer_id", "left")
+
+
+def audience_by_day(audience: DataFrame) -> DataFrame:
+    """campaign_day, customers, with_offer: every calendar day from the first campaign to the last, empty days included."""
+    counts = audience.groupBy("campaign_day").agg(F.count(F.lit(1)).alias("n"), F.count("consequent_codes").alias("o"))
+    spine = counts.agg(F.min("campaign_day").alias("a"), F.max("campaign_day").alias("b")).filter("a IS NOT NULL").select(
+        F.explode(F.sequence("a", "b")).alias("campaign_day"))
+    zero = F.lit(0).cast("bigint")
+    return spine.join(counts, "campaign_day", "left").select("campaign_day", F.coalesce("n", zero).alias("customers"), F.coalesce("o", zero).alias("with_offer"))
+
+
+def time_intelligence(cleaned: DataFrame, months: int = 3) -> DataFrame:
+    """R6. Revenue by month with the rolling sum of ``months`` calendar months and the same month of the year before.
+
+    The frames are ranges of month numbers, not of rows: a month without lines has no row and
+    still counts as a month, so the sum never reaches further back and the year before is
+    null if that month had no lines.  They run over the small table of months.
+    """
+    m = (cleaned.filter(F.col("invoice_date").isNotNull())
+                .groupBy(F.trunc("invoice_date", "month").alias("month"))
+                .agg(F.sum("revenue").cast(_MONEY).alias("_rev"))
+                .withColumn("_n", F.year("month") * 12 + F.month("month")))
+    by_number = Window.orderBy("_n")
+    rolling = F.sum("_rev").over(by_number.rangeBetween(1 - months, 0))
+    before = F.sum("_rev").over(by_number.rangeBetween(-12, -12))
+    return m.select("month", F.col("_rev").cast("double").alias("revenue"), rolling.cast("double").alias("rolling_revenue"),
+                    before.cast("double").alias("year_before"),
+                    F.try_divide((F.col("_rev") - before).cast("double"), before.cast("double")).alias("yoy_pct"))
+
+
 def monthly_revenue(cleaned: DataFrame) -> DataFrame:
     """R6. Net revenue by month, change on the previous month, year-to-date.
 

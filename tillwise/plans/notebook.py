@@ -12,6 +12,7 @@ from __future__ import annotations
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..operators import clean as C
 from ..operators import cohort as H
@@ -49,22 +50,25 @@ class TableStore:
 
 def run_notebook(raw: DataFrame, store: TableStore, predictions: DataFrame | None = None,
                  cutoff: str | None = None, end: str | None = None,
-                 concurrency: int = 4) -> dict[str, DataFrame]:
+                 concurrency: int = 4, month_files: int = 4) -> dict[str, DataFrame]:
     """Build every notebook table from the raw lines; returns them read back.
 
     ``predictions`` (customer_id, clv_prediction) -- the CLV job's output --
     adds ``clv_segment``.  ``cutoff``/``end`` default to the last invoice
     date minus six months and the last invoice date.
 
-    Staging and cleaning run first; the table groups that only read the
+    The cleaned table is partitioned by ``invoice_month``, each month in at most ``month_files``
+    files, so that date windows read their months only.  Staging and cleaning run first; the table groups that only read the
     clean table (dimensions, RFM, cohorts, CLV features) are then submitted
     from ``concurrency`` driver threads, so their Spark jobs share the
     cluster instead of queueing one after another.
     """
     out: dict[str, DataFrame] = {}
     out["online_retail_stage"] = store.write(C.stage(raw), "online_retail_stage")
-    clean = out["online_retail_clean"] = store.write(C.clean(out["online_retail_stage"]),
-                                                     "online_retail_clean")
+    # rows of a month together before the write: one file or a few for each month, not one for each task and month
+    by_month = C.with_month(C.clean(out["online_retail_stage"])).repartition("invoice_month", F.pmod(F.xxhash64("invoice_number"), F.lit(month_files)))
+    out["online_retail_clean"] = store.write(by_month, "online_retail_clean", ["invoice_month"])
+    clean = out["online_retail_clean"]
 
     def dims():
         return {"customer_dim": store.write(C.customer_dim(clean), "customer_dim"),

@@ -9,7 +9,9 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from functools import reduce
 
+from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -19,11 +21,15 @@ from ..operators import clv_model as M
 from ..operators import cohort as H
 from ..operators import measures as X
 from ..operators import rfm as R
+from ..operators import star as S
 from ..operators.clv_features import clv_features
 from .params import BASKET_PARAMS, STUMP, STUMP_FEATURES, STUMP_FOLDS, STUMP_SPACE
-from ..sources.raw import transactions_from_tpch
+from ..schemas import require_columns
 from ..session import ensure_checkpoint_dir
-from ..sources.sinks import RULE_COLUMNS, read_rules, save_rules
+from ..sources.files import load_csv
+from ..sources.raw import read_raw_csv, read_raw_table, transactions_from_tpch
+from ..sources.sinks import RULE_COLUMNS, read_rules, replace_table, save_model, save_predictions, save_rules
+from ..sources.sinks import read_table as read_path
 from .jobs import export_csv, read_basket_input
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -318,5 +324,116 @@ QUERIES.update({
 })
 
 
+# ------------------------------------------------------------------ sources and sinks, read back
+
+def _raw_forms(spark, d):
+    """The raw lines as a Parquet folder, a catalog table and a CSV file, each read back."""
+    lines, folder = transactions_from_tpch(spark, d), _shared_path(spark, "raw")
+    replace_table(lines, path=f"{folder}/parquet")
+    name = f"raw_{uuid.uuid4().hex}"
+    lines.write.option("path", f"{folder}/table").saveAsTable(name)
+    export_csv(lines, f"{folder}/csv")
+    forms = {"parquet": read_path(spark, f"{folder}/parquet"), "table": read_raw_table(spark, name), "csv": read_raw_csv(spark, f"{folder}/csv")}
+    return reduce(DataFrame.unionByName, [df.withColumn("form", F.lit(form)) for form, df in forms.items()])
+
+
+def _feature_file(spark, d):
+    """The prepared rows from the feature file, whose every value is a text."""
+    path = _shared_path(spark, "features")
+    export_csv(_features(spark, d), path)
+    return M.prepare(load_csv(spark, path))
+
+
+def _saved_model(spark, d):
+    """Predictions of the model that was written and loaded again, through the predictions file."""
+    rows, folder = _banded(spark, d), _shared_path(spark, "model")
+    save_model(M.fit(rows, STUMP, features=STUMP_FEATURES), f"{folder}/model")
+    save_predictions(M.predict(PipelineModel.load(f"{folder}/model"), rows), f"{folder}/predictions")
+    text = load_csv(spark, f"{folder}/predictions")
+    return text.select(F.col("customer_id").cast("bigint").alias("customer_id"), F.round(F.col("clv_prediction").cast("double"), 4).alias("clv_prediction"),
+                       F.col("actual_future_6m_revenue").cast("double").alias("actual_future_6m_revenue"))
+
+
+def _missing_columns(spark, d):
+    """What is said of a feature table without two of its columns, and of one that has all."""
+    told = []
+    for name, df in (("whole", _features(spark, d)), ("cut", _features(spark, d).drop("total_orders", "future_6M_revenue"))):
+        try:
+            require_columns(M.map_columns(df), M.REQUIRED)
+            told.append((name, df.count(), None))
+        except ValueError as e:
+            told.append((name, None, str(e).split("; ")[0]))
+    return spark.createDataFrame(told, "input string, n bigint, error string")
+
+
+def _partitioned_clean(spark, d):
+    path = _shared_path(spark, "clean")
+    replace_table(C.with_month(cleaned(spark, d)).repartition("invoice_month"), path=path, partition_by=["invoice_month"])
+    return read_path(spark, path)
+
+
+# ------------------------------------------------------------------ growing tables, campaign, star schema
+
+def _cohorts_in_two_loads(spark, d):
+    """Months of the lines before 1996 as bits, written; the later lines merged into them."""
+    lines, path = cleaned(spark, d), _shared_path(spark, "bits")
+    early = F.coalesce(F.col("invoice_date") < F.lit("1996-01-01").cast("date"), F.lit(False))
+    replace_table(H.month_bits(lines.filter(early)), path=path)
+    return H.activity_from_bits(H.merge_month_bits(read_path(spark, path), H.month_bits(lines.filter(~early))))
+
+
+def _profile_in_loads(spark, d):
+    """The profile from one sketch a year of lines, and how far its distinct counts lie from the exact ones."""
+    lines = staged(spark, d)
+    years = [r["y"] for r in lines.select(F.year("invoice_date").alias("y")).distinct().collect()]   # a few years
+    loads = [C.profile_sketch(lines.filter(F.year("invoice_date").eqNullSafe(F.lit(y))), str(y)) for y in years]
+    path = _shared_path(spark, "sketches")
+    replace_table(reduce(DataFrame.unionByName, loads), path=path)
+    told, exact = C.profile_of_sketches(read_path(spark, path)), C.profile(lines)
+    close = lambda c: (F.abs(F.col(f"t.{c}") - F.col(f"e.{c}")) <= F.ceil(0.03 * F.col(f"e.{c}"))).alias(f"{c}_close")
+    return told.alias("t").join(exact.alias("e"), F.col("t.row_count") == F.col("e.row_count")).select(
+        F.col("t.row_count").alias("row_count"), F.col("t.min_invoice_date").alias("min_invoice_date"),
+        F.col("t.max_invoice_date").alias("max_invoice_date"), *[close(c) for c in ("customers", "items", "countries")])
+
+
+def _star(spark, d):
+    name = f"star_{uuid.uuid4().hex}"
+    lines = cleaned(spark, d)
+    return S.write_star(spark, lines, _segments(spark, d), _formula_quintiles(spark, d), name, _shared_path(spark, "star"))
+
+
+def _star_sales(spark, d):
+    """Revenue by what the models say of the customer: the fact joined by its bucketed key."""
+    star = _star(spark, d)
+    return star.fact.join(star.customers, "customer_key").groupBy("segment", "clv_quintile").agg(
+        F.count(F.lit(1)).alias("lines"), F.countDistinct("customer_key").alias("customers"), F.sum("revenue").cast("double").alias("revenue"))
+
+
+def _star_lines(spark, d):
+    """The names of customer and product back from the keys; keys are dense."""
+    star = _star(spark, d)
+    keys = F.col("customer_key"), F.col("product_key")
+    return (star.fact.join(star.customers, "customer_key", "left").join(star.products, "product_key", "left")
+                .select(*keys, "invoice_number", "customer_id", "item_code", "quantity", "revenue", "segment", "clv_quintile"))
+
+
+QUERIES.update({
+    "s1_raw_forms": _raw_forms,
+    "s3_feature_file": _feature_file,
+    "s6_saved_model_predictions": _saved_model,
+    "p19_missing_columns": _missing_columns,
+    "f4_month_partitions": lambda s, d: clv_features(_partitioned_clean(s, d), "1997-03-01", "1997-09-30"),
+    "t9_activity_from_bits": _cohorts_in_two_loads,
+    "a1_profile_of_loads": _profile_in_loads,
+    "r2_return_survival": lambda s, d: X.return_survival(cleaned(s, d), _segments(s, d)),
+    "r5_campaign": lambda s, d: X.campaign_audience(cleaned(s, d), _rules(s, d, "all")),
+    "r5_campaign_by_day": lambda s, d: X.audience_by_day(X.campaign_audience(cleaned(s, d), _rules(s, d, "all"))),
+    "r6_time_intelligence": lambda s, d: X.time_intelligence(
+        cleaned(s, d).filter(~F.date_format("invoice_date", "yyyy-MM").isin("1995-03", "1996-04", "1996-05"))),
+    "r7_star_sales": _star_sales,
+    "r7_star_lines": _star_lines,
+})
+
+
 def queries() -> dict[str, Query]:
     return dict(QUERIES)

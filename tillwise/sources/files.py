@@ -21,7 +21,8 @@ from pyspark.sql import types as T
 
 from .splitcsv import read_csv
 
-CSV_OPTIONS = {"header": "true", "quote": '"', "escape": '"'}
+# blanks at the edges of a field are part of it; Spark's writer would drop them
+CSV_OPTIONS = {"header": "true", "quote": '"', "escape": '"', "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
 
 
 def _exists(spark: SparkSession, path: str) -> bool:

@@ -1,43 +1,42 @@
 """Exact top-k inner-product search by three phases with a uniform threshold.
 
 Vectors are split into ``LISTS`` runs of components; run j of a query and a candidate gives
-the partial score of list j, and a score is the sum over lists.  Candidates stay where Spark
-reads them; queries come in blocks of bounded size, one after the other.
-
-1. Each task ranks its candidates per list, keeps the k best of every list, scores those
-   exactly and returns its k best.  Spark merges these to k per query; the k-th score is a
-   safe cutoff: the true k-th score cannot be lower.
-2. The cutoffs (one number a query of the block) are broadcast.  A candidate whose score
+the partial score of list j, and a score is the sum over lists.  Candidates are dealt to splits and
+queries to groups, both of bounded size, and each phase is one job over the grid of their cells: however
+many queries there are, the table is read once a phase.
+
+1. Each cell ranks its candidates per list, keeps the k best of every list, scores those
+   exactly and returns its k best of each query.  Spark merges these to k per query row; the k-th
+   score is a safe cutoff: the true k-th score cannot be lower.
+2. The cutoffs go with the queries to every cell.  A candidate whose score
    reaches cutoff t exceeds its list's minimum by at least (t - sum of minima) / LISTS in
-   some list, so each task collects only entries over that uniform threshold and drops those
+   some list, so each cell collects only entries over that uniform threshold and drops those
    whose upper bound (known partial scores, threshold elsewhere) stays below t.
-3. What is left is scored exactly; scores of at least t are returned, at most k a task and
-   query, ties to the smaller id, and Spark ranks them.
+3. What is left is scored exactly; scores of at least t are returned, at most k a cell and
+   query row, ties to the smaller id, and Spark ranks them.
 
 Scores are integers: component x counts as floor(256 * x).  While they fit, float64 matrix
 products are exact; larger ones are summed in Python's integers, and a score beyond 64 bits
 is clamped to the largest or smallest long.
 
-Defined cases: vectors that are null, empty, of another length than the queries of their
-block, or that hold null or non-finite components take no part; neither do null ids; rows of
-equal id count as one row each, but none is its own query's candidate; without queries or
-candidates the result is empty.
+Defined cases: vectors that are null, empty, or that hold null or non-finite components take no
+part; neither do null ids; vectors meet those of their own length only.  An id names a query: rows of
+equal id are all searched for and their entries ranked together, a candidate once for each
+of them; rows of equal id count as one candidate each, and none is a candidate of its own id.
+Without queries or candidates the result is empty.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from functools import reduce
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tillwise.llm.common import checkpointed, map_arrow
+from tillwise.llm.common import ship_package, shuffle_partitions, stored
 
-#: Lists a vector is split into; queries broadcast at once; candidates scored at once.
-LISTS, QUERY_BLOCK, CANDIDATE_BLOCK = 4, 4096, 2048
+#: Lists a vector is split into; most queries and candidates of a cell; queries and candidates scored at once.
+LISTS, GROUP, SPLIT, QUERY_BLOCK, CANDIDATE_BLOCK = 4, 1 << 14, 1 << 16, 512, 2048
 _SAFE = float(1 << 53)
 _LONG = (1 << 63) - 1
 
@@ -67,7 +66,9 @@ class _Block:
     """A block of queries of one dimension and, from the second phase on, their cutoffs."""
 
     def __init__(self, ids: np.ndarray, vectors: np.ndarray, k: int, lists: int, cutoff: np.ndarray | None = None):
-        self.ids, self.vectors, self.k, self.cutoff = ids, vectors, k, cutoff
+        self.ids, self.vectors, self.k, self.cutoff_int = ids, vectors, k, cutoff
+        # the least long also stands for all scores below it, and for "no cutoff yet": everything passes
+        self.cutoff = None if cutoff is None else np.where(cutoff == -_LONG - 1, -np.inf, cutoff.astype(np.float64))
         edges = np.linspace(0, vectors.shape[1], min(lists, vectors.shape[1]) + 1).astype(int)
         self.runs = list(zip(edges[:-1], edges[1:], strict=True))
 
@@ -111,61 +112,61 @@ class _Block:
             return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)
         return self._best(*(np.concatenate(x) for x in zip(*parts, strict=True)))
 
-    def with_cutoff(self, cutoff: dict[int, int]) -> _Block:
-        out = _Block.__new__(_Block)
-        out.__dict__ |= self.__dict__
-        # a query with fewer than k entries so far has no cutoff yet: everything passes
-        out.cutoff_int = np.array([cutoff.get(int(i), -_LONG - 1) for i in self.ids], dtype=np.int64)
-        # the least long also stands for all scores below it
-        out.cutoff = np.where(out.cutoff_int == -_LONG - 1, -np.inf, out.cutoff_int.astype(np.float64))
-        return out
-
-
-SCHEMA = "query_id bigint, vec_id bigint, score bigint"
-
-
-def _scan(candidates: DataFrame, block: _Block, dim: int) -> DataFrame:
-    shared = candidates.sparkSession.sparkContext.broadcast(block)
-
-    def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = shared.value
-        kept: list[tuple] = []
-        for batch in batches:
-            for at in range(0, batch.num_rows, CANDIDATE_BLOCK):
-                part = batch.slice(at, CANDIDATE_BLOCK)
-                kept.append(own.scan(part.column("vec_id").to_numpy(), _matrix(part.column("v"), dim)))
-                kept = [own._best(*(np.concatenate(x) for x in zip(*kept, strict=True)))]
-        for q, ids, score in kept:
-            yield pa.RecordBatch.from_arrays([pa.array(own.ids[q]), pa.array(ids), pa.array(score)], ["query_id", "vec_id", "score"])
-
-    return map_arrow(candidates.where(F.col("dim") == dim).select("vec_id", "v"), apply, SCHEMA)
-
 
-def _ranked(entries: DataFrame, k: int) -> DataFrame:
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+ENTRIES = "number bigint, query_id bigint, vec_id bigint, score bigint"
+
+
+def _scan(candidates: DataFrame, asked: DataFrame, k: int, lists: int, splits: int, groups: int) -> DataFrame:
+    """(number, query_id, vec_id, score) of every cell; with a column ``cutoff`` only entries that reach it."""
+    final = "cutoff" in asked.columns
+    names = ["number", "query_id", "vec_id", "score"]
+
+    def cell(left: pa.Table, right: pa.Table) -> pa.Table:
+        found: list[list] = [[] for _ in names]
+        if left.num_rows and right.num_rows:
+            dim = right.column("dim")[0].as_py()
+            for at in range(0, right.num_rows, QUERY_BLOCK):
+                part = right.slice(at, QUERY_BLOCK).combine_chunks()
+                number, ids = (part.column(c).to_numpy() for c in ("number", "vec_id"))
+                block = _Block(ids, _matrix(part.column("v").combine_chunks(), dim), k, lists, part.column("cutoff").to_numpy() if final else None)
+                best = None
+                for first in range(0, left.num_rows, CANDIDATE_BLOCK):
+                    some = left.slice(first, CANDIDATE_BLOCK).combine_chunks()
+                    more = block.scan(some.column("vec_id").to_numpy(), _matrix(some.column("v").combine_chunks(), dim))
+                    best = more if best is None else block._best(*(np.concatenate(x) for x in zip(best, more, strict=True)))
+                q, vec_id, score = best
+                for own, values in zip(found, (number[q], ids[q], vec_id, score), strict=True):
+                    own.append(values)
+        return pa.table({n: pa.array(np.concatenate(v) if v else np.zeros(0, np.int64), pa.int64()) for n, v in zip(names, found, strict=True)})
+
+    ship_package(candidates.sparkSession)
+    deal = lambda n: F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(n)).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+    left = candidates.withColumn("split", deal(splits)).withColumn("group", every(groups))
+    right = asked.withColumn("group", deal(groups)).withColumn("split", every(splits))
+    key = ["dim", "group", "split"]
+    return left.groupBy(*key).cogroup(right.groupBy(*key)).applyInArrow(cell, ENTRIES)
+
+
+def _ranked(entries: DataFrame, by: str, k: int) -> DataFrame:
+    order = Window.partitionBy(by).orderBy(F.desc("score"), "vec_id")
     return entries.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
 
 
-def search(vectors: DataFrame, queries: DataFrame, k: int = 5, lists: int = LISTS, query_block: int = QUERY_BLOCK) -> DataFrame:
+def search(vectors: DataFrame, queries: DataFrame, k: int = 5, lists: int = LISTS, group: int = GROUP, split: int = SPLIT) -> DataFrame:
     """(query_id, rank, vec_id, score): the ``k`` candidates of highest score for each query.
 
-    Both frames hold ``vec_id`` and ``embedding``.  The driver holds one block of queries at a time.
+    Both frames hold ``vec_id`` and ``embedding``.  A task holds ``group`` queries and ``split`` candidates at most.
     """
-    candidates = usable(vectors)
-    asked = usable(queries)
-    order = Window.partitionBy("dim", "lane").orderBy("vec_id")
-    lanes = max(1, -(-asked.count() // query_block))
-    # blocks by hash, so that no task ranks all queries
-    blocks = checkpointed(asked.withColumn("lane", F.pmod(F.xxhash64("vec_id"), F.lit(lanes))).withColumn("at", F.floor((F.row_number().over(order) - 1) / query_block)))
-    results = []
-    for own in blocks.select("dim", "lane", "at").distinct().orderBy("dim", "lane", "at").toLocalIterator():
-        rows = blocks.where((F.col("dim") == own["dim"]) & (F.col("lane") == own["lane"]) & (F.col("at") == own["at"])).select("vec_id", "v").toArrow().combine_chunks()
-        ids = rows.column("vec_id").to_numpy()
-        _, first = np.unique(ids, return_index=True)  # of equal ids the first stands for the query
-        block = _Block(ids[first], _matrix(rows.column("v").combine_chunks(), own["dim"])[first], k, lists)
-        found = _scan(candidates, block, own["dim"])
-        cutoff = _ranked(found, k).groupBy("query_id").agg(F.count("*").alias("n"), F.min("score").alias("t")).where(F.col("n") == k)
-        results.append(_ranked(_scan(candidates, block.with_cutoff({r["query_id"]: r["t"] for r in cutoff.collect()}), own["dim"]), k))
-    if not results:
-        return vectors.sparkSession.createDataFrame([], "query_id bigint, rank int, vec_id bigint, score bigint")
-    return reduce(DataFrame.unionByName, results).select("query_id", "rank", "vec_id", "score")
+    candidates = stored(usable(vectors))
+    # numbered once, so that both phases speak of the same query rows
+    asked = stored(usable(queries).withColumn("number", F.monotonically_increasing_id()))
+    # at least two cells a task of the session, at most so many rows in one (about, as they are dealt by hash)
+    splits = max(2 * shuffle_partitions(vectors.sparkSession), -(-candidates.count() // split))
+    groups = max(1, -(-asked.count() // group))
+    first = _ranked(_scan(candidates, asked, k, lists, splits, groups), "number", k)
+    cutoffs = first.groupBy("number").agg(F.count("*").alias("n"), F.min("score").alias("t")).where(F.col("n") == k).select("number", F.col("t").alias("cutoff"))
+    # a query row with fewer than k entries so far has no cutoff yet
+    bounded = stored(asked.join(cutoffs, "number", "left").withColumn("cutoff", F.coalesce("cutoff", F.lit(-_LONG - 1))))
+    found = _scan(candidates, bounded, k, lists, splits, groups)
+    return _ranked(found, "query_id", k).select("query_id", "rank", "vec_id", "score")

@@ -8,7 +8,8 @@ have equal anchors at equal offsets, so both reach the same group.
 
 1. Each text gives its anchors (one in about ``(MATCH - GRAM) / 2`` bytes) with the context
    that their windows span and its hash.  Anchors whose hash occurs once are dropped.
-2. Equal contexts are counted, combined before the shuffle: a context that occurs twice is
+2. Equal contexts (of equal polynomial hash and equal XXH3 of their bytes, 128 bits of two kinds) are
+   counted, combined before the shuffle: a context that occurs twice is
    repeated as a whole and needs no sorting; one of its copies stays to be compared.
 3. The distinct contexts of an anchor meet in a task, which sorts the suffixes that start
    their windows.  Prefix polynomial hashes and a binary search give the common extension
@@ -25,7 +26,7 @@ shuffling it again.
 
 Defined cases: null counts as the empty text; texts under ``MATCH`` bytes lose nothing;
 repeated rows are copies of each other and lose everything from ``MATCH`` bytes on; strings
-never run across texts; an empty table gives no rows.
+never run across texts; an empty table gives no rows; columns that have the name of a result are replaced.
 """
 
 from __future__ import annotations
@@ -36,6 +37,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -64,10 +66,10 @@ def _sliding_minimum(keys: np.ndarray, width: int) -> np.ndarray:
 
 
 def _anchors(data: np.ndarray, starts: np.ndarray, sizes: np.ndarray, match: int, gram: int) -> tuple[np.ndarray, ...]:
-    """Anchors of texts that stand one after the other: (text, start of context, its length, offset of the anchor in it, anchor hash, context hash)."""
+    """Anchors of texts that stand one after the other: (text, start of context, its length, offset of the anchor in it, anchor hash, context hash, check)."""
     none = np.zeros(0, dtype=np.int64)
     if len(data) < match:
-        return none, none, none, none, none.astype(np.uint64), none.astype(np.uint64)
+        return none, none, none, none, *[none.astype(np.uint64)] * 3
     hashes = PrefixHash(data)
     at = np.arange(len(data) - gram + 1)
     grams = mix64(hashes.of(at, at + gram))
@@ -80,23 +82,25 @@ def _anchors(data: np.ndarray, starts: np.ndarray, sizes: np.ndarray, match: int
     new = np.concatenate(([True], (spot[1:] != spot[:-1]) | (owner[window[1:]] != owner[window[:-1]])))
     first = np.flatnonzero(new)
     if not len(first):
-        return none, none, none, none, none.astype(np.uint64), none.astype(np.uint64)
+        return none, none, none, none, *[none.astype(np.uint64)] * 3
     last = np.append(first[1:], len(window)) - 1
     spot, begin, end = spot[first], window[first], window[last] + match
     context = mix64(hashes.of(begin, end) + (end - begin).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93) + (spot - begin).astype(np.uint64))
     text = owner[begin]
-    return text, begin - starts[text], end - begin, spot - begin, grams[spot], context
+    whole = memoryview(data)
+    check = np.fromiter((xxhash.xxh3_64_intdigest(whole[a:b]) for a, b in zip(begin.tolist(), end.tolist(), strict=True)), dtype=np.uint64, count=len(begin))
+    return text, begin - starts[text], end - begin, spot - begin, grams[spot], context, check
 
 
-ANCHOR_SCHEMA = "row bigint, at bigint, size int, offset int, gram bigint, context bigint"
+ANCHOR_SCHEMA = "row bigint, at bigint, size int, offset int, gram bigint, context bigint, check bigint"
 
 
 def _anchor_rows(texts: DataFrame, match: int, gram: int) -> DataFrame:
     def batch(rows: np.ndarray, found: tuple[np.ndarray, ...], shift: int = 0) -> pa.RecordBatch:
-        text, at, size, offset, grams, context = found
+        text, at, size, offset, grams, context, check = found
         return pa.RecordBatch.from_arrays(
-            [pa.array(rows[text]), pa.array(at + shift), pa.array(size.astype(np.int32)), pa.array(offset.astype(np.int32)), pa.array(grams.view(np.int64)), pa.array(context.view(np.int64))],
-            ["row", "at", "size", "offset", "gram", "context"],
+            [pa.array(rows[text]), pa.array(at + shift), pa.array(size.astype(np.int32)), pa.array(offset.astype(np.int32)), *(pa.array(h.view(np.int64)) for h in (grams, context, check))],
+            ["row", "at", "size", "offset", "gram", "context", "check"],
         )
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -340,9 +344,9 @@ def repeated_spans(texts: DataFrame, match: int = MATCH, gram: int = GRAM, lane:
     often = stored(anchors.groupBy("gram").agg(F.count("*").alias("often")).where("often > 1").select("gram"))
     shared = stored(anchors.join(often, "gram"))
     own = F.struct("row", "at", "size", "offset")
-    contexts = stored(shared.groupBy("gram", "context").agg(F.count("*").alias("n"), F.min(own).alias("own")))
-    copied = contexts.where("n > 1").select("gram", "context")
-    whole = shared.join(copied, ["gram", "context"]).select("row", F.col("at").alias("begin"), (F.col("at") + F.col("size")).alias("end"))
+    contexts = stored(shared.groupBy("gram", "context", "check").agg(F.count("*").alias("n"), F.min(own).alias("own")))
+    copied = contexts.where("n > 1").select("gram", "context", "check")
+    whole = shared.join(copied, ["gram", "context", "check"]).select("row", F.col("at").alias("begin"), (F.col("at") + F.col("size")).alias("end"))
     several = stored(contexts.groupBy("gram").agg(F.count("*").alias("distinct")).where("distinct > 1"))
     lanes = F.ceil(F.col("distinct") / lane)
     wanted = contexts.join(several, "gram").select("gram", "n", "own.*", lanes.alias("lanes"), F.pmod(F.xxhash64("context"), lanes).alias("lane"))
@@ -367,9 +371,7 @@ def _merged(spans: list[dict] | None, n_bytes: int) -> list[tuple[int, int]]:
 
 def remove_repeats(docs: DataFrame, text: str = "text", keep: list[str] | None = None, match: int = MATCH, gram: int = GRAM, lane: int = LANE) -> DataFrame:
     """The columns ``keep`` (default: all others), n_bytes, removed (spans of bytes) and kept (the remaining bytes)."""
-    keep = [c for c in docs.columns if c != text] if keep is None else keep
-    if clash := {"n_bytes", "removed", "kept"} & set(keep):
-        raise ValueError(f"rename the columns {sorted(clash)} first")
+    keep = [c for c in (docs.columns if keep is None else keep) if c not in (text, "n_bytes", "removed", "kept")]
     texts = _bucketed(docs, text, keep)
     spans = repeated_spans(texts, match, gram, lane).groupBy("row").agg(F.collect_list(F.struct("begin", "end")).alias("spans"))
 

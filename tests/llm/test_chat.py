@@ -59,3 +59,27 @@ def test_defined_cases(spark):
     assert found[3] == expected([("user", "t")] * 2) and found[4] == expected([("user", "b"), ("user", "a")])
     assert found[5] == expected([("assistant", "long " * 30_000)])
     assert chat.digests(chat.format_conversations(df.where("false"))).count() == 0
+
+
+def test_loss_mask_of_other_templates(spark):
+    def bracketed(turns):
+        return "<s>" + "".join(f"[{r.upper()}] {t.strip()} [/{r.upper()}]" for r, t in turns) + "</s>"
+
+    def last_only(turns):
+        last = max((k for k, t in enumerate(turns) if t[0] == "assistant"), default=-1)
+        return "".join(f"{r}:{t if r != 'assistant' or k == last else ''}|" for k, (r, t) in enumerate(turns))
+
+    def counted(turns):
+        return "".join(f"{r} ({len(t)}): {t}\n" for r, t in turns)
+
+    turns = [("user", "q"), ("assistant", "one] [/"), ("user", "one"), ("assistant", ""), ("assistant", " [/ two ")]
+    found = chat.located_texts(turns, bracketed, bracketed(turns))
+    assert [bracketed(turns)[a:b] for a, b in found] == ["one] [/", "", "[/ two"]
+    assert [last_only(turns)[a:b] for a, b in chat.located_texts(turns, last_only, last_only(turns))] == [" [/ two "]
+    assert chat.located_texts(turns, counted, counted(turns)) is None  # the output says how long a text is
+    assert chat.located_texts([("assistant", "x")], lambda t: "".join(2 * x for _, x in t), "xx") is None  # repeats it
+    assert chat.located_texts([("user", "x")], counted, counted([("user", "x")])) == []
+    df = spark.createDataFrame([(1, k, r, t) for k, (r, t) in enumerate(turns)], "conv_id bigint, turn bigint, role string, text string")
+    row = chat.format_conversations(df, bracketed).first()
+    assert [row["formatted"][m["start"] : m["end"]] for m in row["mask"]] == ["one] [/", "", "[/ two"]
+    assert chat.format_conversations(df, counted).first()["mask"] is None

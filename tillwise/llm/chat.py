@@ -3,15 +3,19 @@
 A template is any function from a list of (role, text) turns to a string.  Successive
 turn prefixes are rendered and compared with the output before: where the old output is a
 prefix of the new one, the new tail is the span of the added turn; where it is not, the
-template rewrites history, which the result reports.  The spans give the loss mask (the
-text of assistant turns, without the markers around it).
+template rewrites history, which the result reports.  The loss mask covers the text of assistant turns,
+without the markers around it.  The default template's turns are parsed for it; of any other
+template the output is compared with one in which a probe stands for the text: what is equal before and
+after the probe encloses the text.
 
 Conversations are shuffled by id and streamed turn by turn in order; a task holds the one
 conversation it renders, as any template must.
 
 Defined cases: a null text or role is empty; turns sort by (turn, role, text), nulls first;
 repeated rows are turns of their own; a null conversation id is one conversation; an empty
-table gives no rows.
+table gives no rows.  A turn whose text the template leaves out has no mask; where the probe does not tell
+where a text lies (the template repeats it, or changes what is around it), the mask of the
+conversation is null, never silently empty.
 """
 
 from __future__ import annotations
@@ -103,6 +107,27 @@ def read_back(rendered: Rendered) -> tuple[list[Turn], list[tuple[int, int]]]:
     return turns, mask
 
 
+# A character of the private use area, which a template has no reason to write itself.
+PROBE = "\ue0f0"
+
+
+def located_texts(turns: list[Turn], template: Template, rendered: str, role: str = "assistant") -> list[tuple[int, int]] | None:
+    """Spans in ``rendered`` of the texts of one role under any template; None where a text cannot be located."""
+    spans = []
+    for k, (own, _) in enumerate(turns):
+        if own != role:
+            continue
+        probed = template([*turns[:k], (own, PROBE), *turns[k + 1 :]])
+        marks = probed.count(PROBE) - sum(text.count(PROBE) for j, (_, text) in enumerate(turns) if j != k)
+        if marks == 0:
+            continue  # left out
+        before, _, after = probed.partition(PROBE)
+        if marks > 1 or probed.count(PROBE) > 1 or len(before) + len(after) > len(rendered) or not (rendered.startswith(before) and rendered.endswith(after)):
+            return None
+        spans.append((len(before), len(rendered) - len(after)))
+    return spans
+
+
 FORMAT_SCHEMA = "conv_id bigint, formatted string, spans array<struct<start:int,end:int>>, mask array<struct<start:int,end:int>>, rewrites array<int>"
 DIGEST_SCHEMA = "conv_id bigint, n_turns bigint, turns_sha256 string, loss_chars bigint, loss_sha256 string, formatted_chars bigint"
 
@@ -128,7 +153,7 @@ def _ordered(conversations: DataFrame, part: str | None) -> DataFrame:
 
 
 def format_conversations(conversations: DataFrame, template: Template = marked_turns, part: str | None = None) -> DataFrame:
-    """One row a conversation: the text, each turn's span, the loss mask (default template only) and turns that rewrote history.
+    """One row a conversation: the text, each turn's span, the loss mask (null if it is not known) and turns that rewrote history.
 
     ``part`` names a column that keeps conversations of equal id apart.
     """
@@ -137,8 +162,8 @@ def format_conversations(conversations: DataFrame, template: Template = marked_t
         pair = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
         for conv, turns in _conversations(batches):
             done = render(turns, template)
-            mask = read_back(done)[1] if template is marked_turns else []
-            as_pairs = lambda x: pa.array([[{"start": a, "end": b} for a, b in x]], pair)
+            mask = read_back(done)[1] if template is marked_turns else located_texts(turns, template, done.text)
+            as_pairs = lambda x: pa.array([x if x is None else [{"start": a, "end": b} for a, b in x]], pair)
             yield pa.RecordBatch.from_arrays(
                 [pa.array([conv], pa.int64()), pa.array([done.text]), as_pairs(done.spans), as_pairs(mask), pa.array([done.rewrites], pa.list_(pa.int32()))],
                 ["conv_id", "formatted", "spans", "mask", "rewrites"],

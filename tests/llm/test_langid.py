@@ -1,6 +1,7 @@
 """Language ID: held-out accuracy, brute-force scores, defined cases."""
 
 import math
+import random
 import zlib
 from collections import Counter
 
@@ -45,10 +46,10 @@ def test_matches_brute_force_counts(frame):
     for lang, seen in counts.items():
         total = sum(seen.values()) + langid.SMOOTHING * model.buckets
         log[lang] = math.log(sum(own == lang for _, _, own in rows) / len(rows)) + sum(math.log((seen[bucket(g)] + langid.SMOOTHING) / total) for g in grams(text))
-    names, scores = model.predict([text])
+    names, _, total = model[0].judge([text])
     best = max(log, key=log.get)
-    assert names == [best]
-    assert abs(scores[0] - 1 / sum(math.exp(v - log[best]) for v in log.values())) < 1e-4
+    assert names.tolist() == [best]
+    assert abs(1 / total[0] - 1 / sum(math.exp(v - log[best]) for v in log.values())) < 1e-4
 
 
 def test_defined_cases(frame):
@@ -65,3 +66,16 @@ def test_empty_tables(frame):
     model = langid.fit(none)
     assert langid.predict(none, model).count() == 0
     assert [r["lang_pred"] for r in langid.predict(frame([(1, EN, "en")]), model).collect()] == ["und"]
+
+
+def test_blocks_of_languages_equal_one_matrix(spark, frame):
+    rnd = random.Random(0)
+    word = lambda k: "".join(rnd.choice("abcdefghijklmnop"[k % 7 : k % 7 + 9]) for _ in range(6))
+    labelled = frame([(k, " ".join(word(k) for _ in range(30)), f"l{k % 300:03d}") for k in range(900)])
+    docs = frame([(k, " ".join(word(k) for _ in range(20)), None) for k in range(60)] + [(-1, None, None), (-2, "12", None), (-3, "", None)])
+    whole, split = langid.fit(labelled, buckets=512, block=1000), langid.fit(labelled, buckets=512, block=128)
+    assert (len(whole), len(split)) == (1, 3) and len(whole.languages) == 300
+    one, many = ({r["doc_id"]: (r["lang_pred"], r["score"]) for r in langid.predict(docs, m).collect()} for m in (whole, split))
+    assert set(one) == set(many) and len({n for n, _ in one.values()}) > 10
+    assert all(one[k][0] == many[k][0] and abs(one[k][1] - many[k][1]) < 1e-4 for k in one)
+    assert one[-1] == one[-2] == one[-3] == ("und", 0.0)

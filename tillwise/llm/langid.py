@@ -1,9 +1,10 @@
 """Language identification: multinomial naive Bayes over hashed character n-grams.
 
 Training counts every letter n-gram of every labelled training text: each task sums
-its rows per (language, bucket), Spark adds the sums, and the driver receives at most
-``languages * (buckets + 1)`` numbers, whatever the corpus holds.  Scoring broadcasts the
-log-probability matrix of that size and adds, per text, the rows of its n-grams.
+its rows per (language, bucket), Spark adds the sums into a stored table.  Scoring broadcasts the
+log-probability matrix of at most ``BLOCK`` languages at a time and adds, per text, the rows of its
+n-grams; with more languages the blocks follow one another, each text keeping its best language and the
+sum of all probabilities, so there is no limit and the result is that of one matrix.
 
 Defined cases: a text that is null, empty or without a letter gets ``und`` with score 0;
 without any training text every prediction is ``und``; equal scores go to the language
@@ -18,17 +19,18 @@ from functools import cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tillwise.llm.common import as_texts, map_arrow, mix64, segment_sums, slices
+from tillwise.llm.common import as_texts, map_arrow, mix64, segment_sums, slices, stored
 
 UNDETERMINED = "und"
 #: Hash buckets; the orders of the n-grams; additive smoothing of the counts.
 BUCKETS, ORDERS, SMOOTHING = 1 << 16, (1, 2, 3), 0.5
-#: More languages than this in the training column is an error, not a silent cut: it bounds the broadcast matrix.
-MAX_LANGUAGES = 256
+#: Languages of one broadcast matrix; languages whose counts a task holds before it passes them on.
+BLOCK, HELD_LANGUAGES = 256, 64
 
 _SPACE, _END = 32, 0
 
@@ -87,66 +89,111 @@ class LanguageModel:
     def buckets(self) -> int:
         return len(self.log_prob) - 1
 
-    def predict(self, texts: list[str]) -> tuple[list[str], np.ndarray]:
-        if not texts or not self.languages:
-            return [UNDETERMINED] * len(texts), np.zeros(len(texts))
-        grams, sizes, has = _grams(texts, self.buckets)
-        total = self.log_prior + sum(segment_sums(self.log_prob[grams[:, k]], sizes) for k in range(grams.shape[1]))
-        best = total.argmax(axis=1)
-        share = np.exp(total - total.max(axis=1, keepdims=True))
-        score = 1.0 / share.sum(axis=1)
-        names = [self.languages[b] if h else UNDETERMINED for b, h in zip(best, has, strict=True)]
-        return names, np.where(has, score, 0.0)
-
-
-def fit(training: DataFrame, text: str = "text", label: str = "lang", buckets: int = BUCKETS, max_languages: int = MAX_LANGUAGES) -> LanguageModel:
+    def judge(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(best language, its log-probability, sum of all probabilities relative to it) of each text; ``und``, minus infinity and 0 without a letter."""
+        names = np.full(len(texts), UNDETERMINED, dtype=object)
+        best, share = np.full(len(texts), -np.inf), np.zeros(len(texts))
+        if texts and self.languages:
+            grams, sizes, has = _grams(texts, self.buckets)
+            total = self.log_prior + sum(segment_sums(self.log_prob[grams[:, k]], sizes) for k in range(grams.shape[1]))
+            at = total.argmax(axis=1)
+            names[has] = np.array(self.languages, dtype=object)[at[has]]
+            best[has] = total.max(axis=1)[has]
+            share[has] = np.exp(total - total.max(axis=1, keepdims=True)).sum(axis=1)[has]
+        return names, best, share
+
+
+class LanguageModels:
+    """One matrix for each ``BLOCK`` languages, made from the stored counts when it is asked for."""
+
+    def __init__(self, counts: DataFrame, texts: dict[str, int], buckets: int, block: int):
+        self.counts, self.texts, self.buckets, self.block = counts, texts, buckets, block
+        self.languages = sorted(texts)
+
+    def __len__(self) -> int:
+        return max(1, -(-len(self.languages) // self.block))
+
+    def __getitem__(self, k: int) -> LanguageModel:
+        names = self.languages[k * self.block : (k + 1) * self.block]
+        if not names:
+            return LanguageModel([], np.zeros((self.buckets + 1, 0), dtype=np.float32), np.zeros(0))
+        own = self.counts.where(F.col("lang").isin(names)).toArrow()
+        row = pc.index_in(own.column("lang"), value_set=pa.array(names)).to_numpy()
+        full = np.zeros((len(names), self.buckets + 1))
+        full[row, own.column("bucket").to_numpy()] = own.column("n").to_numpy()
+        seen = full[:, : self.buckets]
+        log_prob = np.zeros((self.buckets + 1, len(names)), dtype=np.float32)
+        log_prob[: self.buckets] = np.log((seen + SMOOTHING) / (seen.sum(axis=1, keepdims=True) + SMOOTHING * self.buckets)).T
+        texts = np.array([self.texts[n] for n in names], dtype=np.float64)
+        return LanguageModel(names, log_prob, np.log(texts / max(1.0, sum(self.texts.values()))))
+
+
+def fit(training: DataFrame, text: str = "text", label: str = "lang", buckets: int = BUCKETS, block: int = BLOCK) -> LanguageModels:
     """Count the n-grams of every training row with a label; null labels are left out."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[str, np.ndarray] = {}
+
+        def told() -> Iterator[pa.RecordBatch]:
+            for name, seen in sums.items():
+                at = np.flatnonzero(seen)
+                yield pa.RecordBatch.from_arrays([pa.array([name] * len(at)), pa.array(at.astype(np.int32)), pa.array(seen[at].astype(np.int64))], ["lang", "bucket", "n"])
+
         for batch in batches:
             for part in slices(batch, "text"):
-                texts, langs = as_texts(part.column("text")), part.column("lang").to_pylist()
-                grams, sizes, _ = _grams(texts, buckets)
-                names = sorted(set(langs))
-                row = np.repeat(np.array([names.index(x) for x in langs]), sizes)
-                flat = np.bincount((row[:, None] * (buckets + 1) + grams).ravel(), minlength=len(names) * (buckets + 1))
+                langs = part.column("lang").dictionary_encode()
+                names, codes = langs.dictionary.to_pylist(), langs.indices.to_numpy()
+                grams, sizes, _ = _grams(as_texts(part.column("text")), buckets)
+                row = np.repeat(codes, sizes)
                 for k, name in enumerate(names):
-                    seen = flat[k * (buckets + 1) : (k + 1) * (buckets + 1)]
-                    seen[buckets] = langs.count(name)  # the spare bucket carries the number of texts
+                    seen = np.bincount(grams[row == k].ravel(), minlength=buckets + 1)
+                    seen[buckets] = (codes == k).sum()  # the spare bucket carries the number of texts
                     sums[name] = sums.get(name, 0) + seen
-                if len(sums) > max_languages:
-                    raise ValueError(f"more than {max_languages} languages in column {label}")
-        for name, seen in sums.items():
-            at = np.flatnonzero(seen)
-            yield pa.RecordBatch.from_arrays([pa.array([name] * len(at)), pa.array(at.astype(np.int32)), pa.array(seen[at].astype(np.int64))], ["lang", "bucket", "n"])
+                if len(sums) > HELD_LANGUAGES:
+                    yield from told()
+                    sums.clear()
+        yield from told()
 
     rows = training.select(F.col(text).cast("string").alias("text"), F.col(label).cast("string").alias("lang")).where("lang IS NOT NULL")
-    counts = map_arrow(rows, count, "lang string, bucket int, n bigint").groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
-    table = counts.limit(max_languages * (buckets + 1) + 1).toArrow()
-    languages = sorted(set(table.column("lang").to_pylist()))
-    if len(languages) > max_languages:
-        raise ValueError(f"more than {max_languages} languages in column {label}")
-    full = np.zeros((len(languages), buckets + 1))
-    row = np.array([languages.index(x) for x in table.column("lang").to_pylist()], dtype=np.int64)
-    full[row, table.column("bucket").to_numpy()] = table.column("n").to_numpy()
-    texts, seen = full[:, buckets].copy(), full[:, :buckets]
-    log_prob = np.zeros((buckets + 1, len(languages)), dtype=np.float32)
-    if languages:
-        log_prob[:buckets] = np.log((seen + SMOOTHING) / (seen.sum(axis=1, keepdims=True) + SMOOTHING * buckets)).T
-    return LanguageModel(languages, log_prob, np.log(texts / max(1.0, texts.sum())))
-
-
-def predict(docs: DataFrame, model: LanguageModel, text: str = "text", prediction: str = "lang_pred", score: str = "score") -> DataFrame:
-    """All columns of ``docs`` and the two new ones, which replace columns of the same name."""
-    kept = [c for c in docs.columns if c not in (prediction, score)]
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    counts = stored(map_arrow(rows, count, "lang string, bucket int, n bigint").groupBy("lang", "bucket").agg(F.sum("n").alias("n")))
+    texts = counts.where(F.col("bucket") == buckets).select("lang", "n").toArrow()  # a row a language
+    return LanguageModels(counts, dict(zip(texts.column("lang").to_pylist(), texts.column("n").to_pylist(), strict=True)), buckets, block)
 
-    def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in slices(batch, text):
-                names, scores = shared.value.predict(as_texts(part.column(text)))
-                yield pa.RecordBatch.from_arrays([*(part.column(c) for c in kept), pa.array(names, pa.string()), pa.array(scores, pa.float64())], [*kept, prediction, score])
 
-    schema = T.StructType([*(docs.schema[c] for c in kept), T.StructField(prediction, T.StringType()), T.StructField(score, T.DoubleType())])
-    return map_arrow(docs.select(*kept), apply, schema)
+def predict(docs: DataFrame, models: LanguageModels, text: str = "text", prediction: str = "lang_pred", score: str = "score") -> DataFrame:
+    """All columns of ``docs`` and the two new ones, which replace columns of the same name.
+
+    One pass for each block of languages; from the second on, what is known of a text (best language, its log-probability, the
+    sum of all probabilities relative to it) is written in between, so no worker holds two blocks.
+    """
+    kept = [c for c in docs.columns if c not in (prediction, score)]
+    running = [(f"_{prediction}_{c}_so_far", t) for c, t in (("name", T.StringType()), ("best", T.DoubleType()), ("total", T.DoubleType()))]
+    state = docs.select(*kept)
+    for k in range(len(models)):
+        shared = docs.sparkSession.sparkContext.broadcast(models[k])
+        first, final = k == 0, k == len(models) - 1
+
+        def apply(batches: Iterator[pa.RecordBatch], shared=shared, first=first, final=final) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                for part in slices(batch, text):
+                    names, best, total = shared.value.judge(as_texts(part.column(text)))
+                    if not first:
+                        old_names, old_best, old_total = (part.column(c).to_numpy(zero_copy_only=False) for c, _ in running)
+                        ahead = best > old_best  # of equals the language of an earlier block stays
+                        top = np.maximum(best, old_best)
+                        with np.errstate(invalid="ignore"):
+                            total = np.where(np.isfinite(top), total * np.exp(best - top) + old_total * np.exp(old_best - top), 0.0)
+                        names, best = np.where(ahead, names, old_names), top
+                    if final:
+                        scores = np.divide(1.0, total, out=np.zeros(len(total)), where=total > 0)
+                        told = [pa.array(names, pa.string()), pa.array(scores, pa.float64())]
+                    else:
+                        told = [pa.array(names, pa.string()), pa.array(best, pa.float64()), pa.array(total, pa.float64())]
+                    yield pa.RecordBatch.from_arrays([*(part.column(c) for c in kept), *told], [*kept, *([prediction, score] if final else [c for c, _ in running])])
+
+        new = [(prediction, T.StringType()), (score, T.DoubleType())] if final else running
+        schema = T.StructType([*(docs.schema[c] for c in kept), *(T.StructField(c, t) for c, t in new)])
+        state = map_arrow(state, apply, schema)
+        if not final:
+            state = stored(state)
+    return state

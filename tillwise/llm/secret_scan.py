@@ -1,7 +1,7 @@
 """Secret scan: patterns propose candidates, a random forest removes false positives.
 
-Candidates are values assigned to a credential word, strings in well-known key formats, and
-long mixed strings.  Their features are lengths and character classes, how likely their
+Candidates are values assigned to a credential word, strings in well-known key formats, passwords in
+links, and long mixed strings.  Their features are lengths and character classes, how likely their
 character transitions are in the corpus's own words, how much of them corpus words cover,
 whether they look like a path or link, and the words around them.  A random forest learns
 from labelled findings (candidate, text before, text after, label) and scores every
@@ -16,7 +16,8 @@ Labelled findings of one's own go to :func:`fit` in the same form.
 
 Defined cases: null and empty texts have no findings; overlapping candidates count once (known
 formats before assigned values before mixed strings, of which the parts outside them remain); equal findings in one text are findings of their own; without
-labelled findings every candidate scores 0.5 and is kept as a secret; empty tables give no rows.
+labelled findings every candidate scores 0.5 and is kept as a secret; empty tables give no rows;
+columns that have the name of a result are replaced.
 """
 
 from __future__ import annotations
@@ -59,6 +60,8 @@ KEY_FORMATS = {
     "web_token": r"\beyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{4,}",
 }
 
+# A password in a link: scheme, name, colon, password, at sign.
+_LOGIN = re.compile(r"\b[a-zA-Z][a-zA-Z0-9+.-]{1,20}://[^\s:/@\"'`<>]{0,64}:([^\s:/@\"'`<>]{4,})@")
 _FORMATS = re.compile("|".join(f"(?P<{name}>{pattern})" for name, pattern in KEY_FORMATS.items()))
 _KEY_LINE = re.compile(r"-----(BEGIN|END) [A-Z0-9 ]{0,40}PRIVATE KEY(?: BLOCK)?-----")
 _KEY_BODY = re.compile(r"(?:[ \t]*+(?:[\r\n]|\\[nr])++[A-Za-z][A-Za-z-]{0,30}+:(?:(?!\\[nr])[^\r\n])*+)*+(?:[A-Za-z0-9+/=\s]++|\\[nrt])*+")
@@ -68,6 +71,7 @@ _NAMED = re.compile(r"[A-Za-z_][A-Za-z0-9_.-]*=(?=[^=])")
 _MIXED = re.compile(r"[A-Za-z0-9+/_=.~-]{20,}")
 _BEFORE = re.compile(r"([A-Za-z][A-Za-z_-]*)[\"'`]?\s{0,3}$")
 _WORDS = re.compile(r"[A-Za-z0-9_-]+")
+_DIGEST = re.compile(r"(?i)(?:sha-?\d*|md5|base64|etag|hash|blob)\W{1,4}$")
 _KNOWN = frozenset(("private_key", *KEY_FORMATS))
 _CREDENTIAL, _HARMLESS = frozenset(CREDENTIAL_WORDS), frozenset(HARMLESS_WORDS)
 
@@ -77,6 +81,8 @@ def candidates(text: str) -> list[tuple[int, int, str]]:
     found = _private_keys(text) if "PRIVATE KEY" in text else []
     if _may_hold_key(text):
         found = sorted(found + [(m.start(), m.end(), m.lastgroup) for a, b in _outside(found, 0, len(text)) for m in _FORMATS.finditer(text, a, b)])
+    if "://" in text:
+        found = sorted(found + [(begin, end, "login") for m in _LOGIN.finditer(text) for begin, end in _outside(found, m.start(1), m.end(1)) if end - begin >= 4])
     found = sorted(found + [(begin, end, "assigned") for a, b in _assigned(text) for begin, end in _outside(found, a, b) if end - begin >= SHORTEST])
     mixed = []
     for a, b in _outside(found, 0, len(text)):
@@ -210,7 +216,7 @@ class Language:
 
 FEATURES = (
     "length digits uppers lowers others entropy hex transition worst_transition changes covered path dots repeats "
-    "credential_before harmless_before credential_near harmless_near quoted assigned known_format"
+    "credential_before harmless_before credential_near harmless_near quoted assigned known_format login words digest_before"
 ).split()
 
 
@@ -236,6 +242,7 @@ def features(language: Language, candidate: str, before: str, after: str, kind:
             (klass[1:] != klass[:-1]).sum() / n, language.covered(own), float("/" in own or before.endswith(("/", "\\", "@")) or "://" in before[-24:]), own.count(".") / n, counts.max() / n,
             float(any(w in _CREDENTIAL for w in directly)), float(any(w in _HARMLESS for w in directly)), float(any(w in _CREDENTIAL for w in near_before)), float(any(w in _HARMLESS for w in near_before + near_after)),
             float(before[-1:] in "\"'`" and before != ""), float(kind == "assigned"), float(kind in _KNOWN),
+            float(kind == "login"), float(len(re.findall(r"[A-Za-z]{3,}", own))), float(_DIGEST.search(before) is not None),
         ],
         dtype=np.float64,
     )
@@ -278,7 +285,9 @@ def _best_split(x: np.ndarray, y: np.ndarray, picked: np.ndarray, leaf: int) ->
             impurity = low * (cut - low) / cut + high * (n - cut - high) / (n - cut)
             at = int(impurity.argmin())
             if impurity[at] < best[0]:
-                best = (float(impurity[at]), int(k), float((value[cut[at] - 1] + value[cut[at]]) / 2))
+                below, above = float(value[cut[at] - 1]), float(value[cut[at]])
+                middle = (below + above) / 2
+                best = (float(impurity[at]), int(k), middle if middle < above else below)  # neighbouring numbers have no middle
     return best
 
 
@@ -329,39 +338,94 @@ class Scanner:
 FINDING_SCHEMA = "candidate string, before string, after string, kind string, label int"
 
 
-def _made(seed: str, said: list[str]) -> tuple[str, str, str, str, int]:
-    """One finding (candidate, before, after, kind, label) from a seed and the words of a document."""
+# What stands before a value ({w}: a word, in lower or upper case), and what closes it.
+CREDENTIAL_CONTEXTS = [
+    ('{w} = "', '"'), ("{w}: ", ""), ("{w}=", ""), ('"{w}": "', '",'), ("'{w}': '", "'"), ("export {W}=", ""), ("--{w}=", ""), ("--{w} ", ""),
+    ("{W}=", " "), ("the {w} is ", "."), ("X-{w}: ", ""), ("<{w}>", "</{w}>"), ("my {w}: ", ""), ("{w} => '", "'"), ("https://example.org/?{w}=", ""), ("Authorization: Bearer ", ""),
+    ('{w} := "', '"'), ("  {w}:  ", ""), ("set {w} to ", ","), ("SET_{W}=", ""), ("({w}=", ")"), ("curl -H '{w}: ", "'"), ("{W}: ", ""), ("{w} `", "`"),
+]
+HARMLESS_CONTEXTS = [
+    ("{w} ", ""), ("{w}: ", ""), ("{w}=", ""), ('"{w}": "', '",'), ('{w} = "', '"'), ("({w} ", ")"), ('integrity="sha384-', '"'), ("data:image/png;base64,", '"'),
+    ("{W}: ", ""), ("https://example.org/{w}/", ""), ("/usr/share/{w}/", ".so"), ("the {w} is ", "."), ("{w} `", "`"), ("at {w} ", ","), ('<img src="/', '.png"'), ("git checkout ", ""),
+    ("sha256:", ""), ("v1.4.2-", ""), ("{w}/", ""), ("<{w}>", "</{w}>"), ("blob ", ""), ("index ", "..0"), ("ETag: W/", ""), ("{w}#", ""),
+]
+HOLDERS = "your_api_key_here changeme ${TOKEN} process.env.SECRET xxxxxxxxxxxxxxxx <your-token> EXAMPLE-KEY-1 REPLACE_ME os.environ[KEY] placeholder undefined my-secret-name {{secret}} ********".split()
+
+
+def _made(seed: str, said: list[str], contexts: tuple[int, int] | None = None) -> tuple[str, str, str, str, int]:
+    """One finding (candidate, before, after, kind, label) from a seed and the words of a document.
+
+    A value is set into a context between words, and the candidate is what the scan itself finds there.  ``contexts`` as (step, rest)
+    takes only contexts whose number leaves that rest, or with a rest below zero all others: findings for fitting and for testing.
+    """
     hex_ = hashlib.sha256(seed.encode()).hexdigest()
     other = hashlib.sha256(hex_.encode()).hexdigest()
     base = re.sub("[^A-Za-z0-9]", "x", base64.b64encode(bytes.fromhex(other)).decode().rstrip("="))
-    at = int(hex_[:8], 16)
+    at, pick = int(hex_[:8], 16), int(other[:12], 16)
     word = lambda k: said[(at + k) % len(said)] if said else ""
-    plain = "_".join(w for w in (re.sub("[^A-Za-z]", "", word(k)).lower() for k in (3, 5, 7, 9)) if w) or "plain_words"
+    some = [w for w in (re.sub("[^A-Za-z]", "", word(k)).lower() for k in (3, 5, 7, 9)) if w] or ["plain", "words"]
+    plain, number, year = "_".join(some), str(at % 9973), 1970 + at % 60
     dashed = "-".join((hex_[:8], hex_[8:12], hex_[12:16], hex_[16:20], hex_[20:32]))
-    number = str(at % 9973)
     wrap = ("\n", "\\n")[at % 2]
     pem = lambda kind, *lines: wrap.join((f"-----BEGIN {kind}PRIVATE KEY-----", *lines, f"-----END {kind}PRIVATE KEY-----"))
-    made = [
-        (hex_[:40], 'token = "', '"', "assigned", 1), (hex_[:32], "api_key: ", "", "assigned", 1), (base[:24], "password=", "", "assigned", 1), (base, 'client_secret = "', '"', "assigned", 1),
-        ("AKIA" + base[:16].upper(), "", "", "cloud_key", 1), ("ghp_" + base[:36], "", "", "forge_token", 1), (base[:40], "Authorization: Bearer ", "", "mixed", 1), (other[:40], 'TOKEN = "', '"', "assigned", 1),
-        (plain[:8] + number + "!", "password: ", "", "assigned", 1), (plain[:6].title() + "#" + base[:6], 'passwd = "', '"', "assigned", 1), (base[:28], "auth_token=", "", "mixed", 1),
-        (pem("", base, base[:20]), "", "", "private_key", 1), (pem("RSA ", *(base[k:] + base[:k] for k in range(at % 40 + 2))), 'key = "', '"', "private_key", 1),
-        (hex_[:40], "commit ", "", "mixed", 0), (hex_, "sha256: ", "", "mixed", 0), (dashed, "uuid ", "", "mixed", 0), (f"https://example.com/{plain}/{hex_[:12]}", "", "", "mixed", 0),
-        (f"{plain}.v2.tar.gz", "file /usr/share/", "", "mixed", 0), (plain, "password: ", "", "assigned", 0), ("your_api_key_here", "api_key = ", "", "assigned", 0), (f"EXAMPLE-{plain.upper()}-1", "token = ", "", "assigned", 0),
-        (f"2024-01-31T12:00:00.{number}", "", "", "mixed", 0), (hex_[:32], "md5 checksum ", "", "mixed", 0), (f"{plain}_{number}", "id ", "", "mixed", 0), ("xxxxxxxxxxxxxxxx", "secret: ", "", "assigned", 0),
-    ]
-    candidate, before, after, kind, label = made[int(hex_[8:16], 16) % len(made)]
-    return candidate, f"{word(0)} {word(1)} {before}", f"{after} {word(2)}", kind, label
-
-
-def labelled_findings(docs: DataFrame, text: str = "text", id_column: str = "doc_id", rows: int = TRAIN_ROWS) -> DataFrame:
-    """At most ``rows`` findings between words of the documents chosen by id hash."""
+
+    def choose(options: list, k: int):
+        if contexts and options in (CREDENTIAL_CONTEXTS, HARMLESS_CONTEXTS):
+            step, rest = contexts
+            options = [o for n, o in enumerate(options) if (n % step == rest if rest >= 0 else n % step != -1 - rest)]
+        return options[pick // 97**k % len(options)]
+
+    word_of = lambda words: choose(words, 3).replace("_", ("_", "-", "")[pick % 3])
+    family, label = choose(["value", "value", "value", "login", "format", "format", "pem", "passphrase", "hash", "hash", "hash", "name", "holder", "plain", "date"], 0), 1
+    credential, (before, after) = word_of(CREDENTIAL_WORDS), choose(CREDENTIAL_CONTEXTS, 2)
+    if family == "value":
+        value = choose([hex_[:32], hex_[:40], other, base[:24], base, base[:14] + "_" + base[14:30], some[0][:6] + number + "!", some[0].title() + "#" + base[:6], base[:12], some[0][:7] + some[0][:7] + number[:1], dashed], 1)
+    elif family == "passphrase":
+        value = "-".join(w[:7] for w in some) + "-" + number
+    elif family == "login":
+        value, (before, after) = choose([base[:14], some[0].title() + number + "xY", base[:20], hex_[:24]], 1), (choose(["postgres", "https", "redis", "amqp", "mongodb+srv", "ftp"], 2) + f"://{some[-1][:8]}:", f"@{choose(['db', 'host.example.org', 'localhost:5432'], 4)}/x")
+    elif family == "format":
+        value = choose(["AKIA" + base[:16].upper(), "ghp_" + base[:36], "sk_live_" + base[:24], "xoxb-" + number + "-" + base[:20], "AIza" + base[:35]], 1)
+        before, after = choose([(before, after), ("", ""), choose(HARMLESS_CONTEXTS, 2), ("export AWS_ACCESS_KEY_ID=", "")], 4)  # they are keys wherever they stand
+    elif family == "pem":
+        value = pem("RSA ", *(base[k:] + base[:k] for k in range(at % 40 + 2))) if at % 3 else pem("", base, base[:20])
+        before, after = ('key = "', '"')
+    else:
+        label, (before, after), credential = 0, choose(HARMLESS_CONTEXTS, 2), word_of(HARMLESS_WORDS)
+        if family == "hash":
+            value = choose([hex_[:40], hex_, hex_[:32], dashed, base64.b64encode(bytes.fromhex(hex_ + other[:32])).decode(), base, base[:22]], 1)
+        elif family == "name":
+            value = choose([f"{plain}_{number}", f"{plain}.v2.tar.gz", f"https://example.org/{plain}/{hex_[:12]}", f"{some[0]}-{some[-1]}-{year}-{number}", f"{plain}/{hex_[:10]}/index.html"], 1)
+        elif family == "date":
+            value = choose([f"{year}-01-31T12:00:00.{number}", f"{year}0131120000000000x", f"978-3-16-{number}10-0-{year}x"], 1)
+        else:  # in the place of a credential, and none
+            value = choose(HOLDERS, 1) if family == "holder" else plain
+            credential, (before, after) = word_of(CREDENTIAL_WORDS), choose(CREDENTIAL_CONTEXTS, 2)
+            if family == "holder" and at % 4 == 0:
+                value, before, after = choose(["password", "passwd", "secret", "xxxx"], 1), "https://user:", "@example.org"
+    fill = lambda part: part.replace("{w}", credential).replace("{W}", credential.upper())
+    head = f"{word(0)} {word(1)} {fill(before)}"
+    whole = f"{head}{value}{fill(after)} {word(2)}"
+    inside = [c for c in candidates(whole) if c[0] < len(head) + len(value) and c[1] > len(head)]
+    if not inside:  # such a string is no candidate, so it teaches nothing but its own look
+        return value, head, f"{fill(after)} {word(2)}", "mixed", label
+    begin, end, kind = max(inside, key=lambda c: min(c[1], len(head) + len(value)) - max(c[0], len(head)))
+    return whole[begin:end], whole[:begin], whole[end:], kind, label
+
+
+def labelled_findings(docs: DataFrame, text: str = "text", id_column: str = "doc_id", rows: int = TRAIN_ROWS, contexts: tuple[int, int] | None = None) -> DataFrame:
+    """At most ``rows`` findings between words of the documents chosen by id hash; ``contexts`` as in ``_made``.
+
+    Few documents give several findings each, so that a small corpus teaches as much as a large one.
+    """
     chosen = hash_sample(docs.select(F.xxhash64(id_column).alias("h"), id_column).where(F.col(id_column).isNotNull()), ["h"], rows).select(id_column, "h")
-    ids = docs.sparkSession.createDataFrame(chosen.collect(), chosen.schema)  # ids only, a bounded number
+    known = chosen.collect()  # ids only, a bounded number
+    each = max(1, rows // max(1, len(known)))
+    ids = docs.sparkSession.createDataFrame(known, chosen.schema)
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            made = [_made(str(h), t.split()) for h, t in zip(batch.column("h").to_pylist(), as_texts(batch.column("text")), strict=True)]
+            made = [_made(f"{h}/{k}", t.split(), contexts) for h, t in zip(batch.column("h").to_pylist(), as_texts(batch.column("text")), strict=True) for k in range(each)]
             columns = zip(*made, strict=True) if made else [[]] * 5
             kinds = [pa.string(), pa.string(), pa.string(), pa.string(), pa.int32()]
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], [c.split()[0] for c in FINDING_SCHEMA.split(", ")])
@@ -384,9 +448,8 @@ def fit(findings: DataFrame, language: Language, rows: int = TRAIN_ROWS, trees:
 
 def scan(docs: DataFrame, scanner: Scanner, text: str = "text", keep: list[str] | None = None) -> DataFrame:
     """One row a candidate: the columns ``keep`` (default: all others), begin, end (characters), kind, candidate, score, is_secret."""
-    keep = [c for c in docs.columns if c != text] if keep is None else keep
-    if clash := {"begin", "end", "kind", "candidate", "score", "is_secret"} & set(keep):
-        raise ValueError(f"rename the columns {sorted(clash)} first")
+    results = ("begin", "end", "kind", "candidate", "score", "is_secret")
+    keep = [c for c in (docs.columns if keep is None else keep) if c != text and c not in results]
     shared = docs.sparkSession.sparkContext.broadcast(scanner)
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

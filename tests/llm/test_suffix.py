@@ -83,8 +83,28 @@ def test_extra_columns_and_empty_tables(frame):
     assert cut.columns == [*[c for c in docs.columns if c != "text"], "n_bytes", "removed", "kept"]
     assert sorted((r["doc_id"], len(r["kept"])) for r in cut.collect()) == [(1, 0), (2, 0), (3, 0)]
     assert suffix.remove_repeats(docs.where(F.lit(False))).count() == 0
-    with pytest.raises(ValueError):
-        suffix.remove_repeats(docs.withColumn("kept", F.lit(1)))
+    clash = suffix.remove_repeats(docs.withColumn("kept", F.lit(1)).withColumnRenamed("row", "n_bytes"))
+    assert clash.columns == ["doc_id", "lang", "source", "n_chars", "score", "word", "n_bytes", "removed", "kept"]
+    assert {len(r["kept"]) for r in clash.collect()} == {0}
+
+
+def test_contexts_that_collide_are_told_apart():
+    rng = np.random.default_rng(9)
+    texts = ["".join(rng.choice(list("abcdefgh"), 260)) for _ in range(6)]
+    gram = texts[0][100:148]
+    texts = [t[:100] + gram + t[148:] for t in texts] + [texts[0]]  # one anchor, other contexts
+
+    def same_polynomial(*args):
+        found = list(suffix._anchors(*args))
+        found[5] = found[5] * np.uint64(0)  # every context hash collides
+        return tuple(found)
+
+    starts, sizes = np.cumsum([0, *map(len, texts[:-1])]), np.array(list(map(len, texts)))
+    text, *_, grams, context, check = same_polynomial(np.frombuffer("".join(texts).encode(), dtype=np.uint8), starts, sizes, 200, 48)
+    keys = {}
+    for t, g, c, x in zip(text.tolist(), grams.tolist(), context.tolist(), check.tolist(), strict=True):
+        keys.setdefault((g, c, x), set()).add(t)
+    assert all(k == {0, 6} or len(k) == 1 for k in keys.values()) and any(k == {0, 6} for k in keys.values())
 
 
 def test_long_repetitive_text_beside_short_ones(spark):

@@ -1,21 +1,17 @@
 """Byte-level BPE: equal to the reference library on any text, exact round trip."""
 
-import base64
 import hashlib
 
 import numpy as np
 import public_tokenizers
-import tiktoken
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from brute_force import LIBRARY, WHERE
 from tillwise.llm import bpe, queries
 
-WHERE = public_tokenizers.path(queries.RANKS)
 TOKENIZER = bpe.tokenizer(WHERE, public_tokenizers.PATTERN)
-RANKS = {base64.b64decode(a): int(b) for a, b in map(bytes.split, open(WHERE, "rb"))}
-LIBRARY = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=RANKS, special_tokens={})
 
 
 def same(texts):

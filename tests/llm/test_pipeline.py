@@ -11,8 +11,7 @@ import corpus_pipeline
 import __spark_entry__ as entry
 from tillwise.llm.common import stored
 
-from test_bpe import LIBRARY
-from test_simhash import classes
+from brute_force import LIBRARY, classes
 
 SF = "/root/testdata/sf0.001"
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]

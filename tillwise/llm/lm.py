@@ -10,23 +10,24 @@ The model predicts the ``VOCABULARY`` most frequent words, the end, and "another
 gated recurrent unit with a class-factored softmax: the class, then the word within it.
 Another word is spelt out by its smoothed unigram probability among the other words, so the
 score is the probability of the exact text.  Output biases start at the counts of the whole
-corpus.  Recurrent weights learn by truncated backpropagation in numpy: in each of ``ROUNDS``
+corpus.  Words are turned into symbols once, in a table that training and scoring read.  Recurrent weights learn by truncated backpropagation in numpy: in each of ``ROUNDS``
 rounds every task trains a copy on its share of one in ``STRIDE`` training documents (dealt by id
 hash, so that the rounds together cover every document), and Spark averages the copies, weighted
-by tokens.  State runs on across windows of ``WINDOW`` tokens: to the end of a document in scoring,
-for ``SEGMENT`` tokens in training.
+by tokens.  State runs on across windows of ``WINDOW`` tokens to the end of a document, in training as
+in scoring.  Documents run side by side in lanes; a lane that is free takes the next document, so memory
+holds one window of all lanes, however long a text is.
 
 Defined cases: null counts as the empty text (one token, the end); without training documents
 every count is zero, so the unigram score of any text is 0 and the model keeps its start; rows
-repeat as often as they come in; an empty table gives no rows.
+repeat as often as they come in; an empty table gives no rows; columns that have the name of a result are replaced.
 """
 
 from __future__ import annotations
 
-import heapq
-from collections import Counter
+from collections import Counter, deque
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -41,15 +42,15 @@ VOCABULARY, CLASS, UNITS = 1024, 32, 16
 #: Words whose counts are broadcast, and their greatest length.
 FREQUENT, WORD_BYTES = 1 << 16, 64
 #: Tokens between cuts of the gradient; lanes trained and scored side by side.
-WINDOW, TRAIN_LANES, SCORE_LANES = 32, 64, 256
-#: Tokens of a document learnt from one start state (scoring never starts afresh within a document).
-SEGMENT = 1024
+WINDOW, TRAIN_LANES, SCORE_LANES = 32, 512, 512
+#: Lanes a task starts to train with, and tokens learnt for each further lane.
+LEAST_LANES, LANE_TOKENS = 128, 512
 #: One in so many training documents each round; rounds; step size; clip of a gradient entry.
 STRIDE, ROUNDS, RATE, CLIP = 4, 4, 0.3, 1.0
 _END, _OTHER = 0, 1
-_SCORED, _TRAINED = 16 << 20, 4 << 20  # bytes of text dealt to lanes at once: enough for long texts to share their steps
-_ROWS = 4096  # states whose output is worked out at once
-_BLOCK = 1 << 14  # weights a row when copies are averaged
+_READ = 2 << 20  # bytes of text turned into symbols at once
+_ROWS = 4096  # states whose classes are worked out at once
+_BLOCK = 1 << 10  # weights a row when copies are averaged
 _HELD_WORDS = 400_000  # distinct words a counting task holds before it passes them on
 
 
@@ -141,12 +142,17 @@ def _softmax(logits: np.ndarray, picked: np.ndarray, gradient: bool) -> tuple[np
 
 
 class Gru:
-    """Gated recurrent unit with class-factored output; all weights are views of one vector."""
+    """Gated recurrent unit with class-factored output; all weights are views of one vector.
+
+    The end and "another word" are classes of their own, so only words take a second softmax.
+    Gates are kept as (units, lanes): whole rows for the processor's vector units.
+    """
 
     def __init__(self, symbols: int, units: int = UNITS, per_class: int = CLASS, vector: np.ndarray | None = None):
-        self.units, self.per_class, self.classes = units, per_class, -(-symbols // per_class)
-        rows = self.classes * per_class
-        shapes = {"x": (rows, 3 * units), "u": (units, 3 * units), "c": (units, self.classes), "cb": (self.classes,), "o": (rows, units), "ob": (rows,)}
+        self.symbols, self.units, self.per_class = symbols, units, per_class
+        self.classes = 2 + -(-max(0, symbols - 2) // per_class)
+        rows = (self.classes - 2) * per_class
+        shapes = {"x": (2 + rows, 3 * units), "u": (units, 3 * units), "c": (units, self.classes), "cb": (self.classes,), "o": (rows, units), "ob": (rows,)}
         sizes = [int(np.prod(s)) for s in shapes.values()]
         self.vector = np.zeros(sum(sizes), dtype=np.float32) if vector is None else vector.astype(np.float32)
         for (name, shape), end, size in zip(shapes.items(), np.cumsum(sizes), sizes, strict=True):
@@ -160,187 +166,251 @@ class Gru:
         for name in ("x", "u", "c", "o"):
             weights = getattr(out, name)
             weights[:] = rng.normal(0, 0.1 if name != "u" else units**-0.5, weights.shape)
-        smooth = np.zeros(len(out.ob))
+        smooth = np.zeros(2 + len(out.ob))
         smooth[: len(counts)] = counts + 1.0
-        by_class = smooth.reshape(out.classes, per_class)
-        out.cb[:] = np.log(by_class.sum(axis=1) / smooth.sum())
+        words = smooth[2:].reshape(out.classes - 2, per_class).sum(axis=1)
+        out.cb[:] = np.log(np.concatenate((smooth[:2], words)) / smooth.sum())
         with np.errstate(divide="ignore"):
-            out.ob[:] = np.maximum(np.log(smooth) - np.repeat(np.log(by_class.sum(axis=1)), per_class), -60.0)
+            out.ob[:] = np.maximum(np.log(smooth[2:]) - np.repeat(np.log(words), per_class), -60.0)
         return out
 
     def states(self, inputs: np.ndarray, keep: np.ndarray, h: np.ndarray, cache: list | None = None) -> tuple[np.ndarray, np.ndarray]:
-        """States (steps, lanes, units) after each input; ``keep`` is 0 where a document starts."""
-        units = self.units
-        out = np.empty((*inputs.shape, units), dtype=np.float32)
-        with np.errstate(over="ignore"):
-            for t in range(len(inputs)):
-                h = h * keep[t][:, None]
-                a, g = self.x[inputs[t]], h @ self.u
-                zr = a[:, : 2 * units] + g[:, : 2 * units]
-                np.negative(zr, out=zr)
-                np.exp(zr, out=zr)
-                zr += 1.0
-                np.reciprocal(zr, out=zr)
-                z, r = zr[:, :units], zr[:, units:]
-                n = np.tanh(a[:, 2 * units :] + r * g[:, 2 * units :])
-                np.add(n, z * (h - n), out=out[t])
-                if cache is not None:
-                    cache.append((h, z, r, n, g[:, 2 * units :]))
-                h = out[t]
+        """States (steps, units, lanes) after each input; ``keep`` is 0 where a document starts."""
+        units, (steps, lanes) = self.units, inputs.shape
+        out = np.empty((steps, units, lanes), dtype=np.float32)
+        given = np.ascontiguousarray(self.x[inputs].transpose(0, 2, 1))
+        back = np.ascontiguousarray(self.u.T)
+        for t in range(steps):
+            h = h * keep[t]
+            g = back @ h
+            zr = given[t, : 2 * units]
+            zr += g[: 2 * units]
+            np.negative(zr, out=zr)
+            np.exp(np.minimum(zr, 80, out=zr), out=zr)
+            zr += 1.0
+            np.reciprocal(zr, out=zr)
+            n = given[t, 2 * units :]
+            n += zr[units:] * g[2 * units :]
+            np.tanh(n, out=n)
+            np.subtract(h, n, out=out[t])
+            out[t] *= zr[:units]
+            out[t] += n
+            if cache is not None:
+                cache.append((h, g[2 * units :]))
+            h = out[t]
+        if cache is not None:
+            cache.append(given)
         return out, h
 
     def log_prob(self, states: np.ndarray, targets: np.ndarray, grads: Gru | None = None) -> tuple[np.ndarray, np.ndarray | None]:
-        """Natural log-probability of each target; with ``grads`` also the gradient by the states, output gradients being added."""
-        out = np.empty(len(targets))
+        """Natural log-probability of each target; with ``grads`` also the gradient by the states, output gradients being added.
+
+        Rows are ordered by class, so that the words of a class are one product.
+        """
+        own = np.where(targets < 2, targets, (targets - 2) // self.per_class + 2)
+        order = np.argsort(own.astype(np.int16) if self.classes < 1 << 15 else own, kind="stable")
+        states, targets, own = states[order], targets[order], own[order]
+        found = np.empty(len(targets), dtype=np.float32)
         back = None if grads is None else np.empty_like(states)
         for at in range(0, len(targets), _ROWS):  # blocks whose logits stay in the processor's cache
             span = slice(at, at + _ROWS)
-            found, flow = self._log_prob(states[span], targets[span], grads)
-            out[span] = found
-            if back is not None:
-                back[span] = flow
-        return out, back
-
-    def _log_prob(self, states: np.ndarray, targets: np.ndarray, grads: Gru | None) -> tuple[np.ndarray, np.ndarray | None]:
-        own = targets // self.per_class
-        out, share = _softmax(states @ self.c + self.cb, own, grads is not None)
-        back = None
-        if grads is not None:
-            grads.c += states.T @ share
-            grads.cb += share.sum(axis=0)
-            back = share @ self.c.T
-        order = np.argsort(own, kind="stable")
-        edges = np.searchsorted(own[order], np.arange(self.classes + 1))
+            mine = states[span]
+            found[span], share = _softmax(mine @ self.c + self.cb, own[span], grads is not None)
+            if grads is not None:
+                grads.c += mine.T @ share
+                grads.cb += share.sum(axis=0)
+                back[span] = share @ self.c.T
+        edges = np.searchsorted(own, np.arange(2, self.classes + 1))
         for k in np.flatnonzero(np.diff(edges)).tolist():
-            rows = order[edges[k] : edges[k + 1]]
+            rows = slice(edges[k], edges[k + 1])
             span = slice(k * self.per_class, (k + 1) * self.per_class)
             mine = states[rows]
-            found, share = _softmax(mine @ self.o[span].T + self.ob[span], targets[rows] - span.start, grads is not None)
-            out[rows] += found
+            more, share = _softmax(mine @ self.o[span].T + self.ob[span], targets[rows] - (2 + span.start), grads is not None)
+            found[rows] += more
             if grads is not None:
                 grads.o[span] += share.T @ mine
                 grads.ob[span] += share.sum(axis=0)
                 back[rows] += share @ self.o[span]
-        return out, back
-
-    def gradients(self, inputs: np.ndarray, keep: np.ndarray, targets: np.ndarray, h: np.ndarray) -> tuple[Gru, np.ndarray, float, int]:
-        """One truncated window: (gradients, last state, loss, tokens); targets below zero are padding."""
-        grads = Gru(len(self.ob), self.units, self.per_class)
+        out = np.empty(len(targets))
+        out[order] = found
+        if back is None:
+            return out, None
+        flow = np.empty_like(back)
+        flow[order] = back
+        return out, flow
+
+    def gradients(self, inputs: np.ndarray, keep: np.ndarray, targets: np.ndarray, h: np.ndarray, grads: Gru) -> tuple[np.ndarray, float, int]:
+        """One truncated window: ``grads`` filled, (last state, loss, tokens); targets below zero are padding."""
+        units, (steps, lanes) = self.units, inputs.shape
+        grads.vector[:] = 0
         cache: list = []
         states, last = self.states(inputs, keep, h, cache)
+        gates = cache.pop()  # update, reset and new of every step
+        z, r, n = gates[:, :units], gates[:, units : 2 * units], gates[:, 2 * units :]
         real = targets >= 0
-        found, back = self.log_prob(states[real], targets[real], grads)
-        flow = np.zeros_like(states)
+        found, back = self.log_prob(states.transpose(0, 2, 1)[real], targets[real], grads)
+        flow = np.zeros((steps, lanes, units), dtype=np.float32)
         flow[real] = back
-        dh = np.zeros_like(h)
-        in_gates, out_gates, before = [], [], []
-        for t in reversed(range(len(inputs))):
-            prev, z, r, n, g = cache[t]
+        flow = np.ascontiguousarray(flow.transpose(0, 2, 1))
+        # what does not depend on the steps after: factors of the gradients of each gate
+        before = np.stack([c[0] for c in cache])
+        by_new = (1 - z) * (1 - n * n)
+        by_reset = np.stack([c[1] for c in cache]) * r * (1 - r)
+        by_update = (before - n) * z * (1 - z)
+        inside = np.empty_like(gates)  # gradients where the inputs enter
+        recurrent = np.empty((3 * units, lanes), dtype=np.float32)
+        onward = np.empty_like(flow)
+        dh = np.zeros_like(last)
+        by_u = np.zeros((units, 3 * units), dtype=np.float32)
+        for t in reversed(range(steps)):
             dh = dh + flow[t]
-            dn = dh * (1 - z) * (1 - n * n)
-            dr = dn * g * r * (1 - r)
-            dz = dh * (prev - n) * z * (1 - z)
-            gate = np.concatenate((dz, dr, dn * r), axis=1)
-            in_gates.append(np.concatenate((dz, dr, dn), axis=1))
-            out_gates.append(gate)
-            before.append(prev)
-            dh = (dh * z + gate @ self.u.T) * keep[t][:, None]
-        grads.u += np.concatenate(before).T @ np.concatenate(out_gates)
-        rows = inputs[::-1].ravel()
-        order = np.argsort(rows, kind="stable")
+            d = inside[t]
+            np.multiply(dh, by_update[t], out=d[:units])
+            np.multiply(dh, by_new[t], out=d[2 * units :])
+            np.multiply(d[2 * units :], by_reset[t], out=d[units : 2 * units])
+            recurrent[: 2 * units] = d[: 2 * units]
+            np.multiply(d[2 * units :], r[t], out=recurrent[2 * units :])
+            by_u += before[t] @ recurrent.T
+            np.matmul(self.u, recurrent, out=onward[t])
+            dh = (dh * z[t] + onward[t]) * keep[t]
+        grads.u += by_u
+        rows = inputs.ravel()
+        order = np.argsort(rows.astype(np.int16) if len(self.x) < 1 << 15 else rows, kind="stable")
+        sums = np.ascontiguousarray(inside.transpose(0, 2, 1)).reshape(-1, 3 * units)[order]
         used, first = np.unique(rows[order], return_index=True)
-        grads.x[used] = np.add.reduceat(np.concatenate(in_gates)[order], first, axis=0)
-        return grads, last, -float(found.sum()), int(real.sum())
-
+        grads.x[used] = np.add.reduceat(sums, first, axis=0)
+        return last, -float(found.sum()), int(real.sum())
 
-def lanes(sequences: list[np.ndarray], count: int) -> list[list[int]]:
-    """Deal sequences to lanes of about equal length, longest first; the lanes come longest first, too."""
-    count = max(1, min(count, len(sequences)))
-    heap = [(0, k) for k in range(count)]
-    out: list[list[int]] = [[] for _ in range(count)]
-    for k in sorted(range(len(sequences)), key=lambda k: -len(sequences[k])):
-        filled, at = heapq.heappop(heap)
-        out[at].append(k)
-        heapq.heappush(heap, (filled + len(sequences[k]), at))
-    return sorted(out, key=lambda own: -sum(len(sequences[k]) for k in own))
 
+class Lanes:
+    """Sequences side by side, a window of steps at a time; a lane whose sequence has ended takes the next one that waits.
 
-def _windows(sequences: list[np.ndarray], dealt: list[list[int]]) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
-    """(step, targets, inputs, keep) of each window, (steps, lanes); lanes that have ended are left out.
-
-    Documents follow one another in a lane and start from the end symbol; padding targets are -1.
+    Memory holds the sequences themselves and one window, whatever their lengths.
     """
-    lengths = np.array([sum(len(sequences[k]) for k in own) for own in dealt])
-    targets = np.full((len(dealt), lengths.max()), -1, dtype=np.int16)
-    starts = np.zeros(targets.shape, dtype=bool)
-    for lane, own in enumerate(dealt):
-        targets[lane, : lengths[lane]] = np.concatenate([sequences[k] for k in own])
-        starts[lane, np.cumsum([0, *(len(sequences[k]) for k in own[:-1])])] = True
-    for t in range(0, targets.shape[1], WINDOW):
-        open_ = int(np.searchsorted(-lengths, -t, side="left"))
-        now = targets[:open_, t : t + WINDOW].astype(np.int64)
-        first = starts[:open_, t : t + WINDOW]
-        inputs = np.zeros_like(now)
-        inputs[:, 1:] = now[:, :-1]
-        if t:
-            inputs[:, 0] = targets[:open_, t - 1]
-        inputs[first | (inputs < 0)] = _END
-        yield t, now.T, inputs.T, 1.0 - first.T.astype(np.float32)
+
+    def __init__(self, units: int):
+        self.flat = np.zeros(0, dtype=np.int16)  # symbols of all sequences that are not yet through
+        self.waiting: deque[tuple[int, int, int]] = deque()  # number, begin and end in ``flat``
+        self.number, self.begin, self.place, self.end = (np.zeros(0, dtype=np.int64) for _ in range(4))  # of each lane
+        self.h = np.zeros((units, 0), dtype=np.float32)
+
+    def add(self, first: int, sequences: list[np.ndarray]) -> None:
+        """Sequences numbered from ``first``; of those that come together the longest start first."""
+        kept, size = [], 0
+        for k in np.flatnonzero(self.place < self.end).tolist():
+            at = max(int(self.begin[k]), int(self.place[k]) - 1)  # the symbol before is the next input
+            kept.append(self.flat[at : self.end[k]])
+            for own in (self.begin, self.place, self.end):
+                own[k] += size - at
+            size += len(kept[-1])
+        old, self.waiting = self.waiting, deque()
+        ordered = sorted(range(len(sequences)), key=lambda k: -len(sequences[k]))
+        for number, symbols in [*((n, self.flat[a:b]) for n, a, b in old), *((first + k, sequences[k]) for k in ordered)]:
+            if len(symbols):
+                kept.append(symbols)
+                self.waiting.append((number, size, size + len(symbols)))
+                size += len(symbols)
+        self.flat = np.concatenate(kept).astype(np.int16) if kept else np.zeros(0, dtype=np.int16)
+
+    def window(self, count: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """(targets, inputs, keep, numbers), each (steps, lanes), for at most ``count`` lanes; padding targets are -1."""
+        open_ = np.flatnonzero(self.place < self.end)
+        fresh = [self.waiting.popleft() for _ in range(min(len(self.waiting), max(0, count - len(open_))))]
+        new = np.array(fresh, dtype=np.int64).reshape(-1, 3)
+        self.number, self.begin = np.concatenate((self.number[open_], new[:, 0])), np.concatenate((self.begin[open_], new[:, 1]))
+        self.place, self.end = np.concatenate((self.place[open_], new[:, 1])), np.concatenate((self.end[open_], new[:, 2]))
+        self.h = np.concatenate((self.h[:, open_], np.zeros((len(self.h), len(fresh)), dtype=np.float32)), axis=1)
+        at = self.place[:, None] + np.arange(WINDOW)
+        inside = at < self.end[:, None]
+        at = np.where(inside, at, 0)
+        targets = np.where(inside, self.flat[at], -1).astype(np.int64)
+        inputs = np.where(inside, self.flat[at - 1], _END).astype(np.int64)
+        keep = np.ones(targets.shape, dtype=np.float32)
+        starts = self.place == self.begin
+        inputs[starts, 0], keep[starts, 0] = _END, 0.0
+        numbers = np.repeat(self.number[:, None], WINDOW, axis=1)
+        filled = np.minimum(self.end - self.place, WINDOW)
+        self.place = self.place + filled
+        for k in np.flatnonzero(filled < WINDOW).tolist():
+            used = int(filled[k])
+            while used < WINDOW and self.waiting:
+                number, begin, end = self.waiting.popleft()
+                n = min(WINDOW - used, end - begin)
+                targets[k, used : used + n] = self.flat[begin : begin + n]
+                inputs[k, used] = _END
+                inputs[k, used + 1 : used + n] = self.flat[begin : begin + n - 1]
+                keep[k, used], numbers[k, used : used + n] = 0.0, number
+                self.number[k], self.begin[k], self.place[k], self.end[k] = number, begin, begin + n, end
+                used += n
+        return np.ascontiguousarray(targets.T), np.ascontiguousarray(inputs.T), np.ascontiguousarray(keep.T), np.ascontiguousarray(numbers.T)
+
+    def __bool__(self) -> bool:
+        return bool(self.waiting) or bool((self.place < self.end).any())
+
+    def unfinished(self) -> set[int]:
+        return {n for n, _, _ in self.waiting} | set(self.number[self.place < self.end].tolist())
+
+
+class Scorer:
+    """log10 probabilities of sequences that come in one after the other."""
+
+    def __init__(self, model: Gru, count: int = SCORE_LANES):
+        self.model, self.count, self.lanes = model, count, Lanes(model.units)
+        self.sums = np.zeros(0)
+
+    def add(self, sequences: list[np.ndarray]) -> None:
+        self.lanes.add(len(self.sums), sequences)
+        self.sums = np.concatenate((self.sums, np.zeros(len(sequences))))
+
+    def run(self, to_the_end: bool = False) -> None:
+        """Score while lanes are full, or everything."""
+        while self.lanes if to_the_end else len(self.lanes.waiting) >= self.count:
+            targets, inputs, keep, numbers = self.lanes.window(self.count)
+            states, self.lanes.h = self.model.states(inputs, keep, self.lanes.h)
+            real = targets >= 0
+            found, _ = self.model.log_prob(states.transpose(0, 2, 1)[real], targets[real])
+            np.add.at(self.sums, numbers[real], found / np.log(10))
+
+    def done(self) -> int:
+        """Of the sequences added so far, how many at the front are scored."""
+        return min(self.lanes.unfinished(), default=len(self.sums))
 
 
 def score_sequences(model: Gru, sequences: list[np.ndarray], count: int = SCORE_LANES) -> np.ndarray:
     """log10 probability of each sequence of symbols."""
-    if not sequences:
-        return np.zeros(0)
-    dealt = lanes(sequences, count)
-    found = np.zeros((len(dealt), sum(len(sequences[k]) for k in dealt[0])), dtype=np.float32)
-    h = np.zeros((len(dealt), model.units), dtype=np.float32)
-    for t, targets, inputs, keep in _windows(sequences, dealt):
-        open_ = targets.shape[1]
-        states, h = model.states(inputs, keep, h[:open_])
-        real = targets >= 0
-        values = np.zeros(targets.shape, dtype=np.float32)
-        values[real] = model.log_prob(states[real], targets[real])[0]
-        found[:open_, t : t + WINDOW] = values.T
-    out = np.zeros(len(sequences))
-    for lane, own in enumerate(dealt):
-        sizes = np.array([len(sequences[k]) for k in own])
-        out[own] = segment_sums(found[lane, : sizes.sum()], sizes)
-    return out / np.log(10)
+    scorer = Scorer(model, count)
+    scorer.add(sequences)
+    scorer.run(to_the_end=True)
+    return scorer.sums
 
 
 class Trainer:
-    """Adagrad on windows of lanes."""
+    """Adagrad on windows of lanes; more lanes as more tokens have been learnt."""
 
     def __init__(self, model: Gru, rate: float = RATE):
         self.model, self.rate, self.tokens = model, rate, 0
         self.squares = np.full_like(model.vector, 0.1)
-
-    def learn(self, sequences: list[np.ndarray], count: int = TRAIN_LANES) -> None:
-        if not sequences:
-            return
-        # a long text would leave the other lanes idle, so its parts learn side by side, each from a fresh state
-        sequences = [own[at : at + SEGMENT] for own in sequences for at in range(0, len(own), SEGMENT)]
-        dealt = lanes(sequences, count)
-        h = np.zeros((len(dealt), self.model.units), dtype=np.float32)
-        for _, targets, inputs, keep in _windows(sequences, dealt):
-            grads, h, _, n = self.model.gradients(inputs, keep, targets, h[: targets.shape[1]])
-            step = np.clip(grads.vector * (WINDOW / max(1, n)), -CLIP, CLIP)
-            touched = np.flatnonzero(step)
-            step = step[touched]
-            self.squares[touched] += step * step
-            self.model.vector[touched] -= self.rate * step / np.sqrt(self.squares[touched])
+        self.grads = Gru(model.symbols, model.units, model.per_class)
+        self.lanes = Lanes(model.units)
+
+    def learn(self, sequences: list[np.ndarray], to_the_end: bool = True) -> None:
+        """Learn from the sequences; without ``to_the_end`` some may wait until more lanes can be filled."""
+        self.lanes.add(0, sequences)
+        while self.lanes if to_the_end else len(self.lanes.waiting) >= TRAIN_LANES:
+            count = min(TRAIN_LANES, LEAST_LANES + self.tokens // LANE_TOKENS)
+            targets, inputs, keep, _ = self.lanes.window(count)
+            self.lanes.h, _, n = self.model.gradients(inputs, keep, targets, self.lanes.h, self.grads)
+            step = np.clip(self.grads.vector * (WINDOW / max(1, n)), -CLIP, CLIP)
+            self.squares += step * step
+            step *= self.rate
+            step /= np.sqrt(self.squares)
+            self.model.vector -= step
             self.tokens += n
 
 
 # with Spark ---------------------------------------------------------------------------------
 
 
-def _symbols(places: np.ndarray, model_words: int) -> np.ndarray:
-    """Symbols of the model for places in the frequency table (-1: not in it), with the end."""
-    return np.append(np.where((places >= 0) & (places < model_words), places + 2, _OTHER), _END).astype(np.int16)
-
-
 def _averaged(copies: DataFrame) -> DataFrame:
     """Weighted sums of blocks of weights, in two steps so that no task reads all copies."""
 
@@ -360,29 +430,84 @@ def _averaged(copies: DataFrame) -> DataFrame:
     return map_arrow(some.withColumn("lane", F.lit(0)).repartition(parts, "block"), apply, schema)
 
 
-def turn_of(docs: DataFrame, turn: int, stride: int = STRIDE, id_column: str = "doc_id") -> DataFrame:
-    """The documents of one round; ``stride`` rounds have each document once."""
-    return docs.where(F.pmod(F.xxhash64(id_column), F.lit(stride)) == turn % stride)
+def _rare(words: list[bytes], places: np.ndarray, sizes: np.ndarray) -> pa.Array:
+    """For each text the words that are not in the frequency table, each once with its count."""
+    at = np.flatnonzero(places < 0)
+    coded = pa.array([words[k] for k in at.tolist()], pa.binary()).dictionary_encode()
+    owner = np.repeat(np.arange(len(sizes)), sizes)[at]
+    distinct = max(1, len(coded.dictionary))
+    keys, counts = np.unique(owner * distinct + coded.indices.to_numpy(), return_counts=True)
+    many = np.bincount(keys // distinct, minlength=len(sizes))
+    pairs = pa.StructArray.from_arrays([coded.dictionary.take(pa.array(keys % distinct)), pa.array(counts.astype(np.int32))], ["word", "n"])
+    return pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(many))).astype(np.int32)), pairs)
 
 
-def train(docs: DataFrame, known: Unigrams, text: str = "text", id_column: str = "doc_id", rounds: int = ROUNDS, stride: int = STRIDE, rate: float = RATE, units: int = UNITS, per_class: int = CLASS, seed: int = 42) -> Gru:
-    """Train on ``docs``: each round on other documents, copies averaged by Spark."""
+def symbolized(docs: DataFrame, known: Unigrams, text: str = "text", id_column: str = "doc_id", keep: list[str] | None = None, training: Column | None = None) -> DataFrame:
+    """The stored table that training and scoring read instead of the texts: one row a document.
+
+    Holds the kept columns (as kept0, kept1, ...), the symbols of the model with the end, all that the unigrams
+    say of the frequent words, the rare words with their counts, and for the rows of ``training`` (default: all) the turn in
+    which they are learnt from (-1: never).
+    """
+    keep = [c for c in (docs.columns if keep is None else keep) if c not in (text, *RESULTS)]
+    told = docs.sparkSession.sparkContext.broadcast(known)
+    columns = [*(f"kept{k}" for k in range(len(keep))), "row", "turn"]
+
+    def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = told.value
+        log_count = np.append(np.log10(own.counts + 1.0), 0.0)
+        for batch in batches:
+            for part in slices(batch, "text", _READ):
+                said = [words_of(t) for t in as_bytes(part.column("text"))]
+                sizes = np.fromiter(map(len, said), dtype=np.int64, count=len(said))
+                flat = list(chain.from_iterable(said))
+                places = own.frequent.of(flat)
+                modelled = (places >= 0) & (places < own.model_words)
+                logs = log_count[places]  # zero for a rare word
+                sums = [segment_sums(v, sizes) for v in (places >= 0, ~modelled, logs, np.where(modelled, 0.0, logs))]
+                # the symbols of a text and its end, one text after the other
+                coded = np.full(len(flat) + len(said), _END, dtype="<i2")
+                last = np.cumsum(sizes + 1) - 1
+                word = np.ones(len(coded), dtype=bool)
+                word[last] = False
+                coded[word] = np.where(modelled, places + 2, _OTHER)
+                offsets = np.concatenate(([0], 2 * (last + 1))).astype(np.int32)
+                symbols = pa.Array.from_buffers(pa.binary(), len(said), [None, pa.py_buffer(offsets), pa.py_buffer(coded)])
+                numbers = [pa.array(v.astype(np.int32)) for v in (sizes, *sums[:2])] + [pa.array(v) for v in sums[2:]]
+                yield pa.RecordBatch.from_arrays([*(part.column(c) for c in columns), *numbers, _rare(flat, places, sizes), symbols], [*columns, "words", "frequent", "unnamed", "base", "spelt", "rare", "symbols"])
+
+    learnt = F.lit(True) if training is None else training
+    turn = F.when(learnt, F.pmod(F.xxhash64(id_column), F.lit(1 << 20)).cast("int")).otherwise(-1)
+    source = docs.select(*(F.col(c).alias(f"kept{k}") for k, c in enumerate(keep)), F.monotonically_increasing_id().alias("row"), turn.alias("turn"), F.col(text).cast("string").alias("text"))
+    schema = T.StructType([*(T.StructField(f"kept{k}", docs.schema[c].dataType) for k, c in enumerate(keep)), *T._parse_datatype_string(CODED).fields])
+    return stored(map_arrow(source, apply, schema))
+
+
+def turn_of(coded: DataFrame, turn: int, stride: int = STRIDE) -> DataFrame:
+    """The training documents of one round; ``stride`` rounds have each document once."""
+    return coded.where((F.col("turn") >= 0) & (F.col("turn") % stride == turn % stride))
+
+
+def _sequences(part: pa.RecordBatch) -> list[np.ndarray]:
+    return [np.frombuffer(b, dtype="<i2") for b in part.column("symbols").to_pylist()]
+
+
+def train(coded: DataFrame, known: Unigrams, rounds: int = ROUNDS, stride: int = STRIDE, rate: float = RATE, units: int = UNITS, per_class: int = CLASS, seed: int = 42) -> Gru:
+    """Train on the training rows of ``symbolized``: each round on other documents, copies averaged by Spark."""
     counts = known.symbols()
     model = Gru.start(counts, units, per_class, seed)
-    spark = docs.sparkSession
-    told = spark.sparkContext.broadcast(known.frequent)
+    spark = coded.sparkSession
+    symbols = len(counts)
     for turn in range(rounds):
         shared = spark.sparkContext.broadcast(model.vector)
-        words = known.model_words
 
-        def learn(batches: Iterator[pa.RecordBatch], shared=shared, words=words) -> Iterator[pa.RecordBatch]:
-            places = told.value
-            trainer, lane = Trainer(Gru(len(counts), units, per_class, shared.value), rate), 0
+        def learn(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
+            trainer, lane = Trainer(Gru(symbols, units, per_class, shared.value), rate), 0
             for batch in batches:
-                for part in slices(batch, "text", _TRAINED):
+                for part in slices(batch, "symbols", _READ):
                     lane = part.column("lane")[0].as_py()
-                    texts = [words_of(t) for t in as_bytes(part.column("text"))]
-                    trainer.learn([_symbols(places.of(t), words) for t in texts])
+                    trainer.learn(_sequences(part), to_the_end=False)
+            trainer.learn([])
             if trainer.tokens:
                 weighed = trainer.model.vector.astype(np.float64) * trainer.tokens
                 for at in range(0, len(weighed), _BLOCK):
@@ -391,69 +516,72 @@ def train(docs: DataFrame, known: Unigrams, text: str = "text", id_column: str =
                         ["lane", "block", "weight", "values"],
                     )
 
-        rows = turn_of(docs, turn, stride, id_column).select(F.pmod(F.spark_partition_id(), F.lit(64)).cast("int").alias("lane"), F.col(text).cast("string").alias("text"))
+        rows = turn_of(coded, turn, stride).select(F.pmod(F.spark_partition_id(), F.lit(64)).cast("int").alias("lane"), "symbols")
         blocks = _averaged(map_arrow(rows, learn, "lane int, block int, weight double, values binary")).collect()
         if blocks:  # as many rows as the model has blocks
             parts = {b["block"]: np.frombuffer(b["values"], dtype=np.float64) / b["weight"] for b in blocks}
-            model = Gru(len(counts), units, per_class, np.concatenate([parts[k] for k in range(len(parts))]))
+            model = Gru(symbols, units, per_class, np.concatenate([parts[k] for k in range(len(parts))]))
         shared.unpersist()
     return model
 
 
-SCORED = "row bigint, words int, frequent int, unnamed int, base double, spelt double, symbols double, rare array<struct<word:binary,n:int>>"
+CODED = "row bigint, turn int, words int, frequent int, unnamed int, base double, spelt double, rare array<struct<word:binary,n:int>>, symbols binary"
+RESULTS = ["n_tokens", "n_known", "train_tokens", "base_score", "score"]
 
 
-def score(docs: DataFrame, words: DataFrame, known: Unigrams, model: Gru, text: str = "text", keep: list[str] | None = None) -> DataFrame:
-    """The columns ``keep`` (default: all others) and n_tokens, n_known, train_tokens, base_score, score."""
-    keep = [c for c in docs.columns if c != text] if keep is None else keep
-    if clash := {"n_tokens", "n_known", "train_tokens", "base_score", "score"} & set(keep):
-        raise ValueError(f"rename the columns {sorted(clash)} first")
-    spark = docs.sparkSession
-    shared = spark.sparkContext.broadcast((known, model.vector))
+def score(coded: DataFrame, words: DataFrame, known: Unigrams, model: Gru, names: list[str]) -> DataFrame:
+    """The kept columns of ``symbolized`` by their ``names``, and n_tokens, n_known, train_tokens, base_score, score."""
+    shared = coded.sparkSession.sparkContext.broadcast(model.vector)
     symbols, units, per_class = len(known.symbols()), model.units, model.per_class
+    hidden = [f"kept{k}" for k in range(len(names))]
+    columns = [*hidden, "row", "words", "frequent", "unnamed", "base", "spelt"]
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        told, vector = shared.value
-        own = Gru(symbols, units, per_class, vector)
-        log_count = np.append(np.log10(told.counts + 1.0), 0.0)
+        scorer = Scorer(Gru(symbols, units, per_class, shared.value))
+        pending: deque[tuple[int, pa.RecordBatch]] = deque()
+
+        def ready() -> Iterator[pa.RecordBatch]:
+            done = scorer.done()
+            while pending and pending[0][0] + pending[0][1].num_rows <= done:
+                first, rows = pending.popleft()
+                yield pa.RecordBatch.from_arrays([*rows.columns, pa.array(scorer.sums[first : first + rows.num_rows])], [*columns, "modelled"])
+
         for batch in batches:
-            for part in slices(batch, "text", _SCORED):
-                sequences, base, spelt, hits, others, sizes = [], [], [], [], [], []
-                rare_words, rare_counts, offsets = [], [], [0]
-                for one in as_bytes(part.column("text")):
-                    said = words_of(one)
-                    places = told.frequent.of(said)
-                    sequences.append(_symbols(places, told.model_words))
-                    base.append(log_count[places].sum())
-                    spelt.append(log_count[places[places >= told.model_words]].sum())
-                    hits.append(int((places >= 0).sum()))
-                    others.append(int((sequences[-1] == _OTHER).sum()))
-                    sizes.append(len(said))
-                    rare = Counter(said[k] for k in np.flatnonzero(places < 0))
-                    rare_words += rare
-                    rare_counts += rare.values()
-                    offsets.append(len(rare_words))
-                lists = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.StructArray.from_arrays([pa.array(rare_words, pa.binary()), pa.array(rare_counts, pa.int32())], ["word", "n"]))
-                yield pa.RecordBatch.from_arrays(
-                    [*(part.column(f"kept{k}") for k in range(len(keep))), part.column("row"), pa.array(sizes, pa.int32()), pa.array(hits, pa.int32()), pa.array(others, pa.int32()), pa.array(base, pa.float64()), pa.array(spelt, pa.float64()), pa.array(score_sequences(own, sequences)), lists],
-                    [*(f"kept{k}" for k in range(len(keep))), "row", "words", "frequent", "unnamed", "base", "spelt", "symbols", "rare"],
-                )
-
-    source = docs.select(*(F.col(c).alias(f"kept{k}") for k, c in enumerate(keep)), F.monotonically_increasing_id().alias("row"), F.col(text).cast("string").alias("text"))
-    schema = T.StructType([*(T.StructField(f"kept{k}", docs.schema[c].dataType) for k, c in enumerate(keep)), *T._parse_datatype_string(SCORED).fields])
-    scored = stored(map_arrow(source, apply, schema))
-    rare = scored.select("row", F.explode("rare").alias("one")).select("row", F.col("one.word").alias("word"), F.col("one.n").alias("times"))
+            for part in slices(batch, "symbols", _READ):
+                pending.append((len(scorer.sums), part.select(columns)))
+                scorer.add(_sequences(part))
+                scorer.run()
+                yield from ready()
+        scorer.run(to_the_end=True)
+        yield from ready()
+
+    schema = T.StructType([*(coded.schema[c] for c in columns), T.StructField("modelled", T.DoubleType())])
+    scored = map_arrow(coded.select(*columns, "symbols"), apply, schema)
+    rare = coded.select("row", F.explode("rare").alias("one")).select("row", F.col("one.word").alias("word"), F.col("one.n").alias("times"))
     counted = rare.join(words, "word", "left").groupBy("row").agg(F.sum(F.col("times") * F.log10(F.coalesce("n", F.lit(0)) + 1.0)).alias("rare_base"), F.sum(F.when(F.col("n") > 0, F.col("times")).otherwise(0)).alias("rare_known"))
     other_tokens, other_words = known.other
-    all_ = scored.drop("rare").join(counted, "row", "left")
-    zero = F.lit(0.0)
-    rare_base, rare_known = F.coalesce("rare_base", zero), F.coalesce("rare_known", F.lit(0))
+    all_ = scored.join(counted, "row", "left")
+    rare_base, rare_known = F.coalesce("rare_base", F.lit(0.0)), F.coalesce("rare_known", F.lit(0))
     tokens = F.col("words") + 1
     return all_.select(
-        *(F.col(f"kept{k}").alias(c) for k, c in enumerate(keep)),
+        *(F.col(h).alias(c) for h, c in zip(hidden, names, strict=True)),
         tokens.cast("bigint").alias("n_tokens"),
         (F.col("frequent") + rare_known + F.lit(int(known.ends > 0))).cast("bigint").alias("n_known"),
         F.lit(known.tokens).cast("bigint").alias("train_tokens"),
         (F.col("base") + rare_base + F.lit(float(np.log10(known.ends + 1.0))) - tokens * F.lit(known.base)).alias("base_score"),
-        (F.col("symbols") + F.col("spelt") + rare_base - F.col("unnamed") * F.lit(float(np.log10(other_tokens + other_words + 1)))).alias("score"),
+        (F.col("modelled") + F.col("spelt") + rare_base - F.col("unnamed") * F.lit(float(np.log10(other_tokens + other_words + 1)))).alias("score"),
     )
+
+
+def score_documents(docs: DataFrame, training: Column, text: str = "text", id_column: str = "doc_id", rounds: int = ROUNDS, stride: int = STRIDE, frequent: int = FREQUENT, vocabulary: int = VOCABULARY) -> tuple[DataFrame, Unigrams, Gru]:
+    """Every document scored by a model of the rows for which ``training`` is true; also the counts and the model.
+
+    Keeps the other columns; those that have the name of a result are replaced.
+    """
+    learnt = docs.where(training)
+    words = stored(count_words(learnt, text))
+    known = unigrams(words, learnt.count(), frequent, vocabulary)
+    names = [c for c in docs.columns if c not in (text, *RESULTS)]
+    coded = symbolized(docs, known, text, id_column, names, training)
+    model = train(coded, known, rounds, stride)
+    return score(coded, words, known, model, names), known, model

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillwise.llm import bpe, chat, decontaminate, langid, lm, packing, periodic, quality, secret_scan, simhash, suffix, topk, vector_codes
-from tillwise.llm.common import id_crc, read_table, stored
+from tillwise.llm.common import id_crc, read_table
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
 PACKED_VOCABULARY = "word_bpe_49k.json"
@@ -66,11 +66,7 @@ def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     held_out = id_crc() % 7 == 2
-    training = docs.where(~held_out)
-    words = stored(lm.count_words(training))
-    known = lm.unigrams(words, ends=training.count())
-    model = lm.train(training, known)
-    scored = lm.score(docs, words, known, model)
+    scored, _, _ = lm.score_documents(docs, ~held_out)
     return scored.select("doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
 
 

@@ -54,9 +54,12 @@ def replace_table(df: DataFrame, name: str | None = None, path: str | None = Non
     else:
         _point(spark, home, f"{fmt}/{version}")
     fs, root = _file_system(spark, home)
-    old = sorted(s.getPath().getName() for s in fs.listStatus(root) if s.getPath().getName().startswith("v"))
-    for gone in old[: max(0, old.index(version) + 1 - max(1, keep))]:
-        fs.delete(spark._jvm.org.apache.hadoop.fs.Path(f"{home}/{gone}"), True)
+    in_home = lambda part: spark._jvm.org.apache.hadoop.fs.Path(f"{home}/{part}")
+    versions = sorted(s.getPath().getName() for s in fs.listStatus(root) if s.getPath().getName().startswith("v"))
+    versions = [v for v in versions if v <= version]   # a later one is still being written
+    whole = [v for v in versions if fs.exists(in_home(f"{v}/_SUCCESS"))] or versions   # what a failed write left counts for nothing
+    for gone in versions[: versions.index(whole[-min(len(whole), max(1, keep))])]:
+        fs.delete(in_home(gone), True)
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:

@@ -25,3 +25,8 @@ STUMP_FEATURES = ["orders_band", "recency_band"]
 STUMP_SPACE = {"n_estimators": [1], "max_depth": [1], "learning_rate": [0.1],
                "min_samples_leaf": [1, 60, 300, 450], "min_samples_split": [2], "subsample": [1.0]}
 STUMP_FOLDS = 3
+
+# One point of the search space on all features: the fits of c4 and c11, of which SQL states what
+# holds for any such model; the tree of one split beside them is compared value by value.
+FIT_POINT = {"n_estimators": 100, "max_depth": 3, "learning_rate": 0.1, "min_samples_leaf": 2,
+             "min_samples_split": 5, "subsample": 0.8}

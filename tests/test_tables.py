@@ -33,6 +33,43 @@ def test_market_basket_of_lines_without_a_rule_is_empty(spark, tmp_path):
     assert got.count() == 0
 
 
+def test_raw_lines_by_keys_without_partner_and_keys_that_come_twice(spark, tmp_path):
+    d = made_tables(spark, tmp_path)
+    t = {n: [r.asDict() for r in spark.read.parquet(f"{d}/{n}.parquet").collect()] for n in ("nation", "customer", "orders", "part", "lineitem")}
+    want = []
+    for li in t["lineitem"]:
+        for o in (o for o in t["orders"] if o["o_orderkey"] == li["l_orderkey"]):
+            for c in (c for c in t["customer"] if c["c_custkey"] == o["o_custkey"]):
+                for n in (n for n in t["nation"] if n["n_nationkey"] == c["c_nationkey"]):
+                    for p in (p for p in t["part"] if p["p_partkey"] == li["l_partkey"]):
+                        back = li["l_returnflag"] == "R" and li["l_linestatus"] == "F"
+                        price = 0.05 if li["l_linenumber"] == 7 and li["l_tax"] == 0 else li["l_extendedprice"]
+                        want.append((f"{'C' * back}{li['l_orderkey']}", p["p_brand"], p["p_name"], int(-li["l_quantity"] if back else li["l_quantity"]),
+                                     f"{price:.2f}", None if o["o_orderkey"] % 10 == 0 else o["o_custkey"], n["n_name"]))
+    got = transactions_from_tpch(spark, d)
+    assert len(want) > 80
+    assert sorted(map(str, rows(got.withColumn("UnitPrice", F.col("UnitPrice").cast("string")).drop("InvoiceDate")))) == sorted(map(str, want))
+
+
+@pytest.mark.parametrize("name", ["r7_star_sales", "r7_star_lines", "r10_clv_funnel"])
+def test_the_raw_lines_are_joined_once(spark, tmp_path, monkeypatch, name):
+    d = made_tables(spark, tmp_path, orders=120)
+    want, seen = transactions_from_tpch(spark, d).count(), spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for b in batches:
+            seen.add(b.num_rows)
+            yield b
+
+    def lines(*args, **more):
+        df = transactions_from_tpch(*args, **more)
+        return df.mapInArrow(counted, df.schema)
+
+    monkeypatch.setattr(G, "transactions_from_tpch", lines)
+    G.queries()[name](spark, d).collect()
+    assert seen.value == want
+
+
 @pytest.mark.parametrize("name,columns", [("c4_holdout_metrics", ["n", "rmse", "mae", "r2", "finite", "in_range"]),
                                           ("c11_fitted_quintiles", ["clv_quintile", "customers", "lowest", "highest", "ordered"])])
 def test_boosted_trees_on_all_features_are_fitted(spark, monkeypatch, name, columns):

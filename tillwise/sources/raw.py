@@ -30,9 +30,12 @@ def transactions_from_tpch(spark: SparkSession, sf_dir: str, item_column: str =
     part key) is the item code and the part name its description; the date string is padded ``' dd-MM-yyyy HH:mm'``; every
     tenth order is anonymous.
     """
+    cancelled = (F.col("l_returnflag") == "R") & (F.col("l_linestatus") == "F")
+    # what a line needs of its own columns, before the joins: the rows that are shuffled stay narrow
     li = read_table(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_partkey", "l_linenumber", "l_quantity", "l_extendedprice",
-        "l_tax", "l_returnflag", "l_linestatus")
+        "l_orderkey", "l_partkey", cancelled.alias("_cancelled"),
+        F.when(cancelled, -F.col("l_quantity")).otherwise(F.col("l_quantity")).alias("_quantity"),
+        F.when((F.col("l_linenumber") == 7) & (F.col("l_tax") == 0), F.lit(0.05)).otherwise(F.col("l_extendedprice")).alias("_price"))
     orders = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
     customer = read_table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     nation = read_table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
@@ -41,24 +44,23 @@ def transactions_from_tpch(spark: SparkSession, sf_dir: str, item_column: str =
     # nation is a fixed 25-row code table, so broadcasting it is bounded;
     # the other joins are left to the planner (AQE converts them to
     # broadcast joins only when the runtime size is under the threshold).
-    j = (li.join(orders, li.l_orderkey == orders.o_orderkey)
-           .join(customer, orders.o_custkey == customer.c_custkey)
-           .join(F.broadcast(nation), customer.c_nationkey == nation.n_nationkey)
-           .join(part, li.l_partkey == part.p_partkey))
+    # Customers are joined to the orders, which are fewer than the lines; the
+    # join by order comes last, so the lines of an order leave it side by side.
+    placed = (orders.join(customer.join(F.broadcast(nation), F.col("c_nationkey") == F.col("n_nationkey")),
+                          F.col("o_custkey") == F.col("c_custkey"))
+                    .select("o_orderkey", "o_custkey", "o_orderdate", "n_name"))
+    j = li.join(part, F.col("l_partkey") == F.col("p_partkey")).join(placed, F.col("l_orderkey") == F.col("o_orderkey"))
 
-    cancelled = (F.col("l_returnflag") == "R") & (F.col("l_linestatus") == "F")
     key = F.col("l_orderkey").cast("string")
     return j.select(
-        F.when(cancelled, F.concat(F.lit("C"), key)).otherwise(key).alias("InvoiceNo"),
+        F.when(F.col("_cancelled"), F.concat(F.lit("C"), key)).otherwise(key).alias("InvoiceNo"),
         F.col(item_column).cast("string").alias("StockCode"),
         F.col("p_name").alias("Description"),
-        F.when(cancelled, -F.col("l_quantity")).otherwise(F.col("l_quantity"))
-         .cast("int").alias("Quantity"),
+        F.col("_quantity").cast("int").alias("Quantity"),
         F.concat(F.lit(" "), F.date_format("o_orderdate", "dd-MM-yyyy"), F.lit(" "),
                  _two_digits(F.col("l_orderkey") % 24), F.lit(":"),
                  _two_digits(F.col("l_orderkey") % 60)).alias("InvoiceDate"),
-        F.when((F.col("l_linenumber") == 7) & (F.col("l_tax") == 0), F.lit(0.05))
-         .otherwise(F.col("l_extendedprice")).cast("decimal(12,2)").alias("UnitPrice"),
+        F.col("_price").cast("decimal(12,2)").alias("UnitPrice"),
         F.when(F.col("o_orderkey") % 10 == 0, F.lit(None).cast("bigint"))
          .otherwise(F.col("o_custkey")).alias("CustomerID"),
         F.col("n_name").alias("Country"),

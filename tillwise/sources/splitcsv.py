@@ -41,28 +41,32 @@ def split_states(lines: DataFrame) -> DataFrame:
     return counts.select("file", "block", (F.coalesce(F.sum("quotes").over(before), F.lit(0)) % 2 == 1).alias("inside"))
 
 
-def _assemble(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Whole records, and the fragments at the edges of the splits, from lines in the order of the file."""
+def _assemble(batches: Iterator[pa.RecordBatch], edges_only: bool = False) -> Iterator[pa.RecordBatch]:
+    """Whole records, and the fragments at the edges of the splits, from lines in the order of the file.
+
+    Quotes are counted for a batch of lines at once: a record ends at each line with an even number of them since
+    its split began, and the lines between two such ends are joined by Arrow.  With ``edges_only`` the whole records
+    are left out.
+    """
     split, inside, begun = None, False, False   # ``begun``: a record has begun in this split
     waiting: list[str] = []
 
-    def told(records: list[str], head: bool = False, tail: bool = False, first: bool = False) -> pa.RecordBatch:
+    def told(records: pa.Array, place: int, first: bool = False) -> pa.RecordBatch:
         n = len(records)
-        place = [1 if head else 2 if tail else 0] * n
-        is_first = [first and k == 0 for k in range(n)]
-        columns = [pa.array(records, pa.string()), pa.array([split[0]] * n, pa.string()), pa.array([split[1]] * n, pa.int64()),
-                   pa.array(place, pa.int32()), pa.array([head] * n, pa.bool_()), pa.array(is_first, pa.bool_())]
+        is_first = np.zeros(n, bool)
+        is_first[:1] = first
+        same = lambda value, kind: pa.repeat(pa.scalar(value, kind), n)
+        columns = [records.cast(pa.string()), same(split[0], pa.string()), same(split[1], pa.int64()), same(place, pa.int32()),
+                   same(place == 1, pa.bool_()), pa.array(is_first)]
         return pa.RecordBatch.from_arrays(columns, ["record", "file", "block", "place", "is_head", "is_first"])
 
-    def close() -> Iterator[pa.RecordBatch]:
-        """The end of a split: an open record goes on in the next one."""
-        if waiting:
-            yield told(["\n".join(waiting)], head=not begun, tail=begun, first=first)
+    def fragment(lines: list[str], head: bool, first: bool = False) -> pa.RecordBatch:
+        return told(pa.array(["\n".join(lines)], pa.string()), 1 if head else 2, first)
 
     first = False   # the record that waits is the first of its file
     for batch in batches:
-        values = batch.column("value").to_pylist()
-        quotes = pc.count_substring(batch.column("value"), '"').to_numpy()
+        values = batch.column("value")
+        odd = pc.count_substring(values, '"').to_numpy() % 2
         files, blocks, states = (batch.column(c) for c in ("file", "block", "inside"))
         codes = files.dictionary_encode().indices.to_numpy()
         at = blocks.to_numpy()
@@ -72,32 +76,43 @@ def _assemble(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 continue
             own = (files[begin].as_py(), int(at[begin]))
             if own != split:
-                if split is not None:
-                    yield from close()
+                if waiting:   # the end of a split: an open record goes on in the next one
+                    yield fragment(waiting, head=not begun, first=first)
                 split, inside, begun, waiting = own, states[begin].as_py(), False, []
                 first = own[1] == 0
-            whole: list[str] = []
-            first_whole = False
-            for k in range(begin, end):
-                if not inside and not waiting:
+            if not inside and not waiting:
+                begun = True
+            open_after = (int(inside) + np.cumsum(odd[begin:end])) % 2 == 1
+            ends = begin + 1 + np.flatnonzero(~open_after)   # behind the last line of each record
+            inside = bool(open_after[-1])
+            if not len(ends):
+                waiting += values.slice(begin, end - begin).to_pylist()
+                continue
+            if waiting or not begun:   # the record that was open before these lines
+                waiting += values.slice(begin, ends[0] - begin).to_pylist()
+                if not begun:
+                    yield fragment(waiting, head=True)   # the end of a record that another split began
                     begun = True
-                waiting.append(values[k])
-                if quotes[k] % 2:
-                    inside = not inside
-                if not inside:
-                    record = waiting[0] if len(waiting) == 1 else "\n".join(waiting)
-                    waiting = []
-                    if begun:
-                        first_whole |= first and not whole
-                        whole.append(record)
-                        first = False
+                else:
+                    if not edges_only:
+                        yield told(pa.array(["\n".join(waiting)], pa.string()), 0, first)
+                    first = False
+                begin, ends = int(ends[0]), ends[1:]
+            if len(ends):
+                if not edges_only:
+                    if len(ends) == ends[-1] - begin:   # no line break in any field
+                        yield told(values.slice(begin, len(ends)), 0, first)
                     else:
-                        yield told([record], head=True)   # the end of a record that another split began
-                        begun = True
-            if whole:
-                yield told(whole, first=first_whole)
-    if split is not None:
-        yield from close()
+                        cut = pa.array(np.concatenate(([0], ends - begin)), pa.int32())
+                        yield told(pc.binary_join(pa.ListArray.from_arrays(cut, values.slice(begin, ends[-1] - begin)), "\n"), 0, first)
+                first, begin = False, int(ends[-1])
+            waiting = values.slice(begin, end - begin).to_pylist()
+    if waiting:
+        yield fragment(waiting, head=not begun, first=first)
+
+
+def _assemble_edges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    yield from _assemble(batches, edges_only=True)
 
 
 def read_records(spark: SparkSession, path: str) -> DataFrame:
@@ -107,8 +122,8 @@ def read_records(spark: SparkSession, path: str) -> DataFrame:
     known = F.coalesce("inside", F.raise_error(F.lit("the files were split in another way when their lines were read again")).cast("boolean"))
     # one small row for each split of the files
     started = lines.join(F.broadcast(states), ["file", "block"], "left").select("value", "file", "block", known.alias("inside"))
-    pieces = started.mapInArrow(_assemble, _FRAGMENTS)
-    whole = pieces.filter("place = 0").select("record", "is_first")
+    whole = started.mapInArrow(_assemble, _FRAGMENTS).filter("place = 0").select("record", "is_first")
+    pieces = started.mapInArrow(_assemble_edges, _FRAGMENTS)
     # the splits of a file in order: each open end starts a record, the heads after it belong to it
     in_file = Window.partitionBy("file").orderBy("block", "place")
     edges = pieces.filter("place > 0").withColumn("_record", F.sum(F.when(F.col("is_head"), 0).otherwise(1)).over(in_file))
